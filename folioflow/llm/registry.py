@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from folioflow.llm import quality
+from folioflow.llm import ngram_join, quality
 
 QUERIES = {
     "op2_quality_rules": quality.query,
+    "op9_ngram_jaccard": ngram_join.query,
 }
 
 ORACLE_SQL: dict[str, str] = {}
