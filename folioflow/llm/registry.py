@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from folioflow.llm import ngram_join, quality
+from folioflow.llm import decontaminate, ngram_join, quality
 
 QUERIES = {
     "op2_quality_rules": quality.query,
+    "op6_decontaminate": decontaminate.query,
     "op9_ngram_jaccard": ngram_join.query,
 }
 
