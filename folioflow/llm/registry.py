@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from folioflow.llm import decontaminate, ngram_join, quality
+from folioflow.llm import decontaminate, ngram_join, quality, secrets
 
 QUERIES = {
     "op2_quality_rules": quality.query,
     "op6_decontaminate": decontaminate.query,
+    "op8_secret_scan": secrets.query,
     "op9_ngram_jaccard": ngram_join.query,
 }
 
