@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from folioflow.llm import decontaminate, ngram_join, quality, secrets
+from folioflow.llm import decontaminate, ngram_join, packing, quality, secrets
 
 QUERIES = {
+    "op1_pack_documents": packing.query,
     "op2_quality_rules": quality.query,
     "op6_decontaminate": decontaminate.query,
     "op8_secret_scan": secrets.query,

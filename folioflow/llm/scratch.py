@@ -90,7 +90,7 @@ def with_rank(df: DataFrame, keys: list[str], order: list[str], out: str, chunks
 
     A plain window over a few hot keys would sort each of them in one task. Here rows are first dealt
     to chunks by a hash of `spread`, ranked in their (key, chunk), and moved up by the sizes of the
-    earlier chunks, which are counted in a table of only keys x chunks rows.
+    earlier chunks, which are counted in a table of only keys x chunks rows. Keys must not be null.
     """
     chunked = df.withColumn("_chunk", F.pmod(F.xxhash64(*[F.col(c) for c in (spread or order)]), F.lit(chunks)).cast("int"))
     inside = Window.partitionBy(*keys, "_chunk").orderBy(*order)
@@ -100,5 +100,5 @@ def with_rank(df: DataFrame, keys: list[str], order: list[str], out: str, chunks
     offsets = sizes.select(*[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)], F.col("_chunk").alias("_c"), F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"))
     cond = F.col("_chunk") == F.col("_c")
     for i, k in enumerate(keys):
-        cond = cond & F.col(k).eqNullSafe(F.col(f"_k{i}"))
+        cond = (F.col(k) == F.col(f"_k{i}")) & cond
     return ranked.join(offsets, cond, "inner").withColumn(out, F.col("_before") + F.col("_in")).drop("_chunk", "_in", "_c", "_before", *[f"_k{i}" for i in range(len(keys))])
