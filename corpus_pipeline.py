@@ -1,12 +1,56 @@
-"""Stages that clean, deduplicate, decontaminate, redact and pack a corpus."""
+"""A corpus from raw documents to packed training sequences.
+
+quality rules -> near duplicates -> benchmark decontamination -> secrets -> packing. Each stage reads all rows that the one
+before kept, from Parquet in the shared folder; all but the last return the columns of `documents`.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-STAGES: list = []
+from folioflow.llm import decontaminate, ngram_join, packing, quality, secrets
+from folioflow.llm.scratch import materialize, table
+
+
+def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Drops texts that fail the base rules or lie outside their language's perplexity band."""
+    return quality.select(docs)
+
+
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Keeps one text of each component of near duplicates."""
+    return ngram_join.keep_one(docs)
+
+
+def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Cuts benchmark passages out, and drops texts that are mostly benchmark."""
+    return decontaminate.clean(docs, table(spark, sf_dir, "benchmark"))
+
+
+def secret_scan(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Masks secrets that look live."""
+    return secrets.redact(docs)
+
+
+def best_fit_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Packs the tokens of the texts that are left into sequences."""
+    return packing.pack_documents(docs)
+
+
+STAGES = [
+    ("quality_rules", quality_rules),
+    ("ngram_jaccard_join", near_duplicates),
+    ("benchmark_decontamination", benchmark_decontamination),
+    ("secret_scans", secret_scan),
+    ("best_fit_packing", best_fit_packing),
+]
+
+#: Kneser-Ney bands, similarity components and packing plans are not SQL; the tests hold run() against brute force.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    raise NotImplementedError
+    docs = table(spark, sf_dir, "documents")
+    for name, stage in STAGES[:-1]:
+        docs = materialize(stage(spark, docs, sf_dir), name)
+    return STAGES[-1][1](spark, docs, sf_dir)
