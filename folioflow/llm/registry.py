@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from folioflow.llm import decontaminate, ngram_join, packing, quality, secrets
+from folioflow.llm import brown, decontaminate, ngram_join, packing, quality, secrets
 
 QUERIES = {
     "op1_pack_documents": packing.query,
@@ -10,6 +10,7 @@ QUERIES = {
     "op6_decontaminate": decontaminate.query,
     "op8_secret_scan": secrets.query,
     "op9_ngram_jaccard": ngram_join.query,
+    "op10_brown_lm": brown.query,
 }
 
 ORACLE_SQL: dict[str, str] = {}
