@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
-from folioflow.llm import brown, decontaminate, ngram_join, packing, quality, secrets
+from folioflow.llm import brown, decontaminate, language, ngram_join, packing, quality, secrets, toxicity
 
 QUERIES = {
     "op1_pack_documents": packing.query,
     "op2_quality_rules": quality.query,
+    "op3_language_id": language.query,
     "op6_decontaminate": decontaminate.query,
+    "op7_toxicity": toxicity.query,
     "op8_secret_scan": secrets.query,
     "op9_ngram_jaccard": ngram_join.query,
     "op10_brown_lm": brown.query,
