@@ -85,20 +85,20 @@ def doc_remainder(modulus: int = 5, key: str = "doc_id") -> Column:
     return F.crc32(F.coalesce(F.col(key).cast("string"), F.lit("")).cast("binary")) % F.lit(modulus)
 
 
-def with_rank(df: DataFrame, keys: list[str], order: list[str], out: str, chunks: int, spread: list[str] | None = None) -> DataFrame:
-    """Adds out: the row's place, from 0, among the rows of equal keys.
+def with_rank(df: DataFrame, keys: list[str], order: list[str], out: str, chunks: int, weight: str | None = None) -> DataFrame:
+    """Adds out: the row's place, from 0, among the rows of equal keys; with weight, the weights of the rows before it.
 
     A plain window over a few hot keys would sort each of them in one task. Here rows are first dealt
-    to chunks by a hash of `spread`, ranked in their (key, chunk), and moved up by the sizes of the
-    earlier chunks, which are counted in a table of only keys x chunks rows. Keys must not be null.
+    to chunks by a hash of `order`, ranked in their (key, chunk), and moved up by the totals of the
+    earlier chunks, which are summed in a table of only keys x chunks rows. Keys must not be null.
     """
-    chunked = df.withColumn("_chunk", F.pmod(F.xxhash64(*[F.col(c) for c in (spread or order)]), F.lit(chunks)).cast("int"))
-    inside = Window.partitionBy(*keys, "_chunk").orderBy(*order)
-    ranked = chunked.withColumn("_in", F.row_number().over(inside).cast("long") - 1)
-    sizes = chunked.groupBy(*keys, "_chunk").agg(F.count(F.lit(1)).alias("_n"))
+    chunked = df.withColumn("_chunk", F.pmod(F.xxhash64(*[F.col(c) for c in order]), F.lit(chunks)).cast("int")).withColumn("_w", F.col(weight).cast("long") if weight else F.lit(1).cast("long"))
+    upto = Window.partitionBy(*keys, "_chunk").orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    ranked = chunked.withColumn("_in", F.sum("_w").over(upto) - F.col("_w"))
+    sizes = chunked.groupBy(*keys, "_chunk").agg(F.sum("_w").alias("_n"))
     before = Window.partitionBy(*keys).orderBy("_chunk").rowsBetween(Window.unboundedPreceding, -1)
     offsets = sizes.select(*[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)], F.col("_chunk").alias("_c"), F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"))
     cond = F.col("_chunk") == F.col("_c")
-    for i, k in enumerate(keys):
+    for i, k in reversed(list(enumerate(keys))):
         cond = (F.col(k) == F.col(f"_k{i}")) & cond
-    return ranked.join(offsets, cond, "inner").withColumn(out, F.col("_before") + F.col("_in")).drop("_chunk", "_in", "_c", "_before", *[f"_k{i}" for i in range(len(keys))])
+    return ranked.join(offsets, cond, "inner").withColumn(out, F.col("_before") + F.col("_in")).drop("_chunk", "_w", "_in", "_c", "_before", *[f"_k{i}" for i in range(len(keys))])
