@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
-from folioflow.llm import brown, decontaminate, language, ngram_join, packing, quality, secrets, toxicity
+from folioflow.llm import brown, chat, decontaminate, language, ngram_join, packing, quality, secrets, sharding, toxicity
 
 QUERIES = {
     "op1_pack_documents": packing.query,
     "op2_quality_rules": quality.query,
     "op3_language_id": language.query,
+    "op4_balanced_shards": sharding.query,
+    "op5_chat_format": chat.query,
     "op6_decontaminate": decontaminate.query,
     "op7_toxicity": toxicity.query,
     "op8_secret_scan": secrets.query,
@@ -15,4 +17,6 @@ QUERIES = {
     "op10_brown_lm": brown.query,
 }
 
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {
+    "op5_chat_format": chat.ORACLE_SQL,
+}
