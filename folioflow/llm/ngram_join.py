@@ -11,15 +11,18 @@ Method
   a linked set may be that large, in the next.
 * With NE non-empty partitions and at most d differing ones, NE - d signatures agree. Under one
   global order of signatures the first d + 1 of each set must meet (the prefix rule), so only these are
-  emitted: the ones seen least in a sample of texts (1 in 64, by hash), then those of the most shingles. The order
+  emitted: the ones seen least in a sample of texts (1 in 6, by hash), then those of the most shingles. The order
   decides speed only; any order gives the same links. Passages that thousands of texts share thus leave
   the index without being lost. A set with NE <= d also emits its empty partitions.
 * Texts with equal sets are one node, named by a 64-bit hash of the set.
 * Signatures travel packed in binary blocks. Nodes that share one form a group. Groups are
-  never expanded into all pairs: each round tests a leader against the members that are not yet in its
-  component; pairs that are still untested between different components are tested at the end. Every
-  tested pair is verified on whole sets.
-* Components grow by large-star / small-star rounds in Spark.
+  never expanded into all pairs: leader rounds test one member against those that are not yet in its
+  component; at the end the pairs between different components of a group are compared by sketch, in place.
+* A sketch has a bit for each of 2048 partitions: the parity of its shingles. The bits in which two sketches differ
+  are never more than the shingles in which the sets differ, so what it rules out is no link. Every pair
+  that is left is verified on whole sets.
+* Components of links between components: up to `EDGES` links in one task, more of them by large-star / small-star
+  rounds in Spark. Both give the same labels.
 
 Defined results: a null or empty text has an empty set, links with nothing, and is its own component. Repeated
 rows have equal sets and fall into one component, the smallest non-null id names it. A null doc_id joins by
@@ -42,10 +45,15 @@ from folioflow.llm.scratch import materialize, ship, table
 
 SHINGLE = 5
 P, Q = 75, 100
-SAMPLE = 64
-HOT_LIMIT = 1 << 18
+SAMPLE = 6
+HOT_LIMIT = 1 << 20
+SKETCH_BITS = 2048
 BROADCAST_ROWS = 1_000_000
 STAR_ROUNDS = 6
+#: Comparisons of sketches for each member of a group up to which no further leader round is made; members in a task.
+COMPARE = 512
+GROUP_ROWS = 50_000
+EDGES = 1_000_000
 FLUSH = 1 << 20
 _KEY_BITS = np.uint64(40)
 _EMPTY = np.uint64(0xA0761D6478BD642F)
@@ -73,7 +81,7 @@ def signatures(shingles: np.ndarray, upper: int, parts: int) -> tuple[np.ndarray
     part = ((shingles >> np.uint64(32)) * np.uint64(parts)) >> np.uint64(32)
     new = np.flatnonzero(np.concatenate([[True], part[1:] != part[:-1]]))
     total = np.add.reduceat(K.mix(shingles), new)
-    return part[new], K.mix(total + np.uint64(upper) * K.BYTE_CODES[7]), np.diff(np.append(new, len(shingles)))
+    return part[new], K.mix(total + K.mix(np.full(1, upper, np.uint64))), np.diff(np.append(new, len(shingles)))
 
 
 def chosen(shingles: np.ndarray, p: int, q: int, hot: tuple[np.ndarray, np.ndarray]) -> np.ndarray:
@@ -96,33 +104,39 @@ def node_of(shingles: np.ndarray) -> int:
     return int(K.mix(np.atleast_1d(K.mix(shingles).sum() + np.uint64(len(shingles)))).view(np.int64)[0])
 
 
+def sketch_of(shingles: np.ndarray) -> bytes:
+    at = (K.mix(shingles) >> np.uint64(40)).astype(np.int64) % SKETCH_BITS
+    return np.packbits(np.bincount(at, minlength=SKETCH_BITS).astype(np.uint8) & 1).tobytes()
+
+
 def node_sets(docs: DataFrame, k: int, p: int, q: int, sample: int = SAMPLE) -> DataFrame:
-    """One row per text (kind 0: doc_id, node, n), and signature counts of a sample of texts (kind 1: node is the signature)."""
+    """One row per text (kind 0: doc_id, node, n, sketch), and signature counts of a sample of texts (kind 1: node is the signature)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names = ["kind", "doc_id", "node", "n"]
+        names = ["kind", "doc_id", "node", "n", "sketch"]
         seen = K.Counter()
         for batch in batches:
             picked = batch.column(2).to_numpy(zero_copy_only=False)
             for chunk in K.chunks(batch.column(1)):
-                nodes, sizes, sampled = [], [], []
+                nodes, sizes, sketches, sampled = [], [], [], []
                 for i, s in enumerate(K.shingle_sets(*K.words(chunk), k)):
                     sizes.append(len(s))
                     nodes.append(node_of(s) if len(s) else None)
+                    sketches.append(sketch_of(s) if len(s) > 2 else None)
                     if picked[chunk.lo + i] and len(s) > 2:
                         sampled += [signatures(s, u, m)[1] for u, m, _ in bands(len(s), p, q)]
                 if sampled:
                     seen.add(np.unique(np.concatenate(sampled)))
                 ids = batch.column(0).slice(chunk.lo, chunk.docs)
-                yield pa.record_batch([pa.array(np.zeros(len(sizes), np.int32)), ids.cast(pa.int64()), pa.array(nodes, pa.int64()), pa.array(sizes, pa.int64())], names)
+                yield pa.record_batch([pa.array(np.zeros(len(sizes), np.int32)), ids.cast(pa.int64()), pa.array(nodes, pa.int64()), pa.array(sizes, pa.int64()), pa.array(sketches, pa.binary())], names)
         keys, n = seen.result()
         for a in range(0, len(keys), 1 << 17):
             part = keys[a : a + (1 << 17)].view(np.int64)
-            yield pa.record_batch([pa.array(np.ones(len(part), np.int32)), pa.nulls(len(part), pa.int64()), pa.array(part), pa.array(n[a : a + (1 << 17)])], names)
+            yield pa.record_batch([pa.array(np.ones(len(part), np.int32)), pa.nulls(len(part), pa.int64()), pa.array(part), pa.array(n[a : a + (1 << 17)]), pa.nulls(len(part), pa.binary())], names)
 
     ship(docs.sparkSession)
     picked = F.pmod(F.xxhash64("doc_id"), F.lit(sample)) == 0
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", picked.alias("picked")).mapInArrow(run, "kind int, doc_id long, node long, n long")
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", picked.alias("picked")).mapInArrow(run, "kind int, doc_id long, node long, n long, sketch binary")
 
 
 def hot_signatures(sets: DataFrame, limit: int = HOT_LIMIT) -> tuple[np.ndarray, np.ndarray]:
@@ -226,10 +240,35 @@ def groups(blocks: DataFrame) -> DataFrame:
 # ---------------------------------------------------------------- components
 
 
-def components(edges: DataFrame, name: str = "stars") -> DataFrame:
-    """(node, label) of all nodes of edges (a, b), label the smallest node that can be reached. Alternates large and small stars."""
-    pairs = materialize(edges.filter("a != b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), name)
-    before = None
+def _solve(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    parts = [(x.column(0).to_numpy(), x.column(1).to_numpy()) for x in batches]
+    if not parts:
+        return
+    ends = np.concatenate([np.concatenate(x) for x in zip(*parts, strict=True)])
+    nodes, at = np.unique(ends, return_inverse=True)
+    a, b = at[: len(at) // 2], at[len(at) // 2 :]
+    label = np.arange(len(nodes))
+    while True:
+        least = np.minimum(label[a], label[b])
+        new = label.copy()
+        for end in (a, b):
+            np.minimum.at(new, label[end], least)
+            np.minimum.at(new, end, least)
+        new = new[new]
+        if np.array_equal(new, label):
+            break
+        label = new
+    yield pa.record_batch([pa.array(nodes), pa.array(nodes[label])], ["node", "label"])
+
+
+def components(edges: DataFrame, limit: int = EDGES) -> DataFrame:
+    """(node, label) of all nodes of edges (a, b), label the smallest node that can be reached."""
+    ship(edges.sparkSession)
+    name = "stars"
+    pairs = materialize(edges.filter("a != b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")), name)
+    if pairs.count() <= limit:
+        return pairs.coalesce(1).mapInArrow(_solve, "node long, label long")
+    pairs, before = pairs.distinct(), None
     while True:
         state = pairs.agg(F.count(F.lit(1)), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
         if state == before or not state[0]:
@@ -255,15 +294,54 @@ def _sets_of(docs: DataFrame, wanted: DataFrame, k: int, rows: int) -> DataFrame
                 flat = np.concatenate([*sets, np.zeros(0, np.uint64)]).view(np.int64)
                 yield pa.record_batch([pa.array([node_of(s) for s in sets], pa.int64()), pa.ListArray.from_arrays(pa.array(offs), pa.array(flat))], ["node", "shingles"])
 
-    wanted = F.broadcast(wanted) if rows <= BROADCAST_ROWS else wanted
-    found = docs.select("doc_id", "text").join(wanted, F.col("doc_id").cast("long").eqNullSafe(F.col("wanted")), "left_semi")
+    found = docs.select("doc_id", "text").join(_small(wanted, rows), F.col("doc_id").cast("long").eqNullSafe(F.col("wanted")), "left_semi")
     return found.select("text").mapInArrow(run, "node long, shingles array<long>")
 
 
-def _verified(pairs: DataFrame, sets: DataFrame, p: int, q: int) -> DataFrame:
-    """Pairs (a, b) with whether they link, on whole sets."""
-    with_b = pairs.join(sets.select(F.col("node").alias("b"), F.col("shingles").alias("_sb")), "b")
-    both = with_b.join(sets.select(F.col("node").alias("a"), F.col("shingles").alias("_sa")), "a")
+def _small(df: DataFrame, rows: int) -> DataFrame:
+    return F.broadcast(df) if rows <= BROADCAST_ROWS else df
+
+
+def compared(rows: DataFrame, p: int, q: int, leaders: bool) -> DataFrame:
+    """Pairs (a, b) of nodes of a group (part, gid, node, n, label, sketch, lead) in different components that their sizes and sketches let link."""
+
+    def run(table: pa.Table) -> pa.Table:
+        gid, node, n, label = (table.column(c).to_numpy() for c in ("gid", "node", "n", "label"))
+        lead = table.column("lead").to_numpy()
+        sketch = np.frombuffer(b"".join(table.column("sketch").to_pylist()), np.uint64).reshape(len(gid), -1)
+        by = np.lexsort((node, n, gid))
+        gid, node, n, label, lead, sketch = gid[by], node[by], n[by], label[by], lead[by], sketch[by]
+        edges = np.flatnonzero(np.concatenate([[True], gid[1:] != gid[:-1], [True]])).tolist()
+        out_a, out_b = [], []
+        for lo, hi in zip(edges[:-1], edges[1:], strict=True):
+            if leaders:
+                heads = [(int(np.flatnonzero(node[lo:hi] == lead[lo])[0]) + lo, lo)]
+            else:
+                heads = [(i, i + 1) for i in range(lo, hi - 1)]
+            for i, start in heads:
+                last = lo + int(np.searchsorted(n[lo:hi], n[i] * q // p, "right"))
+                start = max(start, lo + int(np.searchsorted(n[lo:hi], -(-n[i] * p // q))))
+                others = np.flatnonzero(label[start:last] != label[i]) + start
+                if len(others):
+                    bits = np.bitwise_count(sketch[others] ^ sketch[i]).sum(axis=1)
+                    others = others[bits <= (n[others] + n[i]) * (q - p) // (q + p)]
+                    out_a.append(np.minimum(node[others], node[i]))
+                    out_b.append(np.maximum(node[others], node[i]))
+        pairs = np.unique(np.stack([np.concatenate([*out_a, np.zeros(0, np.int64)]), np.concatenate([*out_b, np.zeros(0, np.int64)])]), axis=1)
+        return pa.table({"a": pa.array(pairs[0], pa.int64()), "b": pa.array(pairs[1], pa.int64())})
+
+    return rows.groupBy("part").applyInArrow(run, "a long, b long").distinct()
+
+
+def _verified(docs: DataFrame, pairs: DataFrame, nodes: DataFrame, k: int, p: int, q: int) -> DataFrame:
+    """Pairs (a, b) with whether they link, on whole sets, which are made again from the texts that are needed."""
+    count = pairs.count()
+    pairs = _small(pairs, count)
+    ends = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
+    wanted = nodes.join(_small(ends, 2 * count), "node", "left_semi").select(F.col("class_id").alias("wanted")).distinct()
+    sets = _sets_of(docs, wanted, k, 2 * count)
+    with_b = sets.select(F.col("node").alias("b"), F.col("shingles").alias("_sb")).join(pairs, "b")
+    both = with_b.join(sets.select(F.col("node").alias("a"), F.col("shingles").alias("_sa")).join(_small(pairs.select("a").distinct(), count), "a", "left_semi"), "a")
     shared = F.size(F.array_intersect("_sa", "_sb"))
     return both.select("a", "b", (q * shared >= p * (F.size("_sa") + F.size("_sb") - shared)).alias("link")).distinct()
 
@@ -276,41 +354,37 @@ def near_components(docs: DataFrame, k: int = SHINGLE, p: int = P, q: int = Q) -
     classes = texts.filter("node is not null").groupBy("node").agg(F.min("doc_id").alias("class_id"))
     buckets = max(64, 2 * int(spark.conf.get("spark.sql.shuffle.partitions")))
     members = materialize(groups(signed_blocks(docs, k, p, q, hot_signatures(sets), buckets)), "groups")
-    nodes = materialize(members.select("node").distinct().join(classes, "node").select("node", "class_id"), "nodes")
-    count = nodes.count()
-    labels = nodes.select("node", F.col("node").alias("label"))
-    if count:
-        whole = materialize(_sets_of(docs, nodes.select(F.col("class_id").alias("wanted")).distinct(), k, count), "shingles")
-        labels = _link(members, labels, whole, p, q)
-    names = labels.join(classes, "node").groupBy("label").agg(F.min("class_id").alias("least"))
-    named = classes.join(labels.join(names, "label").select("node", "least"), "node", "left").select("node", F.coalesce("least", "class_id").alias("component_id"))
+    grouped = members.select("node").distinct().join(classes, "node").select(F.col("node").alias("_n"), "class_id")
+    named = sets.filter("kind = 0").join(grouped, (F.col("node") == F.col("_n")) & F.col("doc_id").eqNullSafe(F.col("class_id")))
+    nodes = materialize(named.select("node", "class_id", "n", "sketch").dropDuplicates(["node"]), "nodes")
+    labels = _link(docs, members, nodes, k, p, q)
+    least = labels.join(classes, "node").groupBy("label").agg(F.min("class_id").alias("least"))
+    named = classes.join(labels.join(least, "label").select("node", "least"), "node", "left").select("node", F.coalesce("least", "class_id").alias("component_id"))
     return texts.join(named, "node", "left").select("doc_id", "n_shingles", "node", F.when(F.col("node").isNull(), F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"))
 
 
-def _link(members: DataFrame, labels: DataFrame, sets: DataFrame, p: int, q: int) -> DataFrame:
-    """Labels of nodes by component: leader rounds, then every pair still untested between components of a group."""
+def _link(docs: DataFrame, members: DataFrame, nodes: DataFrame, k: int, p: int, q: int) -> DataFrame:
+    """Labels of nodes by component: leader rounds, then every pair still open between components of a group."""
+    labels = nodes.select("node", F.col("node").alias("label"))
+    total, count = members.count(), nodes.count()
+    sketches = _small(nodes.select("node", "sketch"), count)
+    parts = max(64, total // GROUP_ROWS)
     tested: list[DataFrame] = []
-    fits = (F.col("n") * p <= F.col("ln") * q) & (F.col("ln") * p <= F.col("n") * q)
-    total = members.count()
     for turn in range(STAR_ROUNDS + 1):
-        state = members.join(labels, "node")
-        open_ = state.groupBy("gid").agg(F.min("label").alias("lo"), F.max("label").alias("hi"), F.count(F.lit(1)).alias("size"), F.min_by(F.struct("node", "n", "label"), F.xxhash64("node", F.lit(turn))).alias("lead")).filter("lo != hi")
-        open_ = materialize(open_, "open")
-        left = open_.agg(F.coalesce(F.sum(F.col("size") * (F.col("size") - 1) / 2), F.lit(0)).alias("pairs")).first()["pairs"]
+        state = members.join(_small(labels, count), "node")
+        sizes = state.groupBy("gid", "label").agg(F.count(F.lit(1)).cast("double").alias("size"), F.min(F.struct(F.xxhash64("node", F.lit(turn)).alias("h"), "node")).alias("first"))
+        all_ = F.sum("size")
+        open_ = sizes.groupBy("gid").agg(((all_ * all_ - F.sum(F.col("size") ** 2)) / 2).alias("pairs"), F.max(F.struct("size", F.col("first.h").alias("h"), F.col("first.node").alias("node"))).alias("top"))
+        open_ = materialize(open_.filter("pairs > 0").select("gid", "pairs", F.col("top.node").alias("lead")), "open")
+        left = open_.agg(F.coalesce(F.sum("pairs"), F.lit(0)).alias("pairs")).first()["pairs"]
         if not left:
             break
-        last = turn > 0 and left <= 2 * total or turn == STAR_ROUNDS
-        if last:
-            mine = state.join(open_.select("gid"), "gid")
-            other = mine.select("gid", F.col("node").alias("ln_node"), F.col("n").alias("ln"), F.col("label").alias("ll"))
-            found = mine.join(other, "gid").filter((F.col("node") < F.col("ln_node")) & (F.col("label") != F.col("ll")) & fits).select(F.col("node").alias("a"), F.col("ln_node").alias("b"))
-        else:
-            led = open_.select("gid", F.col("lead.node").alias("ln_node"), F.col("lead.n").alias("ln"), F.col("lead.label").alias("ll"))
-            found = state.join(led, "gid").filter((F.col("label") != F.col("ll")) & fits).select(F.least("node", "ln_node").alias("a"), F.greatest("node", "ln_node").alias("b"))
-        pairs = found.distinct()
+        last = turn > 0 and left <= COMPARE * total or turn == STAR_ROUNDS
+        rows = state.join(open_.select("gid", "lead"), "gid").withColumn("part", F.pmod("gid", F.lit(parts)))
+        pairs = compared(rows.join(sketches, "node"), p, q, leaders=not last)
         if tested:
             pairs = pairs.join(reduce(DataFrame.union, tested), ["a", "b"], "left_anti")
-        seen = materialize(_verified(pairs, sets, p, q), "tested")
+        seen = materialize(_verified(docs, materialize(pairs, "pairs"), nodes, k, p, q), "tested")
         tested.append(seen.select("a", "b"))
         of_a = labels.select(F.col("node").alias("a"), F.col("label").alias("la"))
         of_b = labels.select(F.col("node").alias("b"), F.col("label").alias("lb"))
