@@ -1,0 +1 @@
+"""Folioflow: paginated legal and parliamentary documents as relations, on Spark DataFrames."""

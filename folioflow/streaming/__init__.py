@@ -1,0 +1 @@
+"""Resumable incremental runs."""
