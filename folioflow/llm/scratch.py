@@ -3,19 +3,19 @@
 from __future__ import annotations
 
 import atexit
-import os
 import shutil
 import tempfile
 import uuid
-import zipfile
-from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from folioflow.session import ship
+
+__all__ = ["doc_remainder", "materialize", "release", "shared_root", "ship", "table", "with_rank", "write_table"]
+
 _KEPT: list[tuple[SparkSession, str]] = []
-_SHIPPED: set[str] = set()
 
 
 def shared_root(spark: SparkSession) -> str:
@@ -60,22 +60,6 @@ def _release_all() -> None:
             return
 
 
-def ship(spark: SparkSession) -> None:
-    """Makes this package importable in Python workers of executors that do not share the driver's disk."""
-    sc = spark.sparkContext
-    if sc.applicationId in _SHIPPED:
-        return
-    top = Path(__file__).resolve().parents[1]
-    folder = tempfile.mkdtemp(prefix="folioflow-src-")
-    target = os.path.join(folder, f"{top.name}.zip")
-    with zipfile.ZipFile(target, "w") as z:
-        for p in sorted(top.rglob("*.py")):
-            z.write(p, p.relative_to(top.parent))
-    sc.addPyFile(target)
-    _SHIPPED.add(sc.applicationId)
-    atexit.register(shutil.rmtree, folder, True)
-
-
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
