@@ -19,6 +19,7 @@ columns are ignored. An empty table gives an empty result. Only texts longer tha
 from __future__ import annotations
 
 import array
+import json
 import os
 import re
 import zlib
@@ -37,7 +38,7 @@ END = 2
 GROUPS = 800
 #: Lengths up to this share of the capacity are small.
 SMALL = 0.4
-CACHE = 500_000
+CACHE = 1_200_000
 CHUNKS = 64
 
 # ---------------------------------------------------------------- tokens
@@ -49,14 +50,19 @@ _NUMBER = r"0-9\xb2\xb3\xb9\xbc-\xbe"
 _PIECES = re.compile(rf"'s|'t|'re|'ve|'m|'ll|'d| ?[{_LETTER}]+| ?[{_NUMBER}]+| ?[^{_SPACE}{_LETTER}{_NUMBER}]+|[{_SPACE}]+(?![^{_SPACE}])|[{_SPACE}]+")
 _BEYOND = re.compile("[^\\x00-ɏ]")
 
+#: Byte-level vocabularies write printable bytes as themselves and the others as code points from U+0100 on.
+_PRINTABLE = {*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)}
+_BYTE_LEVEL = {b: chr(0x100 + i) for i, b in enumerate(b for b in range(256) if b not in _PRINTABLE)}
+
 _encoders: dict[str, Encoder] = {}
 
 
 class Encoder:
-    """Little-endian 32-bit ids of texts by a byte-level BPE file.
+    """Little-endian 32-bit ids of texts by a tokenizers file.
 
-    A byte-level tokeniser works inside the pieces of its pre-tokenisation, so ids of pieces are kept. Texts with
-    code points from U+0250 on, or with an added token, are encoded as a whole.
+    A byte-level tokeniser without a normaliser works inside the pieces of its pre-tokenisation, so these go to its model directly and
+    their ids are kept. Texts with code points from U+0250 on, or with an added token, and all texts of other
+    tokenisers are encoded as a whole.
     """
 
     def __init__(self, path: str):
@@ -65,15 +71,22 @@ class Encoder:
 
         self.tokenizer = Tokenizer.from_file(path)
         added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
+        before = json.loads(self.tokenizer.to_str())
+        rule = before["pre_tokenizer"] or {}
+        self.by_piece = before["normalizer"] is None and rule.get("type") == "ByteLevel" and not rule.get("add_prefix_space") and rule.get("use_regex", True)
         self.whole = re.compile("|".join([_BEYOND.pattern, *map(re.escape, added)]))
-        self.known: dict[str, bytes] = _Cache(self._bytes)
+        self.known: dict[str, bytes] = _Cache(self._of_piece)
 
-    def _bytes(self, text: str) -> bytes:
+    def _of_text(self, text: str) -> bytes:
         return array.array("I", self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
 
+    def _of_piece(self, piece: str) -> bytes:
+        tokens = self.tokenizer.model.tokenize(piece.encode().decode("latin-1").translate(_BYTE_LEVEL))
+        return array.array("I", [t.id for t in tokens]).tobytes()
+
     def __call__(self, text: str) -> bytes:
-        if self.whole.search(text):
-            return self._bytes(text)
+        if not self.by_piece or self.whole.search(text):
+            return self._of_text(text)
         if len(self.known) > CACHE:
             self.known.clear()
         return b"".join(map(self.known.__getitem__, _PIECES.findall(text)))
