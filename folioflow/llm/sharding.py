@@ -8,9 +8,10 @@ Documents with equal texts are linked. Copies that share a shard behave alike, s
 1. Shards report the linked documents that they hold, and so their room: quota less linked documents. Documents without links give way.
 2. Each text picks the shard with room that holds most of its copies; bundles of fewer copies ask to move there.
 3. Requests are granted in the order of running sums (in salted chunks) until the room is used; the last grant may be a part.
+4. When less than half of what is asked for is granted, shards exchange: as many documents go from one to another as come back.
 
-A grant only ever joins a smaller bundle to a larger one, so the rounds come to rest. Copies beyond a shard's quota stay in
-the next shard of most copies. At the end every copy takes a place in its text's bundles by its rank, and the
+A grant joins smaller bundles to a larger one, or, where the shard of most copies is full, a whole text in one shard that has
+room for all of it; so the rounds come to rest. Copies beyond a shard's quota stay in the next shard of most copies. At the end every copy takes a place in its text's bundles by its rank, and the
 documents without links fill the quotas by theirs.
 
 The law is `rows`: counts of shards are at most one apart. Defined results: a null text is empty and linked with other
@@ -49,25 +50,51 @@ def propagate(bundles: DataFrame, quotas: list[int], rounds: int = ROUNDS, chunk
         held = {r["shard"]: r["n"] for r in bundles.groupBy("shard").agg(F.sum("n").alias("n")).collect()}
         room = [q - held.get(s, 0) for s, q in enumerate(quotas)]
         rank = F.struct("n", F.xxhash64("copy_of", "shard").alias("tie"), "shard")
-        best = bundles.groupBy("copy_of").agg(F.count(F.lit(1)).alias("parts"), F.max(F.when(_of(room, F.col("shard")) > 0, rank)).alias("to")).filter("parts > 1 and to is not null")
-        best = best.select(F.col("copy_of").alias("_c"), "to")
-        asking = bundles.withColumn("me", rank).join(best, F.col("copy_of") == F.col("_c")).filter("me < to").select("copy_of", "shard", "n", F.col("to.shard").alias("target"))
+        best = bundles.groupBy("copy_of").agg(F.count(F.lit(1)).alias("parts"), F.sum("n").alias("copies"), F.max(rank).alias("top"), F.max(F.when(_of(room, F.col("shard")) > 0, rank)).alias("to"))
+        best = best.filter("parts > 1 and to is not null").withColumn("whole", (F.col("to") < F.col("top")) & (F.col("copies") - F.col("to.n") <= _of(room, F.col("to.shard"))))
+        best = best.select(F.col("copy_of").alias("_c"), "to", "whole")
+        asking = bundles.withColumn("me", rank).join(best, F.col("copy_of") == F.col("_c")).filter("me < to or (whole and me <> to)").select("copy_of", "shard", "n", F.col("to.shard").alias("target"), "whole")
         asking = materialize(asking, "asking")
-        wanted = asking.groupBy("target", "copy_of").agg(F.sum("n").alias("ask"))
+        wanted = asking.groupBy("target", "copy_of", "whole").agg(F.sum("n").alias("ask"))
         granted = with_rank(wanted, ["target"], ["copy_of"], "before", chunks, "ask")
         grant = F.greatest(F.least(_of(room, F.col("target")) - F.col("before"), F.col("ask")), F.lit(0))
-        granted = granted.select(F.col("copy_of").alias("_c"), grant.alias("grant")).filter("grant > 0")
+        granted = granted.withColumn("grant", F.when(~F.col("whole") | (grant == F.col("ask")), grant).otherwise(0)).select(F.col("copy_of").alias("_c"), "grant").filter("grant > 0")
         smallest = Window.partitionBy("copy_of").orderBy("n", "shard").rowsBetween(Window.unboundedPreceding, -1)  # at most one row a shard
         moved = asking.join(granted, F.col("copy_of") == F.col("_c")).withColumn("done", F.coalesce(F.sum("n").over(smallest), F.lit(0)))
         moved = moved.withColumn("go", F.greatest(F.least("n", F.col("grant") - F.col("done")), F.lit(0))).filter("go > 0")
         moved = materialize(moved.select("copy_of", "shard", "target", "go"), "moved")
-        if moved.isEmpty():
-            break
-        changes = bundles.union(moved.select("copy_of", "shard", -F.col("go"))).union(moved.select("copy_of", "target", "go"))
-        bundles = materialize(changes.groupBy("copy_of", "shard").agg(F.sum("n").alias("n")).filter("n > 0"), "bundles")
+        asked, went = (d.agg(F.coalesce(F.sum(c), F.lit(0)).alias("n")).first()["n"] for d, c in ((asking, "n"), (moved, "go")))
+        if went:
+            bundles = _moved(bundles, moved)
+        if 2 * went <= asked:
+            swapped = _exchange(bundles, rank, chunks)
+            if not swapped.isEmpty():
+                bundles = _moved(bundles, swapped)
+            elif not went:
+                break
     return bundles
 
 
+def _moved(bundles: DataFrame, moves: DataFrame) -> DataFrame:
+    changes = bundles.union(moves.select("copy_of", "shard", -F.col("go"))).union(moves.select("copy_of", "target", "go"))
+    return materialize(changes.groupBy("copy_of", "shard").agg(F.sum("n").alias("n")).filter("n > 0"), "bundles")
+
+
+def _exchange(bundles: DataFrame, rank: Column, chunks: int) -> DataFrame:
+    """Moves (copy_of, shard, target, go) towards each text's largest bundle, as many from one shard to another as back."""
+    top = bundles.groupBy("copy_of").agg(F.count(F.lit(1)).alias("parts"), F.max(rank).alias("top")).filter("parts > 1").select(F.col("copy_of").alias("_c"), "top")
+    asking = bundles.withColumn("me", rank).join(top, F.col("copy_of") == F.col("_c")).filter("me < top").select("copy_of", "shard", F.col("top.shard").alias("target"), "n")
+    asking = materialize(asking, "asking")
+    flow = {(r["shard"], r["target"]): r["n"] for r in asking.groupBy("shard", "target").agg(F.sum("n").alias("n")).collect()}
+    both = [(a, b, min(n, flow[b, a])) for (a, b), n in flow.items() if (b, a) in flow]
+    if not both:
+        return asking.limit(0).withColumnRenamed("n", "go")
+    bounds = F.broadcast(bundles.sparkSession.createDataFrame(both, "a int, b int, most long"))  # at most one row for two shards
+    ranked = with_rank(asking, ["shard", "target"], ["copy_of"], "before", chunks, "n").join(bounds, (F.col("shard") == F.col("a")) & (F.col("target") == F.col("b")))
+    go = F.least("n", F.col("most") - F.col("before"))
+    return materialize(ranked.withColumn("go", go).filter("go > 0").select("copy_of", "shard", "target", "go"), "moved")
+
+
 def assign(docs: DataFrame, shards: int = SHARDS, chunks: int = CHUNKS) -> DataFrame:
     """(doc_id, size, text_crc32, shard, slot) of every document of docs (doc_id, text)."""
     rows = materialize(described(docs), "described")
