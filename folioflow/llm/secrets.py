@@ -8,7 +8,7 @@ Method
    owners each value occurs (three partial aggregations, so that a value copied everywhere is no hot spot).
 3. A value of `EXAMPLE_OWNERS` owners or more is a widely copied example; fewer make it specific to its
    owners, and live-looking. Kinds beyond the base ones ("vendor", "random") become spans only
-   where their value is live-looking and no base span covers part of them. Base spans always stay.
+   where their value is live-looking and no span of an earlier kind covers part of them. Base spans always stay.
 
 `spans` finds them, `redact` replaces the live-looking ones in the texts.
 
@@ -90,7 +90,7 @@ def spans(docs: DataFrame, text: str = "text", owner: str = "source", repository
     rated = rated.filter((F.col("kind") < len(BASE)) | F.col("live"))
     of_row = rated.groupBy(F.col("row").alias("_row")).agg(F.array_sort(F.collect_list(F.struct("start", "kind", "end", "live", "owners", "repositories"))).alias("_all"))
     base = F.filter("_all", lambda x: x["kind"] < len(BASE))
-    more = F.filter("_all", lambda x: (x["kind"] >= len(BASE)) & ~F.exists("_base", lambda b: (b["start"] < x["end"]) & (x["start"] < b["end"])))
+    more = F.filter("_all", lambda x: (x["kind"] >= len(BASE)) & ~F.exists("_all", lambda b: (b["kind"] < x["kind"]) & (b["start"] < x["end"]) & (x["start"] < b["end"])))
     merged = of_row.withColumn("_base", base).select("_row", F.array_sort(F.concat("_base", more)).alias("found"))
     empty = F.array().cast(merged.schema["found"].dataType)
     return rows.join(merged, F.col("row") == F.col("_row"), "left").withColumn("found", F.coalesce("found", empty)).drop("_row", "row")
