@@ -5,19 +5,23 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator
 
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from folioflow.operators import schemas as S
 
-STEM = r"([^/]+?)\.[^./]+$"
+PAGE_JSON = ", ".join(p for p in S.PAGES.split(", ") if not p.startswith("file_id "))
+
+
+def stem(path: str) -> Column:
+    """A file's name without folders and its last extension."""
+    return F.url_decode(F.replace(F.regexp_extract(path, r"([^/]+?)\.[^./]+$", 1), F.lit("+"), F.lit("%2B")))
 
 
 def page_json(spark: SparkSession, folder: str) -> DataFrame:
     """Pages of a folder of JSON files, each an array of pages; the file's stem is its id."""
-    schema = ", ".join(p for p in S.PAGES.split(", ") if not p.startswith("file_id "))
-    read = spark.read.schema(schema).option("multiLine", True).json(folder)
-    return read.select(F.url_decode(F.regexp_extract("_metadata.file_name", STEM, 1)).alias("file_id"), *read.columns)
+    read = spark.read.schema(PAGE_JSON).option("multiLine", True).json(folder)
+    return read.select(stem("_metadata.file_name").alias("file_id"), *read.columns)
 
 
 def table_csv(spark: SparkSession, path: str, schema: str) -> DataFrame:
@@ -25,10 +29,16 @@ def table_csv(spark: SparkSession, path: str, schema: str) -> DataFrame:
     return spark.read.schema(schema).option("header", True).option("multiLine", True).option("quote", '"').option("escape", '"').option("maxCharsPerColumn", -1).csv(path)
 
 
+def scanned_before(log: DataFrame) -> DataFrame:
+    """(file_id, scanned) of a log of scanned pages as text: pages that are no numbers are passed over, repeats stay."""
+    page = F.col("page_num").try_cast("int")
+    return log.withColumn("p", page).filter("p is not null").groupBy("file_id").agg(F.array_sort(F.collect_list("p")).alias("scanned"))
+
+
 def files(spark: SparkSession, folder: str, pattern: str = "*.pdf") -> DataFrame:
     """(file_id, path, modified, length) of a folder."""
     found = spark.read.format("binaryFile").option("pathGlobFilter", pattern).load(folder)
-    return found.select(F.url_decode(F.regexp_extract("path", STEM, 1)).alias("file_id"), "path", F.col("modificationTime").alias("modified"), "length")
+    return found.select(stem("path").alias("file_id"), "path", F.col("modificationTime").alias("modified"), "length")
 
 
 def words_of_pdf(spark: SparkSession, folder: str, extract: Callable[[bytes], list[dict]] | None = None) -> tuple[DataFrame, DataFrame]:
@@ -51,7 +61,7 @@ def words_of_pdf(spark: SparkSession, folder: str, extract: Callable[[bytes], li
                 yield pd.DataFrame([{n: r.get(n) for n in names} | {"file_id": file_id} for r in rows], columns=names)
 
     content = spark.read.format("binaryFile").option("pathGlobFilter", "*.pdf").load(folder)
-    read = content.select(F.url_decode(F.regexp_extract("path", STEM, 1)).alias("file_id"), "content").mapInPandas(run, both)
+    read = content.select(stem("path").alias("file_id"), "content").mapInPandas(run, both)
     return read.filter("error_detail is null").drop("error_detail"), read.filter("error_detail is not null").select("file_id", "page_num", "error_detail")
 
 

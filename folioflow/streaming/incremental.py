@@ -12,13 +12,18 @@ from pyspark.sql.streaming import StreamingQuery
 
 from folioflow.operators import schemas as S
 from folioflow.plans import corpus
+from folioflow.sources import readers
 
 FILES = 50
 
 
-def pages_stream(spark: SparkSession, folder: str, files: int = FILES) -> DataFrame:
-    """Page files (Parquet, schema PAGES) as a stream. All pages of a file must be in one of them."""
-    return spark.readStream.schema(S.PAGES).option("maxFilesPerTrigger", files).parquet(folder)
+def pages_stream(spark: SparkSession, folder: str, files: int = FILES, kind: str = "parquet") -> DataFrame:
+    """Page files as a stream: Parquet (schema PAGES), or page JSON named by file. All pages of a file must be in one of them."""
+    read = spark.readStream.option("maxFilesPerTrigger", files)
+    if kind == "parquet":
+        return read.schema(S.PAGES).parquet(folder)
+    pages = read.schema(readers.PAGE_JSON).option("multiLine", True).json(folder)
+    return pages.select(readers.stem("_metadata.file_name").alias("file_id"), *S.columns(readers.PAGE_JSON))
 
 
 def write_batch(batch: DataFrame, number: int, root: str, session_ids: DataFrame | None = None) -> None:
@@ -27,7 +32,7 @@ def write_batch(batch: DataFrame, number: int, root: str, session_ids: DataFrame
         df.withColumn("batch_id", F.lit(number)).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("batch_id").parquet(f"{root}/{name}")
 
 
-def run(spark: SparkSession, folder: str, root: str, checkpoint: str, files: int = FILES, session_ids: DataFrame | None = None) -> StreamingQuery:
+def run(spark: SparkSession, folder: str, root: str, checkpoint: str, files: int = FILES, session_ids: DataFrame | None = None, kind: str = "parquet") -> StreamingQuery:
     """Processes all page files that are there and not yet done, then ends."""
 
     def batch(df: DataFrame, number: int) -> None:
@@ -37,4 +42,4 @@ def run(spark: SparkSession, folder: str, root: str, checkpoint: str, files: int
         finally:
             df.unpersist()
 
-    return pages_stream(spark, folder, files).writeStream.foreachBatch(batch).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+    return pages_stream(spark, folder, files, kind).writeStream.foreachBatch(batch).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()

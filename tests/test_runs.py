@@ -2,6 +2,7 @@
 
 import json
 
+from folioflow.__main__ import main
 from folioflow.operators import schemas as S
 from folioflow.plans import corpus
 from folioflow.sources import enrich, readers, sinks
@@ -47,6 +48,22 @@ def test_page_json(spark, tmp_path):
     assert (row["file_id"], row["text"], row["cid_word_pct"]) == ("gaceta_88 (6)", "x", None)
 
 
+def test_scanned_log(spark):
+    log = spark.createDataFrame([("f", "3"), ("f", "x"), ("f", "1"), ("f", "3")], "file_id string, page_num string")
+    assert readers.scanned_before(log).first()["scanned"] == [1, 3, 3]
+
+
+def test_command_line(spark, tmp_path):
+    (tmp_path / "in").mkdir()
+    text = "§Presidente:\nBuenos días.\n§Honorable Senador Luis Paz:\nGracias."
+    for name in ("a", "b"):
+        (tmp_path / "in" / f"{name}.json").write_text(json.dumps([{"page_num": 1, "text": text, "status": "ok", "column_layout": "single_column"}]))
+    for mode in ("calibration", "full"):
+        out = f"file://{tmp_path}/{mode}"
+        main(["--mode", mode, "--pages", f"file://{tmp_path}/in", "--out", out, "--batch-size", "1"], spark)
+        assert spark.read.parquet(f"{out}/speeches").count() == 4
+
+
 def test_pdf_plug_in(spark, tmp_path):
     (tmp_path / "a.pdf").write_bytes(b"good")
     (tmp_path / "b.pdf").write_bytes(b"bad")
