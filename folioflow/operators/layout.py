@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from folioflow.functions import rules as R
 from folioflow.functions.text import decode_glyphs, strip
@@ -68,27 +69,29 @@ def lines(words: DataFrame) -> DataFrame:
 
 
 def pages(words: DataFrame, known: DataFrame | None = None) -> DataFrame:
-    """Pages of words. known (file_id, page_num, error_detail) names further pages: read errors, and pages without words."""
-    base = scaled(words).withColumn("text", F.coalesce("text", F.lit(""))).withColumn("bold", F.contains(F.lower(F.coalesce("fontname", F.lit(""))), F.lit("bold")))
+    """Pages of words. known (file_id, page_num, error_detail) names further pages: read errors, and pages without words.
+
+    Words are dealt by page once; all that follows works within a page, so that no step shuffles them again.
+    """
+    dealt = scaled(words).repartition(*PAGE)
+    base = dealt.withColumn("text", F.coalesce("text", F.lit(""))).withColumn("bold", F.contains(F.lower(F.coalesce("fontname", F.lit(""))), F.lit("bold")))
     seen = base.filter(~is_white())
-    ratio = scan_ratio(words)
     top = F.when(F.col("page_num") == 1, R.HEADER_TOP_FIRST).otherwise(R.HEADER_TOP_REST) * F.col("ys")
     body = seen.filter(((F.col("page_num") != 1) | (F.coalesce("size", F.lit(0.0)) < R.MASTHEAD_SIZE)) & (F.col("top") >= top))
     # Footer lines: words of a rounded height, half to even, read in their order of extraction.
+    of_bucket = Window.partitionBy(*PAGE, "bucket").orderBy("word_seq").rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     body = body.withColumn("bucket", F.bround(F.col("top") / R.FOOTER_BUCKET) * R.FOOTER_BUCKET)
-    buckets = body.groupBy(*PAGE, "bucket").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("word_seq", "text"))), lambda w: w["text"]), " ").alias("bucket_text"))
-    footers = buckets.filter(F.contains("bucket_text", F.lit(R.FOOTER))).select(*PAGE, "bucket")
-    body = body.join(footers, [*PAGE, "bucket"], "left_anti")
-    counts = body.groupBy(*PAGE).agg(F.count_if(zone(R.RIGHT)).alias("n_right"), F.count(F.lit(1)).alias("n_body"))
-    placed = body.join(counts, [*PAGE]).withColumn("two", F.col("n_right") >= R.RIGHT_WORDS)
+    body = body.withColumn("_footer", F.contains(F.array_join(F.collect_list("text").over(of_bucket), " "), F.lit(R.FOOTER))).filter(~F.col("_footer"))
+    placed = body.withColumn("two", F.count_if(zone(R.RIGHT)).over(Window.partitionBy(*PAGE)) >= R.RIGHT_WORDS)
     col = F.when(F.col("two") & zone(R.LEFT), 0).when(F.col("two") & zone(R.RIGHT), 1).when(~F.col("two") & zone(R.FULL), 0)
-    placed = placed.withColumn("col", col).filter("col is not null")
-    of_col = lines(placed.select(*PAGE, "col", "top", "x0", F.col("word_seq").alias("seq"), "text", "bold")).groupBy(*PAGE, "col").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("line", "text"))), lambda x: x["text"]), "\n").alias("text"))
+    counts = placed.groupBy(*PAGE).agg(F.count_if(zone(R.RIGHT)).alias("n_right"), F.count(F.lit(1)).alias("n_body"))
+    of_col = lines(placed.withColumn("col", col).filter("col is not null").select(*PAGE, "col", "top", "x0", F.col("word_seq").alias("seq"), "text", "bold")).groupBy(*PAGE, "col").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("line", "text"))), lambda x: x["text"]), "\n").alias("text"))
     of_page = of_col.groupBy(*PAGE).agg(strip(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("col", strip(F.col("text")).alias("text")))), lambda x: x["text"]), "\n")).alias("text"))
-    every = words.select(*PAGE).distinct().withColumn("error_detail", F.lit(None).cast("string"))
+    coded = F.contains(F.coalesce("text", F.lit("")), F.lit("(cid:")).cast("double")
+    every = dealt.groupBy(*PAGE).agg(F.avg(F.when(~is_white(), coded)).alias("cid_word_pct")).withColumn("error_detail", F.lit(None).cast("string"))
     if known is not None:
-        every = every.join(known.select(*PAGE), [*PAGE], "left_anti").unionByName(known.select(*PAGE, "error_detail"))
-    out = every.join(ratio, [*PAGE], "left").join(counts, [*PAGE], "left").join(of_page, [*PAGE], "left")
+        every = every.join(known.select(*PAGE), [*PAGE], "left_anti").unionByName(known.select(*PAGE, "error_detail"), allowMissingColumns=True)
+    out = every.join(counts, [*PAGE], "left").join(of_page, [*PAGE], "left")
     out = out.withColumn("text", F.coalesce(decode_glyphs(F.col("text")), F.lit("")))
     scanned = F.coalesce(F.col("cid_word_pct") > R.SCANNED_SHARE, F.lit(False))
     status = F.when(F.col("error_detail").isNotNull(), "error").when(scanned, "scanned").when(F.coalesce("n_body", F.lit(0)) == 0, "empty").when(strip(F.coalesce("text", F.lit(""))) == "", "empty").otherwise("ok")
