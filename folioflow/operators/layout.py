@@ -38,31 +38,22 @@ def scan_ratio(words: DataFrame) -> DataFrame:
     return seen.groupBy(*PAGE).agg(F.count(F.lit(1)).alias("n_words"), F.avg(F.contains(F.coalesce("text", F.lit("")), F.lit("(cid:")).cast("double")).alias("cid_word_pct"))
 
 
-def line_numbers(words: Column, tolerance: float = R.LINE_TOLERANCE) -> Column:
-    """array<struct<top,x0,seq,...>> sorted by (top, x0, seq) to array<struct<line,x0,seq,text,bold>>.
+def anchors(tops: Column, tolerance: float = R.LINE_TOLERANCE) -> Column:
+    """Heights at which lines begin, of sorted heights.
 
     A word belongs to the line whose first word is at most tolerance above it, which only a fold can tell: a gap test
     between neighbours would chain lines.
     """
-    start = F.struct(F.lit(None).cast("double").alias("anchor"), F.lit(0).alias("line"), F.array().cast("array<struct<line:int,x0:double,seq:int,text:string,bold:boolean>>").alias("out"))
-
-    def step(acc: Column, w: Column) -> Column:
-        fresh = acc["anchor"].isNull() | (w["top"] - acc["anchor"] > tolerance)
-        line = F.when(fresh, acc["line"] + 1).otherwise(acc["line"])
-        return F.struct(
-            F.when(fresh, w["top"]).otherwise(acc["anchor"]).alias("anchor"),
-            line.alias("line"),
-            F.concat(acc["out"], F.array(F.struct(line.alias("line"), w["x0"].alias("x0"), w["seq"].alias("seq"), w["text"].alias("text"), w["bold"].alias("bold")))).alias("out"),
-        )
-
-    return F.aggregate(words, start, step, lambda acc: acc["out"])
+    start = F.array().cast("array<double>")
+    return F.aggregate(tops, start, lambda acc, top: F.when((F.size(acc) == 0) | (top - F.element_at(acc, -1) > tolerance), F.array_append(acc, top)).otherwise(acc))
 
 
 def lines(words: DataFrame) -> DataFrame:
     """(file_id, page_num, col, line, text): lines of words (file_id, page_num, col, top, x0, seq, text, bold), bold ones marked."""
-    word = F.struct(F.col("top"), F.col("x0"), F.col("seq"), F.col("text"), F.col("bold"))
-    pages = words.groupBy(*PAGE, "col").agg(F.array_sort(F.collect_list(word)).alias("w"))
-    flat = pages.select(*PAGE, "col", F.inline(line_numbers(F.col("w"))))
+    word = F.struct("top", "x0", "seq", "text", "bold")
+    pages = words.groupBy(*PAGE, "col").agg(F.collect_list(word).alias("w")).withColumn("a", anchors(F.array_sort(F.array_distinct(F.transform("w", lambda w: w["top"])))))
+    line = lambda w: F.size(F.filter("a", lambda a: a <= w["top"]))
+    flat = pages.select(*PAGE, "col", F.inline(F.transform("w", lambda w: F.struct(line(w).alias("line"), w["x0"].alias("x0"), w["seq"].alias("seq"), w["text"].alias("text"), w["bold"].alias("bold")))))
     of_line = flat.groupBy(*PAGE, "col", "line").agg(F.array_sort(F.collect_list(F.struct("x0", "seq", "text"))).alias("w"), F.bool_and("bold").alias("bold"))
     text = F.array_join(F.transform("w", lambda w: w["text"]), " ")
     return of_line.withColumn("text", text).withColumn("text", F.when(F.col("bold") & (strip(F.col("text")) != ""), F.concat(F.lit(R.BOLD), F.col("text"))).otherwise(F.col("text"))).drop("w", "bold")
