@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from folioflow.functions import rules as R
 from folioflow.functions.text import decode, glyph, squash, strip, word_count
-from folioflow.operators import checks, header, ids, layout, preamble, qa, segment
+from folioflow.operators import checks, header, ids, layout, preamble, qa, segment, speakers
 
 
 def turns(spark, *texts):
@@ -180,3 +180,9 @@ def test_checks(spark):
     assert got["running header in text"] == got["trailing verb in speaker"] == got["year_id populated"] == "FAIL"
     assert got["session close in text"] == got["act_number absent from speeches"] == "PASS"
     assert [got[f"session_date of {x}"] for x in "fgh"] == ["PASS", "PASS", "FAIL"]
+
+
+def test_speaker_kinds(spark):
+    rows = [("Honorable Senadora Eva Sanz", "legislator"), ("La señora Ministra de Minas", "minister"), ("doctor Luis Paz, Ministro del Interior", "minister"), ("Secretaria", "role"), ("El señor Presidente", "role"), ("ciudadano Luis Paz", "citizen"), ("Luis Paz", "uncertain"), ("Honorable Senador 5", "uncertain"), (None, "uncertain")]
+    got = speakers.classified(spark.createDataFrame(rows, "attribution_raw string, want string"))
+    assert got.filter("speaker_type <> want").isEmpty()
