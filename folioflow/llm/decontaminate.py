@@ -9,8 +9,8 @@ Method
 * A word that no item has, or a pair of neighbours that is nowhere neighbours in the items, sets the automaton back
   to length 0 or 1. Such places are found with vectorised lookups in sorted arrays, and
   the stretches between them that are too short for any window are passed over; all others are streamed.
-* Items beyond `BLOCK_WORDS` words are dealt to several automata, broadcast one after the other,
-  so that what is broadcast is bounded whatever the benchmark's size; hits of the blocks are united by text.
+* Items beyond `BLOCK_WORDS` words are dealt to several automata. Each is broadcast to a pass of its own over the texts, which
+  carries the hits of the passes before it, so that a worker holds one bounded automaton whatever the benchmark's size.
 
 Normalisation: A-Z become lower case; words are `[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+`.
 
@@ -29,10 +29,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from folioflow.llm import kernel as K
-from folioflow.llm.scratch import ship, table
+from folioflow.llm.scratch import materialize, ship, table
 
 WINDOW = 10
-BLOCK_WORDS = 2_000_000
+BLOCK_WORDS = 100_000
 #: `clean` drops a text when more than this share of its words is hit; otherwise it cuts the hit words out.
 MAX_SHARE = 0.5
 SEPARATORS = K.byte_set((0x00, 0x2F), (0x3A, 0x60), (0x7B, 0x7F))
@@ -184,47 +184,67 @@ def scan(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, keep: list
 
     With rewrite, also `cleaned`: the text without its hit stretches.
     """
-    spark = docs.sparkSession
-    ship(spark)
+    ship(docs.sparkSession)
     keep = keep if keep is not None else docs.columns
-    shared = [spark.sparkContext.broadcast(a) for a in item_blocks(benchmark, window, block_words)]
-    names = [*keep, "n_words", "n_hit", "items", "hit_spans", *["cleaned"] * rewrite]
+    nothing = F.array()
+    state = docs.select(F.col(text).alias("_text"), nothing.cast("array<bigint>").alias("_hits"), nothing.cast("array<string>").alias("_items"), *[F.col(c).alias(f"_k{i}") for i, c in enumerate(keep)])
+    blocks = item_blocks(benchmark, window, block_words)
+    current = next(blocks, Automaton({}, window))
+    for following in blocks:
+        state = materialize(_pass(state, current, False, False), "hits")
+        current = following
+    return _pass(state, current, True, rewrite).withColumnsRenamed({f"_k{i}": c for i, c in enumerate(keep)})
+
+
+def _pass(state: DataFrame, automaton: Automaton, last: bool, rewrite: bool) -> DataFrame:
+    """Adds the hits of one automaton to state (_text, _hits: word spans, _items, carried columns); the last pass reports them."""
+    shared = state.sparkSession.sparkContext.broadcast(automaton)
+    carried = state.columns[3:]
+    names = [*carried, "n_words", "n_hit", "items", "hit_spans", *["cleaned"] * rewrite] if last else state.columns
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        a = shared.value
         for batch in batches:
             for chunk in K.chunks(batch.column(0)):
+                rows = batch.slice(chunk.lo, chunk.docs)
                 low = K.Chunk(chunk.lo, chunk.hi, K.LOWER[chunk.data], chunk.offs)
                 starts, ends, first = K.spans(low, SEPARATORS)
                 hashes, owner = K.span_hash(K.prefix_hash(low.data), starts, ends), K.of_doc(first)
                 edges = np.zeros(len(hashes) + 1, np.int64)
-                items: list[set[str]] = [set() for _ in range(chunk.docs)]
-                for automaton in shared:
-                    a = automaton.value
-                    numbers, begin, stop = a.stretches(hashes, owner)
-                    for b, e in zip(begin.tolist(), stop.tolist(), strict=True):
-                        found, ids = a.hits(numbers[b:e].tolist())
-                        for s, t in found:
-                            edges[b + s] += 1
-                            edges[b + t] -= 1
-                        if ids:
-                            items[owner[b]] |= {a.ids[i] for i in ids}
+                items = [set(x) for x in rows.column(2).to_pylist()]
+                for doc, before in enumerate(rows.column(1).to_pylist()):
+                    for s, t in zip(before[::2], before[1::2], strict=True):
+                        edges[first[doc] + s] += 1
+                        edges[first[doc] + t] -= 1
+                numbers, begin, stop = a.stretches(hashes, owner)
+                for b, e in zip(begin.tolist(), stop.tolist(), strict=True):
+                    found, ids = a.hits(numbers[b:e].tolist())
+                    for s, t in found:
+                        edges[b + s] += 1
+                        edges[b + t] -= 1
+                    if ids:
+                        items[owner[b]] |= {a.ids[i] for i in ids}
                 hit = np.cumsum(edges)[: len(hashes)] > 0
-                rows = batch.slice(chunk.lo, chunk.docs)
-                spans: list[list[int]] = [[] for _ in range(chunk.docs)]
+                stretches: list[list[tuple[int, int]]] = [[] for _ in range(chunk.docs)]
                 at = np.flatnonzero(hit)
                 if len(at):
                     cut = (at[1:] != at[:-1] + 1) | (owner[at[1:]] != owner[at[:-1]])
                     for i, j in zip(at[np.concatenate([[True], cut])].tolist(), at[np.concatenate([cut, [True]])].tolist(), strict=True):
-                        doc = int(owner[i])
-                        spans[doc] += [int(starts[i] - chunk.offs[doc]), int(ends[j] - chunk.offs[doc])]
-                out = [*(rows.column(i + 1) for i in range(len(keep))), pa.array(np.diff(first)), pa.array(K.per_doc(hit, first).astype(np.int64)), pa.array([sorted(x) for x in items], pa.list_(pa.string())), pa.array(spans, pa.list_(pa.int64()))]
+                        stretches[owner[i]].append((i, j))
+                names_found = pa.array([sorted(x) for x in items], pa.list_(pa.string()))
+                kept = [rows.column(i + 3) for i in range(len(carried))]
+                if not last:
+                    words = [[int(x) for i, j in found for x in (i - first[doc], j + 1 - first[doc])] for doc, found in enumerate(stretches)]
+                    yield pa.record_batch([rows.column(0), pa.array(words, pa.list_(pa.int64())), names_found, *kept], names)
+                    continue
+                spans = [[int(x) for i, j in found for x in (starts[i] - chunk.offs[doc], ends[j] - chunk.offs[doc])] for doc, found in enumerate(stretches)]
+                out = [*kept, pa.array(np.diff(first)), pa.array(K.per_doc(hit, first).astype(np.int64)), names_found, pa.array(spans, pa.list_(pa.int64()))]
                 if rewrite:
-                    texts = rows.column(0).to_pylist()
-                    out.append(pa.array([_without(x, s) for x, s in zip(texts, spans, strict=True)], pa.string()))
+                    out.append(pa.array([_without(x, s) for x, s in zip(rows.column(0).to_pylist(), spans, strict=True)], pa.string()))
                 yield pa.record_batch(out, names)
 
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.select(*keep).schema) + ", n_words long, n_hit long, items array<string>, hit_spans array<long>" + ", cleaned string" * rewrite
-    return docs.select(F.col(text).alias("_text"), *keep).mapInArrow(run, schema.removeprefix(", "))
+    kinds = {f.name: f.dataType.simpleString() for f in state.schema} | {"n_words": "long", "n_hit": "long", "items": "array<string>", "hit_spans": "array<long>", "cleaned": "string"}
+    return state.mapInArrow(run, ", ".join(f"`{n}` {kinds[n]}" for n in names))
 
 
 def _without(text: str | None, spans: list[int]) -> str | None:
