@@ -100,7 +100,8 @@ def assign(docs: DataFrame, shards: int = SHARDS, chunks: int = CHUNKS) -> DataF
     rows = materialize(described(docs), "described")
     total = rows.count()
     quotas = [total // shards + (s < total % shards) for s in range(shards)]
-    groups = rows.groupBy("copy_of").agg(F.count(F.lit(1)).alias("copies")).filter("copies > 1").select(F.col("copy_of").alias("_g"))
+    # Written first: a join of two plain shuffles is one whose hot keys Spark can split.
+    groups = materialize(rows.groupBy("copy_of").agg(F.count(F.lit(1)).alias("copies")).filter("copies > 1").select(F.col("copy_of").alias("_g")), "groups")
     marked = materialize(rows.join(groups, F.col("copy_of") == F.col("_g"), "left").withColumn("linked", F.col("_g").isNotNull()).drop("_g"), "marked")
     linked, single = marked.filter("linked"), marked.filter("not linked")
     start = F.pmod(F.xxhash64("doc_id", "text_crc32"), F.lit(shards)).cast("int")
