@@ -46,9 +46,11 @@ from folioflow.llm.scratch import materialize, ship, table
 SHINGLE = 5
 P, Q = 75, 100
 SAMPLE = 6
-HOT_LIMIT = 1 << 20
+HOT_LIMIT = 1 << 19
 SKETCH_BITS = 2048
-BROADCAST_ROWS = 1_000_000
+#: A sketch takes the room of so many small rows in a broadcast.
+SKETCH_COST = 12
+BROADCAST_ROWS = 250_000
 STAR_ROUNDS = 6
 #: Comparisons of sketches for each member of a group up to which no further leader round is made; members in a task.
 COMPARE = 512
@@ -354,12 +356,13 @@ def near_components(docs: DataFrame, k: int = SHINGLE, p: int = P, q: int = Q) -
     classes = texts.filter("node is not null").groupBy("node").agg(F.min("doc_id").alias("class_id"))
     buckets = max(64, 2 * int(spark.conf.get("spark.sql.shuffle.partitions")))
     members = materialize(groups(signed_blocks(docs, k, p, q, hot_signatures(sets), buckets)), "groups")
-    grouped = members.select("node").distinct().join(classes, "node").select(F.col("node").alias("_n"), "class_id")
+    # Tables that many copies join are written first: a join of two plain shuffles is one whose hot keys Spark can split.
+    grouped = materialize(members.select("node").distinct().join(classes, "node").select(F.col("node").alias("_n"), "class_id"), "grouped")
     named = sets.filter("kind = 0").join(grouped, (F.col("node") == F.col("_n")) & F.col("doc_id").eqNullSafe(F.col("class_id")))
     nodes = materialize(named.select("node", "class_id", "n", "sketch").dropDuplicates(["node"]), "nodes")
     labels = _link(docs, members, nodes, k, p, q)
     least = labels.join(classes, "node").groupBy("label").agg(F.min("class_id").alias("least"))
-    named = classes.join(labels.join(least, "label").select("node", "least"), "node", "left").select("node", F.coalesce("least", "class_id").alias("component_id"))
+    named = materialize(classes.join(labels.join(least, "label").select("node", "least"), "node", "left").select("node", F.coalesce("least", "class_id").alias("component_id")), "named")
     return texts.join(named, "node", "left").select("doc_id", "n_shingles", "node", F.when(F.col("node").isNull(), F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"))
 
 
@@ -367,7 +370,7 @@ def _link(docs: DataFrame, members: DataFrame, nodes: DataFrame, k: int, p: int,
     """Labels of nodes by component: leader rounds, then every pair still open between components of a group."""
     labels = nodes.select("node", F.col("node").alias("label"))
     total, count = members.count(), nodes.count()
-    sketches = _small(nodes.select("node", "sketch"), count)
+    sketches = _small(nodes.select("node", "sketch"), SKETCH_COST * count)
     parts = max(64, total // GROUP_ROWS)
     tested: list[DataFrame] = []
     for turn in range(STAR_ROUNDS + 1):

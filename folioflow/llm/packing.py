@@ -38,7 +38,7 @@ END = 2
 GROUPS = 800
 #: Lengths up to this share of the capacity are small.
 SMALL = 0.4
-CACHE = 1_200_000
+CACHE = 800_000
 CHUNKS = 64
 
 # ---------------------------------------------------------------- tokens

@@ -11,12 +11,23 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from folioflow.session import ship
+from folioflow import session
 
 __all__ = ["doc_remainder", "materialize", "release", "shared_root", "ship", "table", "with_rank", "write_table"]
 
 _KEPT: list[tuple[SparkSession, str]] = []
 
+#: Rows of whole texts in an Arrow batch. Spark's default of 10,000 fits short rows.
+BATCH_ROWS = 1000
+_BATCH_KEY, _BATCH_DEFAULT = "spark.sql.execution.arrow.maxRecordsPerBatch", "10000"
+
+
+def ship(spark: SparkSession) -> None:
+    """Makes the package importable in Python workers, and Arrow batches small where the session has the default."""
+    session.ship(spark)
+    if spark.conf.get(_BATCH_KEY, _BATCH_DEFAULT) == _BATCH_DEFAULT:
+        spark.conf.set(_BATCH_KEY, BATCH_ROWS)
+
 
 def shared_root(spark: SparkSession) -> str:
     """The folder in spark.checkpoint.dir; a local one is set only where that is unset (tests)."""
