@@ -3,9 +3,8 @@
 Method
 ------
 1. For each language a bounded sample of the labelled training texts becomes the content of its dictionary: at most
-   `SAMPLE_TEXTS` distinct texts, those of the smallest hashes, taken in two steps (per salt, then per language) so that a
-   frequent language is never sorted in one task; `EXCERPT` code points of each, `DICTIONARY` bytes in all. These three are the
-   documented bounds of the fit; classification reads every whole text.
+   `SAMPLE_TEXTS` distinct texts, those of the smallest hashes, `EXCERPT` code points of each, `DICTIONARY` bytes in all. These
+   three are the documented bounds of the fit; classification reads every whole text.
 2. Texts and dictionaries are lower-cased, ASCII other than letters becomes white space, and of a word's repeats in
    a row one stays. A text is encoded with every language's dictionary, short ones (`SHORT` bytes) at a level that
    finds shorter matches. The smallest encoding names the language; equal sizes go to the language of more training
@@ -32,7 +31,7 @@ from folioflow.llm.scratch import doc_remainder, ship, table
 SAMPLE_TEXTS = 256
 EXCERPT = 1500
 DICTIONARY = 192 * 1024
-SALTS = 64
+WIDER = 8
 LEVEL = 3
 SHORT, SHORT_LEVEL = 400, 19
 #: Rejected where the second smallest encoding is less than this share larger.
@@ -48,20 +47,26 @@ def normal(text: str) -> bytes:
     return b" ".join(w for w, before in zip(words, [b"", *words], strict=False) if w != before)
 
 
-def sample(train: DataFrame, texts: int = SAMPLE_TEXTS, excerpt: int = EXCERPT) -> DataFrame:
-    """(lang, text) of the dictionaries."""
-    order = F.xxhash64("text")
-    rows = train.filter("lang is not null and text is not null").select("lang", order.alias("h"), F.substring("text", 1, excerpt).alias("text"))
-    salted = rows.withColumn("salt", F.pmod("h", F.lit(SALTS)))
-    first = salted.withColumn("n", F.dense_rank().over(Window.partitionBy("lang", "salt").orderBy("h"))).filter(F.col("n") <= texts).select("lang", "h", "text").dropDuplicates(["lang", "h"])
-    return first.withColumn("n", F.row_number().over(Window.partitionBy("lang").orderBy("h"))).filter(F.col("n") <= texts).select("lang", "h", "text")
+def sample(train: DataFrame, texts: dict[str, int], most: int = SAMPLE_TEXTS, excerpt: int = EXCERPT) -> DataFrame:
+    """(lang, h, text) of the dictionaries: of each language (with its number of texts) the distinct ones of the smallest hashes.
+
+    A threshold on the hash, several times wider than needed, leaves only candidates to be shuffled.
+    """
+    if not texts:
+        return train.select("lang", F.lit(0).cast("long").alias("h"), "text").limit(0)
+    bounds = train.sparkSession.createDataFrame([(k, min(1.0, WIDER * most / max(n, 1))) for k, n in texts.items()], "_l string, _share double")
+    h = F.pmod(F.xxhash64("text"), F.lit(1 << 40))
+    rows = train.filter("lang is not null and text is not null").join(F.broadcast(bounds), F.col("lang") == F.col("_l"))  # a row for each language
+    near = rows.withColumn("h", h).filter(F.col("h") <= F.col("_share") * F.lit(float(1 << 40)))
+    once = near.groupBy("lang", "h").agg(F.first(F.substring("text", 1, excerpt)).alias("text"))
+    return once.withColumn("n", F.row_number().over(Window.partitionBy("lang").orderBy("h"))).filter(F.col("n") <= most).select("lang", "h", "text")
 
 
 def dictionaries(train: DataFrame, size: int = DICTIONARY) -> list[tuple[str, bytes]]:
     """Content of each language's dictionary, the language of the most texts first."""
     texts = {r["lang"]: r["count"] for r in train.filter("lang is not null and text is not null").groupBy("lang").count().collect()}
     out: dict[str, bytes] = {}
-    for row in sorted(sample(train).collect(), key=lambda r: (r["lang"], r["h"])):
+    for row in sorted(sample(train, texts).collect(), key=lambda r: (r["lang"], r["h"])):
         had = out.get(row["lang"], b"")
         if len(had) < size:
             out[row["lang"]] = (had + b" " + normal(row["text"]))[:size]
