@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from folioflow.functions import rules as R
 from folioflow.operators import header, ids, layout, preamble, qa, segment
 from folioflow.operators import schemas as S
+from folioflow.session import materialize
 from folioflow.sources import sinks
 
 
@@ -26,6 +27,7 @@ def build(pages: DataFrame, answers: DataFrame | None = None, strict_skip: bool
 
     strict_skip passes over files whose pages are all scanned, else files without any readable page. answers of the header service
     are optional. session_ids (file_id, session_id) name speeches and sessions; without them the durable key is (file_id, position).
+    Turns are written once to the shared folder, because all four tables read them.
     """
     counts = layout.page_counts(pages)
     skip = F.col("skip_strict") if strict_skip else F.col("skip")
@@ -33,7 +35,7 @@ def build(pages: DataFrame, answers: DataFrame | None = None, strict_skip: bool
     starts = preamble.start_pages(usable)
     texts = counts.filter(~skip).select("file_id").join(preamble.preamble_text(usable, starts), "file_id", "left")
     heads = header.with_service(texts, answers) if answers is not None else header.by_rule(texts)
-    turns = segment.turns(preamble.transcript_pages(usable, starts), version)
+    turns = materialize(segment.turns(preamble.transcript_pages(usable, starts), version), "turns")
     spoken = turns.groupBy("file_id").agg(F.count(F.lit(1)).cast("int").alias("n_speeches"))
     scanned = pages.filter("status = 'scanned'").groupBy("file_id").agg(F.array_sort(F.collect_list("page_num")).alias("scanned"))
     base = heads.join(starts.select("file_id", "transcript_start_page"), "file_id", "left").join(counts.select("file_id", F.col("n_pages_total").cast("int").alias("n_pages_total"), F.col("n_pages_scanned").cast("int").alias("n_pages_scanned")), "file_id").join(spoken, "file_id", "left").join(scanned, "file_id", "left")

@@ -1,4 +1,4 @@
-"""What Python workers need of the driver."""
+"""What executors share with the driver: the package's source, and tables that cut a lineage."""
 
 from __future__ import annotations
 
@@ -6,12 +6,14 @@ import atexit
 import os
 import shutil
 import tempfile
+import uuid
 import zipfile
 from pathlib import Path
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 _SHIPPED: set[str] = set()
+_KEPT: list[tuple[SparkSession, str]] = []
 
 
 def ship(spark: SparkSession) -> None:
@@ -28,3 +30,44 @@ def ship(spark: SparkSession) -> None:
     sc.addPyFile(target)
     _SHIPPED.add(sc.applicationId)
     atexit.register(shutil.rmtree, folder, True)
+
+
+def shared_root(spark: SparkSession) -> str:
+    """The folder in spark.checkpoint.dir; a local one is set only where that is unset (tests)."""
+    root = spark.conf.get("spark.checkpoint.dir", None)
+    if root:
+        return root
+    sc = spark.sparkContext
+    if not sc.getCheckpointDir():
+        local = tempfile.mkdtemp(prefix="folioflow-")
+        atexit.register(shutil.rmtree, local, True)
+        sc.setCheckpointDir(f"file://{local}")
+    return sc.getCheckpointDir()
+
+
+def write_table(df: DataFrame, name: str) -> str:
+    """Writes df as Parquet under the shared folder and returns its path. It goes when the driver ends."""
+    path = f"{shared_root(df.sparkSession)}/folioflow/{name}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    _KEPT.append((df.sparkSession, path))
+    return path
+
+
+def materialize(df: DataFrame, name: str) -> DataFrame:
+    """Cuts the lineage: a lost executor costs a read of Parquet, not the whole job again."""
+    return df.sparkSession.read.schema(df.schema).parquet(write_table(df, name))
+
+
+def release(spark: SparkSession, path: str) -> None:
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
+
+
+@atexit.register
+def _release_all() -> None:
+    for spark, path in _KEPT:
+        try:
+            if spark.sparkContext._jsc is not None:
+                release(spark, path)
+        except Exception:  # noqa: BLE001 - the gateway may be gone already
+            return
