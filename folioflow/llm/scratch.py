@@ -1,21 +1,15 @@
-"""Shared-folder tables and ranks that every operator of this subpackage uses."""
+"""Tables, ranks and worker settings that every operator of this subpackage uses."""
 
 from __future__ import annotations
 
-import atexit
-import shutil
-import tempfile
-import uuid
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from folioflow import session
+from folioflow.session import materialize
 
-__all__ = ["doc_remainder", "materialize", "release", "shared_root", "ship", "table", "with_rank", "write_table"]
-
-_KEPT: list[tuple[SparkSession, str]] = []
+__all__ = ["doc_remainder", "materialize", "ship", "table", "with_rank"]
 
 #: Rows of whole texts in an Arrow batch. Spark's default of 10,000 fits short rows.
 BATCH_ROWS = 1000
@@ -29,48 +23,6 @@ def ship(spark: SparkSession) -> None:
         spark.conf.set(_BATCH_KEY, BATCH_ROWS)
 
 
-def shared_root(spark: SparkSession) -> str:
-    """The folder in spark.checkpoint.dir; a local one is set only where that is unset (tests)."""
-    root = spark.conf.get("spark.checkpoint.dir", None)
-    if root:
-        return root
-    sc = spark.sparkContext
-    if not sc.getCheckpointDir():
-        local = tempfile.mkdtemp(prefix="folioflow-")
-        atexit.register(shutil.rmtree, local, True)
-        sc.setCheckpointDir(f"file://{local}")
-    return sc.getCheckpointDir()
-
-
-def write_table(df: DataFrame, name: str) -> str:
-    """Writes df as Parquet under the shared folder and returns its path."""
-    path = f"{shared_root(df.sparkSession)}/folioflow/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    _KEPT.append((df.sparkSession, path))
-    return path
-
-
-def materialize(df: DataFrame, name: str) -> DataFrame:
-    """Cuts the lineage: a lost executor costs a read of Parquet, not the whole job again."""
-    return df.sparkSession.read.schema(df.schema).parquet(write_table(df, name))
-
-
-def release(spark: SparkSession, path: str) -> None:
-    jvm = spark.sparkContext._jvm
-    target = jvm.org.apache.hadoop.fs.Path(path)
-    target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
-
-
-@atexit.register
-def _release_all() -> None:
-    for spark, path in _KEPT:
-        try:
-            if spark.sparkContext._jsc is not None:
-                release(spark, path)
-        except Exception:  # noqa: BLE001 - the gateway may be gone already
-            return
-
-
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
