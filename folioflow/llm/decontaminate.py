@@ -271,3 +271,17 @@ def query(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"), digest.alias("items_sha256"), (F.col("n_hit") > 0).alias("contaminated"))
 
 
+
+
+_WORDS_SQL = r"regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
+ORACLE_SQL = f"""
+WITH t AS (SELECT doc_id, coalesce({_WORDS_SQL}, []) AS w FROM documents),
+k AS (SELECT item, least(len(w), {WINDOW}) AS size, w FROM (SELECT CAST(item_id AS VARCHAR) AS item, {_WORDS_SQL} AS w FROM benchmark WHERE item_id IS NOT NULL AND text IS NOT NULL) WHERE len(w) > 0),
+win AS (SELECT DISTINCT item, size, array_to_string(w[i:i + size - 1], ' ') AS win FROM k, unnest(range(1, len(w) - size + 2)) u(i)),
+d AS (SELECT doc_id, size, i, array_to_string(w[i:i + size - 1], ' ') AS win FROM t, (SELECT DISTINCT size FROM win) s, unnest(range(1, len(w) - size + 2)) u(i)),
+h AS (SELECT doc_id, item, i, size FROM d JOIN win USING (size, win)),
+p AS (SELECT doc_id, count(DISTINCT i + j) AS n_hit FROM h, unnest(range(0, size)) u(j) GROUP BY 1),
+n AS (SELECT doc_id, count(DISTINCT item) AS n_items, string_agg(DISTINCT item, ',' ORDER BY item) AS items FROM h GROUP BY 1)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items, sha256(coalesce(items, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM t LEFT JOIN p USING (doc_id) LEFT JOIN n USING (doc_id)
+"""

@@ -418,3 +418,16 @@ def keep_one(docs: DataFrame) -> DataFrame:
     same = F.col("doc_id").cast("long").eqNullSafe(F.col("twice_id"))
     others = twice if twice.count() > BROADCAST_ROWS else F.broadcast(twice)
     return kept.join(others, same, "left_anti").unionByName(kept.join(others, same, "left_semi").dropDuplicates(["doc_id", "text"]))
+
+
+ORACLE_SQL = r"""
+WITH RECURSIVE t AS (SELECT doc_id, coalesce(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+'), []) AS w FROM documents),
+s AS (SELECT DISTINCT doc_id, array_to_string(w[i:i + size - 1], ' ') AS shingle FROM (SELECT *, least(len(w), 5) AS size FROM t WHERE len(w) > 0), unnest(range(1, len(w) - size + 2)) u(i)),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY 1),
+o AS (SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS o FROM s a JOIN s b USING (shingle) WHERE a.doc_id < b.doc_id GROUP BY 1, 2),
+l AS (SELECT x, y FROM o JOIN n a ON a.doc_id = x JOIN n b ON b.doc_id = y WHERE 100 * o >= 75 * (a.n + b.n - o)),
+e AS (SELECT x, y FROM l UNION ALL SELECT y, x FROM l),
+r AS (SELECT x, y FROM e UNION SELECT r.x, e.y FROM r JOIN e ON e.x = r.y)
+SELECT doc_id, coalesce(n, 0) AS n_shingles, least(doc_id, coalesce(m, doc_id)) AS component_id
+FROM t LEFT JOIN n USING (doc_id) LEFT JOIN (SELECT x AS doc_id, min(y) AS m FROM r GROUP BY 1) USING (doc_id)
+"""

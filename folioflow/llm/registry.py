@@ -19,4 +19,6 @@ QUERIES = {
 
 ORACLE_SQL: dict[str, str] = {
     "op5_chat_format": chat.ORACLE_SQL,
+    "op6_decontaminate": decontaminate.ORACLE_SQL,
+    "op9_ngram_jaccard": ngram_join.ORACLE_SQL,
 }
