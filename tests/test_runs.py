@@ -43,9 +43,9 @@ def test_csv_round_trip(spark, tmp_path):
 
 
 def test_page_json(spark, tmp_path):
-    (tmp_path / "gaceta_88 (6).json").write_text(json.dumps([{"page_num": 1, "text": "x", "status": "ok", "column_layout": "single_column"}]))
+    (tmp_path / "acta 88 (6).json").write_text(json.dumps([{"page_num": 1, "text": "x", "status": "ok", "column_layout": "single_column"}]))
     row = readers.page_json(spark, f"file://{tmp_path}").first()
-    assert (row["file_id"], row["text"], row["cid_word_pct"]) == ("gaceta_88 (6)", "x", None)
+    assert (row["file_id"], row["text"], row["cid_word_pct"]) == ("acta 88 (6)", "x", None)
 
 
 def test_scanned_log(spark):
