@@ -27,12 +27,12 @@ def build(pages: DataFrame, answers: DataFrame | None = None, strict_skip: bool
 
     strict_skip passes over files whose pages are all scanned, else files without any readable page. answers of the header service
     are optional. session_ids (file_id, session_id) name speeches and sessions; without them the durable key is (file_id, position).
-    Turns are written once to the shared folder, because all four tables read them.
+    What several of the four tables read (starts, turns, file facts, flags) is written once to the shared folder.
     """
     counts = layout.page_counts(pages)
     skip = F.col("skip_strict") if strict_skip else F.col("skip")
     usable = pages.join(counts.filter(~skip).select("file_id"), "file_id", "left_semi")
-    starts = preamble.start_pages(usable)
+    starts = materialize(preamble.start_pages(usable), "starts")
     texts = counts.filter(~skip).select("file_id").join(preamble.preamble_text(usable, starts), "file_id", "left")
     heads = header.with_service(texts, answers) if answers is not None else header.by_rule(texts)
     turns = materialize(segment.turns(preamble.transcript_pages(usable, starts), version), "turns")
@@ -40,7 +40,8 @@ def build(pages: DataFrame, answers: DataFrame | None = None, strict_skip: bool
     scanned = pages.filter("status = 'scanned'").groupBy("file_id").agg(F.array_sort(F.collect_list("page_num")).alias("scanned"))
     base = heads.join(starts.select("file_id", "transcript_start_page"), "file_id", "left").join(counts.select("file_id", F.col("n_pages_total").cast("int").alias("n_pages_total"), F.col("n_pages_scanned").cast("int").alias("n_pages_scanned")), "file_id").join(spoken, "file_id", "left").join(scanned, "file_id", "left")
     base = base.withColumns({"n_speeches": F.coalesce("n_speeches", F.lit(0)), "year_extracted": header.year(F.col("session_date")), "rule_version": F.lit(version)})
-    flags = qa.flags(turns, base)
+    base = materialize(base, "files")
+    flags = materialize(qa.flags(turns, base), "flags")
     flagged = flags.groupBy("file_id").agg(F.count(F.lit(1)).cast("int").alias("n_flagged"))
     names = session_ids if session_ids is not None else base.select("file_id", F.lit(None).cast("string").alias("session_id"))
     names = names.select("file_id", F.col("session_id").cast("string").alias("session_id"))
