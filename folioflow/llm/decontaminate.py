@@ -244,7 +244,7 @@ def _pass(state: DataFrame, automaton: Automaton, last: bool, rewrite: bool) ->
                 yield pa.record_batch(out, names)
 
     kinds = {f.name: f.dataType.simpleString() for f in state.schema} | {"n_words": "long", "n_hit": "long", "items": "array<string>", "hit_spans": "array<long>", "cleaned": "string"}
-    return state.mapInArrow(run, ", ".join(f"`{n}` {kinds[n]}" for n in names))
+    return state.mapInArrow(K.tidy(run), ", ".join(f"`{n}` {kinds[n]}" for n in names))
 
 
 def _without(text: str | None, spans: list[int]) -> str | None:

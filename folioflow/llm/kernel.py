@@ -6,7 +6,9 @@ memory is bounded by the chunk (or the longest single text), not by the Arrow ba
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import ctypes
+import functools
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -20,6 +22,26 @@ BASE = 0x9E3779B97F4A7C15 | 1
 BASE_INVERSE = pow(BASE, -1, 1 << 64)
 
 
+#: glibc's number for the size from which memory is mapped, and so given back when it is freed.
+_MAP_THRESHOLD, _MAP_BYTES = -3, 4 << 20
+
+
+def tidy(run: Callable) -> Callable:
+    """For functions of Arrow batches: workers are kept for later tasks, so what a task freed goes back to the system."""
+
+    @functools.wraps(run)
+    def tidied(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        libc = ctypes.CDLL(None)
+        if hasattr(libc, "mallopt"):
+            libc.mallopt(_MAP_THRESHOLD, _MAP_BYTES)
+        yield from run(batches)
+        pa.default_memory_pool().release_unused()
+        if hasattr(libc, "malloc_trim"):
+            libc.malloc_trim(0)
+
+    return tidied
+
+
 def byte_set(*spans: tuple[int, int]) -> np.ndarray:
     out = np.zeros(256, bool)
     for lo, hi in spans:
@@ -37,7 +59,7 @@ _powers = {"up": np.ones(1, np.uint64), "down": np.ones(1, np.uint64)}
 def _power_table(name: str, base: int, n: int) -> np.ndarray:
     have = _powers[name]
     if len(have) < n:
-        size = max(n, 2 * len(have), 1 << 16)
+        size = -(-n // (1 << 18)) * (1 << 18)
         out = np.full(size, base, np.uint64)
         out[0] = 1
         have = _powers[name] = np.cumprod(out, dtype=np.uint64)

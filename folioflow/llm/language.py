@@ -26,6 +26,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from folioflow.llm import kernel as K
 from folioflow.llm.scratch import doc_remainder, ship, table
 
 SAMPLE_TEXTS = 256
@@ -111,7 +112,7 @@ def classify(docs: DataFrame, content: list[tuple[str, bytes]], keep: list[str],
             yield pa.record_batch([*batch.columns[1:], pa.array(lang, pa.string()), pa.array(score, pa.float64()), pa.array(rejected, pa.bool_())], names)
 
     schema = "".join(f"`{f.name}` {f.dataType.simpleString()}, " for f in docs.select(*keep).schema) + "lang_pred string, score double, rejected boolean"
-    return docs.select(F.col(text).alias("_text"), *keep).mapInArrow(run, schema)
+    return docs.select(F.col(text).alias("_text"), *keep).mapInArrow(K.tidy(run), schema)
 
 
 def identify(docs: DataFrame, held_out: Column, keep: list[str]) -> DataFrame:

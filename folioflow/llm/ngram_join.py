@@ -56,7 +56,7 @@ STAR_ROUNDS = 6
 COMPARE = 512
 GROUP_ROWS = 50_000
 EDGES = 1_000_000
-FLUSH = 1 << 20
+FLUSH = 1 << 19
 _KEY_BITS = np.uint64(40)
 _EMPTY = np.uint64(0xA0761D6478BD642F)
 
@@ -138,7 +138,7 @@ def node_sets(docs: DataFrame, k: int, p: int, q: int, sample: int = SAMPLE) ->
 
     ship(docs.sparkSession)
     picked = F.pmod(F.xxhash64("doc_id"), F.lit(sample)) == 0
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", picked.alias("picked")).mapInArrow(run, "kind int, doc_id long, node long, n long, sketch binary")
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", picked.alias("picked")).mapInArrow(K.tidy(run), "kind int, doc_id long, node long, n long, sketch binary")
 
 
 def hot_signatures(sets: DataFrame, limit: int = HOT_LIMIT) -> tuple[np.ndarray, np.ndarray]:
@@ -214,7 +214,7 @@ def signed_blocks(docs: DataFrame, k: int, p: int, q: int, hot: tuple[np.ndarray
         if sigs:
             yield flush()
 
-    return docs.select("text").mapInArrow(run, "bucket int, block binary")
+    return docs.select("text").mapInArrow(K.tidy(run), "bucket int, block binary")
 
 
 def groups(blocks: DataFrame) -> DataFrame:
@@ -269,7 +269,7 @@ def components(edges: DataFrame, limit: int = EDGES) -> DataFrame:
     name = "stars"
     pairs = materialize(edges.filter("a != b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")), name)
     if pairs.count() <= limit:
-        return pairs.coalesce(1).mapInArrow(_solve, "node long, label long")
+        return pairs.coalesce(1).mapInArrow(K.tidy(_solve), "node long, label long")
     pairs, before = pairs.distinct(), None
     while True:
         state = pairs.agg(F.count(F.lit(1)), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
@@ -297,7 +297,7 @@ def _sets_of(docs: DataFrame, wanted: DataFrame, k: int, rows: int) -> DataFrame
                 yield pa.record_batch([pa.array([node_of(s) for s in sets], pa.int64()), pa.ListArray.from_arrays(pa.array(offs), pa.array(flat))], ["node", "shingles"])
 
     found = docs.select("doc_id", "text").join(_small(wanted, rows), F.col("doc_id").cast("long").eqNullSafe(F.col("wanted")), "left_semi")
-    return found.select("text").mapInArrow(run, "node long, shingles array<long>")
+    return found.select("text").mapInArrow(K.tidy(run), "node long, shingles array<long>")
 
 
 def _small(df: DataFrame, rows: int) -> DataFrame:

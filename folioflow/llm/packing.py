@@ -31,6 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from folioflow.llm import kernel as K
 from folioflow.llm.scratch import materialize, ship, table, with_rank
 
 CAPACITY = 1024
@@ -38,7 +39,7 @@ END = 2
 GROUPS = 800
 #: Lengths up to this share of the capacity are small.
 SMALL = 0.4
-CACHE = 800_000
+CACHE = 400_000
 CHUNKS = 64
 
 # ---------------------------------------------------------------- tokens
@@ -143,7 +144,7 @@ def pieces(docs: DataFrame, capacity: int = CAPACITY, path: str | None = None, e
                 yield pa.record_batch(out, names)
 
     kind = docs.schema["doc_id"].dataType.simpleString()
-    return docs.select("doc_id", text).mapInArrow(run, f"doc_id {kind}, piece int, start long, length long, ids_crc32 long" + ", ids array<int>" * with_ids)
+    return docs.select("doc_id", text).mapInArrow(K.tidy(run), f"doc_id {kind}, piece int, start long, length long, ids_crc32 long" + ", ids array<int>" * with_ids)
 
 
 # ---------------------------------------------------------------- plan
@@ -304,7 +305,7 @@ def pack(found: DataFrame, capacity: int = CAPACITY, groups: int = GROUPS, chunk
             yield pa.record_batch([*(batch.column(c) for c in carried), pa.array(sequence[at] + r - rank[at]), pa.array(offset[at])], names)
 
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in found.schema) + ", sequence_id long, offset long"
-    return ranked.select(*carried, "rank").mapInArrow(run, schema)
+    return ranked.select(*carried, "rank").mapInArrow(K.tidy(run), schema)
 
 
 def sequences(packed: DataFrame) -> DataFrame:

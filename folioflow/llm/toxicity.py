@@ -63,7 +63,7 @@ def character_counts(texts: DataFrame) -> np.ndarray:
         keys = np.flatnonzero(total)
         yield pa.record_batch([pa.array(keys), pa.array(total[keys])], ["gram", "n"])
 
-    got = texts.mapInArrow(run, "gram long, n long").groupBy("gram").agg(F.sum("n").alias("n")).toArrow()
+    got = texts.mapInArrow(K.tidy(run), "gram long, n long").groupBy("gram").agg(F.sum("n").alias("n")).toArrow()
     out = np.zeros(SIZE**3, np.int64)
     out[got.column("gram").to_numpy()] = got.column("n").to_numpy()
     return out.reshape(SIZE, SIZE, SIZE)
@@ -232,7 +232,7 @@ def _text_counts(texts: DataFrame, decode: Decoder, wanted: np.ndarray | None) -
         for a in range(0, len(keys), 1 << 17):
             yield pa.record_batch([pa.array(keys[a : a + (1 << 17)].view(np.int64)), pa.array(n[a : a + (1 << 17)])], ["feature", "n"])
 
-    return texts.select("text").mapInArrow(run, "feature long, n long").groupBy("feature").agg(F.sum("n").alias("n"))
+    return texts.select("text").mapInArrow(K.tidy(run), "feature long, n long").groupBy("feature").agg(F.sum("n").alias("n"))
 
 
 @dataclass
@@ -327,7 +327,7 @@ def fit(docs: DataFrame, labels: DataFrame, least: int = LEAST, candidates: int
     share = calibration / max(1, sample.count())
     if share < 1:  # documented bound of the calibration sample, by a hash of the id
         sample = sample.filter(F.pmod("h", F.lit(1_000_000)) < int(share * 1_000_000))
-    got = sample.select("text", "y").mapInArrow(run, "a double, b double, c double, y double").toArrow()
+    got = sample.select("text", "y").mapInArrow(K.tidy(run), "a double, b double, c double, y double").toArrow()
     y = got.column("y").to_numpy()
     if 0 < y.sum() < len(y):
         model.logistic = _logistic(np.column_stack([got.column(c).to_numpy() for c in "abc"]), y)
@@ -346,7 +346,7 @@ def score(docs: DataFrame, model: Model, keep: list[str]) -> DataFrame:
                 yield pa.record_batch([*rows.columns[1:], pa.array(shared.value.score(chunk))], [*keep, "score"])
 
     schema = "".join(f"`{f.name}` {f.dataType.simpleString()}, " for f in docs.select(*keep).schema) + "score double"
-    return docs.select(F.col("text").alias("_text"), *keep).mapInArrow(run, schema)
+    return docs.select(F.col("text").alias("_text"), *keep).mapInArrow(K.tidy(run), schema)
 
 
 def restore(docs: DataFrame, decode: Decoder, keep: list[str]) -> DataFrame:
@@ -373,7 +373,7 @@ def restore(docs: DataFrame, decode: Decoder, keep: list[str]) -> DataFrame:
                 yield pa.record_batch([*rows.columns[1:], pa.array(texts, pa.string())], [*keep, "restored"])
 
     schema = "".join(f"`{f.name}` {f.dataType.simpleString()}, " for f in docs.select(*keep).schema) + "restored string"
-    return docs.select(F.col("text").alias("_text"), *keep).mapInArrow(run, schema)
+    return docs.select(F.col("text").alias("_text"), *keep).mapInArrow(K.tidy(run), schema)
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
