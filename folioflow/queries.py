@@ -234,10 +234,14 @@ def page_status_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     return layout.page_counts(_synthetic_pages(spark, sf_dir))
 
 
-def _words(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Words of documents at computed places, ten to a line, in one column (odd ids) or two: a page of 609.4 by 963.8 for each document."""
+def _words(spark: SparkSession, sf_dir: str, whole: bool = False) -> DataFrame:
+    """Words of documents at computed places, ten to a line, in one column (odd ids) or two: a page of 609.4 by 963.8 for each document.
+
+    whole: all documents and all their words, lines running on below the page; else short documents, of each the first 400 words.
+    """
     split = F.posexplode(F.filter(F.split("text", r"[ \t\n\x0B\f\r]+"), lambda w: w != "")).alias("i", "word")
-    flat = table(spark, sf_dir, "documents").filter("n_chars < 4000").select("doc_id", split).filter("i < 400")
+    docs = table(spark, sf_dir, "documents")
+    flat = docs.select("doc_id", split) if whole else docs.filter("n_chars < 4000").select("doc_id", split).filter("i < 400")
     i, two = F.col("i"), F.col("doc_id") % 2 == 0
     line = F.floor(i / 10)
     right = two & (line % 2 == 1)
@@ -276,14 +280,54 @@ def two_column_layout(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.filter("column_layout = 'two_column' and status = 'ok' and int(substring(file_id, 5, 20)) % 2 = 0").select("file_id", "status", "text")
 
 
+_WHOLE_SQL = r"""
+WITH w AS (SELECT doc_id, unnest(x) AS word, generate_subscripts(x, 1) - 1 AS i FROM (
+  SELECT doc_id, list_filter(regexp_split_to_array(text, '[ \t\n\x0B\f\r]+'), lambda t: t <> '') AS x FROM documents)),
+v AS (SELECT doc_id, i, CASE WHEN doc_id % 10 = 3 AND i % 2 = 0 THEN '(cid:40)' ELSE word END AS word, i // 10 AS line,
+  CAST(CASE WHEN doc_id % 2 = 0 THEN i // 10 % 2 = 1 ELSE i % 10 >= 5 END AS INTEGER) AS col FROM w WHERE i % 29 <> 5)
+"""
+
+
+@query(_WHOLE_SQL + """
+SELECT 'doc_' || doc_id AS file_id, count(*) AS n_words, count(*) FILTER (WHERE contains(word, '(cid:')) AS n_coded,
+  10 * count(*) FILTER (WHERE contains(word, '(cid:')) > 3 * count(*) AS scanned FROM v GROUP BY doc_id""")
+def scan_ratio_whole(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """scan_ratio over all words of all documents."""
+    found = layout.scan_ratio(_words(spark, sf_dir, whole=True))
+    return found.select("file_id", "n_words", F.round(F.col("cid_word_pct") * F.col("n_words")).cast("long").alias("n_coded"), (F.col("cid_word_pct") > R.SCANNED_SHARE).alias("scanned"))
+
+
+@query(_WHOLE_SQL + """
+, l AS (SELECT doc_id, col, line, any_value(CASE WHEN line % 7 = 0 THEN '§' ELSE '' END) || string_agg(word, ' ' ORDER BY i) AS text FROM v GROUP BY doc_id, col, line),
+c AS (SELECT doc_id, col, string_agg(text, chr(10) ORDER BY line) AS text FROM l GROUP BY doc_id, col),
+p AS (SELECT doc_id, string_agg(text, chr(10) ORDER BY col) AS text FROM c GROUP BY 1),
+n AS (SELECT doc_id, count(*) FILTER (WHERE col = 1) AS n_right FROM v GROUP BY 1)
+SELECT 'doc_' || doc_id AS file_id, 'ok' AS status, p.text AS text FROM p JOIN n USING (doc_id) WHERE doc_id % 10 <> 3 AND n_right >= 10""")
+def two_column_whole(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """two_column_layout over all words of all documents; lines of odd ids, which cross the middle, are read as two halves."""
+    found = layout.pages(_words(spark, sf_dir, whole=True))
+    return found.filter("column_layout = 'two_column' and status = 'ok'").select("file_id", "status", "text")
+
+
 @query("""
 SELECT doc_id, text FROM (SELECT doc_id, array_to_string(list_filter(regexp_extract_all(text, '[A-Za-z]+'), lambda x: true), ' ') AS text FROM documents WHERE n_chars < 3000)""")
 def glyph_decode(spark: SparkSession, sf_dir: str) -> DataFrame:
     """ASCII letters and blanks, coded by the offset, come back."""
+    return _glyphs(table(spark, sf_dir, "documents").filter("n_chars < 3000"))
+
+
+@query("""
+SELECT doc_id, array_to_string(regexp_extract_all(text, '[A-Za-z]+'), ' ') AS text FROM documents""")
+def glyph_decode_whole(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """glyph_decode over all documents."""
+    return _glyphs(table(spark, sf_dir, "documents"))
+
+
+def _glyphs(docs: DataFrame) -> DataFrame:
     plain = F.array_join(F.regexp_extract_all("text", F.lit("[A-Za-z]+"), F.lit(0)), " ")
     chars = F.filter(F.split(plain, ""), lambda c: c != "")
     coded = F.array_join(F.transform(chars, lambda c: F.concat(F.lit("(cid:"), (F.ascii(c) - 29).cast("string"), F.lit(")"))), "")
-    return table(spark, sf_dir, "documents").filter("n_chars < 3000").select("doc_id", decode_glyphs(coded).alias("text"))
+    return docs.select("doc_id", decode_glyphs(coded).alias("text"))
 
 
 @query("""
