@@ -49,7 +49,7 @@ def normal(text: str) -> bytes:
 
 
 def sample(train: DataFrame, texts: dict[str, int], most: int = SAMPLE_TEXTS, excerpt: int = EXCERPT) -> DataFrame:
-    """(lang, h, text) of the dictionaries: of each language (with its number of texts) the distinct ones of the smallest hashes.
+    """(lang, h, text) of the dictionaries: of each language (with its number of distinct texts) the distinct ones of the smallest hashes.
 
     A threshold on the hash, several times wider than needed, leaves only candidates to be shuffled.
     """
@@ -65,9 +65,12 @@ def sample(train: DataFrame, texts: dict[str, int], most: int = SAMPLE_TEXTS, ex
 
 def dictionaries(train: DataFrame, size: int = DICTIONARY) -> list[tuple[str, bytes]]:
     """Content of each language's dictionary, the language of the most texts first."""
-    texts = {r["lang"]: r["count"] for r in train.filter("lang is not null and text is not null").groupBy("lang").count().collect()}
+    # Copies count for the order, but not for the share of the hashes: a language of many copies would get too few texts.
+    copies = train.filter("lang is not null and text is not null").groupBy("lang", F.xxhash64("text").alias("h")).agg(F.count(F.lit(1)).alias("rows"))
+    found = copies.groupBy("lang").agg(F.sum("rows").alias("rows"), F.count(F.lit(1)).alias("distinct")).collect()
+    texts = {r["lang"]: r["rows"] for r in found}
     out: dict[str, bytes] = {}
-    for row in sorted(sample(train, texts).collect(), key=lambda r: (r["lang"], r["h"])):
+    for row in sorted(sample(train, {r["lang"]: r["distinct"] for r in found}).collect(), key=lambda r: (r["lang"], r["h"])):
         had = out.get(row["lang"], b"")
         if len(had) < size:
             out[row["lang"]] = (had + b" " + normal(row["text"]))[:size]

@@ -165,6 +165,16 @@ def test_language(spark, docs, odd, empty):
     assert language.identify(empty, doc_remainder() == 0, ["doc_id"]).count() == 0
 
 
+def test_language_of_nearly_all_copies(spark):
+    """20,000 rows of 20 texts teach all 20, and those of a language without copies stay 256."""
+    copies = spark.range(20_000).select(F.lit("xx").alias("lang"), F.concat(F.lit("zorp"), F.col("id") % 20, F.lit(" "), F.translate((F.col("id") % 20).cast("string"), "0123456789", "abcdefghij")).alias("text"))
+    others = spark.range(5_000).select(F.lit("yy").alias("lang"), F.concat(F.lit("word "), F.translate(F.col("id").cast("string"), "0123456789", "abcdefghij")).alias("text"))
+    content = dict(language.dictionaries(copies.unionByName(others)))
+    assert sorted(set(content["xx"].split()) - {b"zorp"}) == sorted({b"a", b"b", b"c", b"d", b"e", b"f", b"g", b"h", b"i", b"j", *(b"b" + c for c in (b"a", b"b", b"c", b"d", b"e", b"f", b"g", b"h", b"i", b"j"))})
+    assert len(content["yy"].replace(b"word ", b"").split()) == language.SAMPLE_TEXTS
+    assert list(content) == ["xx", "yy"]
+
+
 # ---------------------------------------------------------------- sharding
 
 
