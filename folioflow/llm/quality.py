@@ -7,8 +7,8 @@ Method
 2. `fit` turns the counts into an interpolated modified Kneser-Ney model (three discounts an order,
    continuation counts below the top). Each order is one sorted array of 64-bit hashes of
    (language, n-gram) with log probabilities beside it, and one of contexts with back-off weights.
-   Its size is bounded by `max_ngrams`: where more were counted, the count below which the highest
-   order is cut rises (what is cut backs off to lower orders). Nothing else is cut or sampled.
+   Every counted n-gram of every language enters, so the model grows with the corpus. The driver takes
+   the counts of a few languages at a time. Nothing is cut or sampled.
 3. `measure` gives each text its base metrics and its mean log probability a byte (a word may be one of another language, at a
    price, so that clean texts that mix languages are not rejected for it); `bands` takes
    the median and the spread of the languages' perplexities over all texts that pass the base rules;
@@ -21,7 +21,7 @@ the named ones are carried along by `judge` untouched. An empty table gives an e
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterator, Mapping
 
 import numpy as np
 import pyarrow as pa
@@ -32,7 +32,8 @@ from folioflow.llm import kernel as K
 from folioflow.llm.scratch import materialize, ship, table
 
 ORDER = 5
-MAX_NGRAMS = 2_000_000
+#: Counts that the driver takes at once; a language is never split.
+FIT_ROWS = 2_000_000
 REPEAT_WINDOW = 5
 #: Half width of the band in robust standard deviations, and what a text's own length adds to its spread.
 BAND_Z = 4.0
@@ -149,7 +150,8 @@ class KneserNey:
         return K.mix(keys + (np.atleast_1d(lang).astype(np.uint64) + np.uint64(1)) * _LANG_SALT)
 
     @classmethod
-    def fit(cls, counts: dict[str, tuple[np.ndarray, np.ndarray]], order: int) -> KneserNey:
+    def fit(cls, counts: Mapping[str, tuple[np.ndarray, np.ndarray]], order: int) -> KneserNey:
+        """counts is read once for each language, in sorted order."""
         model = cls(order, sorted(counts))
         grams: list[list] = [[] for _ in range(order)]
         contexts: list[list] = [[] for _ in range(order)]
@@ -173,15 +175,16 @@ class KneserNey:
                 else:
                     lower = np.full(len(keys), 1 / 256)
                 p = (n - taken) / total[place] + gamma[place] * lower
-                grams[k].append((cls._hash(keys, i), np.log(p)))
-                contexts[k].append((cls._hash(head[new], i), np.log(gamma)))
+                grams[k].append((cls._hash(keys, i), np.log(p).astype(np.float32)))
+                contexts[k].append((cls._hash(head[new], i), np.log(gamma).astype(np.float32)))
                 below_keys, below_p = keys, p
         for source, target in ((grams, model.grams), (contexts, model.contexts)):
             for parts in source:
                 hashes = np.concatenate([h for h, _ in parts] or [np.zeros(0, np.uint64)])
-                values = np.concatenate([v for _, v in parts] or [np.zeros(0)])
+                values = np.concatenate([v for _, v in parts] or [np.zeros(0, np.float32)])
+                parts.clear()
                 by = np.argsort(hashes)
-                target.append((hashes[by], values[by].astype(np.float32)))
+                target.append((hashes[by], values[by]))
         return model
 
     def log_p(self, keys: np.ndarray, lang: np.ndarray) -> np.ndarray:
@@ -221,18 +224,39 @@ def _discounts(n: np.ndarray) -> np.ndarray:
     return np.array([0, *(float(np.clip(i - (i + 1) * y * b / a, 0.1, i - 0.1)) for i, a, b in ((1, n1, n2), (2, n2, n3), (3, n3, n4)))])
 
 
-def fit(docs: DataFrame, order: int = ORDER, max_ngrams: int = MAX_NGRAMS, text: str = "text", lang: str = "lang") -> KneserNey:
-    counted = materialize(count_ngrams(docs, order, text, lang), "ngrams")
-    of_count = counted.groupBy(F.least("n", F.lit(1000)).alias("n")).agg(F.count(F.lit(1)).alias("grams")).collect()
-    least, kept = 1, sum(r["grams"] for r in of_count)
-    for r in sorted(of_count, key=lambda r: r["n"]):
-        if kept <= max_ngrams:
-            break
-        least, kept = r["n"] + 1, kept - r["grams"]
-    got = counted.filter(F.col("n") >= least).toArrow()
-    langs = got.column("lang").combine_chunks().dictionary_encode()
-    keys, n, of = got.column("ngram").to_numpy(), got.column("n").to_numpy(), langs.indices.to_numpy()
-    return KneserNey.fit({x: (keys[of == i].view(np.uint64), n[of == i]) for i, x in enumerate(langs.dictionary.to_pylist())}, order)
+class _Counts(Mapping):
+    """Counts by language, fetched for a few languages at a time in sorted order."""
+
+    def __init__(self, counted: DataFrame, rows: int):
+        self.counted, self.held = counted, {}
+        self.batch: dict[str, list[str]] = {}
+        batch, size = [], 0
+        for r in sorted(counted.groupBy("lang").agg(F.count(F.lit(1)).alias("grams")).collect(), key=lambda r: r["lang"]):
+            if batch and size + r["grams"] > rows:
+                batch, size = [], 0
+            batch.append(r["lang"])
+            size += r["grams"]
+            self.batch[r["lang"]] = batch
+
+    def __iter__(self) -> Iterator[str]:
+        return iter(self.batch)
+
+    def __len__(self) -> int:
+        return len(self.batch)
+
+    def __getitem__(self, name: str) -> tuple[np.ndarray, np.ndarray]:
+        if name not in self.held:
+            self.held = {}
+            got = self.counted.filter(F.col("lang").isin(self.batch[name])).toArrow()
+            langs = got.column("lang").combine_chunks().dictionary_encode()
+            keys, n, of = got.column("ngram").to_numpy(), got.column("n").to_numpy(), langs.indices.to_numpy()
+            self.held = {x: (keys[of == i].view(np.uint64), n[of == i]) for i, x in enumerate(langs.dictionary.to_pylist())}
+        return self.held.pop(name)
+
+
+def fit(docs: DataFrame, order: int = ORDER, rows: int = FIT_ROWS, text: str = "text", lang: str = "lang") -> KneserNey:
+    """The model of all counted n-grams; rows bounds what is fetched at once, not what enters."""
+    return KneserNey.fit(_Counts(materialize(count_ngrams(docs, order, text, lang), "ngrams"), rows), order)
 
 
 # ---------------------------------------------------------------- verdicts

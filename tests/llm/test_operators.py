@@ -141,6 +141,17 @@ def test_kneser_ney_sums_to_one():
         assert np.exp(model.log_p(every, np.zeros(256, np.int64))).sum() == pytest.approx(1, abs=1e-4)
 
 
+def test_model_takes_every_ngram(spark):
+    """What is fetched at once does not change the model, and rare n-grams and small languages stay in it."""
+    noise = [(f"{i * 2654435761 % 2**32:08x} {i * 40503 % 2**32:08x} same same", "aa") for i in range(300)]
+    df = spark.createDataFrame([*noise, ("sølv blått", "zz")], "text string, lang string")
+    counted = quality.count_ngrams(df).count()
+    few, all_ = quality.fit(df, quality.ORDER, 10), quality.fit(df)
+    assert len(few.grams[-1][0]) == len(all_.grams[-1][0]) == counted and few.langs == all_.langs == {"aa": 0, "zz": 1}
+    for a, b in zip([*few.grams, *few.contexts], [*all_.grams, *all_.contexts], strict=True):
+        assert all(np.array_equal(x, y) for x, y in zip(a, b, strict=True))
+
+
 def test_bands_reject_what_is_unlike_its_language(spark):
     rng = random.Random(5)
     say = lambda letters: " ".join("".join(rng.choice(letters) for _ in range(5)) for _ in range(60))
