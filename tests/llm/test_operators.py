@@ -462,3 +462,23 @@ def test_brown_beats_the_base_on_held_out_texts(spark):
     df = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
     got = [r for r in brown.score_corpus(df, doc_remainder() == 1).collect() if r["held_out"]]
     assert sum(r["score"] for r in got) > sum(r["base_score"] for r in got)
+
+
+def test_where_a_word_is_held_does_not_enter_its_score(spark, docs):
+    """Words of the tail have the classes they would have in the head."""
+    far, near = ({r["doc_id"]: r["score"] for r in brown.score_corpus(docs, doc_remainder() == 1, head=head, clustered=20, classes=6).collect()} for head in (200, 10**6))
+    assert far.keys() == near.keys() and all(far[d] == pytest.approx(near[d], rel=1e-9) for d in near)
+
+
+def test_words_beyond_the_seeds_are_exchanged(spark):
+    """Rare words of two kinds, told apart by their neighbours alone, join the seeds of their kinds."""
+    rng = random.Random(7)
+    rows = [(" ".join(f"{'ab'[k]} {'xy'[k]}{rng.choice(['', rng.randrange(200)])}q {'cd'[k]}" for k in [rng.randrange(2) for _ in range(40)]),) for _ in range(60)]
+    texts = spark.createDataFrame(rows, "text string")
+    brown.ship(spark)
+    model, tail = brown.fit(texts, brown.materialize(brown.word_counts(texts), "words"), clustered=6, classes=6)
+    of = {}
+    for name in {w for (t,) in rows for w in t.split() if w[0] in "xy"}:
+        chunk = next(iter(brown.K.chunks(brown.pa.array([name]))))
+        of.setdefault(name[0], set()).add(int(model.words.units_of(chunk)[1][0]))
+    assert max(of["x"] | of["y"]) < model.words.clustered and not of["x"] & of["y"]
