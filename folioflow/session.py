@@ -3,17 +3,64 @@
 from __future__ import annotations
 
 import atexit
+import contextlib
+import contextvars
 import os
 import shutil
 import tempfile
 import uuid
 import zipfile
+from collections.abc import Iterator
 from pathlib import Path
+from typing import Any
 
+from pyspark import Broadcast
 from pyspark.sql import DataFrame, SparkSession
 
 _SHIPPED: set[str] = set()
-_KEPT: list[tuple[SparkSession, str]] = []
+
+
+class Scope:
+    """What a run has written to the shared folder and sent to the executors, to be given back when its result has been used."""
+
+    def __init__(self) -> None:
+        self.tables: list[tuple[SparkSession, str]] = []
+        self.sent: list[Broadcast] = []
+
+    def release(self) -> None:
+        tables, sent = self.tables, self.sent
+        self.tables, self.sent = [], []
+        for x in sent:
+            x.unpersist()
+        for spark, path in tables:
+            if spark.sparkContext._jsc is not None:
+                release(spark, path)
+
+
+_ALL = Scope()
+_SCOPE: contextvars.ContextVar[Scope] = contextvars.ContextVar("scope", default=_ALL)
+
+
+@contextlib.contextmanager
+def scoped(scope: Scope | None = None) -> Iterator[Scope]:
+    """Tables and broadcasts made inside belong to the scope that is given out. The caller releases it."""
+    scope = scope or Scope()
+    token = _SCOPE.set(scope)
+    try:
+        yield scope
+    finally:
+        _SCOPE.reset(token)
+        _OPEN.append(scope)
+
+
+_OPEN: list[Scope] = [_ALL]
+
+
+def broadcast(spark: SparkSession, value: Any) -> Broadcast:
+    """A broadcast of the current scope. Released, it is fetched again where it is still needed."""
+    out = spark.sparkContext.broadcast(value)
+    _SCOPE.get().sent.append(out)
+    return out
 
 
 def ship(spark: SparkSession) -> None:
@@ -33,12 +80,14 @@ def ship(spark: SparkSession) -> None:
 
 
 def shared_root(spark: SparkSession) -> str:
-    """The folder in spark.checkpoint.dir; a local one is set only where that is unset (tests)."""
+    """The folder in spark.checkpoint.dir; a local one is set only where that is unset and driver and executors are one process (tests)."""
     root = spark.conf.get("spark.checkpoint.dir", None)
     if root:
         return root
     sc = spark.sparkContext
     if not sc.getCheckpointDir():
+        if sc.master != "local" and not sc.master.startswith("local["):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that the driver and all executors share")
         local = tempfile.mkdtemp(prefix="folioflow-")
         atexit.register(shutil.rmtree, local, True)
         sc.setCheckpointDir(f"file://{local}")
@@ -46,10 +95,10 @@ def shared_root(spark: SparkSession) -> str:
 
 
 def write_table(df: DataFrame, name: str) -> str:
-    """Writes df as Parquet under the shared folder and returns its path. It goes when the driver ends."""
+    """Writes df as Parquet under the shared folder and returns its path. It goes with its scope, or when the driver ends."""
     path = f"{shared_root(df.sparkSession)}/folioflow/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
-    _KEPT.append((df.sparkSession, path))
+    _SCOPE.get().tables.append((df.sparkSession, path))
     return path
 
 
@@ -65,9 +114,8 @@ def release(spark: SparkSession, path: str) -> None:
 
 @atexit.register
 def _release_all() -> None:
-    for spark, path in _KEPT:
+    for scope in _OPEN:
         try:
-            if spark.sparkContext._jsc is not None:
-                release(spark, path)
+            scope.release()
         except Exception:  # noqa: BLE001 - the gateway may be gone already
             return
