@@ -33,7 +33,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from folioflow.llm import kernel as K
-from folioflow.llm.scratch import doc_remainder, materialize, ship, table
+from folioflow.llm.scratch import broadcast, doc_remainder, materialize, ship, table
 
 HEAD = 1 << 20
 SEEDS = 1000
@@ -138,7 +138,7 @@ def vocabulary(counts: DataFrame, head: int = HEAD, clustered: int = SEEDS) -> V
 
 def unit_pairs(texts: DataFrame, words: Vocabulary) -> np.ndarray:
     """Counts of neighbouring units over all texts."""
-    shared = texts.sparkSession.sparkContext.broadcast(words)
+    shared = broadcast(texts.sparkSession, words)
     size = words.end + 1
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -212,7 +212,7 @@ def exchange(pairs: np.ndarray, clustered: int, classes: int = CLASSES, rounds:
 
 def contexts(texts: DataFrame, words: Vocabulary, of: np.ndarray) -> DataFrame:
     """(word, key, n): how often each word stands after (key: the class) or before (size + class) a word of a class. No ends among the words."""
-    shared, size = texts.sparkSession.sparkContext.broadcast((words, of)), int(of.max()) + 1
+    shared, size = broadcast(texts.sparkSession, (words, of)), int(of.max()) + 1
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         (v, of), held, waiting = shared.value, [], 0
@@ -279,7 +279,7 @@ def word_classes(texts: DataFrame, words: Vocabulary, of: np.ndarray, joint: np.
     """(word, n, class) of all words: seeds as they are, the others after a round of exchange."""
     made = int(of[words.clustered])  # classes before those of shapes
     top = np.flatnonzero(words.units < words.clustered)
-    shared = texts.sparkSession.sparkContext.broadcast((words.hashes[top], of[words.units[top]], joint))
+    shared = broadcast(texts.sparkSession, (words.hashes[top], of[words.units[top]], joint))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seeds, seed_class, joint = shared.value
@@ -360,7 +360,7 @@ def linked(links: DataFrame, tail: DataFrame, made: int) -> DataFrame:
 
 def class_pairs(texts: DataFrame, words: Vocabulary, tail: DataFrame) -> np.ndarray:
     """Counts of neighbouring classes over all texts."""
-    shared = texts.sparkSession.sparkContext.broadcast(words)
+    shared = broadcast(texts.sparkSession, words)
     size = words.end + 1
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -411,7 +411,7 @@ def fit(texts: DataFrame, counts: DataFrame, head: int = HEAD, clustered: int =
 def score(docs: DataFrame, model: Model, tail: DataFrame) -> DataFrame:
     """Per row of docs (doc_id, text, held_out): n_tokens, n_known, train_tokens, base_score and score."""
     spark = docs.sparkSession
-    shared = spark.sparkContext.broadcast(model)
+    shared = broadcast(spark, model)
     names = ["row", "doc_id", "held_out", "n_tokens", "n_known", "base", "score", "word_a", "class_a", "word_b", "class_b"]
     kind = docs.schema["doc_id"].dataType
 

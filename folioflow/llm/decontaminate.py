@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from folioflow.llm import kernel as K
-from folioflow.llm.scratch import materialize, ship, table
+from folioflow.llm.scratch import broadcast, materialize, ship, table
 
 WINDOW = 10
 BLOCK_WORDS = 100_000
@@ -198,7 +198,7 @@ def scan(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, keep: list
 
 def _pass(state: DataFrame, automaton: Automaton, last: bool, rewrite: bool) -> DataFrame:
     """Adds the hits of one automaton to state (_text, _hits: word spans, _items, carried columns); the last pass reports them."""
-    shared = state.sparkSession.sparkContext.broadcast(automaton)
+    shared = broadcast(state.sparkSession, automaton)
     carried = state.columns[3:]
     names = [*carried, "n_words", "n_hit", "items", "hit_spans", *["cleaned"] * rewrite] if last else state.columns
 

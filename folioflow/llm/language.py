@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from folioflow.llm import kernel as K
-from folioflow.llm.scratch import doc_remainder, ship, table
+from folioflow.llm.scratch import broadcast, doc_remainder, ship, table
 
 SAMPLE_TEXTS = 256
 EXCERPT = 1500
@@ -104,7 +104,7 @@ def _coder(content: bytes, level: int):
 def classify(docs: DataFrame, content: list[tuple[str, bytes]], keep: list[str], text: str = "text", level: int = LEVEL) -> DataFrame:
     """The columns in keep, lang_pred, score and rejected."""
     ship(docs.sparkSession)
-    shared = docs.sparkSession.sparkContext.broadcast(content)
+    shared = broadcast(docs.sparkSession, content)
     names = [*keep, "lang_pred", "score", "rejected"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

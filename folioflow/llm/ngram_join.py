@@ -4,23 +4,25 @@ A text's set holds its distinct k-word shingles; two texts link when |A and B| /
 
 Method
 ------
-* Sets fall into bands of sizes that double. In band b the shingle domain is cut by hash into m_b
-  partitions. Linked sets of sizes a and b differ in at most (a + b)(q - p)/(q + p) shingles, so at most
-  that many partitions differ and all others hold equal shingles on both sides: the content of a
-  partition is a signature, and linked sets share many of them. A set signs in the band of its own size and, where
-  a linked set may be that large, in the next.
-* With NE non-empty partitions and at most d differing ones, NE - d signatures agree. Under one
-  global order of signatures the first d + 1 of each set must meet (the prefix rule), so only these are
-  emitted: the ones seen least in a sample of texts (1 in 6, by hash), then those of the most shingles. The order
+* Sets fall into bands of sizes that double. In band b the shingle domain is cut by hash into n_b partitions of the first level, and
+  each of these into `SECOND` of the second. Linked sets of sizes a and b differ in at most d = (a + b)(q - p)/(q + p) shingles. A
+  signature is a partition, a subset of all but one of its second-level parts, and what the set holds there: every subset is
+  enumerated, so a partition in which the sets differ in one shingle still gives an equal signature. A set signs in the band of its own
+  size and, where a linked set may be that large, in the next.
+* A differing shingle spoils two signatures, and a whole partition three, so at most e = d + min(d, n_b) of a set's signatures are not the
+  other set's. Under one global order of signatures the first e + 1 of each set must meet (the prefix rule), so only these are
+  emitted: the ones seen least in a sample of texts (1 in 12, by hash), then those of the most shingles. The order
   decides speed only; any order gives the same links. Passages that thousands of texts share thus leave
-  the index without being lost. A set with NE <= d also emits its empty partitions.
+  the index without being lost. Signatures of empty parts are left out; a set with no more than e others emits them too.
 * Texts with equal sets are one node, named by a 64-bit hash of the set.
-* Signatures travel packed in binary blocks. Nodes that share one form a group. Groups are
-  never expanded into all pairs: leader rounds test one member against those that are not yet in its
-  component; at the end the pairs between different components of a group are compared by sketch, in place.
-* A sketch has a bit for each of 2048 partitions: the parity of its shingles. The bits in which two sketches differ
-  are never more than the shingles in which the sets differ, so what it rules out is no link. Every pair
-  that is left is verified on whole sets.
+* Signatures travel packed in binary blocks, in as many buckets as their number asks for; those that very many texts of the sample
+  have travel as rows, so that none fills a bucket. Nodes that share a signature form a group.
+* A sketch has a bit for each of 2048 or more parts of the domain: the parity of its shingles there. The bits in which two sketches differ
+  are never more than the shingles in which the sets differ, so what it rules out is no link.
+* Groups are compared block by block by sketch, and never expanded into all pairs. First, in groups with many open pairs, each node gives
+  out its nearest of some leaders that are not in its component. Then, in all groups, each node outside the group's largest component gives
+  out its nearest few of other components; where that leaves candidates out, the group comes again with more. So the rows given out are a
+  constant times the rows read, and none is lost. Every pair given out is verified on whole sets.
 * Components of links between components: up to `EDGES` links in one task, more of them by large-star / small-star
   rounds in Spark. Both give the same labels.
 
@@ -32,6 +34,7 @@ empty result. Hash equality (64 bits) stands for equality of words and shingles.
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Iterator
 from functools import reduce
 
@@ -41,64 +44,81 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from folioflow.llm import kernel as K
-from folioflow.llm.scratch import materialize, ship, table
+from folioflow.llm.scratch import broadcast, carried, materialize, ship, table
 
 SHINGLE = 5
 P, Q = 75, 100
-SAMPLE = 6
+SAMPLE = 12
 HOT_LIMIT = 1 << 19
+#: Texts of the sample from which a signature travels as rows; signatures in a bucket.
+HEAVY = 256
+BUCKET_SIGS = 1 << 20
+#: Second-level parts of a partition, shingles of a full set in one, and the least number of partitions.
+SECOND, FILL, LEAST_PARTS = 3, 5.5, 6
 SKETCH_BITS = 2048
 #: A sketch takes the room of so many small rows in a broadcast.
 SKETCH_COST = 12
 BROADCAST_ROWS = 250_000
-STAR_ROUNDS = 6
-#: Comparisons of sketches for each member of a group up to which no further leader round is made; members in a task.
-COMPARE = 512
-GROUP_ROWS = 50_000
+#: Open pairs for each member of a group from which leaders are used, rounds of these, and leaders of a group.
+COMPARE, LEADER_ROUNDS, LEADERS = 256, 3, 128
+#: Members of a block, rows in a task, candidates that a node gives out at first and the factor of each further time, and pairs of one node in a task.
+BLOCK, TASK_ROWS, FIRST, MORE, SALT_ROWS = 1024, 16_384, 4, 16, 512
 EDGES = 1_000_000
 FLUSH = 1 << 19
 _KEY_BITS = np.uint64(40)
-_EMPTY = np.uint64(0xA0761D6478BD642F)
 
 
 # ---------------------------------------------------------------- signatures
 
 
 def bands(n: int, p: int, q: int) -> list[tuple[int, int, int]]:
-    """(largest size, partitions, differing partitions at most) of each band in which a set of size n signs."""
+    """(largest size, partitions, signatures at most that a linked set lacks) of each band in which a set of size n signs."""
     reach = n * q // p
     out, upper = [], 16
     while upper < n:
         upper *= 2
     while True:
-        parts = 64 if upper == 16 else int(upper / 2.4)
-        out.append((upper, parts, (n + min(reach, upper)) * (q - p) // (q + p)))
+        parts = max(LEAST_PARTS, int(upper / FILL))
+        differ = (n + min(reach, upper)) * (q - p) // (q + p)
+        out.append((upper, parts, differ + min(differ, parts)))
         if reach <= upper:
             return out
         upper *= 2
 
 
-def signatures(shingles: np.ndarray, upper: int, parts: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Of the non-empty partitions: their numbers, signatures and sizes."""
-    part = ((shingles >> np.uint64(32)) * np.uint64(parts)) >> np.uint64(32)
-    new = np.flatnonzero(np.concatenate([[True], part[1:] != part[:-1]]))
-    total = np.add.reduceat(K.mix(shingles), new)
-    return part[new], K.mix(total + K.mix(np.full(1, upper, np.uint64))), np.diff(np.append(new, len(shingles)))
+def signatures(shingles: np.ndarray, upper: int, parts: int) -> tuple[np.ndarray, np.ndarray]:
+    """The signatures of every partition and subset, and the number of shingles in each."""
+    cells = SECOND * parts
+    cell = (((shingles >> np.uint64(32)) * np.uint64(cells)) >> np.uint64(32)).astype(np.int64)
+    new = np.flatnonzero(np.concatenate([[True], cell[1:] != cell[:-1]]))
+    total, size = np.zeros(cells, np.uint64), np.zeros(cells, np.int64)
+    total[cell[new]] = np.add.reduceat(K.mix(shingles), new)
+    size[cell[new]] = np.diff(np.append(new, len(shingles)))
+    total, size = total.reshape(parts, SECOND), size.reshape(parts, SECOND)
+    # Subset j leaves part j out.
+    held, n = total.sum(axis=1, keepdims=True) - total, size.sum(axis=1, keepdims=True) - size
+    return K.mix(held + _subsets(upper, parts)).ravel(), n.ravel()
+
+
+@functools.cache
+def _subsets(upper: int, parts: int) -> np.ndarray:
+    return K.mix(np.arange(SECOND * parts, dtype=np.uint64) + np.uint64(upper << 32)).reshape(parts, SECOND)
 
 
 def chosen(shingles: np.ndarray, p: int, q: int, hot: tuple[np.ndarray, np.ndarray]) -> np.ndarray:
     """The signatures that a set emits, over all its bands."""
     out = []
-    for upper, parts, differ in bands(len(shingles), p, q):
-        at, sigs, sizes = signatures(shingles, upper, parts)
-        if len(sigs) <= differ:
-            empty = np.setdiff1d(np.arange(parts, dtype=np.uint64), at)
-            sigs = np.concatenate([sigs, K.mix(empty * _EMPTY + np.uint64(upper))])
-        elif len(sigs) > differ + 1:
+    for upper, parts, lacking in bands(len(shingles), p, q):
+        every, sizes = signatures(shingles, upper, parts)
+        filled = np.flatnonzero(sizes)
+        if len(filled) <= lacking:
+            out.append(every)
+            continue
+        sigs, rank = every[filled], 255 - np.minimum(sizes[filled], 255)
+        if len(hot[0]):
             where, hit = K.find(hot[0], sigs)
-            seen = np.where(hit, hot[1][where], 0) if len(hot[0]) else np.zeros(len(sigs), np.int64)
-            sigs = sigs[np.lexsort((sigs, -sizes, seen))[: differ + 1]]
-        out.append(sigs)
+            rank = rank + 256 * np.where(hit, hot[1][where], 0)
+        out.append(sigs[np.lexsort((sigs, rank))[: lacking + 1]])
     return np.concatenate(out)
 
 
@@ -107,16 +127,36 @@ def node_of(shingles: np.ndarray) -> int:
 
 
 def sketch_of(shingles: np.ndarray) -> bytes:
-    at = (K.mix(shingles) >> np.uint64(40)).astype(np.int64) % SKETCH_BITS
-    return np.packbits(np.bincount(at, minlength=SKETCH_BITS).astype(np.uint8) & 1).tobytes()
+    """Parities, of the more parts of the domain the larger the set is."""
+    bits = SKETCH_BITS
+    while bits < 4 * len(shingles) and bits < 1 << 16:
+        bits *= 2
+    at = (K.mix(shingles) >> np.uint64(40)).astype(np.int64) & (bits - 1)
+    return np.packbits(np.bincount(at, minlength=bits).astype(np.uint8) & 1, bitorder="little").tobytes()
+
+
+def folded(sketches: list[bytes]) -> np.ndarray:
+    """Sketches as rows of equal length, that of the shortest: parts that fall together add their parities."""
+    size = min(map(len, sketches), default=8)
+    if all(len(x) == size for x in sketches):
+        return np.frombuffer(b"".join(sketches), np.uint64).reshape(len(sketches), -1)
+    return np.stack([np.bitwise_xor.reduce(np.frombuffer(x, np.uint64).reshape(-1, size // 8), axis=0) for x in sketches])
 
 
 def node_sets(docs: DataFrame, k: int, p: int, q: int, sample: int = SAMPLE) -> DataFrame:
-    """One row per text (kind 0: doc_id, node, n, sketch), and signature counts of a sample of texts (kind 1: node is the signature)."""
+    """One row per text (kind 0: doc_id, text_hash, node, n, sketch), and signature counts of a sample of texts (kind 1: node is the signature)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names = ["kind", "doc_id", "node", "n", "sketch"]
+        names = ["kind", "doc_id", "text_hash", "node", "n", "sketch"]
         seen = K.Counter()
+
+        def counted() -> Iterator[pa.RecordBatch]:
+            keys, n = seen.result()
+            for a in range(0, len(keys), 1 << 17):
+                part = keys[a : a + (1 << 17)].view(np.int64)
+                none = pa.nulls(len(part), pa.int64())
+                yield pa.record_batch([pa.array(np.ones(len(part), np.int32)), none, none, pa.array(part), pa.array(n[a : a + (1 << 17)]), pa.nulls(len(part), pa.binary())], names)
+
         for batch in batches:
             picked = batch.column(2).to_numpy(zero_copy_only=False)
             for chunk in K.chunks(batch.column(1)):
@@ -126,19 +166,21 @@ def node_sets(docs: DataFrame, k: int, p: int, q: int, sample: int = SAMPLE) ->
                     nodes.append(node_of(s) if len(s) else None)
                     sketches.append(sketch_of(s) if len(s) > 2 else None)
                     if picked[chunk.lo + i] and len(s) > 2:
-                        sampled += [signatures(s, u, m)[1] for u, m, _ in bands(len(s), p, q)]
+                        for u, m, _ in bands(len(s), p, q):
+                            sigs, filled = signatures(s, u, m)
+                            sampled.append(sigs[filled > 0])
                 if sampled:
-                    seen.add(np.unique(np.concatenate(sampled)))
-                ids = batch.column(0).slice(chunk.lo, chunk.docs)
-                yield pa.record_batch([pa.array(np.zeros(len(sizes), np.int32)), ids.cast(pa.int64()), pa.array(nodes, pa.int64()), pa.array(sizes, pa.int64()), pa.array(sketches, pa.binary())], names)
-        keys, n = seen.result()
-        for a in range(0, len(keys), 1 << 17):
-            part = keys[a : a + (1 << 17)].view(np.int64)
-            yield pa.record_batch([pa.array(np.ones(len(part), np.int32)), pa.nulls(len(part), pa.int64()), pa.array(part), pa.array(n[a : a + (1 << 17)]), pa.nulls(len(part), pa.binary())], names)
+                    seen.add(np.concatenate(sampled))
+                    if len(seen.keys) > FLUSH:
+                        yield from counted()
+                        seen = K.Counter()
+                ids, hashes = (batch.column(c).slice(chunk.lo, chunk.docs) for c in (0, 3))
+                yield pa.record_batch([pa.array(np.zeros(len(sizes), np.int32)), ids, hashes, pa.array(nodes, pa.int64()), pa.array(sizes, pa.int64()), pa.array(sketches, pa.binary())], names)
+        yield from counted()
 
     ship(docs.sparkSession)
     picked = F.pmod(F.xxhash64("doc_id"), F.lit(sample)) == 0
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", picked.alias("picked")).mapInArrow(K.tidy(run), "kind int, doc_id long, node long, n long, sketch binary")
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", picked.alias("picked"), F.xxhash64("text").alias("text_hash")).mapInArrow(K.tidy(run), "kind int, doc_id long, text_hash long, node long, n long, sketch binary")
 
 
 def hot_signatures(sets: DataFrame, limit: int = HOT_LIMIT) -> tuple[np.ndarray, np.ndarray]:
@@ -182,9 +224,10 @@ def unpack(block: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return np.repeat(nodes, counts), np.repeat(sizes, counts), low.astype(np.uint64) | (high.astype(np.uint64) << np.uint64(32))
 
 
-def signed_blocks(docs: DataFrame, k: int, p: int, q: int, hot: tuple[np.ndarray, np.ndarray], buckets: int) -> DataFrame:
-    """Packed signatures of all nodes, each node once for each task that meets it."""
-    shared = docs.sparkSession.sparkContext.broadcast(hot)
+def signed(docs: DataFrame, k: int, p: int, q: int, hot: tuple[np.ndarray, np.ndarray], buckets: int) -> DataFrame:
+    """Signatures of all nodes, each node once for each task that meets it: packed (bucket, block), heavy ones as rows (gid, node, n)."""
+    shared = broadcast(docs.sparkSession, hot)
+    names = ["bucket", "block", "gid", "node", "n"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known: set[int] = set()
@@ -192,11 +235,19 @@ def signed_blocks(docs: DataFrame, k: int, p: int, q: int, hot: tuple[np.ndarray
         sizes: list[int] = []
         sigs: list[np.ndarray] = []
         waiting = 0
-
-        def flush() -> pa.RecordBatch:
-            owner = np.repeat(np.arange(len(sigs)), [len(s) for s in sigs])
-            b, blocks = pack(np.array(nodes, np.int64), np.array(sizes), owner, np.concatenate(sigs), buckets)
-            return pa.record_batch([pa.array(b, pa.int32()), pa.array(blocks, pa.binary())], ["bucket", "block"])
+        keys, times = shared.value
+        heavy = keys[times >= HEAVY]
+
+        def flush() -> Iterator[pa.RecordBatch]:
+            owner, every = np.repeat(np.arange(len(sigs)), [len(s) for s in sigs]), np.concatenate(sigs)
+            of, n = np.array(nodes, np.int64), np.array(sizes, np.int64)
+            _, rows = K.find(heavy, every)
+            at = owner[rows]
+            if len(at):
+                yield pa.record_batch([pa.nulls(len(at), pa.int32()), pa.nulls(len(at), pa.binary()), pa.array(every[rows].view(np.int64)), pa.array(of[at]), pa.array(n[at])], names)
+            b, blocks = pack(of, n, owner[~rows], every[~rows], buckets)
+            none = pa.nulls(len(b), pa.int64())
+            yield pa.record_batch([pa.array(b, pa.int32()), pa.array(blocks, pa.binary()), none, none, none], names)
 
         for batch in batches:
             for chunk in K.chunks(batch.column(0)):
@@ -206,15 +257,15 @@ def signed_blocks(docs: DataFrame, k: int, p: int, q: int, hot: tuple[np.ndarray
                     known.add(node)
                     nodes.append(node)
                     sizes.append(len(s))
-                    sigs.append(chosen(s, p, q, shared.value))
+                    sigs.append(chosen(s, p, q, (keys, times)))
                     waiting += len(sigs[-1])
                 if waiting > FLUSH:
-                    yield flush()
+                    yield from flush()
                     nodes, sizes, sigs, waiting = [], [], [], 0
         if sigs:
-            yield flush()
+            yield from flush()
 
-    return docs.select("text").mapInArrow(K.tidy(run), "bucket int, block binary")
+    return docs.select("text").mapInArrow(K.tidy(run), "bucket int, block binary, gid long, node long, n long")
 
 
 def groups(blocks: DataFrame) -> DataFrame:
@@ -236,7 +287,8 @@ def groups(blocks: DataFrame) -> DataFrame:
         take = np.repeat(new[many], count[many]) + np.arange(int(count[many].sum())) - np.repeat(np.cumsum(count[many]) - count[many], count[many])
         return pa.table({"gid": pa.array(np.repeat(gid[many], count[many]).view(np.int64)), "node": pa.array(node[take]), "n": pa.array(size[take].astype(np.int64))})
 
-    return blocks.groupBy("bucket").applyInArrow(run, "gid long, node long, n long").dropDuplicates(["gid", "node"])
+    packed = blocks.filter("bucket is not null").groupBy("bucket").applyInArrow(run, "gid long, node long, n long")
+    return packed.unionByName(blocks.filter("bucket is null").select("gid", "node", "n")).dropDuplicates(["gid", "node"])
 
 
 # ---------------------------------------------------------------- components
@@ -263,14 +315,14 @@ def _solve(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     yield pa.record_batch([pa.array(nodes), pa.array(nodes[label])], ["node", "label"])
 
 
-def components(edges: DataFrame, limit: int = EDGES) -> DataFrame:
-    """(node, label) of all nodes of edges (a, b), label the smallest node that can be reached."""
+def components(edges: DataFrame, count: int, limit: int = EDGES) -> DataFrame:
+    """(node, label) of all nodes of edges (a, b), at most count of them; label the smallest node that can be reached."""
     ship(edges.sparkSession)
     name = "stars"
-    pairs = materialize(edges.filter("a != b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")), name)
-    if pairs.count() <= limit:
+    pairs = edges.filter("a != b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
+    if count <= limit:
         return pairs.coalesce(1).mapInArrow(K.tidy(_solve), "node long, label long")
-    pairs, before = pairs.distinct(), None
+    pairs, before = materialize(pairs.distinct(), name), None
     while True:
         state = pairs.agg(F.count(F.lit(1)), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
         if state == before or not state[0]:
@@ -304,98 +356,153 @@ def _small(df: DataFrame, rows: int) -> DataFrame:
     return F.broadcast(df) if rows <= BROADCAST_ROWS else df
 
 
-def compared(rows: DataFrame, p: int, q: int, leaders: bool) -> DataFrame:
-    """Pairs (a, b) of nodes of a group (part, gid, node, n, label, sketch, lead) in different components that their sizes and sketches let link."""
+def dealt(state: DataFrame, open_: DataFrame, leaders: bool, turn: int) -> DataFrame:
+    """Members (gid, node, n, label) of open groups, dealt to cells of a block of probes and a block of members: gid, cell, probe, both, node, n, label.
+
+    Probes are some leaders, or all nodes outside the largest component. A member is in a cell for each block of probes, a probe in one for each
+    block of members. both: a member that is a probe as well.
+    """
+    rows = state.join(open_.select("gid", "members", "main", "main_size", "lead"), "gid")
+    if leaders:
+        share = F.pmod(F.xxhash64("node", "gid", F.lit(turn)), F.lit(1 << 30)).cast("double") / float(1 << 30)
+        probe, probes = (share * F.col("members") < LEADERS) | (F.col("node") == F.col("lead")), F.lit(1)
+    else:
+        probe, probes = F.col("label") != F.col("main"), F.col("members") - F.col("main_size")
+    blocks = lambda n: F.ceil(n / F.lit(float(BLOCK))).cast("int")
+    rows = rows.withColumns({"both": probe, "_p": blocks(probes), "_m": blocks(F.col("members"))})
+    h = F.xxhash64("gid", "node")
+    rows = rows.withColumns({"_i": F.pmod(h, F.col("_p")).cast("int"), "_j": F.pmod(h, F.col("_m")).cast("int")})
+    as_member = F.transform(F.sequence(F.lit(0), F.col("_p") - 1), lambda i: F.struct((i * F.col("_m") + F.col("_j")).alias("cell"), F.lit(False).alias("probe")))
+    as_probe = F.transform(F.sequence(F.lit(0), F.col("_m") - 1), lambda j: F.struct((F.col("_i") * F.col("_m") + j).alias("cell"), F.lit(True).alias("probe")))
+    cells = F.when(F.col("both"), F.concat(as_member, as_probe)).otherwise(as_member)
+    return rows.select("gid", "node", "n", "label", "both", F.inline(cells))
+
+
+def compared(rows: DataFrame, p: int, q: int, leaders: bool, most: int) -> DataFrame:
+    """Pairs (gid, a, b) of rows (part, gid, cell, probe, both, node, n, label, sketch) in different components that their sizes and sketches let link.
+
+    With leaders, the nearest probe of each member; else the `most` nearest members of each probe, and a row without a pair where there are more.
+    """
 
     def run(table: pa.Table) -> pa.Table:
-        gid, node, n, label = (table.column(c).to_numpy() for c in ("gid", "node", "n", "label"))
-        lead = table.column("lead").to_numpy()
-        sketch = np.frombuffer(b"".join(table.column("sketch").to_pylist()), np.uint64).reshape(len(gid), -1)
-        by = np.lexsort((node, n, gid))
-        gid, node, n, label, lead, sketch = gid[by], node[by], n[by], label[by], lead[by], sketch[by]
-        edges = np.flatnonzero(np.concatenate([[True], gid[1:] != gid[:-1], [True]])).tolist()
-        out_a, out_b = [], []
+        gid, cell, probe, both, node, n, label = (table.column(c).to_numpy() for c in ("gid", "cell", "probe", "both", "node", "n", "label"))
+        by = np.lexsort((n, probe, cell, gid))
+        gid, cell, probe, both, node, n, label = (x[by] for x in (gid, cell, probe, both, node, n, label))
+        sketches = table.column("sketch").take(pa.array(by))
+        edges = np.flatnonzero(np.concatenate([[True], (gid[1:] != gid[:-1]) | (cell[1:] != cell[:-1]), [True]])).tolist()
+        out: list[tuple] = []
+        cut = set()
         for lo, hi in zip(edges[:-1], edges[1:], strict=True):
-            if leaders:
-                heads = [(int(np.flatnonzero(node[lo:hi] == lead[lo])[0]) + lo, lo)]
-            else:
-                heads = [(i, i + 1) for i in range(lo, hi - 1)]
-            for i, start in heads:
-                last = lo + int(np.searchsorted(n[lo:hi], n[i] * q // p, "right"))
-                start = max(start, lo + int(np.searchsorted(n[lo:hi], -(-n[i] * p // q))))
-                others = np.flatnonzero(label[start:last] != label[i]) + start
-                if len(others):
-                    bits = np.bitwise_count(sketch[others] ^ sketch[i]).sum(axis=1)
-                    others = others[bits <= (n[others] + n[i]) * (q - p) // (q + p)]
-                    out_a.append(np.minimum(node[others], node[i]))
-                    out_b.append(np.maximum(node[others], node[i]))
-        pairs = np.unique(np.stack([np.concatenate([*out_a, np.zeros(0, np.int64)]), np.concatenate([*out_b, np.zeros(0, np.int64)])]), axis=1)
-        return pa.table({"a": pa.array(pairs[0], pa.int64()), "b": pa.array(pairs[1], pa.int64())})
-
-    return rows.groupBy("part").applyInArrow(run, "a long, b long").distinct()
-
-
-def _verified(docs: DataFrame, pairs: DataFrame, nodes: DataFrame, k: int, p: int, q: int) -> DataFrame:
-    """Pairs (a, b) with whether they link, on whole sets, which are made again from the texts that are needed."""
-    count = pairs.count()
-    pairs = _small(pairs, count)
+            first = lo + int(np.count_nonzero(~probe[lo:hi]))  # members, then probes
+            if first == hi or first == lo:
+                continue
+            sketch = folded(sketches.slice(lo, hi - lo).to_pylist())
+            size, found = n[lo:first], []
+            for i in range(first, hi):
+                start, last = np.searchsorted(size, -(-n[i] * p // q)), np.searchsorted(size, n[i] * q // p, "right")
+                others = slice(lo + int(start), lo + int(last))
+                at = np.flatnonzero((label[others] != label[i]) & (~both[others] | (node[others] > node[i]))) + others.start
+                if len(at):
+                    bits = np.bitwise_count(sketch[at - lo] ^ sketch[i - lo]).sum(axis=1)
+                    near = bits <= (n[at] + n[i]) * (q - p) // (q + p)
+                    at, bits = at[near], bits[near]
+                    if not leaders and len(at) > most:
+                        cut.add(int(gid[lo]))
+                        keep = np.argpartition(bits, most)[:most]
+                        at, bits = at[keep], bits[keep]
+                    found.append((at, np.full(len(at), i), bits))
+            if found:
+                at, i, bits = (np.concatenate(x) for x in zip(*found, strict=True))
+                if leaders:
+                    best = np.lexsort((bits, at))
+                    best = best[np.concatenate([[True], at[best][1:] != at[best][:-1]])[: len(best)]]
+                    at, i = at[best], i[best]
+                out.append((gid[at], np.minimum(node[at], node[i]), np.maximum(node[at], node[i])))
+        ids, a, b = (np.concatenate(x) for x in zip(*out, strict=True)) if out else [np.zeros(0, np.int64)] * 3
+        more = pa.array(sorted(cut), pa.int64())
+        none = pa.nulls(len(more), pa.int64())
+        return pa.table({c: pa.concat_arrays([pa.array(x, pa.int64()), y]) for c, x, y in (("gid", ids, more), ("a", a, none), ("b", b, none))})
+
+    return rows.groupBy("part").applyInArrow(run, "gid long, a long, b long")
+
+
+def _verified(docs: DataFrame, pairs: DataFrame, count: int, nodes: DataFrame, k: int, p: int, q: int) -> DataFrame:
+    """Pairs (a, b), count of them, with whether they link, on whole sets, which are made again from the texts that are needed.
+
+    A node of many pairs goes to as many tasks as these ask for.
+    """
     ends = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
     wanted = nodes.join(_small(ends, 2 * count), "node", "left_semi").select(F.col("class_id").alias("wanted")).distinct()
-    sets = _sets_of(docs, wanted, k, 2 * count)
-    with_b = sets.select(F.col("node").alias("b"), F.col("shingles").alias("_sb")).join(pairs, "b")
-    both = with_b.join(sets.select(F.col("node").alias("a"), F.col("shingles").alias("_sa")).join(_small(pairs.select("a").distinct(), count), "a", "left_semi"), "a")
+    sets = materialize(_sets_of(docs, wanted, k, 2 * count), "node_sets").dropDuplicates(["node"])
+    shares = pairs.groupBy("a").agg(F.ceil(F.count(F.lit(1)) / float(SALT_ROWS)).cast("int").alias("_n"))
+    salted = pairs.join(_small(shares, count), "a").select("a", "b", F.pmod(F.xxhash64("a", "b"), F.col("_n")).cast("int").alias("_s"))
+    of_b = sets.select(F.col("node").alias("b"), F.col("shingles").alias("_sb")).join(salted, "b")
+    of_a = sets.select(F.col("node").alias("a"), F.col("shingles").alias("_sa")).join(_small(shares, count), "a")
+    both = of_b.join(of_a.select("a", "_sa", F.explode(F.sequence(F.lit(0), F.col("_n") - 1)).alias("_s")), ["a", "_s"])
     shared = F.size(F.array_intersect("_sa", "_sb"))
-    return both.select("a", "b", (q * shared >= p * (F.size("_sa") + F.size("_sb") - shared)).alias("link")).distinct()
+    return both.select("a", "b", (q * shared >= p * (F.size("_sa") + F.size("_sb") - shared)).alias("link"))
 
 
 def near_components(docs: DataFrame, k: int = SHINGLE, p: int = P, q: int = Q) -> DataFrame:
-    """Per row of docs (doc_id, text): doc_id, n_shingles, node and component_id."""
-    spark = docs.sparkSession
+    """Per row of docs (doc_id, text): doc_id, text_hash, n_shingles, node, component_id, and kept_hash: the text hash of the component's first row."""
     sets = materialize(node_sets(docs, k, p, q), "sets")
-    texts = sets.filter("kind = 0").select("doc_id", "node", F.col("n").alias("n_shingles"))
-    classes = texts.filter("node is not null").groupBy("node").agg(F.min("doc_id").alias("class_id"))
-    buckets = max(64, 2 * int(spark.conf.get("spark.sql.shuffle.partitions")))
-    members = materialize(groups(signed_blocks(docs, k, p, q, hot_signatures(sets), buckets)), "groups")
+    texts = sets.filter("kind = 0").select("doc_id", "text_hash", "node", F.col("n").alias("n_shingles"))
+    rank = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_hash")
+    classes = texts.filter("node is not null").groupBy("node").agg(F.min(rank).alias("first")).withColumn("class_id", F.col("first.doc_id"))
+    total = sets.filter("kind = 0").agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n")).first()["n"]
+    members = materialize(groups(materialize(signed(docs, k, p, q, hot_signatures(sets), max(64, 2 * total // BUCKET_SIGS)), "signed")), "groups")
     # Tables that many copies join are written first: a join of two plain shuffles is one whose hot keys Spark can split.
     grouped = materialize(members.select("node").distinct().join(classes, "node").select(F.col("node").alias("_n"), "class_id"), "grouped")
     named = sets.filter("kind = 0").join(grouped, (F.col("node") == F.col("_n")) & F.col("doc_id").eqNullSafe(F.col("class_id")))
     nodes = materialize(named.select("node", "class_id", "n", "sketch").dropDuplicates(["node"]), "nodes")
     labels = _link(docs, members, nodes, k, p, q)
-    least = labels.join(classes, "node").groupBy("label").agg(F.min("class_id").alias("least"))
-    named = materialize(classes.join(labels.join(least, "label").select("node", "least"), "node", "left").select("node", F.coalesce("least", "class_id").alias("component_id")), "named")
-    return texts.join(named, "node", "left").select("doc_id", "n_shingles", "node", F.when(F.col("node").isNull(), F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"))
+    least = labels.join(classes, "node").groupBy("label").agg(F.min("first").alias("least"))
+    named = materialize(classes.join(labels.join(least, "label").select("node", "least"), "node", "left").select("node", F.coalesce("least", "first").alias("least")), "named")
+    joined = texts.join(named, "node", "left")
+    of = lambda c: F.when(F.col("node").isNull(), F.col(c)).otherwise(F.col(f"least.{c}"))
+    return joined.select("doc_id", "text_hash", "n_shingles", "node", of("doc_id").alias("component_id"), of("text_hash").alias("kept_hash"))
 
 
 def _link(docs: DataFrame, members: DataFrame, nodes: DataFrame, k: int, p: int, q: int) -> DataFrame:
-    """Labels of nodes by component: leader rounds, then every pair still open between components of a group."""
+    """Labels of nodes by component."""
     labels = nodes.select("node", F.col("node").alias("label"))
-    total, count = members.count(), nodes.count()
+    count = nodes.count()
     sketches = _small(nodes.select("node", "sketch"), SKETCH_COST * count)
-    parts = max(64, total // GROUP_ROWS)
     tested: list[DataFrame] = []
-    for turn in range(STAR_ROUNDS + 1):
-        state = members.join(_small(labels, count), "node")
-        sizes = state.groupBy("gid", "label").agg(F.count(F.lit(1)).cast("double").alias("size"), F.min(F.struct(F.xxhash64("node", F.lit(turn)).alias("h"), "node")).alias("first"))
-        all_ = F.sum("size")
-        open_ = sizes.groupBy("gid").agg(((all_ * all_ - F.sum(F.col("size") ** 2)) / 2).alias("pairs"), F.max(F.struct("size", F.col("first.h").alias("h"), F.col("first.node").alias("node"))).alias("top"))
-        open_ = materialize(open_.filter("pairs > 0").select("gid", "pairs", F.col("top.node").alias("lead")), "open")
-        left = open_.agg(F.coalesce(F.sum("pairs"), F.lit(0)).alias("pairs")).first()["pairs"]
-        if not left:
+    turn, most, todo = 0, FIRST, members
+    while True:
+        state = todo.join(_small(labels, count), "node")
+        sizes = state.groupBy("gid", "label").agg(F.count(F.lit(1)).alias("size"), F.min(F.struct(F.xxhash64("node", F.lit(turn)).alias("h"), "node")).alias("first"))
+        all_, double = F.sum("size"), F.col("size").cast("double")
+        open_ = sizes.groupBy("gid").agg(all_.alias("members"), ((all_.cast("double") ** 2 - F.sum(double * double)) / 2).alias("pairs"), F.max(F.struct("size", "label")).alias("top"), F.min("first").alias("lead"))
+        open_ = materialize(open_.filter("pairs > 0").select("gid", "members", "pairs", F.col("top.label").alias("main"), F.col("top.size").alias("main_size"), F.col("lead.node").alias("lead")), "open")
+        large = open_.filter(F.col("pairs") > COMPARE * F.col("members"))
+        leaders = turn < LEADER_ROUNDS and not large.isEmpty()
+        chosen_ = large if leaders else open_
+        cells = F.lit(1.0) if leaders else F.ceil((F.col("members") - F.col("main_size")) / float(BLOCK))
+        total = chosen_.agg(F.count(F.lit(1)).alias("n"), F.sum(F.col("members") * cells).alias("rows")).first()
+        if not total["n"]:
             break
-        last = turn > 0 and left <= COMPARE * total or turn == STAR_ROUNDS
-        rows = state.join(open_.select("gid", "lead"), "gid").withColumn("part", F.pmod("gid", F.lit(parts)))
-        pairs = compared(rows.join(sketches, "node"), p, q, leaders=not last)
+        rows = dealt(state, _small(chosen_, total["n"]), leaders, turn).withColumn("part", F.pmod(F.xxhash64("gid", "cell"), F.lit(max(64, int(2 * total["rows"]) // TASK_ROWS))))
+        found = materialize(compared(rows.join(sketches, "node"), p, q, leaders, most), "pairs")
+        pairs = found.filter("a is not null").select("a", "b").distinct()
         if tested:
             pairs = pairs.join(reduce(DataFrame.union, tested), ["a", "b"], "left_anti")
-        seen = materialize(_verified(docs, materialize(pairs, "pairs"), nodes, k, p, q), "tested")
-        tested.append(seen.select("a", "b"))
-        of_a = labels.select(F.col("node").alias("a"), F.col("label").alias("la"))
-        of_b = labels.select(F.col("node").alias("b"), F.col("label").alias("lb"))
-        merged = components(seen.filter("link").join(of_a, "a").join(of_b, "b").select(F.col("la").alias("a"), F.col("lb").alias("b")))
-        merged = merged.select(F.col("node").alias("label"), F.col("label").alias("to"))
-        labels = materialize(labels.join(merged, "label", "left").select("node", F.coalesce("to", "label").alias("label")), "labels")
-        if last:
-            break
+        seen = found.agg(F.count("a").alias("pairs"), F.count_if(F.col("a").isNull()).alias("cut")).first()
+        checked = materialize(_verified(docs, pairs, seen["pairs"], nodes, k, p, q), "tested")
+        tested.append(checked.select("a", "b"))
+        links = checked.filter("link")
+        if number := links.count():
+            of_a = labels.select(F.col("node").alias("a"), F.col("label").alias("la"))
+            of_b = labels.select(F.col("node").alias("b"), F.col("label").alias("lb"))
+            merged = components(links.join(_small(of_a, count), "a").join(_small(of_b, count), "b").select(F.col("la").alias("a"), F.col("lb").alias("b")), number)
+            merged = merged.select(F.col("node").alias("label"), F.col("label").alias("to"))
+            labels = materialize(labels.join(_small(merged, number), "label", "left").select("node", F.coalesce("to", "label").alias("label")), "labels")
+        turn += 1
+        if not leaders:
+            if not seen["cut"]:
+                break
+            todo, most = todo.join(_small(found.filter("a is null").select("gid").distinct(), seen["cut"]), "gid", "left_semi"), MORE * most
     return labels
 
 
@@ -404,20 +511,20 @@ def query(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def keep_one(docs: DataFrame) -> DataFrame:
-    """docs without all but one row of each component: the one with the smallest id. Rows without words all stay."""
+    """docs without all but one row of each component: the one with the smallest id (of equal ids, by text hash). Rows without words all stay."""
+    rows, restored = carried(docs)
     found = materialize(near_components(docs.select("doc_id", "text")), "components")
-    worded = found.filter("node is not null")
-    drop = worded.filter(~F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("drop_id")).distinct()
-    drop = materialize(drop, "drop")
-    gone = F.broadcast(drop) if drop.count() <= BROADCAST_ROWS else drop
-    kept = docs.join(gone, F.col("doc_id").cast("long").eqNullSafe(F.col("drop_id")), "left_anti")
-    twice = materialize(worded.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select(F.col("doc_id").alias("twice_id")), "twice")
-    if twice.isEmpty():
-        return kept
-    # Rows that share an id: the first of equal texts stays.
-    same = F.col("doc_id").cast("long").eqNullSafe(F.col("twice_id"))
-    others = twice if twice.count() > BROADCAST_ROWS else F.broadcast(twice)
-    return kept.join(others, same, "left_anti").unionByName(kept.join(others, same, "left_semi").dropDuplicates(["doc_id", "text"]))
+    worded = found.filter("node is not null").select(F.col("doc_id").alias("d"), F.col("text_hash").alias("h"), (F.col("doc_id").eqNullSafe(F.col("component_id")) & F.col("text_hash").eqNullSafe(F.col("kept_hash"))).alias("first"))
+    drop = materialize(worded.filter("not first").select("d", "h").distinct(), "drop")
+    rows = rows.withColumns({"doc": F.col(restored["doc_id"]).cast("long"), "hash": F.xxhash64(restored["text"])})
+    same = F.col("doc").eqNullSafe(F.col("d")) & (F.col("hash") == F.col("h"))
+    kept = rows.join(_small(drop, drop.count()), same, "left_anti")
+    twice = materialize(worded.filter("first").groupBy("d", "h").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("d", "h"), "twice")
+    if not twice.isEmpty():
+        # Repeated rows: one of them stays.
+        others = _small(twice, twice.count())
+        kept = kept.join(others, same, "left_anti").unionByName(kept.join(others, same, "left_semi").dropDuplicates(["doc", "hash"]))
+    return kept.select(*(F.col(v).alias(c) for c, v in restored.items()))
 
 
 ORACLE_SQL = r"""

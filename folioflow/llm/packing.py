@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from folioflow.llm import kernel as K
-from folioflow.llm.scratch import materialize, ship, table, with_rank
+from folioflow.llm.scratch import broadcast, materialize, ship, table, with_rank
 
 CAPACITY = 1024
 END = 2
@@ -291,7 +291,7 @@ def pack(found: DataFrame, capacity: int = CAPACITY, groups: int = GROUPS, chunk
     for row in found.groupBy("length").agg(F.count(F.lit(1)).alias("n")).collect():
         histogram[row["length"]] = row["n"]
     made = plan(histogram, capacity, groups)
-    shared = spark.sparkContext.broadcast(made.arrays())
+    shared = broadcast(spark, made.arrays())
     ranked = with_rank(found, ["length"], ["doc_id", "piece", "ids_crc32"], "rank", chunks)
     carried = found.columns
     names = [*carried, "sequence_id", "offset"]

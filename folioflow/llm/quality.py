@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from folioflow.llm import kernel as K
-from folioflow.llm.scratch import materialize, ship, table
+from folioflow.llm.scratch import broadcast, materialize, ship, table
 
 ORDER = 5
 #: Counts that the driver takes at once; a language is never split.
@@ -268,7 +268,7 @@ def measure(docs: DataFrame, model: KneserNey, keep: list[str], text: str = "tex
     """The columns in keep, the base metrics, n_events (bytes predicted) and bits (mean bits a byte; null without words)."""
     spark = docs.sparkSession
     ship(spark)
-    shared = spark.sparkContext.broadcast(model)
+    shared = broadcast(spark, model)
     kept = docs.select(*keep).schema
     names = [*keep, *METRICS, "n_events", "bits"]
 

@@ -7,9 +7,9 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from folioflow import session
-from folioflow.session import materialize
+from folioflow.session import broadcast, materialize
 
-__all__ = ["doc_remainder", "materialize", "ship", "table", "with_rank"]
+__all__ = ["broadcast", "carried", "doc_remainder", "kinds", "materialize", "ship", "table", "with_rank"]
 
 #: Rows of whole texts in an Arrow batch. Spark's default of 10,000 fits short rows.
 BATCH_ROWS = 1000
@@ -23,6 +23,17 @@ def ship(spark: SparkSession) -> None:
         spark.conf.set(_BATCH_KEY, BATCH_ROWS)
 
 
+def carried(docs: DataFrame) -> tuple[DataFrame, dict[str, str]]:
+    """docs with every column under a name of its own, and these names by the given ones: so no column of docs can clash with one that is added."""
+    names = {c: f"_k{i}" for i, c in enumerate(docs.columns)}
+    return docs.toDF(*names.values()), names
+
+
+def kinds(df: DataFrame, columns: list[str]) -> str:
+    """DDL of some columns of df."""
+    return ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.select(*columns).schema)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

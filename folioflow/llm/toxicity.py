@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from folioflow.llm import kernel as K
-from folioflow.llm.scratch import doc_remainder, materialize, ship, table
+from folioflow.llm.scratch import broadcast, doc_remainder, materialize, ship, table
 
 LEAST = 4
 STRONG = 2.0
@@ -212,7 +212,7 @@ def doc_features(chunk: K.Chunk, decode: Decoder) -> tuple[np.ndarray, np.ndarra
 
 def _text_counts(texts: DataFrame, decode: Decoder, wanted: np.ndarray | None) -> DataFrame:
     """(feature, n): the texts that have each feature; only the wanted (sorted) ones, if given."""
-    shared = texts.sparkSession.sparkContext.broadcast((decode, wanted))
+    shared = broadcast(texts.sparkSession, (decode, wanted))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         d, only = shared.value
@@ -315,7 +315,7 @@ def fit(docs: DataFrame, labels: DataFrame, least: int = LEAST, candidates: int
     weight = np.log((t + 0.5) / (toxic + 1)) - np.log((n + 0.5) / (clean + 1))
     strong = weight >= STRONG
     model = Model(decode, keys[strong], weight[strong], np.zeros(4))
-    shared = spark.sparkContext.broadcast(model)
+    shared = broadcast(spark, model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -337,7 +337,7 @@ def fit(docs: DataFrame, labels: DataFrame, least: int = LEAST, candidates: int
 def score(docs: DataFrame, model: Model, keep: list[str]) -> DataFrame:
     """The columns in keep and score, of every row."""
     ship(docs.sparkSession)
-    shared = docs.sparkSession.sparkContext.broadcast(model)
+    shared = broadcast(docs.sparkSession, model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -352,7 +352,7 @@ def score(docs: DataFrame, model: Model, keep: list[str]) -> DataFrame:
 def restore(docs: DataFrame, decode: Decoder, keep: list[str]) -> DataFrame:
     """The columns in keep and `restored`: the lower-cased text with disguised words in their restored form."""
     ship(docs.sparkSession)
-    shared = docs.sparkSession.sparkContext.broadcast(decode)
+    shared = broadcast(docs.sparkSession, decode)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         d = shared.value

@@ -389,6 +389,51 @@ def test_near_components_at_the_threshold(spark):
     assert sorted(map(tuple, got)) == sorted(brute.components(rows))
 
 
+def test_a_large_group_of_near_copies_gives_out_few_rows(spark, monkeypatch):
+    """5,000 near copies of one text, many of their pairs at the threshold: links as by whole sets, and no more than a constant of rows for each row read."""
+    rng = np.random.default_rng(41)
+    base = [f"w{i}" for i in range(120)]
+    rows, kept = [], np.ones((5000, 116), np.float32)
+    for i in range(5000):
+        words = list(base)
+        for at in rng.choice(120, rng.integers(1, 5), replace=False):
+            words[at] = f"x{i}y{at}"
+            kept[i, max(0, at - 4) : at + 1] = 0
+        rows.append((i, " ".join(words)))
+    counted = []
+    compared = ngram_join.compared
+
+    def counting(given, *args):
+        out = compared(given, *args).cache()
+        counted.append((given.count(), out.count()))
+        return out
+
+    monkeypatch.setattr(ngram_join, "compared", counting)
+    got = ngram_join.near_components(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert counted and all(made <= 4 * read for read, made in counted) and sum(made for _, made in counted) < 5000 * 5000 / 20
+    label, shared = np.arange(5000), kept @ kept.T
+    linked = 100 * shared >= 75 * (232 - shared)
+    np.fill_diagonal(linked, True)
+    while True:
+        new = np.array([label[x].min() for x in linked])
+        if (new == label).all():
+            break
+        label = new
+    assert {r["doc_id"]: r["component_id"] for r in got} == dict(enumerate(label.tolist()))
+
+
+def test_signatures_leave_one_part_of_a_partition_out():
+    rng = random.Random(43)
+    a = np.unique(np.array([rng.getrandbits(64) for _ in range(200)], np.uint64))
+    (upper, parts, _), *_ = ngram_join.bands(len(a), 75, 100)
+    mine, sizes = ngram_join.signatures(a, upper, parts)
+    assert len(mine) == ngram_join.SECOND * parts and sizes.sum() == (ngram_join.SECOND - 1) * len(a)
+    for i in range(0, 200, 7):  # without one shingle, a partition keeps the subset that leaves its part out
+        other, _ = ngram_join.signatures(np.delete(a, i), upper, parts)
+        same = (mine == other).reshape(parts, -1).sum(axis=1)
+        assert sorted(same.tolist()) == [1, *[ngram_join.SECOND] * (parts - 1)]
+
+
 def test_linked_sets_share_a_signature():
     rng = random.Random(19)
     none = (np.zeros(0, np.uint64), np.zeros(0, np.int64))
@@ -407,7 +452,7 @@ def test_linked_sets_share_a_signature():
 def test_components_by_either_way(spark, limit):
     rng = random.Random(23)
     edges = [(rng.randrange(80), rng.randrange(80)) for _ in range(50)] + [(i, i + 1) for i in range(200, 230)]
-    got = {tuple(r) for r in ngram_join.components(spark.createDataFrame(edges, "a long, b long"), limit).collect()}
+    got = {tuple(r) for r in ngram_join.components(spark.createDataFrame(edges, "a long, b long"), len(edges), limit).collect()}
     parent = {}
     find = lambda x: x if parent.setdefault(x, x) == x else find(parent[x])
     for a, b in edges:
@@ -423,6 +468,14 @@ def test_keep_one(spark, odd):
     assert sorted(kept, key=lambda x: (x is not None, x)) == sorted(want, key=lambda x: (x is not None, x))
 
 
+def test_keep_one_of_rows_that_share_an_id(spark):
+    """Row (5, A) is alone in its component and stays, though (5, B) goes."""
+    a, c = (" ".join(f"{x}{i}" for i in range(40)) for x in "ac")
+    rows = [(3, c), (5, a), (5, c + " more"), (7, a + " a1 a2"), (7, a + " a1 a2"), (9, None), (9, "")]
+    kept = ngram_join.keep_one(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert sorted((r["doc_id"], r["text"] or "") for r in kept) == [(3, c), (5, a), (9, ""), (9, "")]
+
+
 # ---------------------------------------------------------------- language model
 
 
