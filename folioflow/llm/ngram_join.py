@@ -62,10 +62,10 @@ BROADCAST_ROWS = 250_000
 #: Open pairs for each member of a group from which leaders are used, rounds of these, and leaders of a group.
 COMPARE, LEADER_ROUNDS, LEADERS = 256, 3, 128
 #: Members of a block, rows in a task, candidates that a node gives out at first and the factor of each further time, and pairs of one node in a task.
-BLOCK, TASK_ROWS, FIRST, MORE, SALT_ROWS = 1024, 16_384, 4, 16, 512
+BLOCK, TASK_ROWS, FIRST, MORE, SALT_ROWS = 1024, 16_384, 4, 64, 512
 EDGES = 1_000_000
 FLUSH = 1 << 19
-_KEY_BITS = np.uint64(40)
+_KEY_BITS = np.uint64(32)
 
 
 # ---------------------------------------------------------------- signatures
@@ -105,8 +105,27 @@ def _subsets(upper: int, parts: int) -> np.ndarray:
     return K.mix(np.arange(SECOND * parts, dtype=np.uint64) + np.uint64(upper << 32)).reshape(parts, SECOND)
 
 
-def chosen(shingles: np.ndarray, p: int, q: int, hot: tuple[np.ndarray, np.ndarray]) -> np.ndarray:
-    """The signatures that a set emits, over all its bands."""
+class Hot:
+    """How many texts of the sample have each of the signatures that several have. A table of flags spares most searches."""
+
+    BITS = np.uint64(42)
+
+    def __init__(self, keys: np.ndarray, times: np.ndarray):
+        self.keys, self.times = keys, np.minimum(times, 4095)
+        self.flags = np.zeros(1 << 22, bool)
+        self.flags[keys >> self.BITS] = True
+        self.heavy = keys[times >= HEAVY]
+
+    def of(self, sigs: np.ndarray) -> np.ndarray:
+        out = np.zeros(len(sigs), np.uint64)
+        maybe = np.flatnonzero(self.flags[sigs >> self.BITS])
+        where, hit = K.find(self.keys, sigs[maybe])
+        out[maybe[hit]] = self.times[where[hit]]
+        return out
+
+
+def chosen(shingles: np.ndarray, p: int, q: int, hot: Hot) -> np.ndarray:
+    """The signatures that a set emits, over all its bands. Their order: times in the sample, then size, then 44 bits of their hash."""
     out = []
     for upper, parts, lacking in bands(len(shingles), p, q):
         every, sizes = signatures(shingles, upper, parts)
@@ -114,11 +133,9 @@ def chosen(shingles: np.ndarray, p: int, q: int, hot: tuple[np.ndarray, np.ndarr
         if len(filled) <= lacking:
             out.append(every)
             continue
-        sigs, rank = every[filled], 255 - np.minimum(sizes[filled], 255)
-        if len(hot[0]):
-            where, hit = K.find(hot[0], sigs)
-            rank = rank + 256 * np.where(hit, hot[1][where], 0)
-        out.append(sigs[np.lexsort((sigs, rank))[: lacking + 1]])
+        sigs, rank = every[filled], np.uint64(255) - np.minimum(sizes[filled], 255).astype(np.uint64)
+        order = (((hot.of(sigs) << np.uint64(8)) | rank) << np.uint64(44)) | (sigs >> np.uint64(20))
+        out.append(sigs[np.argpartition(order, lacking)[: lacking + 1]])
     return np.concatenate(out)
 
 
@@ -193,10 +210,10 @@ def hot_signatures(sets: DataFrame, limit: int = HOT_LIMIT) -> tuple[np.ndarray,
 
 
 def pack(nodes: np.ndarray, sizes: np.ndarray, owner: np.ndarray, sigs: np.ndarray, buckets: int) -> tuple[list[int], list[bytes]]:
-    """Blocks by bucket: the nodes with a signature there, their sizes and numbers of signatures, and 40 bits of each signature."""
+    """Blocks by bucket: the nodes with a signature there, their sizes and numbers of signatures, and 32 bits of each signature. The bucket stands for further ones."""
     bucket = ((sigs >> _KEY_BITS) % np.uint64(buckets)).astype(np.int64)
     by = np.argsort(bucket, kind="stable")
-    bucket, owner, key = bucket[by], owner[by], sigs[by] & np.uint64((1 << 40) - 1)
+    bucket, owner, key = bucket[by], owner[by], sigs[by].astype(np.uint32)
     edges = np.searchsorted(bucket, np.arange(buckets + 1))
     out_b, out = [], []
     for b in range(buckets):
@@ -208,7 +225,7 @@ def pack(nodes: np.ndarray, sizes: np.ndarray, owner: np.ndarray, sigs: np.ndarr
             part = key[lo:hi]
             head = np.array([len(mine), hi - lo], np.uint32)
             out_b.append(b)
-            out.append(b"".join((head.tobytes(), nodes[mine].tobytes(), sizes[mine].astype(np.uint32).tobytes(), counts.tobytes(), part.astype(np.uint32).tobytes(), (part >> np.uint64(32)).astype(np.uint8).tobytes())))
+            out.append(b"".join((head.tobytes(), nodes[mine].tobytes(), sizes[mine].astype(np.uint32).tobytes(), counts.tobytes(), part.tobytes())))
     return out_b, out
 
 
@@ -219,13 +236,11 @@ def unpack(block: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     nodes = np.frombuffer(block, np.int64, n, at)
     sizes = np.frombuffer(block, np.uint32, n, at := at + 8 * int(n))
     counts = np.frombuffer(block, np.uint32, n, at := at + 4 * int(n))
-    low = np.frombuffer(block, np.uint32, s, at := at + 4 * int(n))
-    high = np.frombuffer(block, np.uint8, s, at + 4 * int(s))
-    return np.repeat(nodes, counts), np.repeat(sizes, counts), low.astype(np.uint64) | (high.astype(np.uint64) << np.uint64(32))
+    return np.repeat(nodes, counts), np.repeat(sizes, counts), np.frombuffer(block, np.uint32, s, at + 4 * int(n))
 
 
 def signed(docs: DataFrame, k: int, p: int, q: int, hot: tuple[np.ndarray, np.ndarray], buckets: int) -> DataFrame:
-    """Signatures of all nodes, each node once for each task that meets it: packed (bucket, block), heavy ones as rows (gid, node, n)."""
+    """Signatures of all nodes, each node once for each task that meets it: packed (bucket, block), heavy ones as rows (gid, node, n) of negative buckets."""
     shared = broadcast(docs.sparkSession, hot)
     names = ["bucket", "block", "gid", "node", "n"]
 
@@ -235,16 +250,15 @@ def signed(docs: DataFrame, k: int, p: int, q: int, hot: tuple[np.ndarray, np.nd
         sizes: list[int] = []
         sigs: list[np.ndarray] = []
         waiting = 0
-        keys, times = shared.value
-        heavy = keys[times >= HEAVY]
+        keys = Hot(*shared.value)
 
         def flush() -> Iterator[pa.RecordBatch]:
             owner, every = np.repeat(np.arange(len(sigs)), [len(s) for s in sigs]), np.concatenate(sigs)
             of, n = np.array(nodes, np.int64), np.array(sizes, np.int64)
-            _, rows = K.find(heavy, every)
+            _, rows = K.find(keys.heavy, every)
             at = owner[rows]
             if len(at):
-                yield pa.record_batch([pa.nulls(len(at), pa.int32()), pa.nulls(len(at), pa.binary()), pa.array(every[rows].view(np.int64)), pa.array(of[at]), pa.array(n[at])], names)
+                yield pa.record_batch([pa.array((-1 - of[at] % buckets).astype(np.int32)), pa.nulls(len(at), pa.binary()), pa.array(every[rows].view(np.int64)), pa.array(of[at]), pa.array(n[at])], names)
             b, blocks = pack(of, n, owner[~rows], every[~rows], buckets)
             none = pa.nulls(len(b), pa.int64())
             yield pa.record_batch([pa.array(b, pa.int32()), pa.array(blocks, pa.binary()), none, none, none], names)
@@ -257,7 +271,7 @@ def signed(docs: DataFrame, k: int, p: int, q: int, hot: tuple[np.ndarray, np.nd
                     known.add(node)
                     nodes.append(node)
                     sizes.append(len(s))
-                    sigs.append(chosen(s, p, q, (keys, times)))
+                    sigs.append(chosen(s, p, q, keys))
                     waiting += len(sigs[-1])
                 if waiting > FLUSH:
                     yield from flush()
@@ -269,9 +283,11 @@ def signed(docs: DataFrame, k: int, p: int, q: int, hot: tuple[np.ndarray, np.nd
 
 
 def groups(blocks: DataFrame) -> DataFrame:
-    """(gid, node, n) of each distinct set of two or more nodes that share a signature."""
+    """(gid, node, n, size) of each distinct set of two or more nodes that share a signature; the size of one of a heavy signature is null."""
 
     def run(rows: pa.Table) -> pa.Table:
+        if rows.column("bucket")[0].as_py() < 0:
+            return rows.select(["gid", "node", "n"]).append_column("size", pa.nulls(rows.num_rows, pa.int64()))
         parts = [unpack(b) for b in rows.column("block").to_pylist()]
         node, size, key = (np.concatenate(x) for x in zip(*parts, strict=True))
         by = np.lexsort((node, key))
@@ -285,10 +301,9 @@ def groups(blocks: DataFrame) -> DataFrame:
         _, where = np.unique(gid[many], return_index=True)
         many = many[where]
         take = np.repeat(new[many], count[many]) + np.arange(int(count[many].sum())) - np.repeat(np.cumsum(count[many]) - count[many], count[many])
-        return pa.table({"gid": pa.array(np.repeat(gid[many], count[many]).view(np.int64)), "node": pa.array(node[take]), "n": pa.array(size[take].astype(np.int64))})
+        return pa.table({"gid": pa.array(np.repeat(gid[many], count[many]).view(np.int64)), "node": pa.array(node[take]), "n": pa.array(size[take].astype(np.int64)), "size": pa.array(np.repeat(count[many], count[many]))})
 
-    packed = blocks.filter("bucket is not null").groupBy("bucket").applyInArrow(run, "gid long, node long, n long")
-    return packed.unionByName(blocks.filter("bucket is null").select("gid", "node", "n")).dropDuplicates(["gid", "node"])
+    return blocks.groupBy("bucket").applyInArrow(run, "gid long, node long, n long, size long").dropDuplicates(["gid", "node"])
 
 
 # ---------------------------------------------------------------- components
@@ -450,7 +465,7 @@ def near_components(docs: DataFrame, k: int = SHINGLE, p: int = P, q: int = Q) -
     rank = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_hash")
     classes = texts.filter("node is not null").groupBy("node").agg(F.min(rank).alias("first")).withColumn("class_id", F.col("first.doc_id"))
     total = sets.filter("kind = 0").agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n")).first()["n"]
-    members = materialize(groups(materialize(signed(docs, k, p, q, hot_signatures(sets), max(64, 2 * total // BUCKET_SIGS)), "signed")), "groups")
+    members = materialize(groups(signed(docs, k, p, q, hot_signatures(sets), max(64, 2 * total // BUCKET_SIGS))), "groups")
     # Tables that many copies join are written first: a join of two plain shuffles is one whose hot keys Spark can split.
     grouped = materialize(members.select("node").distinct().join(classes, "node").select(F.col("node").alias("_n"), "class_id"), "grouped")
     named = sets.filter("kind = 0").join(grouped, (F.col("node") == F.col("_n")) & F.col("doc_id").eqNullSafe(F.col("class_id")))
@@ -470,19 +485,22 @@ def _link(docs: DataFrame, members: DataFrame, nodes: DataFrame, k: int, p: int,
     sketches = _small(nodes.select("node", "sketch"), SKETCH_COST * count)
     tested: list[DataFrame] = []
     turn, most, todo = 0, FIRST, members
+    large = members.filter(F.col("size").isNull() | (F.col("size") > 2 * COMPARE))
+    leaders = not large.isEmpty()
     while True:
-        state = todo.join(_small(labels, count), "node")
+        state = (large if leaders else todo).join(_small(labels, count), "node")
         sizes = state.groupBy("gid", "label").agg(F.count(F.lit(1)).alias("size"), F.min(F.struct(F.xxhash64("node", F.lit(turn)).alias("h"), "node")).alias("first"))
         all_, double = F.sum("size"), F.col("size").cast("double")
         open_ = sizes.groupBy("gid").agg(all_.alias("members"), ((all_.cast("double") ** 2 - F.sum(double * double)) / 2).alias("pairs"), F.max(F.struct("size", "label")).alias("top"), F.min("first").alias("lead"))
         open_ = materialize(open_.filter("pairs > 0").select("gid", "members", "pairs", F.col("top.label").alias("main"), F.col("top.size").alias("main_size"), F.col("lead.node").alias("lead")), "open")
-        large = open_.filter(F.col("pairs") > COMPARE * F.col("members"))
-        leaders = turn < LEADER_ROUNDS and not large.isEmpty()
-        chosen_ = large if leaders else open_
+        chosen_ = open_.filter(F.col("pairs") > COMPARE * F.col("members")) if leaders else open_
         cells = F.lit(1.0) if leaders else F.ceil((F.col("members") - F.col("main_size")) / float(BLOCK))
         total = chosen_.agg(F.count(F.lit(1)).alias("n"), F.sum(F.col("members") * cells).alias("rows")).first()
         if not total["n"]:
-            break
+            if not leaders:
+                break
+            leaders = False
+            continue
         rows = dealt(state, _small(chosen_, total["n"]), leaders, turn).withColumn("part", F.pmod(F.xxhash64("gid", "cell"), F.lit(max(64, int(2 * total["rows"]) // TASK_ROWS))))
         found = materialize(compared(rows.join(sketches, "node"), p, q, leaders, most), "pairs")
         pairs = found.filter("a is not null").select("a", "b").distinct()
@@ -499,7 +517,9 @@ def _link(docs: DataFrame, members: DataFrame, nodes: DataFrame, k: int, p: int,
             merged = merged.select(F.col("node").alias("label"), F.col("label").alias("to"))
             labels = materialize(labels.join(_small(merged, number), "label", "left").select("node", F.coalesce("to", "label").alias("label")), "labels")
         turn += 1
-        if not leaders:
+        if leaders:
+            leaders = turn < LEADER_ROUNDS
+        else:
             if not seen["cut"]:
                 break
             todo, most = todo.join(_small(found.filter("a is null").select("gid").distinct(), seen["cut"]), "gid", "left_semi"), MORE * most

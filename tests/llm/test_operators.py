@@ -133,8 +133,7 @@ def test_kneser_ney_sums_to_one():
     rng = random.Random(3)
     text = "".join(rng.choice("aab c") for _ in range(400)).encode()
     chunk = quality.K.Chunk(0, 1, np.frombuffer(text, np.uint8), np.array([0, len(text)]))
-    starts, ends, _ = quality.K.spans(chunk, quality.K.WHITE)
-    keys, _, _ = quality.padded_types(chunk.data, starts, ends, 3)
+    keys, _, _ = quality.running(chunk, *quality.K.spans(chunk, quality.K.WHITE), 3)
     model = quality.KneserNey.fit({"x": quality.K.sum_by(keys, np.ones(len(keys), np.int64))}, 3)
     for context in (b"  ", b" a", b"ab", b"zz"):
         every = np.array([int.from_bytes(context + bytes([c]), "big") for c in range(256)], np.uint64)
@@ -436,7 +435,7 @@ def test_signatures_leave_one_part_of_a_partition_out():
 
 def test_linked_sets_share_a_signature():
     rng = random.Random(19)
-    none = (np.zeros(0, np.uint64), np.zeros(0, np.int64))
+    none = ngram_join.Hot(np.zeros(0, np.uint64), np.zeros(0, np.int64))
     draw = lambda n: np.unique(np.array([rng.getrandbits(64) for _ in range(n)], np.uint64))
     for n in (3, 4, 5, 7, 9, 12, 15, 16, 17, 20, 31, 33, 48, 64, 65, 100, 200, 400):
         for _ in range(60):
