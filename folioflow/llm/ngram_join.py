@@ -19,7 +19,7 @@ Method
   have travel as rows, so that none fills a bucket. Nodes that share a signature form a group.
 * A sketch has a bit for each of 2048 or more parts of the domain: the parity of its shingles there. The bits in which two sketches differ
   are never more than the shingles in which the sets differ, so what it rules out is no link.
-* Groups are compared block by block by sketch, and never expanded into all pairs. First, in groups with many open pairs, each node gives
+* Groups are compared block by block by sketch, and never expanded into all pairs. First, in one group of each node, it gives
   out its nearest of some leaders that are not in its component. Then, in all groups, each node outside the group's largest component gives
   out its nearest few of other components; where that leaves candidates out, the group comes again with more. So the rows given out are a
   constant times the rows read, and none is lost. Every pair given out is verified on whole sets.
@@ -59,10 +59,10 @@ SKETCH_BITS = 2048
 #: A sketch takes the room of so many small rows in a broadcast.
 SKETCH_COST = 12
 BROADCAST_ROWS = 250_000
-#: Open pairs for each member of a group from which leaders are used, rounds of these, and leaders of a group.
-COMPARE, LEADER_ROUNDS, LEADERS = 256, 3, 128
+#: Rounds with leaders, leaders of a group, and the links for each node that a round must find for another one.
+LEADER_ROUNDS, LEADERS, LEADER_GAIN = 3, 128, 0.02
 #: Members of a block, rows in a task, candidates that a node gives out at first and the factor of each further time, and pairs of one node in a task.
-BLOCK, TASK_ROWS, FIRST, MORE, SALT_ROWS = 1024, 16_384, 4, 64, 512
+BLOCK, TASK_ROWS, FIRST, MORE, SALT_ROWS = 1024, 16_384, 4, 16, 512
 EDGES = 1_000_000
 FLUSH = 1 << 19
 _KEY_BITS = np.uint64(32)
@@ -484,33 +484,35 @@ def _link(docs: DataFrame, members: DataFrame, nodes: DataFrame, k: int, p: int,
     count = nodes.count()
     sketches = _small(nodes.select("node", "sketch"), SKETCH_COST * count)
     tested: list[DataFrame] = []
-    turn, most, todo = 0, FIRST, members
-    large = members.filter(F.col("size").isNull() | (F.col("size") > 2 * COMPARE))
-    leaders = not large.isEmpty()
+    # Near copies share many groups. One group of each node (the largest, then any) joins most of them, so that few pairs are open when all are compared.
+    size = F.coalesce("size", F.lit(1 << 62))
+    turn, most, todo, leaders = 0, FIRST, members, True
     while True:
-        state = (large if leaders else todo).join(_small(labels, count), "node")
+        rank = F.struct((F.xxhash64("gid", F.lit(turn)) if turn else size).alias("rank"), "gid", "n")
+        one = members.groupBy("node").agg(F.max(rank).alias("top")).select("node", "top.gid", "top.n")
+        state = (one if leaders else todo).join(_small(labels, count), "node")
         sizes = state.groupBy("gid", "label").agg(F.count(F.lit(1)).alias("size"), F.min(F.struct(F.xxhash64("node", F.lit(turn)).alias("h"), "node")).alias("first"))
         all_, double = F.sum("size"), F.col("size").cast("double")
         open_ = sizes.groupBy("gid").agg(all_.alias("members"), ((all_.cast("double") ** 2 - F.sum(double * double)) / 2).alias("pairs"), F.max(F.struct("size", "label")).alias("top"), F.min("first").alias("lead"))
         open_ = materialize(open_.filter("pairs > 0").select("gid", "members", "pairs", F.col("top.label").alias("main"), F.col("top.size").alias("main_size"), F.col("lead.node").alias("lead")), "open")
-        chosen_ = open_.filter(F.col("pairs") > COMPARE * F.col("members")) if leaders else open_
         cells = F.lit(1.0) if leaders else F.ceil((F.col("members") - F.col("main_size")) / float(BLOCK))
-        total = chosen_.agg(F.count(F.lit(1)).alias("n"), F.sum(F.col("members") * cells).alias("rows")).first()
+        total = open_.agg(F.count(F.lit(1)).alias("n"), F.sum(F.col("members") * cells).alias("rows")).first()
         if not total["n"]:
             if not leaders:
                 break
             leaders = False
             continue
-        rows = dealt(state, _small(chosen_, total["n"]), leaders, turn).withColumn("part", F.pmod(F.xxhash64("gid", "cell"), F.lit(max(64, int(2 * total["rows"]) // TASK_ROWS))))
-        found = materialize(compared(rows.join(sketches, "node"), p, q, leaders, most), "pairs")
-        pairs = found.filter("a is not null").select("a", "b").distinct()
+        rows = dealt(state, _small(open_, total["n"]), leaders, turn).withColumn("part", F.pmod(F.xxhash64("gid", "cell"), F.lit(max(64, int(2 * total["rows"]) // TASK_ROWS))))
+        found = materialize(compared(rows.join(sketches, "node"), p, q, leaders, most), "found")
+        pairs = materialize(found.filter("a is not null").select("a", "b").distinct(), "pairs")
         if tested:
             pairs = pairs.join(reduce(DataFrame.union, tested), ["a", "b"], "left_anti")
-        seen = found.agg(F.count("a").alias("pairs"), F.count_if(F.col("a").isNull()).alias("cut")).first()
-        checked = materialize(_verified(docs, pairs, seen["pairs"], nodes, k, p, q), "tested")
+        cut = found.filter("a is null").count()
+        checked = materialize(_verified(docs, pairs, pairs.count(), nodes, k, p, q), "tested")
         tested.append(checked.select("a", "b"))
         links = checked.filter("link")
-        if number := links.count():
+        number = links.count()
+        if number:
             of_a = labels.select(F.col("node").alias("a"), F.col("label").alias("la"))
             of_b = labels.select(F.col("node").alias("b"), F.col("label").alias("lb"))
             merged = components(links.join(_small(of_a, count), "a").join(_small(of_b, count), "b").select(F.col("la").alias("a"), F.col("lb").alias("b")), number)
@@ -518,11 +520,11 @@ def _link(docs: DataFrame, members: DataFrame, nodes: DataFrame, k: int, p: int,
             labels = materialize(labels.join(_small(merged, number), "label", "left").select("node", F.coalesce("to", "label").alias("label")), "labels")
         turn += 1
         if leaders:
-            leaders = turn < LEADER_ROUNDS
+            leaders = turn < LEADER_ROUNDS and number > LEADER_GAIN * count
         else:
-            if not seen["cut"]:
+            if not cut:
                 break
-            todo, most = todo.join(_small(found.filter("a is null").select("gid").distinct(), seen["cut"]), "gid", "left_semi"), MORE * most
+            todo, most = todo.join(_small(found.filter("a is null").select("gid").distinct(), cut), "gid", "left_semi"), MORE * most
     return labels
 
 
