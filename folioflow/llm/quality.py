@@ -2,8 +2,8 @@
 
 Method
 ------
-1. `count_ngrams` counts byte n-grams (default order 5) inside words, by language, over all texts. A
-   Python combiner sums them by task, Spark sums them over the corpus.
+1. `count_ngrams` counts byte n-grams (default order 5) of the running text, in which single blanks stand between words, by language,
+   over all texts: the first bytes of a word are predicted from the words before it. A Python combiner sums them by task, Spark sums them over the corpus.
 2. `fit` turns the counts into an interpolated modified Kneser-Ney model (three discounts an order,
    continuation counts below the top). Each order is one sorted array of 64-bit hashes of
    (language, n-gram) with log probabilities beside it, and one of contexts with back-off weights.
@@ -11,12 +11,13 @@ Method
    the counts of a few languages at a time. Nothing is cut or sampled.
 3. `measure` gives each text its base metrics and its mean log probability a byte (a word may be one of another language, at a
    price, so that clean texts that mix languages are not rejected for it); `bands` takes
-   the median and the spread of the languages' perplexities over all texts that pass the base rules;
-   `verdict` rejects texts outside the band, which is wider for short texts.
+   the median and the spreads below and above it of the languages' perplexities over all texts that pass the base rules;
+   `verdict` rejects texts outside the band, which narrows with the root of a text's length.
 
 Defined results: a null text has no words and fails the base rules, like an empty one. A null language is a
-language of its own, "und". Rows are judged one by one: repeated rows get equal verdicts. Columns other than
-the named ones are carried along by `judge` untouched. An empty table gives an empty result.
+language of its own, "und". Rows are judged one by one: repeated rows get equal verdicts. `select` gives back all columns of its
+input with their values, whatever their names; in `judge`, a column to be kept that has the name of an added one gives way to it. An empty table gives
+an empty result.
 """
 
 from __future__ import annotations
@@ -29,14 +30,16 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from folioflow.llm import kernel as K
-from folioflow.llm.scratch import broadcast, materialize, ship, table
+from folioflow.llm.scratch import broadcast, carried, kinds, materialize, ship, table
 
 ORDER = 5
 #: Counts that the driver takes at once; a language is never split.
 FIT_ROWS = 2_000_000
+#: Bytes of texts that are worked on at once; distinct n-grams that a task holds.
+CHUNK_BYTES, FLUSH = 1 << 19, 1 << 21
 REPEAT_WINDOW = 5
-#: Half width of the band in robust standard deviations, and what a text's own length adds to its spread.
-BAND_Z = 4.0
+#: Half widths of the band in robust standard deviations, and the least deviation of a text of one byte, in bits.
+BAND_Z, LEAST_SPREAD = 4.0, 1.0
 #: Bits a byte from which a word is odd in its text's language, and what a word of another language costs.
 ODD_BITS, SWITCH_BITS = 2.8, 2.0
 SYMBOLS = K.byte_set(*((ord(c), ord(c)) for c in "#*$%&|<>"))
@@ -83,22 +86,24 @@ def base_metrics(chunk: K.Chunk, starts: np.ndarray, ends: np.ndarray, first: np
     return out
 
 
-def padded_types(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, order: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Packed n-grams of each word (each byte, and the end, with what stands before it), and each word's first and number."""
-    sizes = ends - starts
-    total = sizes + order
-    base = np.concatenate([[0], np.cumsum(total)])
-    flat = np.zeros(int(base[-1]) if len(base) else 0, np.uint8)
-    step = np.arange(int(sizes.sum())) - np.repeat(np.cumsum(sizes) - sizes, sizes)
-    flat[np.repeat(base[:-1] + order - 1, sizes) + step] = data[np.repeat(starts, sizes) + step]
-    flat[base[:-1] + order - 2] = 0x20
-    flat[base[1:] - 1] = 0x20
+def running(chunk: K.Chunk, starts: np.ndarray, ends: np.ndarray, first: np.ndarray, order: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Packed n-grams of the running texts (of each byte of a word, and the blank behind it), and each word's first and number."""
+    events = ends - starts + 1
+    edges = np.concatenate([[0], np.cumsum(events)])
+    at, total = edges[:-1], int(edges[-1])
+    own = np.repeat(np.arange(len(events)), events)
+    # Every text begins with order - 1 bytes of which the last is a blank; a blank stands behind every word.
+    place = np.arange(total) + (order - 1) * (K.of_doc(first)[own] + 1)
+    flat = np.zeros(total + (order - 1) * (len(first) - 1), np.uint8)
+    inside = np.ones(total, bool)
+    inside[edges[1:] - 1] = False
+    flat[place] = 0x20
+    flat[place[inside]] = chunk.data[(starts[own] + np.arange(total) - at[own])[inside]]
+    flat[edges[first[:-1]] + (order - 1) * np.arange(1, len(first)) - 1] = 0x20
     keys = np.zeros(max(0, len(flat) - order + 1), np.uint64)
     for j in range(order):
         keys = (keys << np.uint64(8)) | flat[j : j + len(keys)]
-    events = sizes + 1
-    step = np.arange(int(events.sum())) - np.repeat(np.cumsum(events) - events, events)
-    return keys[np.repeat(base[:-1], events) + step], np.cumsum(events) - events, events
+    return keys[place - (order - 1)], at, events
 
 
 def _by_lang(lang: pa.Array, chunk: K.Chunk) -> tuple[list[str], np.ndarray]:
@@ -114,24 +119,26 @@ def count_ngrams(docs: DataFrame, order: int = ORDER, text: str = "text", lang:
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sums: dict[str, K.Counter] = {}
+
+        def counted() -> Iterator[pa.RecordBatch]:
+            for name, c in sums.items():
+                keys, n = c.result()
+                for a in range(0, len(keys), 1 << 17):
+                    part = keys[a : a + (1 << 17)]
+                    yield pa.record_batch([pa.array([name] * len(part)), pa.array(part.view(np.int64)), pa.array(n[a : a + (1 << 17)])], ["lang", "ngram", "n"])
+
         for batch in batches:
-            for chunk in K.chunks(batch.column(1)):
+            for chunk in K.chunks(batch.column(1), CHUNK_BYTES):
                 names, code = _by_lang(batch.column(0), chunk)
                 starts, ends, first = K.spans(chunk, K.WHITE)
-                hashes = K.span_hash(K.prefix_hash(chunk.data), starts, ends)
-                owner = code[K.of_doc(first)]
+                keys, _, events = running(chunk, starts, ends, first, order)
+                owner = np.repeat(code[K.of_doc(first)], events)
                 for i, name in enumerate(names):
-                    mine = np.flatnonzero(owner == i)
-                    if len(mine):
-                        _, where, times = np.unique(hashes[mine], return_index=True, return_counts=True)
-                        at = mine[where]
-                        keys, _, events = padded_types(chunk.data, starts[at], ends[at], order)
-                        sums.setdefault(name, K.Counter()).add(*K.sum_by(keys, np.repeat(times, events)))
-        for name, c in sums.items():
-            keys, n = c.result()
-            for a in range(0, len(keys), 1 << 17):
-                part = keys[a : a + (1 << 17)]
-                yield pa.record_batch([pa.array([name] * len(part)), pa.array(part.view(np.int64)), pa.array(n[a : a + (1 << 17)])], ["lang", "ngram", "n"])
+                    sums.setdefault(name, K.Counter()).add(keys[owner == i] if len(names) > 1 else keys)
+            if sum(len(c.keys) for c in sums.values()) > FLUSH:
+                yield from counted()
+                sums.clear()
+        yield from counted()
 
     ship(docs.sparkSession)
     return docs.select(F.col(lang).alias("lang"), F.col(text).alias("text")).mapInArrow(K.tidy(count), "lang string, ngram long, n long").groupBy("lang", "ngram").agg(F.sum("n").alias("n"))
@@ -203,7 +210,6 @@ class KneserNey:
         out[left] += np.log(1 / 256)
         return out
 
-
     def switched(self, own: np.ndarray, keys: np.ndarray, at: np.ndarray, events: np.ndarray) -> np.ndarray:
         """Log probabilities of words, where a word that is odd in its text's language may be one of another for SWITCH_BITS more."""
         odd = np.flatnonzero(own < -ODD_BITS * np.log(2) * events)
@@ -262,6 +268,8 @@ def fit(docs: DataFrame, order: int = ORDER, rows: int = FIT_ROWS, text: str = "
 # ---------------------------------------------------------------- verdicts
 
 METRICS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
+ADDED = (*METRICS, "n_events", "bits")
+VERDICT = ("base_failed", "kept", "band_low", "band_high", "band_lang", "band_mid", "band_below", "band_above")
 
 
 def measure(docs: DataFrame, model: KneserNey, keep: list[str], text: str = "text", lang: str = "lang") -> DataFrame:
@@ -269,33 +277,36 @@ def measure(docs: DataFrame, model: KneserNey, keep: list[str], text: str = "tex
     spark = docs.sparkSession
     ship(spark)
     shared = broadcast(spark, model)
-    kept = docs.select(*keep).schema
-    names = [*keep, *METRICS, "n_events", "bits"]
+    keep = [c for c in keep if c not in ADDED]
+    columns = list(dict.fromkeys([*keep, text, lang]))
+    of_text, of_lang = columns.index(text), columns.index(lang)
+    names = [*keep, *ADDED]
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = shared.value
+        shift = np.uint64(8 * m.order)
         for batch in batches:
-            for chunk in K.chunks(batch.column(1)):
-                langs, code = _by_lang(batch.column(0), chunk)
+            for chunk in K.chunks(batch.column(of_text), CHUNK_BYTES):
+                langs, code = _by_lang(batch.column(of_lang), chunk)
                 starts, ends, first = K.spans(chunk, K.WHITE)
                 prefix = K.prefix_hash(chunk.data)
                 hashes = K.span_hash(prefix, starts, ends)
                 base = base_metrics(chunk, starts, ends, first, prefix, hashes)
                 ids = np.array([m.langs.get(x, len(m.langs)) for x in langs] or [0])
-                owner = ids[code][K.of_doc(first)] if len(hashes) else np.zeros(0, np.int64)
-                _, where, back = np.unique(K.mix(hashes + owner.astype(np.uint64) * _LANG_SALT), return_index=True, return_inverse=True)
-                keys, at, events = padded_types(chunk.data, starts[where], ends[where], m.order)
-                lp = np.concatenate([[0], np.cumsum(m.log_p(keys, np.repeat(owner[where], events)))])
-                of_type = m.switched(lp[at + events] - lp[at], keys, at, events)
-                n_events = K.per_doc(events[back] if len(hashes) else hashes, first).astype(np.int64)
-                total = K.per_doc(of_type[back] if len(hashes) else np.zeros(0), first)
+                keys, at, events = running(chunk, starts, ends, first, m.order)
+                owner = np.repeat(ids[code][K.of_doc(first)] if len(hashes) else np.zeros(0, np.int64), events)
+                # The language stands above the n-gram.
+                unique, back = np.unique(keys | (owner.astype(np.uint64) << shift), return_inverse=True)
+                lp = np.concatenate([[0], np.cumsum(m.log_p(unique & ((np.uint64(1) << shift) - np.uint64(1)), unique >> shift)[back])])
+                of_word = m.switched(lp[at + events] - lp[at], keys, at, events)
+                n_events = K.per_doc(events, first).astype(np.int64)
                 with np.errstate(invalid="ignore", divide="ignore"):
-                    bits = -total / n_events / np.log(2)
+                    bits = -K.per_doc(of_word, first) / n_events / np.log(2)
                 rows = batch.slice(chunk.lo, chunk.docs)
-                yield pa.record_batch([*(rows.column(i + 2) for i in range(len(keep))), *(pa.array(base[c].astype(np.int64)) for c in METRICS), pa.array(n_events), pa.array(bits, mask=n_events == 0)], names)
+                yield pa.record_batch([*(rows.column(i) for i in range(len(keep))), *(pa.array(base[c].astype(np.int64)) for c in METRICS), pa.array(n_events), pa.array(bits, mask=n_events == 0)], names)
 
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in kept) + "".join(f", {c} long" for c in METRICS) + ", n_events long, bits double"
-    return docs.select(F.col(lang).alias("_lang"), F.col(text).alias("_text"), *keep).mapInArrow(K.tidy(score), schema)
+    schema = "".join(f"{k}, " for k in [kinds(docs, keep)] if k) + "".join(f"{c} long, " for c in METRICS) + "n_events long, bits double"
+    return docs.select(*columns).mapInArrow(K.tidy(score), schema)
 
 
 def base_failed() -> F.Column:
@@ -303,16 +314,21 @@ def base_failed() -> F.Column:
 
 
 def bands(measured: DataFrame, lang: str = "lang") -> DataFrame:
-    """Median and robust spread of the bits a byte, by language, over all texts that pass the base rules."""
-    passed = measured.filter(~base_failed() & F.col("bits").isNotNull())
-    q = F.percentile_approx("bits", F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75)), 10_000)
-    return passed.groupBy(F.coalesce(lang, F.lit("und")).alias("band_lang")).agg(q.alias("_q")).select("band_lang", F.col("_q")[1].alias("band_mid"), ((F.col("_q")[2] - F.col("_q")[0]) / F.lit(1.349)).alias("band_spread"))
+    """By language, over all texts that pass the base rules: the median of the bits a byte, and how far they lie below and above it, times the root of the text's length."""
+    key = F.coalesce(lang, F.lit("und"))
+    passed = measured.filter(~base_failed() & F.col("bits").isNotNull()).select(key.alias("band_lang"), "bits", "n_events")
+    mids = passed.groupBy("band_lang").agg(F.percentile_approx("bits", 0.5, 10_000).alias("band_mid"))
+    far = (F.col("bits") - F.col("band_mid")) * F.sqrt("n_events")
+    q = F.percentile_approx(far, F.array(F.lit(0.25), F.lit(0.75)), 10_000)
+    spread = lambda c: F.greatest(c / F.lit(0.6745), F.lit(LEAST_SPREAD))
+    wide = passed.join(F.broadcast(mids), "band_lang").groupBy("band_lang", "band_mid").agg(q.alias("_q"))  # a row for each language
+    return wide.select("band_lang", "band_mid", spread(-F.col("_q")[0]).alias("band_below"), spread(F.col("_q")[1]).alias("band_above"))
 
 
 def _rule(joined: DataFrame, z: float) -> DataFrame:
-    wide = F.lit(z) * F.sqrt(F.col("band_spread") ** 2 + F.lit(1.0) / F.greatest(F.col("n_events"), F.lit(1)))
-    out = joined.withColumn("base_failed", base_failed()).withColumn("band_low", F.col("band_mid") - wide).withColumn("band_high", F.col("band_mid") + wide)
-    return out.withColumn("kept", ~F.col("base_failed") & F.coalesce(F.col("bits").between(F.col("band_low"), F.col("band_high")), F.lit(False))).drop("band_lang", "band_mid", "band_spread")
+    root = F.sqrt(F.greatest("n_events", F.lit(1)))
+    out = joined.withColumn("base_failed", base_failed()).withColumn("band_low", F.col("band_mid") - z * F.col("band_below") / root).withColumn("band_high", F.col("band_mid") + z * F.col("band_above") / root)
+    return out.withColumn("kept", ~F.col("base_failed") & F.coalesce(F.col("bits").between(F.col("band_low"), F.col("band_high")), F.lit(False))).drop("band_lang", "band_mid", "band_below", "band_above")
 
 
 def verdict(measured: DataFrame, z: float = BAND_Z, lang: str = "lang") -> DataFrame:
@@ -320,18 +336,20 @@ def verdict(measured: DataFrame, z: float = BAND_Z, lang: str = "lang") -> DataF
     return _rule(measured.join(F.broadcast(bands(measured, lang)), F.coalesce(F.col(lang), F.lit("und")) == F.col("band_lang"), "left"), z)
 
 
-def judge(docs: DataFrame, keep: list[str] | None = None, z: float = BAND_Z) -> DataFrame:
+def judge(docs: DataFrame, keep: list[str] | None = None, z: float = BAND_Z, text: str = "text", lang: str = "lang") -> DataFrame:
     """Fits the model to docs and judges every row: the columns in keep (all by default), metrics and verdict."""
-    keep = keep if keep is not None else docs.columns
-    if "lang" not in keep:
-        keep = [*keep, "lang"]
-    measured = materialize(measure(docs, fit(docs), keep), "quality")
-    return verdict(measured, z)
+    keep = [c for c in (keep if keep is not None else docs.columns) if c not in (*ADDED, *VERDICT)]
+    if lang not in keep:
+        keep = [*keep, lang]
+    measured = materialize(measure(docs, fit(docs, text=text, lang=lang), keep, text, lang), "quality")
+    return verdict(measured, z, lang)
 
 
 def select(docs: DataFrame, z: float = BAND_Z) -> DataFrame:
     """The rows of docs that are kept. Texts are written once beside their metrics: neither scored twice nor shuffled."""
-    return judge(docs, docs.columns, z).filter("kept").select(*docs.columns)
+    rows, names = carried(docs)
+    judged = judge(rows, None, z, names["text"], names["lang"])
+    return judged.filter("kept").select(*(F.col(v).alias(c) for c, v in names.items()))
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
