@@ -91,6 +91,13 @@ def registry(mappings: tuple[Mapping, ...] = MAPPINGS) -> dict[str, Mapping]:
     return {fingerprint(m.fields): m for m in mappings}
 
 
+def mapping_of(fields: set[str], mappings: tuple[Mapping, ...] = MAPPINGS) -> Mapping | None:
+    """The mapping of the fields' fingerprint; where fields of no meaning are added, the one that uses most of the fields."""
+    exact = registry(mappings).get(fingerprint(fields))
+    fitting = [m for m in mappings if set(m.fields) <= fields]
+    return exact or max(fitting, key=lambda m: len(m.fields), default=None)
+
+
 def turns_of(record: dict, mapping: Mapping) -> Iterator[tuple[str, str]]:
     for role, name in mapping.pairs:
         if record.get(name) not in (None, "") or role == "assistant":
@@ -109,12 +116,11 @@ def canonical(records: DataFrame, mappings: tuple[Mapping, ...] = MAPPINGS) -> D
     ship(records.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = registry(mappings)
         for batch in batches:
             rows: list[list] = [[], [], [], []]
             for conv, record in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
                 value = _parsed(record)
-                mapping = known.get(fingerprint(paths(value)))
+                mapping = mapping_of(paths(value), mappings)
                 for i, (role, text) in enumerate(turns_of(value, mapping) if mapping else ()):
                     for column, x in zip(rows, (conv, i, role, text), strict=True):
                         column.append(x)
@@ -132,24 +138,28 @@ def _parsed(record: str | None) -> dict:
 
 
 def unmapped(records: DataFrame, mappings: tuple[Mapping, ...] = MAPPINGS) -> DataFrame:
-    """(layout, records): fingerprints that no mapping knows, and how many records have them."""
+    """(layout, records): fingerprints for which there is no mapping, and how many records have them."""
     ship(records.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            yield pa.record_batch([pa.array([fingerprint(paths(_parsed(x))) for x in batch.column(0).to_pylist()], pa.string())], ["layout"])
+            every = [paths(_parsed(x)) for x in batch.column(0).to_pylist()]
+            yield pa.record_batch([pa.array([fingerprint(x) for x in every if mapping_of(x, mappings) is None], pa.string())], ["layout"])
 
     layouts = records.select("record").mapInArrow(run, "layout string")
-    return layouts.filter(~F.col("layout").isin(list(registry(mappings)))).groupBy("layout").agg(F.count(F.lit(1)).alias("records"))
+    return layouts.groupBy("layout").agg(F.count(F.lit(1)).alias("records"))
 
 
-def canonical_rows(rows: DataFrame, mappings: tuple[Mapping, ...] = MAPPINGS) -> DataFrame:
-    """(conv_id, turn, role, text) of a table with a row for each turn; its schema's fingerprint selects the mapping."""
+def canonical_rows(rows: DataFrame, mappings: tuple[Mapping, ...] = MAPPINGS, roles: dict[str, str] = ROLES) -> DataFrame:
+    """(conv_id, turn, role, text) of a table with a row for each turn; its schema's fingerprint selects the mapping. roles: other names of roles."""
     wanted = [m for m in mappings if not m.each and not m.pairs and set(m.fields) <= paths(rows.schema)]
     mapping = registry(mappings).get(fingerprint(paths(rows.schema))) or (wanted[0] if wanted else None)
     if mapping is None:
         raise ValueError(f"no mapping for the layout {sorted(paths(rows.schema))}")
-    return rows.select("conv_id", "turn", F.coalesce(mapping.role, F.lit("")).alias("role"), F.coalesce(mapping.text, F.lit("")).alias("text"))
+    role = F.coalesce(mapping.role, F.lit(""))
+    if roles:
+        role = F.coalesce(F.try_element_at(F.create_map(*(F.lit(x) for kv in roles.items() for x in kv)), role), role)
+    return rows.select("conv_id", "turn", role.alias("role"), F.coalesce(mapping.text, F.lit("")).alias("text"))
 
 
 def escape(text: str) -> str:
@@ -226,7 +236,7 @@ def read_back(segments: DataFrame) -> DataFrame:
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = table(spark, sf_dir, "conversations")
     probe = spark.range(2).select(F.lit(-1).cast("long").alias("conv_id"), F.col("id").alias("turn"), F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"), F.lit(PROBE).alias("text"))
-    turns = canonical_rows(rows.select("conv_id", "turn", "role", "text")).unionByName(canonical_rows(probe))
+    turns = canonical_rows(rows.select("conv_id", "turn", "role", "text"), roles={}).unionByName(canonical_rows(probe))
     return read_back(formatted(turns))
 
 

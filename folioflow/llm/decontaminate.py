@@ -21,6 +21,7 @@ by `query` and kept by `clean`. An empty benchmark hits nothing.
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Iterator
 
 import numpy as np
@@ -29,12 +30,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from folioflow.llm import kernel as K
-from folioflow.llm.scratch import broadcast, materialize, ship, table
+from folioflow.llm.scratch import broadcast, carried, kinds, materialize, ship, table
 
 WINDOW = 10
 BLOCK_WORDS = 100_000
 #: `clean` drops a text when more than this share of its words is hit; otherwise it cuts the hit words out.
 MAX_SHARE = 0.5
+BROADCAST_ROWS = 100_000
+ADDED = ("n_words", "n_hit", "items", "hit_spans")
 SEPARATORS = K.byte_set((0x00, 0x2F), (0x3A, 0x60), (0x7B, 0x7F))
 
 
@@ -182,38 +185,50 @@ def item_blocks(benchmark: DataFrame, window: int = WINDOW, block_words: int = B
 def scan(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, keep: list[str] | None = None, text: str = "text", rewrite: bool = False, block_words: int = BLOCK_WORDS) -> DataFrame:
     """The columns in keep, n_words, n_hit, items (matched item ids, sorted as strings) and hit_spans (byte offsets of hit stretches).
 
-    With rewrite, also `cleaned`: the text without its hit stretches.
+    With rewrite, also `cleaned`: the text without its hit stretches. A column to be kept that has the name of an added one gives way to it.
+
+    The last block's pass reports. Passes of earlier blocks read the texts and write only the hits of the texts that have any, which join by the text's hash.
     """
     ship(docs.sparkSession)
-    keep = keep if keep is not None else docs.columns
-    nothing = F.array()
-    state = docs.select(F.col(text).alias("_text"), nothing.cast("array<bigint>").alias("_hits"), nothing.cast("array<string>").alias("_items"), *[F.col(c).alias(f"_k{i}") for i, c in enumerate(keep)])
+    added = [*ADDED, *["cleaned"] * rewrite]
+    keep = [c for c in (keep if keep is not None else docs.columns) if c not in added]
+    rows = docs.select(F.col(text).alias("_text"), *[F.col(c).alias(f"_c{i}") for i, c in enumerate(keep)])
     blocks = item_blocks(benchmark, window, block_words)
     current = next(blocks, Automaton({}, window))
+    earlier: list[DataFrame] = []
     for following in blocks:
-        state = materialize(_pass(state, current, False, False), "hits")
+        hits = rows.select("_text", F.xxhash64("_text").alias("_h"), F.lit(None).cast("array<bigint>").alias("_hits"), F.lit(None).cast("array<string>").alias("_items"))
+        found = _pass(hits, current, ["_h"], False, False).groupBy("_h").agg(F.first("hits").alias("hits"), F.first("items").alias("items"))
+        earlier.append(materialize(found, "hits"))
         current = following
-    return _pass(state, current, True, rewrite).withColumnsRenamed({f"_k{i}": c for i, c in enumerate(keep)})
-
-
-def _pass(state: DataFrame, automaton: Automaton, last: bool, rewrite: bool) -> DataFrame:
-    """Adds the hits of one automaton to state (_text, _hits: word spans, _items, carried columns); the last pass reports them."""
+    if earlier:
+        every = functools.reduce(DataFrame.unionByName, earlier).groupBy("_h").agg(F.flatten(F.collect_list("hits")).alias("_hits"), F.array_distinct(F.flatten(F.collect_list("items"))).alias("_items"))
+        every = materialize(every, "hits")
+        every = F.broadcast(every) if every.count() <= BROADCAST_ROWS else every
+        rows = rows.withColumn("_h", F.xxhash64("_text")).join(every, "_h", "left")
+    else:
+        rows = rows.withColumns({"_hits": F.lit(None).cast("array<bigint>"), "_items": F.lit(None).cast("array<string>")})
+    state = rows.select("_text", "_hits", "_items", *[f"_c{i}" for i in range(len(keep))])
+    return _pass(state, current, state.columns[3:], True, rewrite).toDF(*keep, *added)
+
+
+def _pass(state: DataFrame, automaton: Automaton, kept: list[str], last: bool, rewrite: bool) -> DataFrame:
+    """The hits of one automaton and those known before (_text, _hits: word spans, _items, columns in kept): of all rows, or where not last of those that have any."""
     shared = broadcast(state.sparkSession, automaton)
-    carried = state.columns[3:]
-    names = [*carried, "n_words", "n_hit", "items", "hit_spans", *["cleaned"] * rewrite] if last else state.columns
+    names = [*kept, *ADDED, *["cleaned"] * rewrite] if last else [*kept, "hits", "items"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         a = shared.value
         for batch in batches:
-            for chunk in K.chunks(batch.column(0)):
+            for chunk in K.chunks(batch.column("_text")):
                 rows = batch.slice(chunk.lo, chunk.docs)
                 low = K.Chunk(chunk.lo, chunk.hi, K.LOWER[chunk.data], chunk.offs)
                 starts, ends, first = K.spans(low, SEPARATORS)
                 hashes, owner = K.span_hash(K.prefix_hash(low.data), starts, ends), K.of_doc(first)
                 edges = np.zeros(len(hashes) + 1, np.int64)
-                items = [set(x) for x in rows.column(2).to_pylist()]
-                for doc, before in enumerate(rows.column(1).to_pylist()):
-                    for s, t in zip(before[::2], before[1::2], strict=True):
+                items = [set(x or ()) for x in rows.column("_items").to_pylist()]
+                for doc, before in enumerate(rows.column("_hits").to_pylist()):
+                    for s, t in zip((before or ())[::2], (before or ())[1::2], strict=True):
                         edges[first[doc] + s] += 1
                         edges[first[doc] + t] -= 1
                 numbers, begin, stop = a.stretches(hashes, owner)
@@ -231,20 +246,19 @@ def _pass(state: DataFrame, automaton: Automaton, last: bool, rewrite: bool) ->
                     cut = (at[1:] != at[:-1] + 1) | (owner[at[1:]] != owner[at[:-1]])
                     for i, j in zip(at[np.concatenate([[True], cut])].tolist(), at[np.concatenate([cut, [True]])].tolist(), strict=True):
                         stretches[owner[i]].append((i, j))
-                names_found = pa.array([sorted(x) for x in items], pa.list_(pa.string()))
-                kept = [rows.column(i + 3) for i in range(len(carried))]
                 if not last:
-                    words = [[int(x) for i, j in found for x in (i - first[doc], j + 1 - first[doc])] for doc, found in enumerate(stretches)]
-                    yield pa.record_batch([rows.column(0), pa.array(words, pa.list_(pa.int64())), names_found, *kept], names)
+                    some = [doc for doc, found in enumerate(stretches) if found]
+                    words = [[int(x) for i, j in stretches[doc] for x in (i - first[doc], j + 1 - first[doc])] for doc in some]
+                    yield pa.record_batch([*(rows.column(c).take(pa.array(some, pa.int64())) for c in kept), pa.array(words, pa.list_(pa.int64())), pa.array([sorted(items[doc]) for doc in some], pa.list_(pa.string()))], names)
                     continue
                 spans = [[int(x) for i, j in found for x in (starts[i] - chunk.offs[doc], ends[j] - chunk.offs[doc])] for doc, found in enumerate(stretches)]
-                out = [*kept, pa.array(np.diff(first)), pa.array(K.per_doc(hit, first).astype(np.int64)), names_found, pa.array(spans, pa.list_(pa.int64()))]
+                out = [*(rows.column(c) for c in kept), pa.array(np.diff(first)), pa.array(K.per_doc(hit, first).astype(np.int64)), pa.array([sorted(x) for x in items], pa.list_(pa.string())), pa.array(spans, pa.list_(pa.int64()))]
                 if rewrite:
-                    out.append(pa.array([_without(x, s) for x, s in zip(rows.column(0).to_pylist(), spans, strict=True)], pa.string()))
+                    out.append(pa.array([_without(x, s) for x, s in zip(rows.column("_text").to_pylist(), spans, strict=True)], pa.string()))
                 yield pa.record_batch(out, names)
 
-    kinds = {f.name: f.dataType.simpleString() for f in state.schema} | {"n_words": "long", "n_hit": "long", "items": "array<string>", "hit_spans": "array<long>", "cleaned": "string"}
-    return state.mapInArrow(K.tidy(run), ", ".join(f"`{n}` {kinds[n]}" for n in names))
+    made = "n_words long, n_hit long, items array<string>, hit_spans array<long>" + ", cleaned string" * rewrite if last else "hits array<long>, items array<string>"
+    return state.mapInArrow(K.tidy(run), "".join(f"{k}, " for k in [kinds(state, kept)] if k) + made)
 
 
 def _without(text: str | None, spans: list[int]) -> str | None:
@@ -258,11 +272,15 @@ def _without(text: str | None, spans: list[int]) -> str | None:
 
 
 def clean(docs: DataFrame, benchmark: DataFrame, max_share: float = MAX_SHARE) -> DataFrame:
-    """docs, without texts of which more than max_share is benchmark, and without the hit words of the others."""
-    found = scan(docs, benchmark, rewrite=True)
+    """docs, without texts of which more than max_share is benchmark, and without the hit words of the others. Columns keep their values, whatever their names."""
+    rows, names = carried(docs)
+    text = names["text"]
+    found = scan(rows, benchmark, keep=[c for c in rows.columns if c != text], text=text, rewrite=True)
     left = found.filter(F.col("n_hit") <= F.lit(max_share) * F.col("n_words"))
-    counted = {"n_chars": F.when(F.col("n_hit") > 0, F.length("cleaned").cast(docs.schema["n_chars"].dataType)).otherwise(F.col("n_chars"))} if "n_chars" in docs.columns else {}
-    return left.withColumns({"text": F.col("cleaned")} | counted).select(*docs.columns)
+    values = {c: F.col(v) for c, v in names.items() if c != "text"} | {"text": F.col("cleaned")}
+    if "n_chars" in names:
+        values["n_chars"] = F.when(F.col("n_hit") > 0, F.length("cleaned").cast(docs.schema["n_chars"].dataType)).otherwise(values["n_chars"])
+    return left.select(*(values[c].alias(c) for c in docs.columns))
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -271,8 +289,6 @@ def query(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"), digest.alias("items_sha256"), (F.col("n_hit") > 0).alias("contaminated"))
 
 
-
-
 _WORDS_SQL = r"regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
 ORACLE_SQL = f"""
 WITH t AS (SELECT doc_id, coalesce({_WORDS_SQL}, []) AS w FROM documents),

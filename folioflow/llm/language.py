@@ -3,12 +3,11 @@
 Method
 ------
 1. For each language a bounded sample of the labelled training texts becomes the content of its dictionary: at most
-   `SAMPLE_TEXTS` distinct texts, those of the smallest hashes, `EXCERPT` code points of each, `DICTIONARY` bytes in all. These
-   three are the documented bounds of the fit; classification reads every whole text.
+   `SAMPLE_TEXTS` distinct texts, those of up to `MODERATE` bytes and the smallest hashes first, and `DICTIONARY` bytes in all. Texts enter whole;
+   one that no longer fits is passed over. These three are the documented bounds of the fit; classification reads every whole text.
 2. Texts and dictionaries are lower-cased, ASCII other than letters becomes white space, and of a word's repeats in
-   a row one stays. A text is encoded with every language's dictionary, short ones (`SHORT` bytes) at a level that
-   finds shorter matches. The smallest encoding names the language; equal sizes go to the language of more training
-   texts, then by name.
+   a row one stays. A text is encoded with every language's dictionary. The smallest encoding names the language; equal sizes go
+   to the language of more training texts, then by name.
 3. The margin to the second smallest, in bits, gives the score; narrow margins mark the answer as rejected (it is still named).
 
 Defined results: a null text or one without a letter is "und" with score 0. Repeated rows get equal answers. Rows with a null language
@@ -17,7 +16,6 @@ teach nothing. Without any training language all answers are "und". Other column
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterator
 
 import numpy as np
@@ -30,16 +28,14 @@ from folioflow.llm import kernel as K
 from folioflow.llm.scratch import broadcast, doc_remainder, ship, table
 
 SAMPLE_TEXTS = 256
-EXCERPT = 1500
+MODERATE = 4096
 DICTIONARY = 192 * 1024
 WIDER = 8
 LEVEL = 3
-SHORT, SHORT_LEVEL = 400, 19
 #: Rejected where the second smallest encoding is less than this share larger.
 MARGIN = 0.01
 #: Bits of margin for each step of the score.
 SCALE = 24.0
-_LETTER = re.compile(r"[^\W\d_]")
 _BLANK = bytes(c if c >= 0x80 or chr(c).isalpha() else 0x20 for c in range(256))
 
 
@@ -48,19 +44,20 @@ def normal(text: str) -> bytes:
     return b" ".join(w for w, before in zip(words, [b"", *words], strict=False) if w != before)
 
 
-def sample(train: DataFrame, texts: dict[str, int], most: int = SAMPLE_TEXTS, excerpt: int = EXCERPT) -> DataFrame:
-    """(lang, h, text) of the dictionaries: of each language (with its number of distinct texts) the distinct ones of the smallest hashes.
+def sample(train: DataFrame, texts: dict[str, int], most: int = SAMPLE_TEXTS) -> DataFrame:
+    """(lang, rank, text) of the dictionaries: of each language (with its number of distinct texts) distinct ones in the order in which they enter.
 
     A threshold on the hash, several times wider than needed, leaves only candidates to be shuffled.
     """
     if not texts:
-        return train.select("lang", F.lit(0).cast("long").alias("h"), "text").limit(0)
+        return train.select("lang", F.lit(0).alias("rank"), "text").limit(0)
     bounds = train.sparkSession.createDataFrame([(k, min(1.0, WIDER * most / max(n, 1))) for k, n in texts.items()], "_l string, _share double")
     h = F.pmod(F.xxhash64("text"), F.lit(1 << 40))
     rows = train.filter("lang is not null and text is not null").join(F.broadcast(bounds), F.col("lang") == F.col("_l"))  # a row for each language
     near = rows.withColumn("h", h).filter(F.col("h") <= F.col("_share") * F.lit(float(1 << 40)))
-    once = near.groupBy("lang", "h").agg(F.first(F.substring("text", 1, excerpt)).alias("text"))
-    return once.withColumn("n", F.row_number().over(Window.partitionBy("lang").orderBy("h"))).filter(F.col("n") <= most).select("lang", "h", "text")
+    once = near.groupBy("lang", "h").agg(F.first("text").alias("text"))
+    order = Window.partitionBy("lang").orderBy(F.octet_length("text") > MODERATE, "h")
+    return once.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= most).select("lang", "rank", "text")
 
 
 def dictionaries(train: DataFrame, size: int = DICTIONARY) -> list[tuple[str, bytes]]:
@@ -70,23 +67,23 @@ def dictionaries(train: DataFrame, size: int = DICTIONARY) -> list[tuple[str, by
     found = copies.groupBy("lang").agg(F.sum("rows").alias("rows"), F.count(F.lit(1)).alias("distinct")).collect()
     texts = {r["lang"]: r["rows"] for r in found}
     out: dict[str, bytes] = {}
-    for row in sorted(sample(train, {r["lang"]: r["distinct"] for r in found}).collect(), key=lambda r: (r["lang"], r["h"])):
-        had = out.get(row["lang"], b"")
-        if len(had) < size:
-            out[row["lang"]] = (had + b" " + normal(row["text"]))[:size]
+    for row in sorted(sample(train, {r["lang"]: r["distinct"] for r in found}).collect(), key=lambda r: (r["lang"], r["rank"])):
+        had, more = out.get(row["lang"], b""), b" " + normal(row["text"])
+        if not had or len(had) + len(more) <= size:
+            out[row["lang"]] = had + more
     return sorted(out.items(), key=lambda x: (-texts[x[0]], x[0]))
 
 
 class Classifier:
     def __init__(self, content: list[tuple[str, bytes]], level: int = LEVEL):
         self.names = [n for n, _ in content]
-        self.long, self.short = ([_coder(data, at) for _, data in content] for at in (level, SHORT_LEVEL))
+        self.coders = [_coder(data, level) for _, data in content]
 
     def __call__(self, text: str | None) -> tuple[str, float, bool]:
-        if not self.names or text is None or not _LETTER.search(text):
+        if not self.names or text is None or not any(map(str.isalpha, text)):
             return "und", 0.0, True
         raw = normal(text)
-        sizes = np.array([len(c.compress(raw)) for c in (self.short if len(raw) <= SHORT else self.long)])
+        sizes = np.array([len(c.compress(raw)) for c in self.coders])
         best = int(sizes.argmin())
         more = sizes - sizes[best]
         score = float(1 / np.exp2(-8.0 * more / SCALE).sum())

@@ -36,10 +36,11 @@ from folioflow.llm.scratch import broadcast, materialize, ship, table, with_rank
 
 CAPACITY = 1024
 END = 2
-GROUPS = 800
+GROUPS = 400
 #: Lengths up to this share of the capacity are small.
 SMALL = 0.4
-CACHE = 400_000
+#: Bytes of texts and ids that an encoder remembers, and of texts that are encoded at once.
+CACHE_BYTES, BATCH_BYTES = 24 << 20, 4 << 20
 CHUNKS = 64
 
 # ---------------------------------------------------------------- tokens
@@ -88,18 +89,24 @@ class Encoder:
     def __call__(self, text: str) -> bytes:
         if not self.by_piece or self.whole.search(text):
             return self._of_text(text)
-        if len(self.known) > CACHE:
+        if self.known.bytes > CACHE_BYTES:
             self.known.clear()
+            self.known.bytes = 0
         return b"".join(map(self.known.__getitem__, _PIECES.findall(text)))
 
 
+#: What an entry of a dictionary takes besides its characters.
+_ENTRY = 180
+
+
 class _Cache(dict):
     def __init__(self, make):
         super().__init__()
-        self.make = make
+        self.make, self.bytes = make, 0
 
     def __missing__(self, key: str) -> bytes:
         value = self[key] = self.make(key)
+        self.bytes += _ENTRY + len(key) + len(value)
         return value
 
 
@@ -127,8 +134,8 @@ def pieces(docs: DataFrame, capacity: int = CAPACITY, path: str | None = None, e
         encode = _encoders.get(file) or _encoders.setdefault(file, Encoder(file))
         tail = array.array("I", [end]).tobytes()
         for batch in batches:
-            for lo in range(0, batch.num_rows, 512):
-                part = batch.slice(lo, 512)
+            for chunk in K.chunks(batch.column(1), BATCH_BYTES):
+                part = batch.slice(chunk.lo, chunk.docs)
                 rows: list[list] = [[] for _ in names]
                 source = []
                 for i, x in enumerate(part.column(1).to_pylist()):

@@ -47,9 +47,10 @@ def with_rank(df: DataFrame, keys: list[str], order: list[str], out: str, chunks
     """Adds out: the row's place, from 0, among the rows of equal keys; with weight, the weights of the rows before it.
 
     A plain window over a few hot keys would sort each of them in one task. Here rows are first dealt
-    to chunks by a hash of `order`, ranked in their (key, chunk), and moved up by the totals of the
+    to chunks (as many as given, or as shuffles have partitions, if these are more) by a hash of `order`, ranked in their (key, chunk), and moved up by the totals of the
     earlier chunks, which are summed in a table of only keys x chunks rows. Keys must not be null.
     """
+    chunks = max(chunks, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
     chunked = df.withColumn("_chunk", F.pmod(F.xxhash64(*[F.col(c) for c in order]), F.lit(chunks)).cast("int")).withColumn("_w", F.col(weight).cast("long") if weight else F.lit(1).cast("long"))
     upto = Window.partitionBy(*keys, "_chunk").orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
     ranked = chunked.withColumn("_in", F.sum("_w").over(upto) - F.col("_w"))

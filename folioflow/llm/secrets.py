@@ -6,15 +6,15 @@ Method
    between them (by `split` on the same pattern) gives their places, as running sums of code points.
 2. Candidate values are hashed and aggregated over the corpus: in how many repositories and by how many
    owners each value occurs (three partial aggregations, so that a value copied everywhere is no hot spot).
-3. A value of `EXAMPLE_OWNERS` owners or more is a widely copied example; fewer make it specific to its
-   owners, and live-looking. Kinds beyond the base ones ("vendor", "random") become spans only
+3. A value of `EXAMPLE_OWNERS` owners or more is a widely copied example, and so is one of several owners that is in `EXAMPLE_REPOSITORIES`
+   repositories or more; any other is specific to its owners, and live-looking, in however many repositories of one owner it is. Kinds beyond the base ones ("vendor", "random") become spans only
    where their value is live-looking and no span of an earlier kind covers part of them. Base spans always stay.
 
 `spans` finds them, `redact` replaces the live-looking ones in the texts.
 
 Defined results: a null text is empty and has no spans. Repeated rows are separate rows with equal spans; their owner
 counts once for a value. A null owner is an owner of its own. A text may hold any number of matches. Columns
-that are not named as text, owner or repository are ignored by `spans` and kept by `redact`. Empty tables give empty results.
+that are not named as text, owner or repository are ignored by `spans` and kept by `redact`, whatever their names. Empty tables give empty results.
 """
 
 from __future__ import annotations
@@ -23,9 +23,9 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from folioflow.llm.scratch import materialize, table
+from folioflow.llm.scratch import carried, materialize, table
 
-EXAMPLE_OWNERS = 5
+EXAMPLE_OWNERS, EXAMPLE_REPOSITORIES = 5, 25
 MASK = "[SECRET]"
 BROADCAST_ROWS = 500_000
 
@@ -82,16 +82,23 @@ def ownership(hits: DataFrame) -> DataFrame:
     return by_owner.groupBy("hash").agg(F.count(F.lit(1)).alias("owners"), F.sum("repositories").alias("repositories"))
 
 
-def spans(docs: DataFrame, text: str = "text", owner: str = "source", repository: str = "doc_id", keep: list[str] | None = None, example_owners: int = EXAMPLE_OWNERS) -> DataFrame:
+def spans(docs: DataFrame, text: str = "text", owner: str = "source", repository: str = "doc_id", keep: list[str] | None = None, example_owners: int = EXAMPLE_OWNERS, example_repositories: int = EXAMPLE_REPOSITORIES) -> DataFrame:
     """The columns in keep, and `found`: the row's spans by start and kind, each with its owners, repositories and live."""
     rows, hits = candidates(docs, text, owner, repository, keep)
     known = ownership(hits).select(F.col("hash").alias("_h"), "owners", "repositories")
-    rated = hits.join(known, F.col("hash") == F.col("_h")).withColumn("live", F.col("owners") < example_owners)
+    example = (F.col("owners") >= example_owners) | (F.col("owners") > 1) & (F.col("repositories") >= example_repositories)
+    rated = hits.join(known, F.col("hash") == F.col("_h")).withColumn("live", ~example)
     rated = rated.filter((F.col("kind") < len(BASE)) | F.col("live"))
-    of_row = rated.groupBy(F.col("row").alias("_row")).agg(F.array_sort(F.collect_list(F.struct("start", "kind", "end", "live", "owners", "repositories"))).alias("_all"))
-    base = F.filter("_all", lambda x: x["kind"] < len(BASE))
-    more = F.filter("_all", lambda x: (x["kind"] >= len(BASE)) & ~F.exists("_all", lambda b: (b["kind"] < x["kind"]) & (b["start"] < x["end"]) & (x["start"] < b["end"])))
-    merged = of_row.withColumn("_base", base).select("_row", F.array_sort(F.concat("_base", more)).alias("found"))
+    # Spans of one kind do not overlap: the last one that begins before, and the first that begins after, tell of every earlier kind.
+    before = Window.partitionBy("row").orderBy("start", "kind").rowsBetween(Window.unboundedPreceding, -1)
+    after = Window.partitionBy("row").orderBy("start", "kind").rowsBetween(1, Window.unboundedFollowing)
+    covered = F.lit(False)
+    for k in range(len(BASE), len(KINDS)):
+        earlier = F.col("kind") < k
+        ends, begins = F.max(F.when(earlier, F.col("end"))).over(before), F.min(F.when(earlier, F.col("start"))).over(after)
+        covered = F.when(F.col("kind") == k, F.coalesce(ends > F.col("start"), F.lit(False)) | F.coalesce(begins < F.col("end"), F.lit(False))).otherwise(covered)
+    rated = rated.withColumn("covered", covered).filter("not covered")
+    merged = rated.groupBy(F.col("row").alias("_row")).agg(F.array_sort(F.collect_list(F.struct("start", "kind", "end", "live", "owners", "repositories"))).alias("found"))
     empty = F.array().cast(merged.schema["found"].dataType)
     return rows.join(merged, F.col("row") == F.col("_row"), "left").withColumn("found", F.coalesce("found", empty)).drop("_row", "row")
 
@@ -109,20 +116,22 @@ def query(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", *(of(i).alias(f"n_{k}") for i, k in enumerate(BASE)), F.sha2(_named(base), 256).alias("base_sha256"), _named(F.col("found")).alias("spans"), live.alias("n_live"), (F.size("found") - live).alias("n_example"))
 
 
-def redact(docs: DataFrame, text: str = "text", owner: str = "source", repository: str = "doc_id", example_owners: int = EXAMPLE_OWNERS) -> DataFrame:
+def redact(docs: DataFrame, text: str = "text", owner: str = "source", repository: str = "doc_id", example_owners: int = EXAMPLE_OWNERS, example_repositories: int = EXAMPLE_REPOSITORIES) -> DataFrame:
     """docs with live-looking secrets replaced by MASK. Widely copied examples stay as they are."""
-    marked = docs.select("*", F.xxhash64(F.col(text)).alias("_text_hash"))
-    found = spans(marked, text, owner, repository, [repository, "_text_hash"], example_owners)
+    rows, names = carried(docs)
+    whole, repo = names[text], names[repository]
+    marked = rows.withColumn("hash", F.xxhash64(whole))
+    found = spans(marked, whole, names[owner], repo, [repo, "hash"], example_owners, example_repositories)
     live = F.filter("found", lambda x: x["live"])
-    cut = found.select(F.col(repository).alias("_r"), F.col("_text_hash").alias("_t"), F.transform(live, lambda x: F.struct(x["start"].cast("int").alias("s"), x["end"].cast("int").alias("e"))).alias("_cut")).filter(F.size("_cut") > 0)
-    cut = materialize(cut.dropDuplicates(["_r", "_t"]), "redact")
+    cut = found.select(F.col(repo).alias("r"), F.col("hash").alias("h"), F.transform(live, lambda x: F.struct(x["start"].cast("int").alias("s"), x["end"].cast("int").alias("e"))).alias("cut")).filter(F.size("cut") > 0)
+    cut = materialize(cut.dropDuplicates(["r", "h"]), "redact")
     cut = F.broadcast(cut) if cut.count() <= BROADCAST_ROWS else cut
     start = F.struct(F.lit("").alias("out"), F.lit(0).alias("at"))
-    step = lambda acc, x: F.struct(F.when(x["s"] >= acc["at"], F.concat(acc["out"], F.substring(F.col(text), acc["at"] + 1, x["s"] - acc["at"]), F.lit(MASK))).otherwise(acc["out"]).alias("out"), F.greatest(acc["at"], x["e"]).alias("at"))
-    rest = lambda acc: F.concat(acc["out"], F.substring(F.col(text), acc["at"] + 1, F.length(text)))
-    changed = F.when(F.col("_cut").isNotNull(), F.aggregate("_cut", start, step, rest)).otherwise(F.col(text))
-    joined = marked.join(cut, F.col(repository).eqNullSafe(F.col("_r")) & (F.col("_text_hash") == F.col("_t")), "left")
-    out = joined.withColumn(text, changed)
-    if "n_chars" in docs.columns:
-        out = out.withColumn("n_chars", F.when(F.col("_cut").isNotNull(), F.length(text).cast(docs.schema["n_chars"].dataType)).otherwise(F.col("n_chars")))
-    return out.select(*docs.columns)
+    step = lambda acc, x: F.struct(F.when(x["s"] >= acc["at"], F.concat(acc["out"], F.substring(F.col(whole), acc["at"] + 1, x["s"] - acc["at"]), F.lit(MASK))).otherwise(acc["out"]).alias("out"), F.greatest(acc["at"], x["e"]).alias("at"))
+    rest = lambda acc: F.concat(acc["out"], F.substring(F.col(whole), acc["at"] + 1, F.length(whole)))
+    joined = marked.join(cut, F.col(repo).eqNullSafe(F.col("r")) & (F.col("hash") == F.col("h")), "left")
+    values = {c: F.col(v) for c, v in names.items()} | {text: F.when(F.col("cut").isNotNull(), F.aggregate("cut", start, step, rest)).otherwise(F.col(whole))}
+    if "n_chars" in names:
+        joined = joined.withColumn("new", values[text])
+        values |= {text: F.col("new"), "n_chars": F.when(F.col("cut").isNotNull(), F.length("new").cast(docs.schema["n_chars"].dataType)).otherwise(values["n_chars"])}
+    return joined.select(*(values[c].alias(c) for c in docs.columns))

@@ -3,12 +3,14 @@
 Method
 ------
 1. A character trigram model is counted over all training texts (28 symbols: a-z, other, edge).
-2. Words that look disguised (ASCII signs or digits between letters, a letter three times or several doubled letters, or
-   letters standing alone in a row) become lattices: each character stands for itself, for letters that it resembles, for
-   nothing (signs and digits), or repeats the last letter. A Viterbi search under channel costs and the character model restores the word.
+2. Words of any length that look disguised (ASCII signs or digits between letters, a letter three times or several doubled letters) and rows of
+   letters that stand alone become lattices: each character stands for itself, for letters that it resembles, for
+   nothing (signs and digits), or repeats the last letter; a fourth and further equal character in a row says no more than three. A Viterbi search under
+   channel costs and the character model restores the word. In a restored row, every stretch of `WITHIN` letters may be a word.
 3. Words and word beginnings (4 to 7 bytes) of the restored texts are weighed by the log odds of the documents that have them, from the labelled training
    texts of three of the four training folds; the fourth calibrates a logistic score on the strongest, the sum and the number of weights in
-   a text. Candidates are those that `LEAST` toxic texts have, `CANDIDATES` at most; calibration reads `CALIBRATION` rows at most.
+   a text. Candidates are those that `LEAST` toxic texts have; up to `CANDIDATES` of them are sent to the clean texts, more are joined, with the same counts. Only those
+   of strong weight reach the driver. Calibration reads `CALIBRATION` rows at most.
 4. Every whole text is restored and scored. `restore` returns the restored texts themselves.
 
 Defined results: a null text is empty; an empty text gets the score of a text without any weighed word. Rows with a null label, or without one,
@@ -18,6 +20,7 @@ all scores are 0. Other columns are ignored.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
@@ -35,13 +38,16 @@ CANDIDATES = 1 << 20
 CALIBRATION = 50_000
 BROADCAST_ROWS = 2_000_000
 PREFIXES = (4, 5, 6, 7)
-LONGEST = 40
-ALONE = 4
+ALONE = 3
+WITHIN = range(3, 17)
+#: Longest words that the decoder remembers.
+REMEMBERED = 64
 
 # What a character may stand for, besides itself.
 RESEMBLES = {"0": "o", "1": "il", "3": "e", "4": "a", "5": "s", "6": "g", "7": "t", "8": "b", "9": "g", "@": "a", "$": "s", "!": "i", "|": "il", "+": "t", "(": "c", "<": "c", "€": "e", "*": "aeiou"}
 COST_RESEMBLES, COST_NOTHING, COST_LOST, COST_REPEAT, COST_SIGN = 1.0, 1.0, 6.0, 0.7, 4.0
 
+_RUN = re.compile(r"(.)\1{3,}", re.S)
 _LETTERS = K.byte_set((0x61, 0x7A))
 _CORE = K.byte_set((0x30, 0x39), (0x40, 0x40), (0x61, 0x7A), (0x80, 0xFF))
 _SYMBOL = np.full(256, 26)
@@ -86,11 +92,14 @@ class Decoder:
         return ord(c) - 97 if "a" <= c <= "z" else 26
 
     def __call__(self, word: str) -> str:
+        word = _RUN.sub(r"\1\1\1", word)
         found = self.known.get(word)
         if found is None:
+            found = self._search(word)
             if len(self.known) > 100_000:
                 self.known.clear()
-            found = self.known[word] = self._search(word)
+            if len(word) <= REMEMBERED:
+                self.known[word] = found
         return found
 
     def _search(self, word: str) -> str:
@@ -129,7 +138,7 @@ class Words:
     back: np.ndarray = None
     features: np.ndarray = None  # by type: the word's and its beginnings' hashes (0: none)
     odd: np.ndarray = None  # types that look disguised
-    spelled: list[tuple[int, str]] = field(default_factory=list)  # document, joined letters
+    spelled: list[tuple[int, str, int, int]] = field(default_factory=list)  # document, joined letters, and their words' numbers
 
 
 def _features(data: np.ndarray, prefix: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
@@ -168,7 +177,7 @@ def read_words(chunk: K.Chunk) -> tuple[Words, np.ndarray, np.ndarray, np.ndarra
     n_letters = letters[te] - letters[ts]
     signs = size - n_letters
     inside = lambda total, less: total[np.maximum(te - less, ts)] - total[ts]
-    odd = (size >= 3) & (size <= LONGEST) & (n_letters >= 2) & ((signs > 0) & (signs <= n_letters * 2) | (inside(tripled, 2) > 0) | (inside(doubled, 1) > 2))
+    odd = (size >= 3) & (n_letters >= 2) & ((signs > 0) & (signs <= n_letters * 2) | (inside(tripled, 2) > 0) | (inside(doubled, 1) > 2))
 
     found = Words(first=first, back=back, features=_features(data, prefix, ts, te), odd=np.flatnonzero(odd))
     raw = data.tobytes()
@@ -179,8 +188,7 @@ def read_words(chunk: K.Chunk) -> tuple[Words, np.ndarray, np.ndarray, np.ndarra
     edge = np.flatnonzero(np.concatenate([[True], (alone[1:] != alone[:-1]) | (owner[1:] != owner[:-1]), [True]])) if len(s) else np.zeros(1, int)
     for a, b in zip(edge[:-1].tolist(), edge[1:].tolist(), strict=True):
         if alone[a] and b - a >= ALONE:
-            for at in range(a, b, LONGEST):
-                found.spelled.append((int(owner[a]), data[s[at : min(b, at + LONGEST)]].tobytes().decode("utf-8", "replace")))
+            found.spelled.append((int(owner[a]), data[s[a:b]].tobytes().decode("utf-8", "replace"), a, b))
     return found, s, e, data
 
 
@@ -204,9 +212,12 @@ def doc_features(chunk: K.Chunk, decode: Decoder) -> tuple[np.ndarray, np.ndarra
         mine = at[found.back]
         docs.append(docs[0][mine >= 0])
         rows.append(restored[mine[mine >= 0]])
-    if found.spelled:
-        docs.append(np.array([d for d, _ in found.spelled]))
-        rows.append(_of_strings([decode(w) for _, w in found.spelled]))
+    for d, w, _, _ in found.spelled:
+        row = decode(w)
+        inside = _of_strings(sorted({row[i : i + n] for n in WITHIN for i in range(len(row) - n + 1)}))
+        inside[:, 1:] = 0
+        docs.append(np.full(len(inside) + 1, d))
+        rows += [inside, _of_strings([row])]
     return np.concatenate(docs), np.concatenate(rows)
 
 
@@ -298,23 +309,16 @@ def fit(docs: DataFrame, labels: DataFrame, least: int = LEAST, candidates: int
     if not toxic or not clean:
         return none
     of_toxic = materialize(_text_counts(learn.filter("toxic > 0"), decode, None).filter(F.col("n") >= least), "toxic")
-    sizes = sorted(((r["n"], r["count"]) for r in of_toxic.groupBy("n").count().collect()), reverse=True)
-    bound, kept = 1 << 62, 0
-    for n, c in sizes:
-        if kept + c > candidates:
-            break
-        bound, kept = n, kept + c
-    got = of_toxic.filter(F.col("n") >= bound).toArrow()
-    keys, t = got.column("feature").to_numpy().view(np.uint64), got.column("n").to_numpy().astype(float)
+    wanted = None
+    if of_toxic.count() <= candidates:
+        wanted = np.sort(of_toxic.select("feature").toArrow().column("feature").to_numpy().view(np.uint64))
+    of_clean = _text_counts(learn.filter("toxic <= 0"), decode, wanted).withColumnsRenamed({"feature": "_f", "n": "_n"})
+    odds = lambda n, all_: F.log((F.coalesce(n, F.lit(0)) + 0.5) / F.lit(all_ + 1.0))
+    weighed = of_toxic.join(of_clean, F.col("feature") == F.col("_f"), "left").select("feature", (odds(F.col("n"), toxic) - odds(F.col("_n"), clean)).alias("weight"))
+    got = weighed.filter(F.col("weight") >= STRONG).toArrow()
+    keys, weight = got.column("feature").to_numpy().view(np.uint64), got.column("weight").to_numpy()
     by = np.argsort(keys)
-    keys, t = keys[by], t[by]
-    got = _text_counts(learn.filter("toxic <= 0"), decode, keys).toArrow()
-    n = np.zeros(len(keys))
-    at, hit = K.find(keys, got.column("feature").to_numpy().view(np.uint64))
-    n[at[hit]] = got.column("n").to_numpy()[hit]
-    weight = np.log((t + 0.5) / (toxic + 1)) - np.log((n + 0.5) / (clean + 1))
-    strong = weight >= STRONG
-    model = Model(decode, keys[strong], weight[strong], np.zeros(4))
+    model = Model(decode, keys[by], weight[by], np.zeros(4))
     shared = broadcast(spark, model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -350,7 +354,7 @@ def score(docs: DataFrame, model: Model, keep: list[str]) -> DataFrame:
 
 
 def restore(docs: DataFrame, decode: Decoder, keep: list[str]) -> DataFrame:
-    """The columns in keep and `restored`: the lower-cased text with disguised words in their restored form."""
+    """The columns in keep and `restored`: the lower-cased text with disguised words, and rows of lone letters joined, in their restored form."""
     ship(docs.sparkSession)
     shared = broadcast(docs.sparkSession, decode)
 
@@ -360,12 +364,16 @@ def restore(docs: DataFrame, decode: Decoder, keep: list[str]) -> DataFrame:
             for chunk in K.chunks(batch.column(0)):
                 found, s, e, data = read_words(chunk)
                 place = {int(t): i for i, t in enumerate(found.odd)}
+                lone = {a: (b, w) for _, w, a, b in found.spelled}
                 raw, texts = data.tobytes(), []
                 for doc in range(chunk.docs):
                     at, out = int(chunk.offs[doc]), []
                     for w in range(int(found.first[doc]), int(found.first[doc + 1])):
                         i = place.get(int(found.back[w]))
-                        if i is not None:
+                        if w in lone:
+                            out += [raw[at : s[w]], d(lone[w][1]).encode()]
+                            at = int(e[lone[w][0] - 1])
+                        elif i is not None:
                             out += [raw[at : s[w]], d(found.text[i]).encode()]
                             at = int(e[w])
                     texts.append(b"".join([*out, raw[at : chunk.offs[doc + 1]]]).decode("utf-8", "replace"))

@@ -2,6 +2,7 @@
 
 import duckdb
 import pytest
+from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
 import corpus_pipeline
@@ -51,3 +52,42 @@ def test_pipeline(spark):
     packed = corpus_pipeline.STAGES[-1][1](spark, kept, SF).collect()
     assert {r["doc_id"] for r in packed} == {r["doc_id"] for r in kept.collect()}
     assert sorted(map(tuple, corpus_pipeline.run(spark, SF).drop("sequence_id", "offset").collect())) == sorted((r["doc_id"], r["piece"], r["start"], r["length"], r["ids_crc32"]) for r in packed)
+
+
+#: Names that stages use for columns of their own.
+CLASHING = "n_words word_chars n_events bits base_failed kept band_low band_high band_lang band_mid _text _lang n_hit items hit_spans cleaned _hits _items _h _cut _r _text_hash row found hash r h cut new doc d first node label gid part text_hash kept_hash drop_id twice_id component_id _k0 _k1 _k9 piece start length ids_crc32 rank sequence_id offset".split()
+
+
+@pytest.mark.parametrize("rows", ["odd", "repeated", "empty"])
+def test_stages_keep_columns_of_any_name(spark, tmp_path, rows):
+    """Nulls, repeated ids and empty tables go through all stages; columns named like a stage's own come back with their values."""
+    real = [(1000 + r["doc_id"], f"{r['text']} token = 'abcdef{r['doc_id']}'", r["lang"], f"s{r['doc_id']}", 1) for r in spark.read.parquet(f"{SF}/documents.parquet").collect()]
+    table = brute.odd_rows() + real
+    if rows == "repeated":
+        table = [*table, *table[::2]]
+    df = spark.createDataFrame(table if rows != "empty" else [], brute.DDL)
+    df = df.select("*", *(F.concat(F.lit(f"{c}:"), F.coalesce(F.col("doc_id").cast("string"), F.lit("none"))).alias(c) for c in CLASHING))
+    path = f"file://{tmp_path}"
+    df.write.parquet(f"{path}/documents.parquet")
+    spark.read.parquet(f"{SF}/benchmark.parquet").write.parquet(f"{path}/benchmark.parquet")
+    kept = spark.read.parquet(f"{path}/documents.parquet")
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        kept = materialize(stage(spark, kept, path), name)
+        assert kept.columns == df.columns and kept.dtypes == df.dtypes
+        for r in kept.collect():
+            assert all(r[c] == f"{c}:{'none' if r['doc_id'] is None else r['doc_id']}" for c in CLASHING)
+    masked = kept.filter("doc_id >= 1000").collect()
+    assert (len(masked) > 100 or rows == "empty") and all("[SECRET]" in r["text"] for r in masked)
+    packed = corpus_pipeline.run(spark, path)
+    assert {r["doc_id"] for r in packed.collect()} == {r["doc_id"] for r in kept.collect()}
+
+
+def test_a_stage_gives_back_what_the_one_before_wrote(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    kept = materialize(corpus_pipeline.STAGES[0][1](spark, docs, SF), "kept")
+    tables = [path for _, path in corpus_pipeline._before[-1].tables]
+    assert tables
+    corpus_pipeline.STAGES[2][1](spark, kept, SF)
+    for path in tables:
+        target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+        assert not target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(target)
