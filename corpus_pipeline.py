@@ -6,32 +6,58 @@ before kept, from Parquet in the shared folder; all but the last return the colu
 
 from __future__ import annotations
 
+import functools
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 
 from folioflow.llm import decontaminate, ngram_join, packing, quality, secrets
 from folioflow.llm.scratch import materialize, table
+from folioflow.session import Scope, scoped
+
+Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
+#: What the stage before wrote and sent. Its result is a table of its own by the time the next stage is called.
+_before: list[Scope] = []
+
+
+def _stage(f: Stage) -> Stage:
+    @functools.wraps(f)
+    def staged(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        while _before:
+            _before.pop().release()
+        with scoped() as scope:
+            out = f(spark, docs, sf_dir)
+        _before.append(scope)
+        return out
+
+    return staged
 
 
+@_stage
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drops texts that fail the base rules or lie outside their language's perplexity band."""
     return quality.select(docs)
 
 
+@_stage
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keeps one text of each component of near duplicates."""
     return ngram_join.keep_one(docs)
 
 
+@_stage
 def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Cuts benchmark passages out, and drops texts that are mostly benchmark."""
     return decontaminate.clean(docs, table(spark, sf_dir, "benchmark"))
 
 
+@_stage
 def secret_scan(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Masks secrets that look live."""
     return secrets.redact(docs)
 
 
+@_stage
 def best_fit_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Packs the tokens of the texts that are left into sequences."""
     return packing.pack_documents(docs)
