@@ -10,12 +10,12 @@ VERSION = "0.9"
 
 @dataclass(frozen=True)
 class Rule:
-    """A pattern of turn boundaries. Its place in BOUNDARIES is its priority."""
+    """A pattern of turn boundaries. Its place in BOUNDARIES is its priority. A text without any of needs, folded, has no match."""
 
     name: str
     pattern: str
     ignore_case: bool
-    kind: str
+    needs: tuple[str, ...]
 
     def compiled(self) -> re.Pattern:
         return re.compile(self.pattern, re.M | (re.I if self.ignore_case else 0))
@@ -23,29 +23,29 @@ class Rule:
 
 # Boundary patterns in order of priority.
 BOUNDARIES = (
-    Rule("bold_boundary", r"^§([^§\n]{3,400}):\s*$", False, "uncertain"),
-    Rule("floor_grant", r"^(La Presidencia (?:le )?(?:concede|otorga) el uso de la palabra\s*\n?(?:al|a la) (?:honorable )?(?:Representante|Senador[a]?|Congresista)\s+[^\n:]{1,80}(?:\n[^\n:]{1,60})?):", True, "legislator"),
-    Rule("con_venia", r"^[-\s]*(Con la venia de(?:l se[ñn]or Presidente|\s+la Presidencia)[^\n]*\n(?:palabra\s+)?(?:el doctor |la doctora |el se[ñn]or |la se[ñn]ora |[Ll]a honorable\s+|[Ee]l honorable\s+|[A-ZÁÉÍÓÚÑÜ])[^\n:]{2,80}(?:\n[^\n:]{2,60})?):", False, "legislator"),
-    Rule("se_le_concede", r"^(Se le concede el uso de la palabra\s+(?:al|a la)\s+(?:honorable\s+)?(?:Representante|Senador[a]?|Congresista)\s+[^\n:]{3,80}(?:\n[^\n:]{3,60})?):", True, "legislator"),
-    Rule("dash_role_verb", r"^-\s+(?:[^\n,]{0,40},\s+)?(?:el|la)\s+se[ñn]or[a]?\s+(Presidente[a]?|Secretari[ao])(?:\s+de\s+la\s+Comisi[oó]n)?[,\s]+(?:expresa|indica|manifiesta|se[ñn]ala|afirma)\s*:", True, "role"),
-    Rule("dash_doctor_verb", r"^-\s+(?:el|la)\s+doctor[a]?\s+([A-ZÁÉÍÓÚÑÜ][^\n,]{3,60})[^:]+?(?:expresa|indica|manifiesta|se[ñn]ala|afirma)\s*:", True, "minister"),
-    Rule("tiene_uso", r"^((?:Tiene|tiene) (?:el uso de la palabra|la palabra)[^\n:]{0,80}):", False, "uncertain"),
-    Rule("honorable_tiene_dot", r"honorable\s+(?:Representante|Senador[a]?|Congresista)\s+([A-ZÁÉÍÓÚÑÜ][^\n,]{2,50}),\s+tiene\s+la\s+palabra\.", True, "legislator"),
-    Rule("tiene_palabra_dot", r"[Tt]iene\s+la\s+palabra\s+(?:el\s+|la\s+)?(?:honorable\s+)?(?:Representante|Senador[a]?|Congresista)\s+([A-ZÁÉÍÓÚÑÜ][^\n.]{2,60}(?:\n[^\n.]{2,60})?)\.", True, "legislator"),
-    Rule("tiene_palabra", r"(?:tiene la palabra\s+(?:el|la)\s+honorable\s+(?:Representante|Senador[a]?|Congresista)\s+([A-ZÁÉÍÓÚÑÜ][^\n:]{3,70}(?:\n[^\n:]{3,50})?)):", True, "legislator"),
-    Rule("quien_verbo", r"(?:interviene\s+)?(?:el|la)\s+honorable\s+(?:Senador[a]?|Representante|Congresista)\s+([A-ZÁÉÍÓÚÑÜ][a-záéíóúñü]+(?:\s+[A-ZÁÉÍÓÚÑÜ][a-záéíóúñü]+){1,5})[,;.]\s+quien\s+(?:manifiesta|expresa|indica|afirma|se[ñn]ala|expone)\s*:", True, "legislator"),
-    Rule("honorable_verb", r"(?:el|la)\s+honorable\s+(?:Senador[a]?|Representante|Congresista)\s+([A-ZÁÉÍÓÚÑÜ][a-záéíóúñü]+(?:\s+[A-ZÁÉÍÓÚÑÜ][a-záéíóúñü]+){1,5})[,\s]*(?:expresa|indica|manifiesta|se[ñn]ala|afirma|expone)\s*:", True, "legislator"),
-    Rule("otorga_quien", r"(?:le\s+)?otorga(?:\s+el\s+uso\s+de\s+la\s+palabra)?\s+al?\s+(?:honorable\s+)?(?:Senador[a]?|Representante|Congresista)\s+([A-ZÁÉÍÓÚÑÜ][^\n:]{3,80}(?:\n[^\n:]{3,60})?)[,;]\s+quien\s+(?:manifiesta|expresa|indica|afirma|se[ñn]ala|expone)\s*:", True, "legislator"),
-    Rule("otorga_doctor", r"otorga(?:\s+el\s+uso\s+de\s+la\s+palabra)?\s+al?\s+(?:se[ñn]or[a]?\s+)?doctor[a]?\s+([A-ZÁÉÍÓÚÑÜ][^\n,]{3,60})[^:]+?,?\s*quien\s+(?:manifiesta|expresa|indica|afirma|se[ñn]ala|expone)\s*:", True, "minister"),
-    Rule("intervencion", r"^(Intervenci[oó]n de(?:l|\s+la)? (?:Representante(?:\s+a la C[aá]mara)?|Senador[a]?)[,\s]*\n?[^\n:]{3,80}):", True, "legislator"),
-    Rule("direccion", r"^(Direcci[oó]n(?:\s+de)?\s+Presidencia,?\s*[^\n:]{3,60}(?:\n[^\n:]{2,50})?):", True, "role"),
-    Rule("role_label", r"^(Presidente[a]?|Vicepresidente[a]?|Secretari[ao]|Subsecretari[ao]):\s*$", True, "role"),
-    Rule("role_semicolon", r"^((?:Secretari[ao]|Subsecretari[ao]);?\s+[A-ZÁÉÍÓÚÑÜ][^\n:;]{3,60}):", False, "role"),
-    Rule("role_with_name", r"^((?:Presidente[a]?|Vicepresidente[a]?|Secretari[ao]|Subsecretari[ao]|Director[a]?\s+(?:de |Nacional)?[^\n,]{0,30})\s+[A-ZÁÉÍÓÚÑÜ][a-záéíóúñü]+(?:\s+[A-ZÁÉÍÓÚÑÜ][a-záéíóúñü]+){1,4}):", False, "role"),
-    Rule("honorable", r"^(Honorable (?:Representante|Senador[a]?|Congresista)\s+[A-ZÁÉÍÓÚÑÜ][^\n:]{3,80}(?:\n[^\n:]{3,50})?):", True, "legislator"),
-    Rule("minister", r"^((?:Ministro[a]?|Viceministro[a]?)\s+de\s+[^\n,]{3,50},?\s*(?:doctor[a]?\s+)?[A-ZÁÉÍÓÚÑÜ][^\n:]{3,60}(?:\n[^\n:]{3,40})?):", True, "minister"),
-    Rule("senador_representante", r"^((?:Senador[a]?|Representante)\s+[A-ZÁÉÍÓÚÑÜ][^\n:]{3,70}(?:\n(?!-)[^\n:]{3,50})?):", False, "legislator"),
-    Rule("named_speaker", r"^([A-ZÁÉÍÓÚÑÜ][a-záéíóúñüA-Z]+(?:\s+(?:de\s+la?\s+)?[A-ZÁÉÍÓÚÑÜ][a-záéíóúñü]+){2,4}):", False, "uncertain"),
+    Rule("bold_boundary", r"^§([^§\n]{3,400}):\s*$", False, ("§",)),
+    Rule("floor_grant", r"^(La Presidencia (?:le )?(?:concede|otorga) el uso de la palabra\s*\n?(?:al|a la) (?:honorable )?(?:Representante|Senador[a]?|Congresista)\s+[^\n:]{1,80}(?:\n[^\n:]{1,60})?):", True, ("el uso de la palabra",)),
+    Rule("con_venia", r"^[-\s]*(Con la venia de(?:l se[ñn]or Presidente|\s+la Presidencia)[^\n]*\n(?:palabra\s+)?(?:el doctor |la doctora |el se[ñn]or |la se[ñn]ora |[Ll]a honorable\s+|[Ee]l honorable\s+|[A-ZÁÉÍÓÚÑÜ])[^\n:]{2,80}(?:\n[^\n:]{2,60})?):", False, ("con la venia de",)),
+    Rule("se_le_concede", r"^(Se le concede el uso de la palabra\s+(?:al|a la)\s+(?:honorable\s+)?(?:Representante|Senador[a]?|Congresista)\s+[^\n:]{3,80}(?:\n[^\n:]{3,60})?):", True, ("se le concede el uso de la palabra",)),
+    Rule("dash_role_verb", r"^-\s+(?:[^\n,]{0,40},\s+)?(?:el|la)\s+se[ñn]or[a]?\s+(Presidente[a]?|Secretari[ao])(?:\s+de\s+la\s+Comisi[oó]n)?[,\s]+(?:expresa|indica|manifiesta|se[ñn]ala|afirma)\s*:", True, ("expresa", "indica", "manifiesta", "ala", "afirma")),
+    Rule("dash_doctor_verb", r"^-\s+(?:el|la)\s+doctor[a]?\s+([A-ZÁÉÍÓÚÑÜ][^\n,]{3,60})[^:]+?(?:expresa|indica|manifiesta|se[ñn]ala|afirma)\s*:", True, ("doctor",)),
+    Rule("tiene_uso", r"^((?:Tiene|tiene) (?:el uso de la palabra|la palabra)[^\n:]{0,80}):", False, ("tiene ",)),
+    Rule("honorable_tiene_dot", r"honorable\s+(?:Representante|Senador[a]?|Congresista)\s+([A-ZÁÉÍÓÚÑÜ][^\n,]{2,50}),\s+tiene\s+la\s+palabra\.", True, ("honorable",)),
+    Rule("tiene_palabra_dot", r"[Tt]iene\s+la\s+palabra\s+(?:el\s+|la\s+)?(?:honorable\s+)?(?:Representante|Senador[a]?|Congresista)\s+([A-ZÁÉÍÓÚÑÜ][^\n.]{2,60}(?:\n[^\n.]{2,60})?)\.", True, ("tiene",)),
+    Rule("tiene_palabra", r"(?:tiene la palabra\s+(?:el|la)\s+honorable\s+(?:Representante|Senador[a]?|Congresista)\s+([A-ZÁÉÍÓÚÑÜ][^\n:]{3,70}(?:\n[^\n:]{3,50})?)):", True, ("tiene la palabra",)),
+    Rule("quien_verbo", r"(?:interviene\s+)?(?:el|la)\s+honorable\s+(?:Senador[a]?|Representante|Congresista)\s+([A-ZÁÉÍÓÚÑÜ][a-záéíóúñü]+(?:\s+[A-ZÁÉÍÓÚÑÜ][a-záéíóúñü]+){1,5})[,;.]\s+quien\s+(?:manifiesta|expresa|indica|afirma|se[ñn]ala|expone)\s*:", True, ("quien",)),
+    Rule("honorable_verb", r"(?:el|la)\s+honorable\s+(?:Senador[a]?|Representante|Congresista)\s+([A-ZÁÉÍÓÚÑÜ][a-záéíóúñü]+(?:\s+[A-ZÁÉÍÓÚÑÜ][a-záéíóúñü]+){1,5})[,\s]*(?:expresa|indica|manifiesta|se[ñn]ala|afirma|expone)\s*:", True, ("honorable",)),
+    Rule("otorga_quien", r"(?:le\s+)?otorga(?:\s+el\s+uso\s+de\s+la\s+palabra)?\s+al?\s+(?:honorable\s+)?(?:Senador[a]?|Representante|Congresista)\s+([A-ZÁÉÍÓÚÑÜ][^\n:]{3,80}(?:\n[^\n:]{3,60})?)[,;]\s+quien\s+(?:manifiesta|expresa|indica|afirma|se[ñn]ala|expone)\s*:", True, ("otorga",)),
+    Rule("otorga_doctor", r"otorga(?:\s+el\s+uso\s+de\s+la\s+palabra)?\s+al?\s+(?:se[ñn]or[a]?\s+)?doctor[a]?\s+([A-ZÁÉÍÓÚÑÜ][^\n,]{3,60})[^:]+?,?\s*quien\s+(?:manifiesta|expresa|indica|afirma|se[ñn]ala|expone)\s*:", True, ("otorga",)),
+    Rule("intervencion", r"^(Intervenci[oó]n de(?:l|\s+la)? (?:Representante(?:\s+a la C[aá]mara)?|Senador[a]?)[,\s]*\n?[^\n:]{3,80}):", True, ("intervenci",)),
+    Rule("direccion", r"^(Direcci[oó]n(?:\s+de)?\s+Presidencia,?\s*[^\n:]{3,60}(?:\n[^\n:]{2,50})?):", True, ("direcci",)),
+    Rule("role_label", r"^(Presidente[a]?|Vicepresidente[a]?|Secretari[ao]|Subsecretari[ao]):\s*$", True, ("president", "secretari")),
+    Rule("role_semicolon", r"^((?:Secretari[ao]|Subsecretari[ao]);?\s+[A-ZÁÉÍÓÚÑÜ][^\n:;]{3,60}):", False, ("secretari",)),
+    Rule("role_with_name", r"^((?:Presidente[a]?|Vicepresidente[a]?|Secretari[ao]|Subsecretari[ao]|Director[a]?\s+(?:de |Nacional)?[^\n,]{0,30})\s+[A-ZÁÉÍÓÚÑÜ][a-záéíóúñü]+(?:\s+[A-ZÁÉÍÓÚÑÜ][a-záéíóúñü]+){1,4}):", False, ("president", "secretari", "director")),
+    Rule("honorable", r"^(Honorable (?:Representante|Senador[a]?|Congresista)\s+[A-ZÁÉÍÓÚÑÜ][^\n:]{3,80}(?:\n[^\n:]{3,50})?):", True, ("honorable ",)),
+    Rule("minister", r"^((?:Ministro[a]?|Viceministro[a]?)\s+de\s+[^\n,]{3,50},?\s*(?:doctor[a]?\s+)?[A-ZÁÉÍÓÚÑÜ][^\n:]{3,60}(?:\n[^\n:]{3,40})?):", True, ("ministro",)),
+    Rule("senador_representante", r"^((?:Senador[a]?|Representante)\s+[A-ZÁÉÍÓÚÑÜ][^\n:]{3,70}(?:\n(?!-)[^\n:]{3,50})?):", False, ("senador", "representante")),
+    Rule("named_speaker", r"^([A-ZÁÉÍÓÚÑÜ][a-záéíóúñüA-Z]+(?:\s+(?:de\s+la?\s+)?[A-ZÁÉÍÓÚÑÜ][a-záéíóúñü]+){2,4}):", False, ()),
 )
 
 # Attributions that are no speakers.

@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from folioflow.functions import rules as R
-from folioflow.functions.text import decode_glyphs, strip
+from folioflow.functions.text import decode, strip
+from folioflow.session import ship
 
 PAGE = ("file_id", "page_num")
 
@@ -32,58 +36,71 @@ def zone(bounds: tuple[int, int]) -> Column:
     return (F.col("x0") >= lo * F.col("xs")) & (F.col("x0") <= edge)
 
 
-def scan_ratio(words: DataFrame) -> DataFrame:
-    """(file_id, page_num, n_words, cid_word_pct) over visible words."""
-    seen = words.filter(~is_white())
-    return seen.groupBy(*PAGE).agg(F.count(F.lit(1)).alias("n_words"), F.avg(F.contains(F.coalesce("text", F.lit("")), F.lit("(cid:")).cast("double")).alias("cid_word_pct"))
-
-
-def anchors(tops: Column, tolerance: float = R.LINE_TOLERANCE) -> Column:
-    """Heights at which lines begin, of sorted heights.
-
-    A word belongs to the line whose first word is at most tolerance above it, which only a fold can tell: a gap test
-    between neighbours would chain lines.
-    """
-    start = F.array().cast("array<double>")
-    return F.aggregate(tops, start, lambda acc, top: F.when((F.size(acc) == 0) | (top - F.element_at(acc, -1) > tolerance), F.array_append(acc, top)).otherwise(acc))
-
-
-def lines(words: DataFrame) -> DataFrame:
-    """(file_id, page_num, col, line, text): lines of words (file_id, page_num, col, top, x0, seq, text, bold), bold ones marked."""
-    word = F.struct("top", "x0", "seq", "text", "bold")
-    pages = words.groupBy(*PAGE, "col").agg(F.collect_list(word).alias("w")).withColumn("a", anchors(F.array_sort(F.array_distinct(F.transform("w", lambda w: w["top"])))))
-    line = lambda w: F.size(F.filter("a", lambda a: a <= w["top"]))
-    flat = pages.select(*PAGE, "col", F.inline(F.transform("w", lambda w: F.struct(line(w).alias("line"), w["x0"].alias("x0"), w["seq"].alias("seq"), w["text"].alias("text"), w["bold"].alias("bold")))))
-    of_line = flat.groupBy(*PAGE, "col", "line").agg(F.array_sort(F.collect_list(F.struct("x0", "seq", "text"))).alias("w"), F.bool_and("bold").alias("bold"))
-    text = F.array_join(F.transform("w", lambda w: w["text"]), " ")
-    return of_line.withColumn("text", text).withColumn("text", F.when(F.col("bold") & (strip(F.col("text")) != ""), F.concat(F.lit(R.BOLD), F.col("text"))).otherwise(F.col("text"))).drop("w", "bold")
+def _page(seq: np.ndarray, text: list[str], x0: np.ndarray, top: np.ndarray, bold: np.ndarray, bucket: np.ndarray, zones: np.ndarray) -> tuple[str, int, int]:
+    """Text of a page of visible words below its header, its words without the footer's, and those in the right column."""
+    order = np.lexsort((seq, bucket))
+    # The footer's mark has one blank: it lies in one word, or in two that follow each other in a bucket.
+    gone = {bucket[b] for a, b in zip(order[:-1], order[1:], strict=True) if bucket[a] == bucket[b] and R.FOOTER in f"{text[a]} {text[b]}"}
+    gone |= {bucket[i] for i in order if R.FOOTER in text[i]}
+    kept = np.flatnonzero(~np.isin(bucket, list(gone))) if gone else np.arange(len(text))
+    right = int(zones[1, kept].sum())
+    parts = []
+    for zone_ in (0, 1) if right >= R.RIGHT_WORDS else (2,):
+        at = kept[zones[zone_, kept]]
+        at = at[np.lexsort((seq[at], x0[at], top[at]))]
+        lines = []
+        while len(at):
+            # A line is as far as the tolerance reaches from its first word, not from word to word.
+            end = int(np.searchsorted(top[at] - top[at[0]], R.LINE_TOLERANCE, "right"))
+            line = at[:end][np.lexsort((seq[at[:end]], x0[at[:end]]))]
+            joined = " ".join(text[i] for i in line)
+            lines.append(R.BOLD + joined if bold[line].all() and joined.strip() else joined)
+            at = at[end:]
+        parts.append("\n".join(lines).strip())
+    return decode("\n".join(parts).strip()), len(kept), right
+
+
+def _pages(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The kernel of `pages`: arrays of words to texts, page by page."""
+    names = ["file_id", "page_num", "cid_word_pct", "text", "n_body", "n_right", "error_detail"]
+    for batch in batches:
+        words = batch.column("words")
+        flat, offsets = words.flatten(), words.offsets.to_numpy() - words.offsets[0].as_py()
+        number = lambda c: flat.field(c).to_numpy(zero_copy_only=False)  # noqa: E731, B023
+        seq, x0, top, bold, bucket = (number(c) for c in ("seq", "x0", "top", "bold", "bucket"))
+        zones = np.stack([number(c).astype(bool) for c in ("left", "right", "full")])
+        text = flat.field("text").to_pylist()
+        made = []
+        for a, b in zip(offsets[:-1].tolist(), offsets[1:].tolist(), strict=True):
+            try:
+                made.append((*_page(seq[a:b], text[a:b], x0[a:b], top[a:b], bold[a:b], bucket[a:b], zones[:, a:b]), None))
+            except Exception as e:  # noqa: BLE001 - one bad page is a row, and does not lose the others
+                made.append(("", 0, 0, f"{type(e).__name__}: {e}"[:500]))
+        texts, n_body, n_right, error = zip(*made, strict=True) if made else ((), (), (), ())
+        yield pa.record_batch([*(batch.column(c) for c in names[:3]), pa.array(texts, pa.string()), pa.array(n_body, pa.int32()), pa.array(n_right, pa.int32()), pa.array(error, pa.string())], names)
 
 
 def pages(words: DataFrame, known: DataFrame | None = None) -> DataFrame:
     """Pages of words. known (file_id, page_num, error_detail) names further pages: read errors, and pages without words.
 
-    Words are dealt by page once; all that follows works within a page, so that no step shuffles them again.
+    One scan and one shuffle: invisible, masthead and header words go before it, and a page's words meet in one row,
+    where an Arrow kernel orders them. A page is a small group by nature.
     """
-    dealt = scaled(words).repartition(*PAGE)
-    base = dealt.withColumn("text", F.coalesce("text", F.lit(""))).withColumn("bold", F.contains(F.lower(F.coalesce("fontname", F.lit(""))), F.lit("bold")))
-    seen = base.filter(~is_white())
-    top = F.when(F.col("page_num") == 1, R.HEADER_TOP_FIRST).otherwise(R.HEADER_TOP_REST) * F.col("ys")
-    body = seen.filter(((F.col("page_num") != 1) | (F.coalesce("size", F.lit(0.0)) < R.MASTHEAD_SIZE)) & (F.col("top") >= top))
-    # Footer lines: words of a rounded height, half to even, read in their order of extraction.
-    of_bucket = Window.partitionBy(*PAGE, "bucket").orderBy("word_seq").rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    body = body.withColumn("bucket", F.bround(F.col("top") / R.FOOTER_BUCKET) * R.FOOTER_BUCKET)
-    body = body.withColumn("_footer", F.contains(F.array_join(F.collect_list("text").over(of_bucket), " "), F.lit(R.FOOTER))).filter(~F.col("_footer"))
-    placed = body.withColumn("two", F.count_if(zone(R.RIGHT)).over(Window.partitionBy(*PAGE)) >= R.RIGHT_WORDS)
-    col = F.when(F.col("two") & zone(R.LEFT), 0).when(F.col("two") & zone(R.RIGHT), 1).when(~F.col("two") & zone(R.FULL), 0)
-    counts = placed.groupBy(*PAGE).agg(F.count_if(zone(R.RIGHT)).alias("n_right"), F.count(F.lit(1)).alias("n_body"))
-    of_col = lines(placed.withColumn("col", col).filter("col is not null").select(*PAGE, "col", "top", "x0", F.col("word_seq").alias("seq"), "text", "bold")).groupBy(*PAGE, "col").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("line", "text"))), lambda x: x["text"]), "\n").alias("text"))
-    of_page = of_col.groupBy(*PAGE).agg(strip(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("col", strip(F.col("text")).alias("text")))), lambda x: x["text"]), "\n")).alias("text"))
-    coded = F.contains(F.coalesce("text", F.lit("")), F.lit("(cid:")).cast("double")
-    every = dealt.groupBy(*PAGE).agg(F.avg(F.when(~is_white(), coded)).alias("cid_word_pct")).withColumn("error_detail", F.lit(None).cast("string"))
+    ship(words.sparkSession)
+    text = F.coalesce("text", F.lit(""))
+    limit = F.when(F.col("page_num") == 1, R.HEADER_TOP_FIRST).otherwise(R.HEADER_TOP_REST) * F.col("ys")
+    seen = scaled(words).withColumn("_seen", ~is_white())
+    body = F.col("_seen") & ((F.col("page_num") != 1) | (F.coalesce("size", F.lit(0.0)) < R.MASTHEAD_SIZE)) & (F.col("top") >= limit)
+    # Footer lines: words of a rounded height, half to even.
+    bucket = F.bround(F.col("top") / R.FOOTER_BUCKET)
+    zones = [F.coalesce(zone(z), F.lit(False)).alias(n) for n, z in (("left", R.LEFT), ("right", R.RIGHT), ("full", R.FULL))]
+    bold = F.contains(F.lower(F.coalesce("fontname", F.lit(""))), F.lit("bold"))
+    word = F.struct(F.col("word_seq").alias("seq"), text.alias("text"), F.coalesce("x0", F.lit(0.0)).alias("x0"), "top", bold.alias("bold"), bucket.alias("bucket"), *zones)
+    coded = F.contains(text, F.lit("(cid:")).cast("double")
+    found = seen.groupBy(*PAGE).agg(F.avg(F.when(F.col("_seen"), coded)).alias("cid_word_pct"), F.collect_list(F.when(body, word)).alias("words"))
+    out = found.mapInArrow(_pages, "file_id string, page_num int, cid_word_pct double, text string, n_body int, n_right int, error_detail string")
     if known is not None:
-        every = every.join(known.select(*PAGE), [*PAGE], "left_anti").unionByName(known.select(*PAGE, "error_detail"), allowMissingColumns=True)
-    out = every.join(counts, [*PAGE], "left").join(of_page, [*PAGE], "left")
-    out = out.withColumn("text", F.coalesce(decode_glyphs(F.col("text")), F.lit("")))
+        out = out.join(known.select(*PAGE), [*PAGE], "left_anti").unionByName(known.select(*PAGE, "error_detail"), allowMissingColumns=True)
     scanned = F.coalesce(F.col("cid_word_pct") > R.SCANNED_SHARE, F.lit(False))
     status = F.when(F.col("error_detail").isNotNull(), "error").when(scanned, "scanned").when(F.coalesce("n_body", F.lit(0)) == 0, "empty").when(strip(F.coalesce("text", F.lit(""))) == "", "empty").otherwise("ok")
     return out.select(

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import functools
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -9,6 +11,20 @@ from pyspark.sql.window import Window
 from folioflow.functions import rules as R
 from folioflow.functions.text import SPACE, word_count
 
+@functools.cache
+def digits() -> str:
+    """A class of all characters that Python's isdigit takes, super- and subscript and circled ones too."""
+    out, start = [], None
+    for i in range(0x110001):
+        there = i < 0x110000 and chr(i).isdigit()
+        if there and start is None:
+            start = i
+        elif not there and start is not None:
+            out.append(f"\\x{{{start:X}}}-\\x{{{i - 1:X}}}")
+            start = None
+    return "[" + "".join(out) + "]"
+
+
 KEY = ("file_id", "speech_id", "failure_type")
 
 
@@ -46,7 +62,7 @@ def turn_flags(turns: DataFrame) -> DataFrame:
     """(file_id, speech_id, failure_type, ...) of turns: one pass, one window by file."""
     who = F.coalesce("attribution_raw", F.lit(""))
     placed = runs(turns.withColumn("_who", who), ["file_id"], ["position_in_session"], "_who", F.coalesce("is_continuation", F.lit(False)))
-    anomaly = who.rlike(r"[\p{Nd}²³¹]") | (F.length(who) > R.ATTRIBUTION_LENGTH)
+    anomaly = who.rlike(digits()) | (F.length(who) > R.ATTRIBUTION_LENGTH)
     message = F.concat(F.lit("Attribution '"), who, F.lit("' appears "), F.col("run").cast("string"), F.lit("x consecutively"))
     all_ = F.array(
         *length_flags(F.col("word_count"), F.col("speech_text"), who),

@@ -1,6 +1,6 @@
 """Transcript text to attributed turns.
 
-The boundary scan runs Python's `re` in an Arrow UDF, because that dialect is what the rules are written for; everything
+One Arrow function takes a file's text to its raw turns, in Python's `re`, because that dialect is what the rules are written for; everything
 else is Catalyst. One shuffle by file assembles the text; turns of a file stay on its row until they are exploded.
 """
 
@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import functools
 import re
+import unicodedata
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
@@ -16,12 +17,10 @@ from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
 from folioflow.functions import rules as R
-from folioflow.functions.text import decode_glyphs, drop, hyphen_join, nfc, ordered_join, squash, strip, word_count
+from folioflow.functions.text import decode, drop, ordered_join, strip, word_count
+from folioflow.operators import preamble
 from folioflow.session import ship
 
-BOUNDARY = T.ArrayType(T.StructType([T.StructField(n, T.IntegerType()) for n in ("priority", "pos", "end")] + [T.StructField("attribution", T.StringType())]))
-
-
 @functools.cache
 def _rules() -> tuple:
     return tuple(r.compiled() for r in R.BOUNDARIES), re.compile(R.NOT_SPEAKERS, re.M), re.compile(R.LETTER_REFERENCE, re.I), re.compile(R.LEADING_RECESS, re.I)
@@ -44,23 +43,49 @@ def boundaries(text: str) -> list[tuple[int, int, int, str]]:
     """
     taken = bytearray(len(text) + 1)
     found = []
+    folded = text.casefold()
     for priority, pattern in enumerate(_rules()[0], 1):
-        for m in pattern.finditer(text):
+        needs = R.BOUNDARIES[priority - 1].needs
+        for m in () if needs and not any(x in folded for x in needs) else pattern.finditer(text):
             if not taken[m.start()] and (who := attribution(m)) is not None:
                 taken[m.start() : m.end()] = b"\1" * (m.end() - m.start())
                 found.append((priority, m.start(), m.end(), who))
     return sorted(found, key=lambda b: b[1])
 
 
-@F.pandas_udf(BOUNDARY)
-def _boundaries_udf(texts: pd.Series) -> pd.Series:
-    names = ("priority", "pos", "end", "attribution")
-    return texts.map(lambda t: [dict(zip(names, b, strict=True)) for b in boundaries(t or "")])
+TURN = T.StructType([T.StructField("attribution", T.StringType()), T.StructField("shown", T.StringType()), T.StructField("raw", T.StringType())])
+
+
+def cut(text: str) -> list[dict[str, str]]:
+    """The turns of a file's text: as attributed, as shown (blanks joined, codes decoded), and what follows up to the next one."""
+    text = prepared(text)
+    found = boundaries(text)
+    if not found:
+        return []
+    ends = [b[1] for b in found[1:]] + [len(text)]
+    return [{"attribution": who, "shown": decode(" ".join(who.split())), "raw": text[end : max(end, upto)]} for (_, _, end, who), upto in zip(found, ends, strict=True)]
+
 
+CUT = T.StructType([T.StructField("turns", T.ArrayType(TURN)), T.StructField("error", T.StringType())])
 
-@F.pandas_udf(T.StringType())
-def _merge_udf(texts: pd.Series) -> pd.Series:
-    return texts.map(merge_bold, na_action="ignore")
+
+@F.pandas_udf(CUT)
+def cut_file(texts: pd.Series) -> pd.DataFrame:
+    """turns of each text, or the error that it makes: one bad file is a row, and does not lose the others."""
+    rows = []
+    for t in texts:
+        try:
+            rows.append((cut(t or ""), None))
+        except Exception as e:  # noqa: BLE001
+            rows.append((None, f"{type(e).__name__}: {e}"[:500]))
+    return pd.DataFrame(rows, columns=["turns", "error"])
+
+
+def prepared(text: str) -> str:
+    """Normal form C, divided words joined, bold runs merged, undecodable bold lines replaced."""
+    if not text.isascii():
+        text = unicodedata.normalize("NFC", text)
+    return re.sub(R.GLYPH_BOLD_LINE, R.GLYPH_ATTRIBUTION, merge_bold(re.sub(r"-\n(?=[a-z])", "", text)))
 
 
 def merge_bold(text: str) -> str:
@@ -86,22 +111,10 @@ def merge_bold(text: str) -> str:
     return "\n".join(out)
 
 
-def claims(candidates: Column) -> Column:
-    """Accepted ones of array<struct<priority,pos,end>>: a fold, because acceptance depends on what was accepted before."""
-    ordered = F.array_sort(candidates)
-    return F.aggregate(ordered, F.slice(ordered, 1, 0), lambda acc, c: F.when(F.exists(acc, lambda a: (c["pos"] >= a["pos"]) & (c["pos"] < a["end"])), acc).otherwise(F.concat(acc, F.array(c))))
-
-
 def file_text(pages: DataFrame) -> DataFrame:
     """(file_id, text) of the readable pages, each behind its mark."""
-    marked = pages.filter("status = 'ok'").select("file_id", "page_num", F.concat(F.lit("\n[PAGE "), F.col("page_num").cast("string"), F.lit("]\n"), F.coalesce("text", F.lit(""))).alias("text"))
-    return marked.groupBy("file_id").agg(ordered_join("page_num", "text", "\n").alias("text"))
-
-
-def prepared(text: Column) -> Column:
-    """Normal form C, divided words joined, bold runs merged, undecodable bold lines replaced."""
-    plain = hyphen_join(F.when(text.rlike(r"[^\x00-\u02FF]"), nfc(text)).otherwise(text))
-    return F.regexp_replace(_merge_udf(plain), "(?d)" + R.GLYPH_BOLD_LINE, R.GLYPH_ATTRIBUTION)
+    ok = pages.filter("status = 'ok'").select("file_id", "page_num", preamble.marked(F.col("page_num"), F.col("text")).alias("text"))
+    return ok.groupBy("file_id").agg(ordered_join("page_num", "text", "\n").alias("text"))
 
 
 def cleaned(text: Column) -> Column:
@@ -117,11 +130,20 @@ def votes(text: Column) -> Column:
 
 
 def turns(pages: DataFrame, version: str = R.VERSION) -> DataFrame:
-    """Turns of transcript pages (file_id, page_num, text, status)."""
-    ship(pages.sparkSession)
-    texts = file_text(pages).withColumn("text", prepared(F.col("text"))).withColumn("b", _boundaries_udf("text"))
-    cut = F.transform("b", lambda b, i: F.struct((i + 1).alias("number"), b["attribution"].alias("attribution"), F.substring(F.col("text"), b["end"] + 1, F.greatest(F.coalesce(F.try_element_at("b", i + 2)["pos"], F.length("text")) - b["end"], F.lit(0))).alias("raw")))
-    flat = texts.select("file_id", F.inline(cut)).withColumn("speech_text", cleaned(F.col("raw")))
+    """Turns of transcript pages (file_id, page_num, text, status). A file that cannot be cut is an error here."""
+    texts = with_cuts(file_text(pages))
+    return turns_of(texts.withColumn("turns", F.when(F.col("error").isNotNull(), F.raise_error(F.concat_ws(": ", "file_id", "error"))).otherwise(F.col("turns"))), version)
+
+
+def with_cuts(texts: DataFrame) -> DataFrame:
+    """Replaces text of files' texts (file_id, text, ...) by turns and error."""
+    ship(texts.sparkSession)
+    return texts.withColumn("_cut", cut_file("text")).withColumns({"turns": F.col("_cut.turns"), "error": F.col("_cut.error")}).drop("_cut", "text")
+
+
+def turns_of(cuts: DataFrame, version: str = R.VERSION) -> DataFrame:
+    """Turns of files (file_id, turns of `with_cuts`). Those that stay are numbered."""
+    flat = cuts.select("file_id", F.posexplode("turns").alias("number", "t")).select("file_id", "number", "t.*").withColumn("speech_text", cleaned(F.col("raw")))
     skip = F.substring("speech_text", 1, 50).rlike("\\A(?:" + "(?md)" + R.PROCEDURAL + ")") | F.col("attribution").rlike("(?iu)" + R.CHAIR_CHANGE)
     kept = flat.withColumn("word_count", word_count(F.col("speech_text"))).filter(~skip & (F.col("word_count") > 0))
     numbered = kept.withColumn("position_in_session", F.row_number().over(Window.partitionBy("file_id").orderBy("number")))
@@ -129,7 +151,7 @@ def turns(pages: DataFrame, version: str = R.VERSION) -> DataFrame:
         "file_id",
         F.format_string("%s_%03d", "file_id", "position_in_session").alias("speech_id"),
         "position_in_session",
-        decode_glyphs(squash(F.col("attribution"))).alias("attribution_raw"),
+        F.col("shown").alias("attribution_raw"),
         "speech_text",
         F.col("word_count").cast("int").alias("word_count"),
         F.col("attribution").rlike("(?iu)" + R.CONTINUATION).alias("is_continuation"),

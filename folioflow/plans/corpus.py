@@ -8,12 +8,15 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from folioflow.functions import rules as R
-from folioflow.operators import header, ids, layout, preamble, qa, segment
+from folioflow.operators import header, ids, preamble, qa, segment
 from folioflow.operators import schemas as S
-from folioflow.session import materialize
+from folioflow.session import materialize, scoped
 from folioflow.sources import sinks
 
 
+UNREADABLE = "no array of pages"
+
+
 @dataclass
 class Corpus:
     speeches: DataFrame
@@ -27,20 +30,31 @@ def build(pages: DataFrame, answers: DataFrame | None = None, strict_skip: bool
 
     strict_skip passes over files whose pages are all scanned, else files without any readable page. answers of the header service
     are optional. session_ids (file_id, session_id) name speeches and sessions; without them the durable key is (file_id, position).
-    What several of the four tables read (starts, turns, file facts, flags) is written once to the shared folder.
+    A file that cannot be read or cut gets a row of status failed in the log, and the others go on. Pages are read once and meet in one row a file; what several of the four tables read is written once to the shared folder.
     """
-    counts = layout.page_counts(pages)
-    skip = F.col("skip_strict") if strict_skip else F.col("skip")
-    usable = pages.join(counts.filter(~skip).select("file_id"), "file_id", "left_semi")
-    starts = materialize(preamble.start_pages(usable), "starts")
-    texts = counts.filter(~skip).select("file_id").join(preamble.preamble_text(usable, starts), "file_id", "left")
+    held = preamble.with_starts(preamble.gathered(pages))
+    of = lambda x: F.filter("pages", lambda p: p["status"].isin(x))
+    unusable = of(["scanned"] if strict_skip else ["scanned", "empty", "error"])
+    facts = held.select(
+        "file_id",
+        "transcript_start_page",
+        (F.size(unusable) == F.size("pages")).alias("skip"),
+        F.size("pages").cast("int").alias("n_pages_total"),
+        F.size(of(["scanned"])).cast("int").alias("n_pages_scanned"),
+        F.transform(of(["scanned"]), lambda p: p["page_num"]).alias("scanned"),
+        preamble.preamble_text().alias("preamble_text"),
+        preamble.transcript_text().alias("text"),
+        F.exists("pages", lambda p: p["page_num"].isNull()).alias("unreadable"),
+    )
+    facts = materialize(segment.with_cuts(facts).withColumn("error", F.when(F.col("unreadable"), UNREADABLE).otherwise(F.col("error"))), "files")
+    usable = facts.filter("not skip and error is null")
+    texts = usable.select("file_id", "preamble_text")
     heads = header.with_service(texts, answers) if answers is not None else header.by_rule(texts)
-    turns = materialize(segment.turns(preamble.transcript_pages(usable, starts), version), "turns")
+    turns = materialize(segment.turns_of(usable.select("file_id", "turns"), version), "turns")
     spoken = turns.groupBy("file_id").agg(F.count(F.lit(1)).cast("int").alias("n_speeches"))
-    scanned = pages.filter("status = 'scanned'").groupBy("file_id").agg(F.array_sort(F.collect_list("page_num")).alias("scanned"))
-    base = heads.join(starts.select("file_id", "transcript_start_page"), "file_id", "left").join(counts.select("file_id", F.col("n_pages_total").cast("int").alias("n_pages_total"), F.col("n_pages_scanned").cast("int").alias("n_pages_scanned")), "file_id").join(spoken, "file_id", "left").join(scanned, "file_id", "left")
+    base = heads.join(usable.select("file_id", "transcript_start_page", "n_pages_total", "n_pages_scanned", "scanned"), "file_id").join(spoken, "file_id", "left")
     base = base.withColumns({"n_speeches": F.coalesce("n_speeches", F.lit(0)), "year_extracted": header.year(F.col("session_date")), "rule_version": F.lit(version)})
-    base = materialize(base, "files")
+    base = materialize(base, "sessions")
     flags = materialize(qa.flags(turns, base), "flags")
     flagged = flags.groupBy("file_id").agg(F.count(F.lit(1)).cast("int").alias("n_flagged"))
     names = session_ids if session_ids is not None else base.select("file_id", F.lit(None).cast("string").alias("session_id"))
@@ -56,9 +70,10 @@ def build(pages: DataFrame, answers: DataFrame | None = None, strict_skip: bool
     carried = sessions.select("file_id", "session_id", "gaceta_number", "publication_date", "session_date", "chamber", "committee", "date_source")
     speeches = qa.with_qa_flag(turns, flags).join(carried, "file_id", "left")
     speeches = speeches.withColumn("speech_id", F.when(F.col("session_id").isNotNull(), F.format_string("%s_%03d", "session_id", "position_in_session")).otherwise(F.col("speech_id")))
-    passed = counts.filter(skip).select("file_id", F.lit("skipped_all_scanned").alias("status"), F.lit(0).alias("n_speeches"), F.lit(0).alias("n_flagged"))
-    log = sessions.select("file_id", F.lit("done").alias("status"), "n_speeches", "n_flagged").unionByName(passed)
-    log = log.withColumns({"rule_version": F.lit(version), "error_detail": F.lit(""), "processing_timestamp": F.current_timestamp()})
+    status = F.when(F.col("error").isNotNull(), "failed").otherwise("skipped_all_scanned")
+    passed = facts.filter("skip or error is not null").select("file_id", status.alias("status"), F.lit(0).alias("n_speeches"), F.lit(0).alias("n_flagged"), F.coalesce("error", F.lit("")).alias("error_detail"))
+    log = sessions.select("file_id", F.lit("done").alias("status"), "n_speeches", "n_flagged", F.lit("").alias("error_detail")).unionByName(passed)
+    log = log.withColumns({"rule_version": F.lit(version), "processing_timestamp": F.current_timestamp()})
     return Corpus(sinks.shaped(speeches, S.SPEECHES), sinks.shaped(sessions, S.SESSIONS), flags, sinks.shaped(log, S.LOG))
 
 
@@ -66,13 +81,16 @@ def calibrate(pages: DataFrame, root: str, answers: DataFrame | None = None) ->
     """A fresh run: outputs are reset, and speeches and sessions get ids by year."""
     spark = pages.sparkSession
     sinks.reset(spark, root)
-    made = build(pages, answers)
-    dated = ids.year_ids(made.sessions, ["file_id"])
-    speeches = ids.with_year_ids(made.speeches, dated)
-    speeches.select(*S.columns(S.SPEECHES), "year_id").write.mode("overwrite").parquet(f"{root}/speeches")
-    dated.select(*S.columns(S.SESSIONS), "year_id").write.mode("overwrite").parquet(f"{root}/sessions")
-    sinks.upsert_flags(made.flags, f"{root}/flagged")
-    sinks.log(made.log, f"{root}/log")
+    with scoped() as scope:
+        made = build(pages, answers)
+        dated = ids.year_ids(made.sessions, ["file_id"])
+        speeches = ids.with_year_ids(made.speeches, dated)
+        speeches.select(*S.columns(S.SPEECHES), "year_id").write.mode("overwrite").parquet(f"{root}/speeches")
+        in_order = dated.orderBy(F.coalesce(F.nullif("session_date", F.lit("")), F.lit("9999-12-31")), F.length("year_id"), "year_id")
+        in_order.select(*S.columns(S.SESSIONS), "year_id").write.mode("overwrite").parquet(f"{root}/sessions")
+        sinks.upsert_flags(made.flags, f"{root}/flagged")
+        sinks.log(made.log, f"{root}/log")
+    scope.release()
 
 
 def manifest(spark: SparkSession, root: str) -> DataFrame:

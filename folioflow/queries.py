@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from folioflow.functions import rules as R
-from folioflow.functions.text import decode_glyphs, drop, hyphen_join, ordered_join, word_count
+from folioflow.functions.text import decode_glyphs, drop, hyphen_join, nfc, ordered_join, word_count
 from folioflow.operators import checks, header, ids, layout, preamble, qa, segment
 from folioflow.plans import corpus
 
@@ -142,31 +142,34 @@ def segment_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("file_id", F.col("position_in_session").cast("long").alias("position_in_session"), "attribution_raw", "speech_text", F.col("word_count").cast("long").alias("word_count"))
 
 
-@query("""
-SELECT record_type, count(*) AS n FROM (SELECT CASE WHEN turn % 3 = 0 THEN 'vote_tally' ELSE 'speech' END AS record_type FROM conversations WHERE text IS NOT NULL) GROUP BY 1""")
+TURN_SQL = r"""
+SELECT 'conv_' || conv_id AS file_id, CAST(row_number() OVER (PARTITION BY conv_id ORDER BY turn) AS BIGINT) AS position_in_session, {SPEAKER} AS attribution_raw, {VALUE}, speech_text
+FROM (SELECT *, regexp_replace(regexp_replace(regexp_replace(regexp_replace({TEXT}, '-\\n([a-z])', '\\1', 'g'), '{DASH}', '', 'g'), '^{WS}+', ''), '{WS}+$', '') AS speech_text FROM conversations WHERE text IS NOT NULL)
+WHERE speech_text <> ''{KEEP}"""
+
+
+def _turns(found: DataFrame, *more: str) -> DataFrame:
+    return found.select("file_id", F.col("position_in_session").cast("long").alias("position_in_session"), "attribution_raw", *more, "speech_text")
+
+
+@query(TURN_SQL.replace("{TEXT}", r"text || chr(10) || repeat('Ana Ruiz Vota sí' || chr(10), CASE WHEN turn % 3 = 0 THEN 3 ELSE 2 END)").replace("{VALUE}", "CASE WHEN turn % 3 = 0 THEN 'vote_tally' ELSE 'speech' END AS record_type").replace("{KEEP}", ""))
 def vote_tally(spark: SparkSession, sf_dir: str) -> DataFrame:
-    votes = r"concat('\n', repeat('Ana Ruiz: Vota sí\n', if(turn % 3 = 0, 3, 2)))".replace("Ana Ruiz: ", "Ana Ruiz ")
-    found = segment.turns(rendered(spark, sf_dir, after=votes))
-    return found.groupBy("record_type").agg(F.count(F.lit(1)).alias("n"))
+    found = segment.turns(rendered(spark, sf_dir, after=r"concat('\n', repeat('Ana Ruiz Vota sí\n', if(turn % 3 = 0, 3, 2)))"))
+    return _turns(found, "record_type")
 
 
-@query("""
-SELECT 'conv_' || conv_id AS file_id, CAST(row_number() OVER (PARTITION BY conv_id ORDER BY turn) AS BIGINT) AS position_in_session,
-  CASE WHEN turn % 2 = 0 THEN 'Gracias.' ELSE 'Gracias. Sigue el debate.' END AS head
-FROM conversations WHERE text IS NOT NULL""")
+@query(TURN_SQL.replace("{TEXT}", "CASE WHEN turn % 2 = 0 THEN 'Gracias.' ELSE 'Gracias. Sigue el debate. ' || text END").replace("{VALUE}", "turn % 2 = 0 AS closed").replace("{KEEP}", ""))
 def close_truncation(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Even turns close the session after one word; what follows, the turn's own text, goes."""
     before = "if(turn % 2 = 0, 'Gracias. Se levanta la sesión. ', 'Gracias. Sigue el debate. ')"
     found = segment.turns(rendered(spark, sf_dir, before=before))
-    head = F.when(F.col("speech_text") == "Gracias.", F.col("speech_text")).otherwise(F.left("speech_text", F.lit(25)))
-    return found.select("file_id", F.col("position_in_session").cast("long").alias("position_in_session"), head.alias("head"))
+    return _turns(found.withColumn("closed", F.col("speech_text") == "Gracias."), "closed")
 
 
-@query("""
-SELECT 'conv_' || conv_id AS file_id, CAST(count(*) AS BIGINT) AS n FROM conversations WHERE text IS NOT NULL AND turn % 3 <> 1 GROUP BY 1""")
+@query(TURN_SQL.replace("{TEXT}", "'Señor Presidente, ' || text").replace("{VALUE}", "false AS is_continuation").replace("{KEEP}", " AND turn % 3 <> 1"))
 def procedural_skip(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = segment.turns(rendered(spark, sf_dir, before=r"if(turn % 3 = 1, '(RECESO)\n', 'Señor Presidente: '  )".replace("Presidente: '", "Presidente, '")))
-    return found.groupBy("file_id").agg(F.count(F.lit(1)).alias("n"))
+    found = segment.turns(rendered(spark, sf_dir, before=r"if(turn % 3 = 1, '(RECESO)\n', 'Señor Presidente, ')"))
+    return _turns(found, "is_continuation")
 
 
 @query("""
@@ -234,14 +237,10 @@ def page_status_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     return layout.page_counts(_synthetic_pages(spark, sf_dir))
 
 
-def _words(spark: SparkSession, sf_dir: str, whole: bool = False) -> DataFrame:
-    """Words of documents at computed places, ten to a line, in one column (odd ids) or two: a page of 609.4 by 963.8 for each document.
-
-    whole: all documents and all their words, lines running on below the page; else short documents, of each the first 400 words.
-    """
+def _words(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All words of all documents at computed places, ten to a line, in one column (odd ids) or two: a page of 609.4 by 963.8, as long as it takes, for each document."""
     split = F.posexplode(F.filter(F.split("text", r"[ \t\n\x0B\f\r]+"), lambda w: w != "")).alias("i", "word")
-    docs = table(spark, sf_dir, "documents")
-    flat = docs.select("doc_id", split) if whole else docs.filter("n_chars < 4000").select("doc_id", split).filter("i < 400")
+    flat = table(spark, sf_dir, "documents").select("doc_id", split)
     i, two = F.col("i"), F.col("doc_id") % 2 == 0
     line = F.floor(i / 10)
     right = two & (line % 2 == 1)
@@ -253,81 +252,44 @@ def _words(spark: SparkSession, sf_dir: str, whole: bool = False) -> DataFrame:
 
 _WORDS_SQL = r"""
 WITH w AS (SELECT doc_id, unnest(x) AS word, generate_subscripts(x, 1) - 1 AS i FROM (
-  SELECT doc_id, list_filter(regexp_split_to_array(text, '[ \t\n\x0B\f\r]+'), lambda t: t <> '') AS x FROM documents WHERE n_chars < 4000)),
-v AS (SELECT doc_id, i, CASE WHEN doc_id % 10 = 3 AND i % 2 = 0 THEN '(cid:40)' ELSE word END AS word, i // 10 AS line FROM w WHERE i < 400 AND i % 29 <> 5)
+  SELECT doc_id, list_filter(regexp_split_to_array(text, '[ \t\n\x0B\f\r]+'), lambda t: t <> '') AS x FROM documents)),
+v AS (SELECT doc_id, i, CASE WHEN doc_id % 10 = 3 AND i % 2 = 0 THEN '(cid:40)' ELSE word END AS word, i // 10 AS line,
+  CAST(CASE WHEN doc_id % 2 = 0 THEN i // 10 % 2 = 1 ELSE i % 10 >= 5 END AS INTEGER) AS col FROM w WHERE i % 29 <> 5),
+n AS (SELECT doc_id, count(*) AS n_words, count(*) FILTER (WHERE contains(word, '(cid:')) AS n_coded, count(*) FILTER (WHERE col = 1) AS n_right FROM v GROUP BY 1)
 """
 
 
 @query(_WORDS_SQL + """
-SELECT 'doc_' || doc_id AS file_id, count(*) AS n_words, count(*) FILTER (WHERE contains(word, '(cid:')) AS n_coded,
-  10 * count(*) FILTER (WHERE contains(word, '(cid:')) > 3 * count(*) AS scanned FROM v GROUP BY doc_id""")
+SELECT 'doc_' || doc_id AS file_id, 1 AS page_num, 10 * n_coded > 3 * n_words AS scanned, CASE WHEN 10 * n_coded > 3 * n_words THEN round(n_coded / n_words, 4) END AS cid_word_pct FROM n""")
 def scan_ratio(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = layout.scan_ratio(_words(spark, sf_dir))
-    return found.select("file_id", "n_words", F.round(F.col("cid_word_pct") * F.col("n_words")).cast("long").alias("n_coded"), (F.col("cid_word_pct") > R.SCANNED_SHARE).alias("scanned"))
-
-
-@query(_WORDS_SQL + """
-, l AS (SELECT doc_id, CASE WHEN doc_id % 2 = 0 THEN line % 2 ELSE 0 END AS col, line,
-    any_value(CASE WHEN line % 7 = 0 THEN '§' ELSE '' END) || string_agg(word, ' ' ORDER BY i) AS text FROM v GROUP BY doc_id, 2, line),
-c AS (SELECT doc_id, col, string_agg(text, chr(10) ORDER BY line) AS text FROM l GROUP BY doc_id, col),
-p AS (SELECT doc_id, string_agg(text, chr(10) ORDER BY col) AS text FROM c GROUP BY 1),
-n AS (SELECT doc_id, count(*) FILTER (WHERE doc_id % 2 = 0 AND line % 2 = 1 OR doc_id % 2 = 1 AND i % 10 >= 5) AS n_right FROM v GROUP BY 1)
-SELECT 'doc_' || doc_id AS file_id, CASE WHEN doc_id % 10 = 3 THEN 'scanned' ELSE 'ok' END AS status, p.text AS text FROM p JOIN n USING (doc_id)
-WHERE doc_id % 10 <> 3 AND doc_id % 2 = 0 AND n_right >= 10""")
-def two_column_layout(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Two-column pages of synthetic words come back line by line."""
+    """Which pages are scanned, and the log of these."""
     found = layout.pages(_words(spark, sf_dir))
-    return found.filter("column_layout = 'two_column' and status = 'ok' and int(substring(file_id, 5, 20)) % 2 = 0").select("file_id", "status", "text")
-
-
-_WHOLE_SQL = r"""
-WITH w AS (SELECT doc_id, unnest(x) AS word, generate_subscripts(x, 1) - 1 AS i FROM (
-  SELECT doc_id, list_filter(regexp_split_to_array(text, '[ \t\n\x0B\f\r]+'), lambda t: t <> '') AS x FROM documents)),
-v AS (SELECT doc_id, i, CASE WHEN doc_id % 10 = 3 AND i % 2 = 0 THEN '(cid:40)' ELSE word END AS word, i // 10 AS line,
-  CAST(CASE WHEN doc_id % 2 = 0 THEN i // 10 % 2 = 1 ELSE i % 10 >= 5 END AS INTEGER) AS col FROM w WHERE i % 29 <> 5)
-"""
-
+    logged = layout.scanned_pages(found).withColumnsRenamed({"file_id": "_f", "page_num": "_p"})
+    both = found.drop("cid_word_pct").join(logged, (F.col("file_id") == F.col("_f")) & (F.col("page_num") == F.col("_p")), "left")
+    return both.select("file_id", "page_num", (F.col("status") == "scanned").alias("scanned"), "cid_word_pct")
 
-@query(_WHOLE_SQL + """
-SELECT 'doc_' || doc_id AS file_id, count(*) AS n_words, count(*) FILTER (WHERE contains(word, '(cid:')) AS n_coded,
-  10 * count(*) FILTER (WHERE contains(word, '(cid:')) > 3 * count(*) AS scanned FROM v GROUP BY doc_id""")
-def scan_ratio_whole(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """scan_ratio over all words of all documents."""
-    found = layout.scan_ratio(_words(spark, sf_dir, whole=True))
-    return found.select("file_id", "n_words", F.round(F.col("cid_word_pct") * F.col("n_words")).cast("long").alias("n_coded"), (F.col("cid_word_pct") > R.SCANNED_SHARE).alias("scanned"))
 
-
-@query(_WHOLE_SQL + """
-, l AS (SELECT doc_id, col, line, any_value(CASE WHEN line % 7 = 0 THEN '§' ELSE '' END) || string_agg(word, ' ' ORDER BY i) AS text FROM v GROUP BY doc_id, col, line),
-c AS (SELECT doc_id, col, string_agg(text, chr(10) ORDER BY line) AS text FROM l GROUP BY doc_id, col),
-p AS (SELECT doc_id, string_agg(text, chr(10) ORDER BY col) AS text FROM c GROUP BY 1),
-n AS (SELECT doc_id, count(*) FILTER (WHERE col = 1) AS n_right FROM v GROUP BY 1)
-SELECT 'doc_' || doc_id AS file_id, 'ok' AS status, p.text AS text FROM p JOIN n USING (doc_id) WHERE doc_id % 10 <> 3 AND n_right >= 10""")
-def two_column_whole(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """two_column_layout over all words of all documents; lines of odd ids, which cross the middle, are read as two halves."""
-    found = layout.pages(_words(spark, sf_dir, whole=True))
-    return found.filter("column_layout = 'two_column' and status = 'ok'").select("file_id", "status", "text")
-
-
-@query("""
-SELECT doc_id, text FROM (SELECT doc_id, array_to_string(list_filter(regexp_extract_all(text, '[A-Za-z]+'), lambda x: true), ' ') AS text FROM documents WHERE n_chars < 3000)""")
-def glyph_decode(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """ASCII letters and blanks, coded by the offset, come back."""
-    return _glyphs(table(spark, sf_dir, "documents").filter("n_chars < 3000"))
+@query(_WORDS_SQL + """
+, d AS (SELECT *, n_right >= 10 AS two, 10 * n_coded > 3 * n_words AS scanned FROM n),
+l AS (SELECT doc_id, CASE WHEN two THEN col ELSE 0 END AS part, CASE WHEN doc_id % 2 = 0 THEN line // 2 ELSE line END AS place,
+    CASE WHEN bool_and(line % 7 = 0) THEN '§' ELSE '' END || string_agg(word, ' ' ORDER BY v.col, i) AS text FROM v JOIN d USING (doc_id) GROUP BY 1, 2, 3),
+c AS (SELECT doc_id, part, string_agg(text, chr(10) ORDER BY place) AS text FROM l GROUP BY 1, 2),
+p AS (SELECT doc_id, string_agg(text, chr(10) ORDER BY part) AS text FROM c GROUP BY 1)
+SELECT 'doc_' || doc_id AS file_id, CASE WHEN scanned THEN 'scanned' ELSE 'ok' END AS status, CASE WHEN two AND NOT scanned THEN 'two_column' ELSE 'single_column' END AS column_layout,
+  CASE WHEN scanned THEN '' ELSE p.text END AS text FROM p JOIN d USING (doc_id)""")
+def column_layout(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pages of synthetic words come back line by line, in one column or two; lines of odd ids, which cross the middle of a page of two, are read as two halves."""
+    return layout.pages(_words(spark, sf_dir)).select("file_id", "status", "column_layout", "text")
 
 
 @query("""
 SELECT doc_id, array_to_string(regexp_extract_all(text, '[A-Za-z]+'), ' ') AS text FROM documents""")
-def glyph_decode_whole(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """glyph_decode over all documents."""
-    return _glyphs(table(spark, sf_dir, "documents"))
-
-
-def _glyphs(docs: DataFrame) -> DataFrame:
+def glyph_decode(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """ASCII letters and blanks of all documents, coded by the offset, come back."""
     plain = F.array_join(F.regexp_extract_all("text", F.lit("[A-Za-z]+"), F.lit(0)), " ")
     chars = F.filter(F.split(plain, ""), lambda c: c != "")
     coded = F.array_join(F.transform(chars, lambda c: F.concat(F.lit("(cid:"), (F.ascii(c) - 29).cast("string"), F.lit(")"))), "")
-    return docs.select("doc_id", decode_glyphs(coded).alias("text"))
+    return table(spark, sf_dir, "documents").select("doc_id", decode_glyphs(coded).alias("text"))
 
 
 @query("""
@@ -350,35 +312,6 @@ def dq_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return checks.count_check(rows.filter("role = 'user'"), bounds).select("check", "verdict", "detail")
 
 
-@query("""
-WITH RECURSIVE c AS (SELECT l_orderkey AS k, row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey % 40, l_suppkey % 12) AS n, l_linenumber AS line,
-    l_partkey % 40 AS pos, l_partkey % 40 + 1 + l_suppkey % 12 AS stop FROM lineitem),
-f AS (SELECT k, n, [{'line': line, 'pos': pos, 'stop': stop}] AS acc FROM c WHERE n = 1
-  UNION ALL SELECT c.k, c.n, CASE WHEN len(list_filter(f.acc, lambda a: c.pos >= a.pos AND c.pos < a.stop)) > 0 THEN f.acc ELSE list_append(f.acc, {'line': c.line, 'pos': c.pos, 'stop': c.stop}) END
-  FROM f JOIN c ON c.k = f.k AND c.n = f.n + 1),
-d AS (SELECT k, acc FROM f QUALIFY row_number() OVER (PARTITION BY k ORDER BY n DESC) = 1)
-SELECT k AS file_id, CAST(a.line AS BIGINT) AS priority, CAST(a.pos AS BIGINT) AS pos FROM (SELECT k, unnest(acc) AS a FROM d)""")
-def range_claims(spark: SparkSession, sf_dir: str) -> DataFrame:
-    lines = table(spark, sf_dir, "lineitem")
-    pos = F.col("l_partkey") % 40
-    found = lines.groupBy(F.col("l_orderkey").alias("file_id")).agg(F.collect_list(F.struct(F.col("l_linenumber").alias("priority"), pos.alias("pos"), (pos + 1 + F.col("l_suppkey") % 12).alias("end"))).alias("c"))
-    return found.select("file_id", F.inline(segment.claims(F.col("c")))).select("file_id", F.col("priority").cast("long").alias("priority"), F.col("pos").cast("long").alias("pos"))
-
-
-@query("""
-SELECT doc_id, CAST(count(*) AS BIGINT) AS islands, CAST(max(n) AS BIGINT) AS longest FROM (
-  SELECT doc_id, g, count(*) AS n FROM (
-    SELECT doc_id, i, long, i - row_number() OVER (PARTITION BY doc_id, long ORDER BY i) AS g FROM (
-      SELECT doc_id, unnest(x) AS line, generate_subscripts(x, 1) AS i, length(unnest(x)) > 60 AS long FROM (SELECT doc_id, string_split(text, chr(10)) AS x FROM documents)))
-  WHERE long GROUP BY 1, 2) GROUP BY 1""")
-def line_islands(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Runs of long lines in each document, as runs of bold lines are found on a page."""
-    lines = table(spark, sf_dir, "documents").select("doc_id", F.posexplode(F.split("text", "\n")).alias("i", "line")).withColumn("long", F.length("line") > 60)
-    w = Window.partitionBy("doc_id", "long").orderBy("i")
-    islands = lines.withColumn("g", F.col("i") - F.row_number().over(w)).filter("long").groupBy("doc_id", "g").agg(F.count(F.lit(1)).alias("n"))
-    return islands.groupBy("doc_id").agg(F.count(F.lit(1)).alias("islands"), F.max("n").alias("longest"))
-
-
 @query("""
 WITH t AS (SELECT * FROM (SELECT 'conv_' || conv_id AS file_id, turn, {SPEAKER} AS who, max(turn) OVER (PARTITION BY conv_id) AS last,
     len(list_filter(regexp_split_to_array(text, '{WS}+'), lambda x: x <> '')) AS n_words FROM conversations) WHERE turn >= 2 OR last < 2)
@@ -409,3 +342,95 @@ def dash_strip(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = table(spark, sf_dir, "conversations").filter("text is not null")
     text = F.concat(F.lit("- Acta leída en 1999\n"), F.col("text"), F.lit("\n- Fin de la lectura"))
     return rows.select(F.format_string("conv_%d", "conv_id").alias("file_id"), (F.col("turn") + 1).cast("long").alias("position_in_session"), drop(text, "(?d)" + R.DASH_LINE).alias("text"))
+
+
+# ---------------------------------------------------------------- one shape of each rule
+
+#: By priority: what stands before the speaker's words, what it is attributed to, and whether it may stand inside a line.
+SHAPES = (
+    ("§Honorable Senadora Eva Sanz:", "Honorable Senadora Eva Sanz", False),
+    ("La Presidencia concede el uso de la palabra al honorable Representante Luis Paz:", "La Presidencia concede el uso de la palabra al honorable Representante Luis Paz", False),
+    ("Con la venia de la Presidencia\nel doctor Luis Paz:", "Con la venia de la Presidencia el doctor Luis Paz", False),
+    ("Se le concede el uso de la palabra a la honorable Senadora Eva Sanz:", "Se le concede el uso de la palabra a la honorable Senadora Eva Sanz", False),
+    ("- El señor Presidente de la Comisión, manifiesta:", "Presidente", False),
+    ("- La doctora Eva Sanz, directora de la entidad, expresa:", "Eva Sanz", False),
+    ("Tiene el uso de la palabra Luis Paz:", "Tiene el uso de la palabra Luis Paz", False),
+    ("honorable Senador Luis Paz, tiene la palabra.", "Luis Paz", True),
+    ("Tiene la palabra el honorable Representante Luis Paz.", "Luis Paz", True),
+    ("tiene la palabra el honorable Senador Luis Paz:", "Luis Paz", True),
+    ("interviene el honorable Senador Luis Paz, quien manifiesta:", "Luis Paz", True),
+    ("la honorable Representante Eva Sanz expresa:", "Eva Sanz", True),
+    ("le otorga el uso de la palabra al honorable Representante Luis Paz, quien expone:", "Luis Paz", True),
+    ("otorga el uso de la palabra al señor doctor Luis Paz, de la entidad, quien afirma:", "Luis Paz", True),
+    ("Intervención del Representante a la Cámara Luis Paz:", "Intervención del Representante a la Cámara Luis Paz", False),
+    ("Dirección de Presidencia, Luis Paz:", "Dirección de Presidencia, Luis Paz", False),
+    ("PRESIDENTE:", "PRESIDENTE", False),
+    ("Secretaria; Eva Sanz Gil:", "Secretaria; Eva Sanz Gil", False),
+    ("Vicepresidente Luis Paz:", "Vicepresidente Luis Paz", False),
+    ("Honorable Congresista Eva Sanz:", "Honorable Congresista Eva Sanz", False),
+    ("Ministro de Hacienda, doctor Luis Paz:", "Ministro de Hacienda, doctor Luis Paz", False),
+    ("Senadora Eva Sanz:", "Senadora Eva Sanz", False),
+    ("Luis Alberto Paz:", "Luis Alberto Paz", False),
+)
+#: First line of the speaker's words, longer than any pattern reads on.
+OPENING = "Continuamos con el orden del día previsto para la sesión ordinaria de hoy y con los demás asuntos pendientes"
+#: By number: what stands before the speaker's words; what the turn is attributed to (null: no turn of its own); whether its words stay with the turn before.
+ODDITIES = (
+    ("§Eva Sanz Continúa con el uso de la palabra:", "Eva Sanz Continúa con el uso de la palabra", ""),
+    ("§Preside la sesión el honorable Luis Paz:", None, None),
+    ("§(cid:40)(cid:41)(cid:42) y otros:", "[CID_ATTRIBUTION]", ""),
+    ("§Honorable Repre-\n§sentante Ana\n§Ruiz:", "Honorable Representante Ana Ruiz", ""),
+    ("§Proyecto de ley:", None, "Proyecto de ley:\n"),
+    ("§(RECESO) Luis Paz:", "Luis Paz", ""),
+    ("§el pueblo:", None, "el pueblo:\n"),
+    ("§Senadora Eva (cid:54)anz:", "Senadora Eva Sanz", ""),
+)
+
+
+def _quoted(text: str | None) -> str:
+    return "NULL" if text is None else "'" + text.replace("\n", "' || chr(10) || '") + "'"
+
+
+def _case(of: str, values: tuple) -> str:
+    return f"CASE {of} " + " ".join(f"WHEN {i} THEN {_quoted(v)}" for i, v in enumerate(values)) + " END"
+
+
+_CLEAN_SQL = r"""regexp_replace(regexp_replace(regexp_replace(regexp_replace({OPENING} || chr(10) || coalesce(text, ''), '-\\n([a-z])', '\\1', 'g'), '{DASH}', '', 'g'), '^{WS}+', ''), '{WS}+$', '')""".replace("{OPENING}", _quoted(OPENING))
+
+
+def _staged(spark: SparkSession, sf_dir: str, shapes: tuple) -> DataFrame:
+    """A page for each turn of a conversation: two words of a chair, one of the shapes, and the turn's text."""
+    rows = table(spark, sf_dir, "conversations").withColumn("k", F.pmod(F.col("conv_id") * 8 + F.col("turn"), F.lit(len(shapes))).cast("int"))
+    shape = F.element_at(F.array(*(F.lit(x) for x in shapes)), F.col("k") + 1)
+    text = F.concat(F.lit(R.BOLD + "Presidente:\nUno dos.\n"), shape, F.lit("\n" + OPENING + "\n"), F.coalesce("text", F.lit("")))
+    return rows.select(F.format_string("turn_%d_%d", "conv_id", "turn").alias("file_id"), F.lit(1).alias("page_num"), text.alias("text"), F.lit("ok").alias("status"))
+
+
+def _spoken(found: DataFrame) -> DataFrame:
+    return found.select("file_id", F.col("position_in_session").cast("long").alias("position_in_session"), "attribution_raw", "is_continuation", "speech_text")
+
+
+@query("WITH r AS (SELECT *, (conv_id * 8 + turn) % 23 AS k FROM conversations)" + """
+SELECT 'turn_' || conv_id || '_' || turn AS file_id, 1::BIGINT AS position_in_session, 'Presidente' AS attribution_raw, false AS is_continuation,
+  'Uno dos.' || CASE WHEN k IN (7, 8, 9, 10, 11, 12, 13) THEN chr(10) || 'Y ahora' ELSE '' END AS speech_text FROM r
+UNION ALL SELECT 'turn_' || conv_id || '_' || turn, 2::BIGINT, """ + _case("k", tuple(x[1] for x in SHAPES)) + ", false, " + _CLEAN_SQL + " FROM r")
+def boundary_patterns(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every rule for boundaries has its shape in every 23rd turn, and finds it; what stands before a shape inside a line stays with the turn before."""
+    return _spoken(segment.turns(_staged(spark, sf_dir, tuple("Y ahora " + x if inside else x for x, _, inside in SHAPES))))
+
+
+@query("WITH r AS (SELECT *, (conv_id * 8 + turn) % 8 AS k FROM conversations), c AS (SELECT *, " + _CLEAN_SQL + " AS body, " + _case("k", tuple(x[1] for x in ODDITIES)) + " AS who, " + _case("k", tuple(x[2] for x in ODDITIES)) + """ AS stays FROM r)
+SELECT 'turn_' || conv_id || '_' || turn AS file_id, 1::BIGINT AS position_in_session, 'Presidente' AS attribution_raw, false AS is_continuation,
+  'Uno dos.' || CASE WHEN stays <> '' THEN chr(10) || stays || body ELSE '' END AS speech_text FROM c
+UNION ALL SELECT 'turn_' || conv_id || '_' || turn, 2::BIGINT, who, k = 0, body FROM c WHERE who IS NOT NULL""")
+def attribution_oddities(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Continuations, changes of the chair, undecodable bold lines, bold lines that run on, rejected prefixes, leading recesses, and codes inside names."""
+    return _spoken(segment.turns(_staged(spark, sf_dir, tuple(x for x, _, _ in ODDITIES))))
+
+
+@query("""
+SELECT conv_id, turn, regexp_replace(text, 'ó', 'o', 'g') || ' sesión' AS text FROM conversations""")
+def normal_form(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A letter and its mark become one character."""
+    text = F.concat(F.replace("text", F.lit("ó"), F.lit("o")), F.lit(" sesión"))
+    return table(spark, sf_dir, "conversations").select("conv_id", "turn", nfc(text).alias("text"))

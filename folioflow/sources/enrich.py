@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import json
 from collections.abc import Callable, Iterator
+from concurrent.futures import ThreadPoolExecutor
 
 import pandas as pd
 from pyspark.sql import DataFrame
@@ -11,19 +12,32 @@ from pyspark.sql import functions as F
 
 PROMPT_CHARS = 4000
 ATTEMPTS = 2
+TIMEOUT = 10.0
+#: The name of the back-end that asks nobody.
+BY_RULE = "rule_based"
 
 
-def ask(preambles: DataFrame, service: Callable[[str], str], attempts: int = ATTEMPTS, prompt: str = "{preamble_text}") -> DataFrame:
-    """(file_id, answer, error). Only answers that are no JSON are asked for again; a lost connection is 'unreachable'."""
+def chosen(services: dict[str, Callable[[str], str]], name: str = BY_RULE) -> Callable[[str], str] | None:
+    """The back-end of that name; None where headers go by rule."""
+    if name == BY_RULE:
+        return None
+    if name not in services:
+        raise ValueError(f"no header service {name}: {', '.join([BY_RULE, *services])}")
+    return services[name]
+
+
+def ask(preambles: DataFrame, service: Callable[[str], str], attempts: int = ATTEMPTS, prompt: str = "{preamble_text}", timeout: float = TIMEOUT) -> DataFrame:
+    """(file_id, answer, error). Only answers that are no JSON are asked for again; a lost connection, or no answer in time, is 'unreachable'."""
 
     def run(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        calls = ThreadPoolExecutor(8)  # a call that hangs holds a thread, not the task
         for part in parts:
             rows = []
             for file_id, text in zip(part.file_id, part.text, strict=True):
                 answer = error = None
                 try:
                     for _ in range(attempts):
-                        answer = service(prompt.replace("{preamble_text}", text or ""))
+                        answer = calls.submit(service, prompt.replace("{preamble_text}", text or "")).result(timeout)
                         try:
                             json.loads(answer[answer.find("{") :].removesuffix("```"))
                             break

@@ -19,7 +19,7 @@ def stem(path: str) -> Column:
 
 
 def page_json(spark: SparkSession, folder: str) -> DataFrame:
-    """Pages of a folder of JSON files, each an array of pages; the file's stem is its id."""
+    """Pages of a folder of JSON files, each an array of pages; the file's stem is its id. A file that is none has one page without a number."""
     read = spark.read.schema(PAGE_JSON).option("multiLine", True).json(folder)
     return read.select(stem("_metadata.file_name").alias("file_id"), *read.columns)
 

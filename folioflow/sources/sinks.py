@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.utils import AnalysisException
 
-from folioflow.operators import qa
+from folioflow.operators import ids, qa
 from folioflow.operators import schemas as S
 
 
@@ -46,6 +46,17 @@ def upsert_flags(flags: DataFrame, path: str) -> None:
     append(qa.new_flags(flags, existing(flags.sparkSession, path, S.FLAGS)), path, S.FLAGS)
 
 
+def session_numbers(files: DataFrame, path: str) -> DataFrame:
+    """(file_id, session_id) of files (file_id): numbers from 1 in the order of ids, written at path once; files that come later follow on."""
+    spark = files.sparkSession
+    known = existing(spark, path, "file_id string, session_id long")
+    fresh = files.select("file_id").distinct().join(known, "file_id", "left_anti")
+    last = known.agg(F.coalesce(F.max("session_id"), F.lit(0)).alias("n")).first()["n"]
+    numbered = ids.numbered(fresh, ["file_id"], parts=int(spark.conf.get("spark.sql.shuffle.partitions")))
+    append(numbered.withColumn("session_id", F.col("session_id") + last), path, "file_id string, session_id long")
+    return existing(spark, path, "file_id string, session_id long")
+
+
 def log(df: DataFrame, path: str) -> None:
     """Appends to the run log; error details are cut to 500 characters."""
     append(df.withColumns({"error_detail": F.left(F.coalesce("error_detail", F.lit("")), F.lit(500)), "processing_timestamp": F.current_timestamp()}), path, S.LOG)

@@ -10,9 +10,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from folioflow.operators import qa
 from folioflow.operators import schemas as S
 from folioflow.plans import corpus
-from folioflow.sources import readers
+from folioflow.session import scoped
+from folioflow.sources import readers, sinks
 
 FILES = 50
 
@@ -27,7 +29,16 @@ def pages_stream(spark: SparkSession, folder: str, files: int = FILES, kind: str
 
 
 def write_batch(batch: DataFrame, number: int, root: str, session_ids: DataFrame | None = None) -> None:
-    made = corpus.build(batch, strict_skip=False, session_ids=session_ids)
+    """Writes a batch's tables as its own partitions. Flags that another batch has are not written again. Without session_ids, files are numbered as they come."""
+    with scoped() as scope:
+        names = session_ids if session_ids is not None else sinks.session_numbers(batch, f"{root}/session_ids")
+        made = corpus.build(batch, strict_skip=False, session_ids=names)
+        known = sinks.existing(batch.sparkSession, f"{root}/flagged", S.FLAGS + ", batch_id int").filter(F.col("batch_id") != number)
+        _write(corpus.Corpus(made.speeches, made.sessions, qa.new_flags(made.flags, known), made.log), number, root)
+    scope.release()
+
+
+def _write(made: corpus.Corpus, number: int, root: str) -> None:
     for name, df in (("speeches", made.speeches), ("sessions", made.sessions), ("flagged", made.flags), ("log", made.log)):
         df.withColumn("batch_id", F.lit(number)).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("batch_id").parquet(f"{root}/{name}")
 

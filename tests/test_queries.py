@@ -27,18 +27,9 @@ def test_same_rows(spark, duck, name):
     assert plain(got).equals(plain(want))
 
 
-@pytest.mark.parametrize("name", ["scan_ratio_whole", "glyph_decode_whole"])
-def test_long_documents_enter(spark, duck, name):
-    ids = "'doc_' || doc_id" if name.startswith("scan") else "doc_id"
-    want = {x for (x,) in duck.sql(f"select {ids} from documents where len(list_filter(regexp_split_to_array(text, '[ \\t\\n\\x0B\\f\\r]+'), lambda t: t <> '')) > 1").fetchall()}
-    got = queries.QUERIES[name](spark, SF).collect()
-    assert want <= {r[0] for r in got}
-    assert duck.sql("select count(*) from documents where n_chars >= 4000").fetchall()[0][0] > 0
-
-
 def test_columns_of_whole_texts(spark, duck):
     """Words of a long page of either parity, counted by hand."""
-    got = {r["file_id"]: r["text"] for r in queries.two_column_whole(spark, SF).collect()}
+    got = {r["file_id"]: r["text"] for r in queries.column_layout(spark, SF).collect()}
     for odd in (0, 1):
         doc, text = duck.sql(f"select doc_id, text from documents where n_chars >= 4000 and doc_id % 2 = {odd} and doc_id % 10 <> 3 order by doc_id limit 1").fetchall()[0]
         seen = [w for i, w in enumerate(text.split()) if i % 29 != 5]

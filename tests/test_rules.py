@@ -84,9 +84,10 @@ def test_text_helpers(spark):
     assert tuple(row) == ("a b", "a b", 0, 3)
 
 
-def test_claims_are_recursive(spark):
-    df = spark.createDataFrame([([(1, 0, 10), (2, 5, 20), (3, 12, 15)],)], "c array<struct<priority:int,pos:int,end:int>>")
-    assert [x["priority"] for x in df.select(segment.claims(F.col("c")).alias("c")).first()["c"]] == [1, 3]
+def test_claims_are_recursive():
+    """What starts inside an accepted match takes nothing from later ones."""
+    text = "§Senador Luis Paz, tiene la palabra el honorable Senador Eva Gil:\nSenador Luis Paz Gil:\nno.\n"
+    assert [b[3] for b in segment.boundaries(text)] == ["Senador Luis Paz, tiene la palabra el honorable Senador Eva Gil", "Senador Luis Paz Gil"]
 
 
 def words(spark, rows):

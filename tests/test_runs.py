@@ -1,8 +1,13 @@
 """Whole runs: calibration, sinks, restart of the stream."""
 
 import json
+import time
+
+import pandas as pd
+from pyspark.sql import functions as F
 
 from folioflow.__main__ import main
+from folioflow.operators import layout, preamble, segment
 from folioflow.operators import schemas as S
 from folioflow.plans import corpus
 from folioflow.sources import enrich, readers, sinks
@@ -62,6 +67,78 @@ def test_command_line(spark, tmp_path):
         out = f"file://{tmp_path}/{mode}"
         main(["--mode", mode, "--pages", f"file://{tmp_path}/in", "--out", out, "--batch-size", "1"], spark)
         assert spark.read.parquet(f"{out}/speeches").count() == 4
+    assert sorted(r["speech_id"] for r in spark.read.parquet(f"{out}/speeches").collect()) == ["1_001", "1_002", "2_001", "2_002"]
+
+
+def test_conversion(spark, tmp_path, capsys):
+    words = spark.createDataFrame([("f", 1, i, w, 60.0 + 40 * i, 300.0, 10.0, "Times", None, None, 609.4, 963.8) for i, w in enumerate(("hola", "mundo"))], S.WORDS)
+    words.write.parquet(f"file://{tmp_path}/words")
+    main(["--mode", "convert", "--pages", f"file://{tmp_path}/words", "--out", "-", "--summary"], spark)
+    first, second = capsys.readouterr().out.strip().split("\n")
+    assert json.loads(first)["text"] == "hola mundo" and second == "f: 1 pages, 1 ok, 0 scanned, 0 empty, 0 error, 0 two-column"
+
+
+def test_a_bad_file_fails_alone(spark, tmp_path, monkeypatch):
+    """Of three files one is no array of pages and one cannot be cut: both are logged as failed, with the reason, and the third is done."""
+    folder = tmp_path / "in"
+    folder.mkdir()
+    page = lambda text: json.dumps([{"page_num": 1, "text": text, "status": "ok", "column_layout": "single_column"}])
+    (folder / "a.json").write_text(page("§Presidente:\nBuenos días."))
+    (folder / "b.json").write_text("[{")
+    (folder / "c.json").write_text(page("§Presidente:\nveneno"))
+
+    def poisoned(text, cut=segment.cut):
+        if "veneno" in text:
+            raise ValueError("veneno " * 200)
+        return cut(text)
+
+    monkeypatch.setattr(segment, "cut_file", F.pandas_udf(_one_by_one(poisoned), segment.CUT))
+    out = f"file://{tmp_path}/out"
+    main(["--mode", "full", "--pages", f"file://{folder}", "--out", out], spark)
+    log = {r["file_id"]: r for r in spark.read.parquet(f"{out}/log").collect()}
+    assert {k: r["status"] for k, r in log.items()} == {"a": "done", "b": "failed", "c": "failed"}
+    assert log["b"]["error_detail"] == corpus.UNREADABLE and log["c"]["error_detail"].startswith("ValueError: veneno") and len(log["c"]["error_detail"]) == 500
+    assert [r["file_id"] for r in spark.read.parquet(f"{out}/sessions").collect()] == ["a"]
+    total = corpus.totals(*[corpus.manifest(spark, out)] * 2).first()
+    assert (total["done"], total["failed"]) == (1, 2)
+
+
+def _one_by_one(cut):
+    def run(texts: pd.Series) -> pd.DataFrame:
+        rows = []
+        for t in texts:
+            try:
+                rows.append((cut(t or ""), None))
+            except Exception as e:  # noqa: BLE001
+                rows.append((None, f"{type(e).__name__}: {e}"[:500]))
+        return pd.DataFrame(rows, columns=["turns", "error"])
+
+    return run
+
+
+def test_one_scan_and_one_shuffle_by_page_and_by_file(spark, tmp_path):
+    spark.createDataFrame([], S.WORDS).write.parquet(f"file://{tmp_path}/words")
+    plan = layout.pages(spark.read.schema(S.WORDS).parquet(f"file://{tmp_path}/words"))._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan") == 1 and plan.count("Exchange") == 1
+    spark.createDataFrame([], S.PAGES).write.parquet(f"file://{tmp_path}/pages")
+    held = preamble.with_starts(preamble.gathered(spark.read.schema(S.PAGES).parquet(f"file://{tmp_path}/pages")))
+    plan = held.select("file_id", preamble.preamble_text(), preamble.transcript_text())._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan") == 1 and plan.count("Exchange") == 1
+
+
+def test_flags_of_an_earlier_batch_are_not_written_again(spark, tmp_path):
+    root = f"file://{tmp_path}/out"
+    for number in (0, 1):
+        incremental.write_batch(pages(spark, "a"), number, root)
+    flags = spark.read.parquet(f"{root}/flagged")
+    assert flags.count() == flags.dropDuplicates(["file_id", "speech_id", "failure_type"]).count() > 0
+
+
+def test_service_back_ends(spark):
+    assert enrich.chosen({}) is None and enrich.chosen({"x": len}, "x") is len
+    slow = lambda prompt: time.sleep(3) or "{}"
+    texts = spark.createDataFrame([("a", "x")], "file_id string, preamble_text string")
+    assert [(r["answer"], r["error"]) for r in enrich.ask(texts, slow, timeout=0.1).collect()] == [(None, "unreachable")]
 
 
 def test_pdf_plug_in(spark, tmp_path):
