@@ -8,12 +8,12 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from folioflow.functions import rules as R
-from folioflow.functions.text import decode_glyphs, drop, hyphen_join, nfc, ordered_join, word_count
+from folioflow.functions.text import decode_glyphs, drop, hyphen_join, nfc, ordered_join, strip, word_count
 from folioflow.operators import checks, header, ids, layout, preamble, qa, segment
 from folioflow.plans import corpus
 
@@ -434,3 +434,123 @@ def normal_form(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A letter and its mark become one character."""
     text = F.concat(F.replace("text", F.lit("ó"), F.lit("o")), F.lit(" sesión"))
     return table(spark, sf_dir, "conversations").select("conv_id", "turn", nfc(text).alias("text"))
+
+
+# ---------------------------------------------------------------- furniture of pages, flags, checks and headers
+
+
+@query("""
+WITH p AS (SELECT doc_id, doc_id % 2 + 1 AS page, doc_id % 3 = 0 AS large, doc_id % 5 AS k, regexp_replace(regexp_replace(coalesce(text, ''), '^{WS}+', ''), '{WS}+$', '') AS body FROM documents),
+l AS (SELECT *, CASE WHEN page = 2 THEN 'CABECERA' END AS a, CASE WHEN page = 2 THEN 'GACETA' END AS b, CASE WHEN k = 1 THEN 'IMPRENTA y NACIONAL' END AS c FROM p)
+SELECT 'doc_' || doc_id AS file_id, CAST(page AS INTEGER) AS page_num, CASE WHEN k = 4 AND page = 1 THEN 'empty' ELSE 'ok' END AS status,
+  CASE WHEN k = 4 THEN coalesce(concat_ws(chr(10), a, b), '') ELSE regexp_replace(regexp_replace(concat_ws(chr(10), a, b, body, c), '^{WS}+', ''), '{WS}+$', '') END AS text
+FROM l WHERE NOT (k <> 4 AND body = '')""")
+def page_furniture(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each document's text as one word of a page 1 or 2, in two scales, among words of the masthead, the header and the footer, and of white ink of all kinds."""
+    docs = table(spark, sf_dir, "documents").withColumn("_body", strip(F.coalesce("text", F.lit("")))).filter((F.col("_body") != "") | (F.col("doc_id") % 5 == 4))
+    k, page, scale = F.col("doc_id") % 5, (F.col("doc_id") % 2 + 1).cast("int"), F.when(F.col("doc_id") % 3 == 0, 2.0).otherwise(1.0)
+
+    def word(text: object, x: float, top: float, size: float = 10.0, when: object = None, kind: str | None = None, color: list[float] | None = None) -> object:
+        made = F.struct((text if isinstance(text, Column) else F.lit(text)).alias("text"), (F.lit(x) * scale).alias("x0"), (F.lit(top) * scale).alias("top"), F.lit(size).alias("size"), F.lit(kind).cast("string").alias("color_kind"), F.lit(color).cast("array<double>").alias("color"))
+        return made if when is None else F.when(when, made)
+
+    words = F.array_compact(F.array(
+        word("MARCA", 60.0, 20.0),  # above every header
+        word("CABECERA", 60.0, 90.0),  # below the header of page 2 only
+        word("GACETA", 60.0, 220.0, 48.0),  # a masthead on page 1
+        word("int", 60.0, 300.0, kind="int", color=[1.0]), word("float", 70.0, 300.0, kind="float", color=[0.95]), word("tuple", 80.0, 300.0, kind="tuple", color=[1.0, 1.0, 1.0, 0.2]),
+        word(F.col("_body"), 60.0, 400.0, when=k != 4),
+        word("tinta", 700.0, 420.0),  # beyond the page's zones
+        word("IMPRENTA", 60.0, 900.0, when=k != 1), word("NACIONAL", 120.0, 900.0, when=k != 1),
+        word("IMPRENTA", 60.0, 900.0, when=k == 1), word("y", 100.0, 900.0, when=k == 1), word("NACIONAL", 120.0, 900.0, when=k == 1),
+    ))
+    flat = docs.select(F.format_string("doc_%d", "doc_id").alias("file_id"), page.alias("page_num"), (F.lit(R.CANONICAL[0]) * scale).alias("page_w"), (F.lit(R.CANONICAL[1]) * scale).alias("page_h"), F.posexplode(words).alias("word_seq", "w"))
+    found = layout.pages(flat.select("file_id", "page_num", "word_seq", "w.*", F.lit("Times").alias("fontname"), "page_w", "page_h"))
+    return found.select("file_id", "page_num", "status", "text")
+
+
+_WHO = ("Ana Ruiz", "Ana 2 Ruiz", "Ana ² Ruiz", "Ana ₂ Ruiz", "Ana ② Ruiz", "Ana ٣ Ruiz", "Ana " + "Ruiz " * 60)
+
+
+@query("""
+SELECT 'doc_' || doc_id AS speech_id, 'attribution_anomaly' AS failure_type, 'warning' AS severity, left(who, 500) AS original_excerpt
+FROM (SELECT doc_id, """ + _case("doc_id % 7", _WHO) + """ AS who FROM documents) WHERE who <> 'Ana Ruiz'""")
+def attribution_flags(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Attributions with digits of all kinds, or longer than 300 characters."""
+    who = F.element_at(F.array(*(F.lit(x) for x in _WHO)), (F.col("doc_id") % 7 + 1).cast("int"))
+    turns = table(spark, sf_dir, "documents").select(F.concat(F.lit("file_"), F.col("source")).alias("file_id"), F.format_string("doc_%d", "doc_id").alias("speech_id"), F.col("doc_id").alias("position_in_session"), who.alias("attribution_raw"), F.lit("uno " * 20).alias("speech_text"), F.lit(20).alias("word_count"), F.lit(True).alias("is_continuation"), F.lit(R.VERSION).alias("rule_version"))
+    return qa.turn_flags(turns).filter("failure_type = 'attribution_anomaly'").select("speech_id", "failure_type", "severity", "original_excerpt")
+
+
+@query("""
+WITH f AS (SELECT source, count(*) AS n, CASE WHEN min(doc_id) % 2 = 0 THEN '2021-03-05' END AS day, [x for x in list(doc_id ORDER BY doc_id) if x % 11 = 0] AS scanned FROM documents GROUP BY 1)
+SELECT source AS file_id, 'no_date_extracted' AS failure_type, 'blocking' AS severity, 'session_date is null after header parsing' AS diagnosis FROM f WHERE day IS NULL
+UNION ALL SELECT source, 'few_speeches_extracted', 'blocking', 'Only ' || (n % 4) || ' speeches found in ' || n || '-page file' FROM f WHERE n % 4 < 3 AND n > 2
+UNION ALL SELECT source, 'scanned_pages_present', 'info', 'Scanned pages: [' || array_to_string(scanned, ', ') || ']' FROM f WHERE len(scanned) > 0""")
+def file_flags(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    files = docs.groupBy(F.col("source").alias("file_id")).agg(F.count(F.lit(1)).cast("int").alias("n_pages_total"), F.min("doc_id").alias("least"), F.array_sort(F.collect_list(F.when(F.col("doc_id") % 11 == 0, F.col("doc_id")))).alias("scanned"))
+    files = files.select("file_id", "n_pages_total", "scanned", F.when(F.col("least") % 2 == 0, "2021-03-05").alias("session_date"), (F.col("n_pages_total") % 4).cast("int").alias("n_speeches"), F.lit(R.VERSION).alias("rule_version"))
+    return qa.file_flags(files).select("file_id", "failure_type", "severity", "diagnosis")
+
+
+@query("""
+WITH t AS (SELECT 'conv_' || conv_id AS file_id, turn, conv_id FROM conversations), n AS (SELECT count(*) AS n FROM t),
+c AS (SELECT count(*) FILTER (WHERE turn % 5 = 0) AS a, count(*) FILTER (WHERE turn % 5 = 1) AS b, count(*) FILTER (WHERE turn % 5 = 2) AS c, count(*) FILTER (WHERE turn % 5 = 3) AS d, count(*) FILTER (WHERE turn % 5 = 4) AS e FROM t),
+f AS (SELECT DISTINCT file_id, conv_id FROM t)
+SELECT x || ' absent from ' || y AS "check", 'PASS' AS verdict, '' AS detail FROM (VALUES ('act_number'), ('presiding_officer'), ('legislature')) a(x), (VALUES ('speeches'), ('sessions')) b(y)
+UNION ALL SELECT 'year_id populated', CASE WHEN count(*) FILTER (WHERE conv_id % 4 <> 0) = count(*) THEN 'PASS' ELSE 'FAIL' END, count(*) FILTER (WHERE conv_id % 4 <> 0) || '/' || count(*) FROM f
+UNION ALL SELECT 'running header in text', CASE WHEN a > 0 THEN 'FAIL' ELSE 'PASS' END, a || ' rows' FROM c
+UNION ALL SELECT 'session close in text', CASE WHEN b > 0 THEN 'WARN' ELSE 'PASS' END, b || ' rows' FROM c
+UNION ALL SELECT 'dash line in text', CASE WHEN c > 0 THEN 'WARN' ELSE 'PASS' END, c || ' rows' FROM c
+UNION ALL SELECT 'trailing verb in speaker', CASE WHEN d > 0 THEN 'FAIL' ELSE 'PASS' END, d || ' rows' FROM c
+UNION ALL SELECT 'unclean speaker name', CASE WHEN e > 0 THEN 'WARN' ELSE 'PASS' END, e || ' rows' FROM c
+UNION ALL SELECT 'speaker_raw without codes', CASE WHEN count(*) FILTER (WHERE turn % 5 = 4) > 0 THEN 'FAIL' ELSE 'PASS' END, CAST(count(*) FILTER (WHERE turn % 5 = 4) AS VARCHAR) FROM t WHERE file_id = 'conv_1'
+UNION ALL SELECT 'count ' || file_id, CASE WHEN count(*) = 0 THEN 'PASS' ELSE 'FAIL' END, CAST(count(*) AS VARCHAR) FROM t WHERE file_id = 'conv_2' GROUP BY file_id
+UNION ALL SELECT 'session_date of ' || file_id, CASE WHEN conv_id % 4 = 0 THEN 'FAIL' ELSE 'PASS' END, CASE WHEN conv_id % 3 = 0 THEN 'null' ELSE '2020-10-2' || conv_id % 3 END FROM f""")
+def check_suite(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The standing checks over turns with every fifth kind of leak, per-file checks, and golden dates of which every fourth is wrong."""
+    rows = table(spark, sf_dir, "conversations")
+    leak = F.element_at(F.array(F.lit("12 de Marzo de 2021 GACETA"), F.lit("Se levanta la sesión"), F.lit("\n- Acta"), F.lit(""), F.lit("")), (F.col("turn") % 5 + 1).cast("int"))
+    who = F.when(F.col("turn") % 5 == 3, "Ana Ruiz, quien manifiesta").when(F.col("turn") % 5 == 4, "Ana codes §Ruiz").otherwise("Ana Ruiz")
+    speeches = rows.select(F.format_string("conv_%d", "conv_id").alias("file_id"), F.format_string("%d_%d", "conv_id", "turn").alias("speech_id"), leak.alias("speech_text"), who.alias("speaker_raw"))
+    files = rows.select("conv_id", F.format_string("conv_%d", "conv_id").alias("file_id")).distinct()
+    day = F.when(F.col("conv_id") % 3 != 0, F.concat(F.lit("2020-10-2"), (F.col("conv_id") % 3).cast("string")))
+    sessions = files.select("file_id", day.alias("session_date"), F.when(F.col("conv_id") % 4 != 0, F.concat(F.lit("2020_"), F.col("conv_id").cast("string"))).alias("year_id"))
+    golden = files.select("file_id", F.when(F.col("conv_id") % 4 == 0, "1999-01-01").otherwise(day).alias("expected"))
+    none = files.filter("file_id = 'conv_2'").select("file_id", F.lit(0).alias("least"), F.lit(0).alias("most"))
+    found = checks.suite(speeches, sessions, bounds=none, golden=golden).unionByName(checks.substring_check(speeches, "conv_1", "speaker_raw", "codes"))
+    return found.select("check", "verdict", "detail")
+
+
+@query("""
+SELECT o_orderkey AS file_id, CASE WHEN o_orderkey % 5 IN (0, 1) THEN 'c' || o_custkey ELSE CAST(o_custkey AS VARCHAR) END AS gaceta_number,
+  CASE o_orderkey % 5 WHEN 0 THEN 'llm' WHEN 1 THEN 'llm' WHEN 2 THEN 'rule_based_error:JSONDecodeError' WHEN 3 THEN 'rule_based_ollama_unreachable' ELSE 'rule_based' END AS extraction_status,
+  CASE WHEN o_orderkey % 5 IN (0, 1) THEN 'high' ELSE 'low' END AS session_date_confidence, CAST(year(o_orderdate) AS INTEGER) AS year_extracted
+FROM orders""")
+def service_headers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Answers with thoughts and fences are repaired; where there is none, or none that parses, rules read the preamble. The year is the session's."""
+    orders = table(spark, sf_dir, "orders")
+    k, months = F.col("o_orderkey") % 5, F.array(*(F.lit(m) for m in R.MONTHS))
+    spoken = F.concat(F.day("o_orderdate").cast("string"), F.lit(" de "), F.element_at(months, F.month("o_orderdate")), F.lit(" de "), F.year("o_orderdate").cast("string"))
+    texts = orders.select(F.col("o_orderkey").alias("file_id"), F.concat(F.lit("GACETA N° "), F.col("o_custkey").cast("string"), F.lit("\nBogotá, "), spoken, F.lit("\nSesión del "), spoken).alias("preamble_text"))
+    made = F.to_json(F.struct(F.concat(F.lit("c"), F.col("o_custkey").cast("string")).alias("gaceta_number"), F.date_format("o_orderdate", "yyyy-MM-dd").alias("session_date"), F.lit("high").alias("session_date_confidence")))
+    answer = F.when(k == 0, F.concat(F.lit("<think>{ no }</think>\nHere: "), made)).when(k == 1, F.concat(F.lit("```json\n"), made, F.lit("\n```"))).when(k == 2, "no json")
+    answers = orders.filter("o_orderkey % 5 < 4").select(F.col("o_orderkey").alias("file_id"), answer.alias("answer"), F.when(k == 3, "unreachable").alias("error"))
+    found = header.with_service(texts, answers)
+    return found.select("file_id", "gaceta_number", "extraction_status", "session_date_confidence", header.year(F.col("session_date")).alias("year_extracted"))
+
+
+@query("""
+WITH p AS (SELECT conv_id, turn + 1 AS page, coalesce(text, '') AS text, CASE conv_id % 3 WHEN 0 THEN 3 WHEN 1 THEN NULL ELSE 1 END AS begins, count(*) OVER (PARTITION BY conv_id) AS n FROM conversations),
+s AS (SELECT *, CASE WHEN begins <= n THEN begins ELSE least(2, n) END AS start FROM p)
+SELECT 'conv_' || conv_id AS file_id, string_agg(CASE WHEN page = begins THEN 'Registro' || chr(10) || 'Secretario:' || chr(10) ELSE CASE WHEN page = 1 THEN '§Registro manual' || chr(10) || 'Secretario:' || chr(10) ELSE '' END END || text, chr(10) ORDER BY page)
+  AS preamble_text FROM s WHERE page = 1 OR page < start GROUP BY 1""")
+def preamble_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A roll call on page 1 begins no transcript; page 1 is always of the preamble, and so are the pages before the start."""
+    rows = table(spark, sf_dir, "conversations")
+    begins = F.when(F.col("conv_id") % 3 == 0, 3).when(F.col("conv_id") % 3 == 2, 1)
+    page = (F.col("turn") + 1).cast("int")
+    head = F.when(F.coalesce(page == begins, F.lit(False)), "Registro\nSecretario:\n").when(page == 1, "§Registro manual\nSecretario:\n").otherwise("")
+    pages = rows.select(F.format_string("conv_%d", "conv_id").alias("file_id"), page.alias("page_num"), F.concat(head, F.coalesce("text", F.lit(""))).alias("text"), F.lit("ok").alias("status"))
+    return preamble.with_starts(preamble.gathered(pages)).select("file_id", preamble.preamble_text().alias("preamble_text"))
