@@ -1,5 +1,6 @@
 """Plain versions of the operators, and odd tables to hold them against."""
 
+import math
 import re
 import zlib
 from collections import Counter, defaultdict
@@ -88,3 +89,110 @@ def contamination(text, items, window=10):
                 hit |= set(range(i, i + size))
                 found.add(str(key))
     return len(w), len(hit), sorted(found)
+
+
+def kept_texts(rows, order=5, z=4.0, least=1.0, odd=2.8, switch=2.0):
+    """Verdicts of (lang, text) rows: base rules, then bands of the bits a byte under a plain interpolated Kneser-Ney model of the running text."""
+
+    def words_of(text):
+        pads, out = [0] * (order - 2) + [0x20], []
+        seq = list(pads)
+        for w in re.findall(rb"[^\x20\x09-\x0D]+", (text or "").encode()):
+            start = len(seq)
+            seq += [*w, 0x20]
+            out.append([tuple(seq[i - order + 1 : i + 1]) for i in range(start, len(seq))])
+        return out
+
+    counts = defaultdict(Counter)
+    for lang, text in rows:
+        for word in words_of(text):
+            counts[lang or "und"].update(word)
+    models = {}
+    for lang, top in counts.items():
+        levels = [top]
+        for _ in range(order - 1):
+            levels.insert(0, Counter(g[1:] for g in levels[0]))
+        model = []
+        for c in levels:
+            n = [max(1, sum(v == i for v in c.values())) for i in range(5)]
+            y = n[1] / (n[1] + 2 * n[2])
+            d = [0, *(min(max(i - (i + 1) * y * n[i + 1] / n[i], 0.1), i - 0.1) for i in (1, 2, 3))]
+            total, taken = Counter(), Counter()
+            for g, v in c.items():
+                total[g[:-1]] += v
+                taken[g[:-1]] += d[min(v, 3)]
+            model.append((c, d, total, taken))
+        models[lang] = model
+
+    def p(model, gram):
+        if not gram:
+            return 1 / 256
+        c, d, total, taken = model[len(gram) - 1]
+        lower, head = p(model, gram[1:]), gram[:-1]
+        if head not in total:
+            return lower
+        return (max(c[gram] - d[min(c[gram], 3)], 0) + taken[head] * lower) / total[head] if c[gram] else taken[head] / total[head] * lower
+
+    bits = lambda model, word: -sum(math.log2(p(model, g)) for g in word)
+    measured = []
+    for lang, text in rows:
+        ws, total = words_of(text), 0.0
+        for w in ws:
+            own = bits(models[lang or "und"], w)
+            if own > odd * len(w):
+                own = min([own, *(bits(m, w) + switch for m in models.values())])
+            total += own
+        n = sum(map(len, ws))
+        m = base_metrics(text)
+        measured.append((lang or "und", m[0] < 10 or 100 * m[4] > 20 * m[0], n, total / n if n else None))
+    at = lambda xs, q: sorted(xs)[max(0, math.ceil(q * len(xs)) - 1)]
+    bands = {}
+    for lang in counts:
+        mine = [(n, x) for g, failed, n, x in measured if g == lang and not failed and x is not None]
+        if mine:
+            mid = at([x for _, x in mine], 0.5)
+            far = [(x - mid) * math.sqrt(n) for n, x in mine]
+            bands[lang] = mid, max(-at(far, 0.25) / 0.6745, least), max(at(far, 0.75) / 0.6745, least)
+    out = []
+    for lang, failed, n, x in measured:
+        if failed or x is None or lang not in bands:
+            out.append((failed, False, x))
+            continue
+        mid, below, above = bands[lang]
+        out.append((False, mid - z * below / math.sqrt(n) <= x <= mid + z * above / math.sqrt(n), x))
+    return out
+
+
+def toxic_rows(text, decode):
+    """Feature rows of a text, word by word: the word without its edges and its beginnings; of disguised words and spelled rows also what `decode` restores."""
+    letter = lambda c: 0x61 <= c <= 0x7A or c >= 0x80
+    core = lambda c: letter(c) or 0x30 <= c <= 0x39 or c == 0x40
+    row = lambda w: {w} | {(w[:n], n) for n in (4, 5, 6, 7) if len(w) > n} if w else set()
+    out, lone = [], b""
+
+    def close():
+        if len(lone) >= 3:
+            whole = decode(lone.decode("utf-8", "replace")).encode()
+            out.append(row(whole))
+            text_ = whole.decode()
+            out.extend({x.encode()} for x in {text_[i : i + n] for n in range(3, 17) for i in range(len(text_) - n + 1)})
+
+    for w in re.findall(rb"[^\x20\x09-\x0D]+", (text or "").translate(LOWER).encode()):
+        inside = [i for i, c in enumerate(w) if core(c)]
+        s, e = (inside[0], inside[-1] + 1) if inside else (0, 0)
+        if inside:
+            left, right = 0 < s <= 2 and w[s - 1] == 0x24, 0 < len(w) - e <= 2 and w[e] == 0x24
+            s, e = 0 if left else s, len(w) if right else e
+        w = w[s:e]
+        out.append(row(w))
+        same = [a == b_ and 0x61 <= a <= 0x7A for a, b_ in zip(w, w[1:])]  # noqa: B905
+        signs = sum(not letter(c) for c in w)
+        if len(w) >= 3 and len(w) - signs >= 2 and (0 < signs <= 2 * (len(w) - signs) or any(a and b_ for a, b_ in zip(same, same[1:])) or sum(same) > 2):  # noqa: B905
+            out.append(row(decode(w.decode("utf-8", "replace")).encode()))
+        if len(w) == 1:
+            lone += w
+        else:
+            close()
+            lone = b""
+    close()
+    return [r for r in out if r]

@@ -77,6 +77,13 @@ def test_plan_is_near_the_bound():
     assert made.sequences <= 1.01 * (np.arange(1025) * histogram).sum() / 1024
 
 
+def test_grouping_costs_little():
+    """Of many lengths several share a group, and are rounded up; the loss against the volume stays below 0.4 %."""
+    histogram = np.bincount(np.random.default_rng(1).integers(1, 1024, 2_000_000), minlength=1025)
+    assert packing.GROUPS < np.count_nonzero(histogram[int(1024 * packing.SMALL) + 1 : 1024])
+    assert packing.plan(histogram).sequences <= 1.004 * (np.arange(1025) * histogram).sum() / 1024
+
+
 def ids_of(text):
     from tokenizers import Tokenizer
 
@@ -129,6 +136,21 @@ def test_quality(request, name):
         assert not (r["base_failed"] and r["kept"])
 
 
+def test_verdicts_as_by_a_plain_model(spark, docs, odd):
+    """Bits a byte and verdicts of every text against a model of plain dictionaries."""
+    df = docs.filter("n_chars < 2500").select("doc_id", "text", "lang").unionByName(odd.filter("length(text) < 300 or text is null").select("doc_id", "text", "lang"))
+    df = spark.createDataFrame(df.collect(), df.schema)
+    got = quality.judge(df.withColumn("row", F.monotonically_increasing_id()), ["row", "text", "lang"]).orderBy("row").collect()
+    assert any(r["kept"] for r in got) and not all(r["kept"] or r["base_failed"] for r in got)
+    for r, (failed, kept, bits) in zip(got, brute.kept_texts([(r["lang"], r["text"]) for r in got]), strict=True):
+        assert (r["base_failed"], r["kept"]) == (failed, kept) and r["bits"] == pytest.approx(bits, abs=1e-4)
+
+
+def test_columns_that_judge_adds_come_first(odd):
+    """A column named kept gives way in `judge`, and comes back in `select`."""
+    assert dict(quality.judge(odd).dtypes)["kept"] == "boolean" and dict(quality.select(odd.withColumn("kept", F.lit(7))).dtypes)["kept"] == "int"
+
+
 def test_kneser_ney_sums_to_one():
     rng = random.Random(3)
     text = "".join(rng.choice("aab c") for _ in range(400)).encode()
@@ -175,6 +197,36 @@ def test_language(spark, docs, odd, empty):
     assert language.identify(empty, doc_remainder() == 0, ["doc_id"]).count() == 0
 
 
+def test_language_as_by_plain_compression(spark, docs, odd):
+    """Dictionaries and answers against zstandard itself."""
+    import zstandard
+
+    df = docs.select("doc_id", "text", "lang").unionByName(odd.select("doc_id", "text", "lang"))
+    train = df.filter(doc_remainder() != 0).filter("lang is not null and text is not null")
+    rows = train.select("lang", "text", F.pmod(F.xxhash64("text"), F.lit(1 << 40)).alias("h")).collect()
+    content, often = {}, brute.Counter(r["lang"] for r in rows)
+    for lang, _, _, text in sorted({(r["lang"], len(r["text"].encode()) > language.MODERATE, r["h"], r["text"]) for r in rows}):
+        more = b" " + language.normal(text)
+        if lang not in content or len(content[lang]) + len(more) <= language.DICTIONARY:
+            content[lang] = content.get(lang, b"") + more
+    names = sorted(content, key=lambda x: (-often[x], x))
+    coders = [zstandard.ZstdCompressor(level=language.LEVEL, dict_data=zstandard.ZstdCompressionDict(content[x], dict_type=zstandard.DICT_TYPE_RAWCONTENT), write_checksum=False, write_content_size=False, write_dict_id=False) for x in names]
+    for r in language.identify(df, doc_remainder() == 0, ["doc_id", "text"]).collect():
+        if r["text"] is None or not any(c.isalpha() for c in r["text"]):
+            assert (r["lang_pred"], r["score"]) == ("und", 0.0)
+        else:
+            sizes = [len(c.compress(language.normal(r["text"]))) for c in coders]
+            assert r["lang_pred"] == names[sizes.index(min(sizes))]
+            assert r["score"] == pytest.approx(1 / sum(2.0 ** (-8 * (x - min(sizes)) / language.SCALE) for x in sizes))
+
+
+def test_numerals_are_no_letters(spark):
+    rows = [(i, t, "en") for i, t in enumerate(["plain words of a language", "½ ²", "Ⅷ ①", "12 34", None, ""], 1)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    got = {r["doc_id"]: r["lang_pred"] for r in language.identify(df, F.lit(False), ["doc_id"]).collect()}
+    assert got == {1: "en", 2: "und", 3: "und", 4: "und", 5: "und", 6: "und"}
+
+
 def test_language_of_nearly_all_copies(spark):
     """20,000 rows of 20 texts teach all 20, and those of a language without copies stay 256."""
     copies = spark.range(20_000).select(F.lit("xx").alias("lang"), F.concat(F.lit("zorp"), F.col("id") % 20, F.lit(" "), F.translate((F.col("id") % 20).cast("string"), "0123456789", "abcdefghij")).alias("text"))
@@ -303,7 +355,7 @@ def test_decoder_restores():
     counts = np.zeros((28, 28, 28), np.int64)
     np.add.at(counts, (s[:-2], s[1:-1], s[2:]), 1)
     decode = toxicity.Decoder(counts)
-    for odd_form, plain in {"st*pid": "stupid", "s.t.u.p.i.d": "stupid", "m0r0n": "moron", "tr@sh": "trash", "stuuupid": "stupid", "p4th3t1c": "pathetic", "1d10t": "idiot", "cl0wn": "clown", "loser": "loser"}.items():
+    for odd_form, plain in {"st*pid": "stupid", "s.t.u.p.i.d": "stupid", "m0r0n": "moron", "tr@sh": "trash", "stuuupid": "stupid", "p4th3t1c": "pathetic", "1d10t": "idiot", "st" + 60 * "u" + "pid": "stupid", "m" + 500 * "0" + "ron": "moron", "cl0wn": "clown", "loser": "loser"}.items():
         assert decode(odd_form) == plain
 
 
@@ -314,9 +366,14 @@ def test_toxicity(spark, odd, empty):
     y, s = np.array([r["toxic"] for r in held]), np.array([r["score"] for r in held])
     rank = s.argsort().argsort()
     assert (rank[y == 1].mean() - rank[y == 0].mean()) / len(y) + 0.5 > 0.93
-    spelled = spark.createDataFrame([(1, "you are an 1d10t and s t u p i d trash loser"), (2, "the rain fell on the town")], "doc_id long, text string")
+    spelled = [(1, "you are an 1d10t and s t u p i d trash loser"), (2, "the rain fell on the town"), (3, "the rain " * 20 + "y o u a r e a n i d i o t a n d a m o r o n"), (4, "a m o r o n"), (5, "a b c d e f g h")]
+    spelled = spark.createDataFrame(spelled, "doc_id long, text string")
     got = {r["doc_id"]: r["score"] for r in toxicity.score(spelled, model, ["doc_id"]).collect()}
-    assert got[1] > 0.5 > got[2]
+    assert got[1] > 0.5 > got[2] and got[2] == got[5] < min(got[3], got[4])
+    assert {r["doc_id"]: r["restored"] for r in toxicity.restore(spelled, model.decode, ["doc_id"]).collect()}[4] == "amoron"
+    joined = toxicity.fit(real.limit(3000), labels, candidates=0)
+    sent = toxicity.fit(real.limit(3000), labels)
+    assert np.array_equal(joined.features, sent.features) and np.allclose(joined.weights, sent.weights) and len(sent.features)
     scores = toxicity.score(odd, model, ["doc_id"]).collect()
     assert len(scores) == odd.count() and all(0 <= r["score"] <= 1 for r in scores)
     assert toxicity.score(empty, model, ["doc_id"]).count() == 0
@@ -326,6 +383,35 @@ def test_toxicity(spark, odd, empty):
     assert len(restored) == odd.count()
 
 
+def test_toxicity_as_by_plain_sets(spark):
+    """Weights and scores of a small table against sets of words."""
+    real, labels = spark.read.parquet("/root/testdata/sf0.01/documents.parquet"), spark.read.parquet("/root/testdata/sf0.01/labels.parquet")
+    rng = random.Random(3)
+    vile = "grumpf blarg snorkel".split()
+    made = [(10**6 + i, " ".join(rng.choice([*"abcdefgh", "town", "rain", "hills", "moon", *(vile if i % 3 == 0 else ["sun"]), "gr*mpf" if i % 3 == 0 else "sun", "b l a r g" if i % 6 == 0 else "sky"]) for _ in range(30)), int(i % 3 == 0)) for i in range(120)]
+    extra = spark.createDataFrame(made, "doc_id long, text string, toxic int")
+    docs = real.filter("n_chars < 3000").select("doc_id", "text").unionByName(extra.select("doc_id", "text"))
+    docs = spark.createDataFrame(docs.collect(), docs.schema)
+    marks = labels.select("doc_id", "toxic").unionByName(extra.select("doc_id", "toxic"))
+    model = toxicity.fit(docs, marks)
+    toxic_of = {r["doc_id"]: r["toxic"] for r in marks.collect()}
+    rows = {r["doc_id"]: brute.toxic_rows(r["text"], model.decode) for r in docs.collect()}
+    learn = [d for d in rows if d in toxic_of and brute.remainder(d) not in (0, 4)]
+    counts = {True: brute.Counter(), False: brute.Counter()}
+    for d in learn:
+        counts[toxic_of[d] > 0].update(set().union(*rows[d]))
+    n = {x: sum((toxic_of[d] > 0) == x for d in learn) for x in (True, False)}
+    weight = {f: np.log((t + 0.5) / (n[True] + 1)) - np.log((counts[False][f] + 0.5) / (n[False] + 1)) for f, t in counts[True].items() if t >= toxicity.LEAST}
+    weight = {f: w for f, w in weight.items() if w >= toxicity.STRONG}
+    assert len(weight) == len(model.features) > 3 and sorted(weight.values()) == pytest.approx(sorted(model.weights.tolist()))
+    got = {r["doc_id"]: r["score"] for r in toxicity.score(docs, model, ["doc_id"]).collect()}
+    for d, found in rows.items():
+        hits = [w for w in (max(weight.get(f, 0.0) for f in r) for r in found) if w > 0]
+        x = [max(hits, default=0.0), np.log1p(sum(hits)), np.log1p(len(hits))]
+        assert got[d] == pytest.approx(1 / (1 + np.exp(-(model.logistic[0] + np.dot(x, model.logistic[1:])))), abs=1e-9)
+    assert len({round(s, 3) for s in got.values()}) > 3
+
+
 # ---------------------------------------------------------------- secrets
 
 ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.I | re.A)
@@ -356,6 +442,9 @@ def test_owners_tell_examples_from_live_secrets(spark):
     df = spark.createDataFrame(rows, brute.DDL)
     got = {r["doc_id"]: [(x["kind"], x["live"], x["owners"]) for x in r["found"]] for r in secrets.spans(df).collect()}
     assert got[10] == [(0, True, 1), (0, True, 1), (0, False, 6)] and got[11] == [(3, True, 1)] and got[12] == []
+    several = [(i, "token = 'zzz999zzz'", "en", f"s{i % 2}", 1) for i in range(30)] + [(100 + i, "token = 'yyy888yyy'", "en", "s0", 1) for i in range(30)]
+    verdicts = {(r["doc_id"] >= 100, x["live"]) for r in secrets.spans(spark.createDataFrame(several, brute.DDL)).collect() for x in r["found"]}
+    assert verdicts == {(False, False), (True, True)}  # two owners in thirty repositories: an example; one owner in as many: live
     texts = {r["doc_id"]: r for r in secrets.redact(df).collect()}
     assert texts[10]["text"] == f"é [SECRET]', [SECRET]' and {shared}" and texts[10]["n_chars"] == len(texts[10]["text"])
     assert texts[0]["text"] == rows[0][1] and texts[12]["text"] is None and len(texts) == len(rows)
@@ -494,6 +583,43 @@ def test_brown(request, name, head):
     assert all(np.isfinite(r["score"]) and r["score"] < 0 for r in got)
 
 
+def test_brown_scores_as_by_plain_class_pairs(spark, docs, odd):
+    """Scores against counts of class pairs and words in plain dictionaries, for the classes that the exchange made."""
+    df = docs.select("doc_id", "text").unionByName(odd.select("doc_id", "text")).withColumn("held_out", doc_remainder() == 1)
+    df = spark.createDataFrame(df.collect(), df.schema)
+    texts = df.filter("not held_out").select("text")
+    brown.ship(spark)
+    model, tail = brown.fit(texts, brown.materialize(brown.word_counts(texts), "words"), clustered=20, classes=6)
+    classes = {None: model.words.end}
+
+    def class_of(w):
+        if w not in classes:
+            classes[w] = int(model.words.units_of(next(iter(brown.K.chunks(brown.pa.array([w])))))[1][0])
+        return classes[w]
+
+    pairs_, words, types = brute.Counter(), brute.Counter(), brute.defaultdict(set)
+    for r in texts.collect():
+        before = None
+        for w in [*brute.words(r["text"]), None]:
+            pairs_[class_of(before), class_of(w)] += 1
+            words[w] += 1
+            types[class_of(w)].add(w)
+            before = w
+    size = len(model.emission)
+    rows, of_class = brute.Counter(), brute.Counter()
+    for (a, b), n in pairs_.items():
+        rows[a] += n
+        of_class[b] += n
+    got = brown.score(df.withColumn("doc_id", F.monotonically_increasing_id()), model, tail).orderBy("doc_id").collect()
+    for r, given in zip(got, df.withColumn("i", F.monotonically_increasing_id()).orderBy("i").collect(), strict=True):
+        want, before = 0.0, None
+        for w in [*brute.words(given["text"]), None]:
+            a, b = class_of(before), class_of(w)
+            want += np.log10((pairs_[a, b] + 0.5) / (rows[a] + 0.5 * size)) + np.log10((words[w] + 0.5) / (of_class[b] + 0.5 * (len(types[b]) + 1)))
+            before = w
+        assert r["score"] == pytest.approx(want, rel=1e-6)
+
+
 def test_exchange_raises_the_likelihood():
     rng = np.random.default_rng(29)
     pairs_ = rng.integers(0, 3, (41, 41))
