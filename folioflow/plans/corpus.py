@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from folioflow.functions import rules as R
-from folioflow.operators import header, ids, preamble, qa, segment
+from folioflow.operators import header, ids, layout, preamble, qa, segment
 from folioflow.operators import schemas as S
 from folioflow.session import materialize, scoped
 from folioflow.sources import sinks
@@ -90,6 +90,7 @@ def calibrate(pages: DataFrame, root: str, answers: DataFrame | None = None) ->
         in_order.select(*S.columns(S.SESSIONS), "year_id").write.mode("overwrite").parquet(f"{root}/sessions")
         sinks.upsert_flags(made.flags, f"{root}/flagged")
         sinks.log(made.log, f"{root}/log")
+        sinks.rewrite(layout.scanned_pages(pages), f"{root}/scanned_pages", S.SCANNED)
     scope.release()
 
 

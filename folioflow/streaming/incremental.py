@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from folioflow.operators import qa
+from folioflow.operators import layout, qa
 from folioflow.operators import schemas as S
 from folioflow.plans import corpus
 from folioflow.session import scoped
@@ -34,15 +34,13 @@ def write_batch(batch: DataFrame, number: int, root: str, session_ids: DataFrame
         names = session_ids if session_ids is not None else sinks.session_numbers(batch, f"{root}/session_ids")
         made = corpus.build(batch, strict_skip=False, session_ids=names)
         known = sinks.existing(batch.sparkSession, f"{root}/flagged", S.FLAGS + ", batch_id int").filter(F.col("batch_id") != number)
-        _write(corpus.Corpus(made.speeches, made.sessions, qa.new_flags(made.flags, known), made.log), number, root)
+        scanned = sinks.shaped(layout.scanned_pages(batch), S.SCANNED)
+        tables = {"speeches": made.speeches, "sessions": made.sessions, "flagged": qa.new_flags(made.flags, known), "log": made.log, "scanned_pages": scanned}
+        for name, df in tables.items():
+            df.withColumn("batch_id", F.lit(number)).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("batch_id").parquet(f"{root}/{name}")
     scope.release()
 
 
-def _write(made: corpus.Corpus, number: int, root: str) -> None:
-    for name, df in (("speeches", made.speeches), ("sessions", made.sessions), ("flagged", made.flags), ("log", made.log)):
-        df.withColumn("batch_id", F.lit(number)).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("batch_id").parquet(f"{root}/{name}")
-
-
 def run(spark: SparkSession, folder: str, root: str, checkpoint: str, files: int = FILES, session_ids: DataFrame | None = None, kind: str = "parquet") -> StreamingQuery:
     """Processes all page files that are there and not yet done, then ends."""
 

@@ -15,6 +15,13 @@ def test_entry_without_the_corpus_operators(tmp_path):
     subprocess.run([sys.executable, "-c", code], cwd=tmp_path, check=True)
 
 
+def test_the_other_tests_stand_alone(tmp_path):
+    """Without both folders and the pipeline, the rest of the tests can be collected."""
+    kept = shutil.ignore_patterns("llm", "__pycache__", ".git", ".pytest_cache", "corpus_pipeline.py")
+    shutil.copytree(ROOT, tmp_path / "repo", ignore=kept)
+    subprocess.run([sys.executable, "-m", "pytest", "--collect-only", "-q", "-p", "no:cacheprovider", "tests"], cwd=tmp_path / "repo", check=True, capture_output=True)
+
+
 def test_nothing_else_imports_them():
     for path in (ROOT / "folioflow").rglob("*.py"):
         if "llm" not in path.parts:
