@@ -471,8 +471,9 @@ def near_components(docs: DataFrame, k: int = SHINGLE, p: int = P, q: int = Q) -
     named = sets.filter("kind = 0").join(grouped, (F.col("node") == F.col("_n")) & F.col("doc_id").eqNullSafe(F.col("class_id")))
     nodes = materialize(named.select("node", "class_id", "n", "sketch").dropDuplicates(["node"]), "nodes")
     labels = _link(docs, members, nodes, k, p, q)
+    count = labels.count()
     least = labels.join(classes, "node").groupBy("label").agg(F.min("first").alias("least"))
-    named = materialize(classes.join(labels.join(least, "label").select("node", "least"), "node", "left").select("node", F.coalesce("least", "first").alias("least")), "named")
+    named = materialize(classes.join(labels.join(_small(least, count), "label").select("node", "least"), "node", "left").select("node", F.coalesce("least", "first").alias("least")), "named")
     joined = texts.join(named, "node", "left")
     of = lambda c: F.when(F.col("node").isNull(), F.col(c)).otherwise(F.col(f"least.{c}"))
     return joined.select("doc_id", "text_hash", "n_shingles", "node", of("doc_id").alias("component_id"), of("text_hash").alias("kept_hash"))

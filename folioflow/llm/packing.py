@@ -20,6 +20,7 @@ from __future__ import annotations
 
 import array
 import json
+import logging
 import os
 import re
 import zlib
@@ -176,7 +177,9 @@ def configurations(sizes: np.ndarray, demand: np.ndarray, capacity: int, rounds:
     inverse = np.diag(1 / np.diag(columns))
     x = inverse @ demand
     depth = int(capacity // sizes.min())
-    for _ in range(rounds):
+    for left_rounds in range(rounds, 0, -1):
+        if left_rounds == 1:
+            logging.getLogger(__name__).warning("configurations are not optimal after %d rounds; sequences are whole, but may be more than needed", rounds)
         price = inverse.sum(axis=0)
         best = np.zeros(capacity + 1)
         choice = []

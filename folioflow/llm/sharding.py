@@ -21,6 +21,8 @@ empty. Other columns are ignored. Texts are told apart by 64-bit hashes of text,
 
 from __future__ import annotations
 
+import logging
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -72,9 +74,19 @@ def propagate(bundles: DataFrame, quotas: list[int], rounds: int = ROUNDS, chunk
                 bundles = _moved(bundles, swapped)
             elif not went:
                 break
+    else:
+        logging.getLogger(__name__).warning("documents still moved after %d rounds; counts are even, but more copies may share a shard", rounds)
     return bundles
 
 
+def cut_edges(bundles: DataFrame) -> DataFrame:
+    """(links, cut): pairs of copies of one text, and those whose ends lie in different shards, of bundles (copy_of, shard, n)."""
+    n = F.col("n").cast("decimal(38,0)")
+    of_text = bundles.groupBy("copy_of").agg(F.sum(n).alias("all"), F.sum(n * n).alias("same"))
+    half = lambda c: F.coalesce(F.sum(c), F.lit(0)).cast("decimal(38,0)") / 2
+    return of_text.agg(half(F.col("all") * F.col("all") - F.col("all")).cast("long").alias("links"), half(F.col("all") * F.col("all") - F.col("same")).cast("long").alias("cut"))
+
+
 def _moved(bundles: DataFrame, moves: DataFrame) -> DataFrame:
     changes = bundles.union(moves.select("copy_of", "shard", -F.col("go"))).union(moves.select("copy_of", "target", "go"))
     return materialize(changes.groupBy("copy_of", "shard").agg(F.sum("n").alias("n")).filter("n > 0"), "bundles")

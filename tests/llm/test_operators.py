@@ -264,6 +264,12 @@ def test_copies_share_shards_as_far_as_quotas_allow(spark, hot, groups, alone, c
     assert sum(len(s) - 1 for s in shards.values()) <= cut
 
 
+def test_cut_edges(spark):
+    bundles = spark.createDataFrame([(1, 0, 3), (1, 1, 2), (2, 0, 4)], "copy_of long, shard int, n long")
+    assert tuple(sharding.cut_edges(bundles).first()) == (16, 6)
+    assert tuple(sharding.cut_edges(bundles.limit(0)).first()) == (0, 0)
+
+
 def test_rank_in_chunks(spark):
     df = spark.range(1000).selectExpr("id % 3 as k", "id as v", "id % 7 as w")
     got = with_rank(df, ["k"], ["v"], "r", 8).collect()
@@ -298,6 +304,17 @@ def test_layouts(spark):
     got = chat.canonical(df).orderBy("conv_id", "turn").collect()
     assert [(r["conv_id"], r["role"], r["text"]) for r in got] == [(i, role, t) for i in range(4) for role, t in (("user", "a"), ("assistant", "b"))]
     assert chat.unmapped(df).agg(F.sum("records")).first()[0] == 3
+    assert chat.canonical(df.limit(0)).count() == chat.unmapped(df.limit(0)).count() == 0
+
+
+def test_layouts_with_further_fields(spark):
+    """Fields of no meaning do not hide a layout, and other names of roles reach the loss mask."""
+    records = ['{"id": 7, "meta": {"x": [1]}, "messages": [{"role": "gpt", "content": "b", "weight": 1}]}', '{"source": "s", "prompt": "a", "completion": "b"}']
+    got = chat.canonical(spark.createDataFrame(list(enumerate(records)), "conv_id long, record string")).orderBy("conv_id", "turn").collect()
+    assert [(r["conv_id"], r["role"], r["text"]) for r in got] == [(0, "assistant", "b"), (1, "user", "a"), (1, "assistant", "b")]
+    rows = spark.createDataFrame([(1, 0, "human", "a"), (1, 1, "gpt", "b"), (1, 2, None, None)], "conv_id long, turn long, role string, text string")
+    assert [r["role"] for r in chat.canonical_rows(rows).orderBy("turn").collect()] == ["user", "assistant", ""]
+    assert [r["role"] for r in chat.canonical_rows(rows, roles={}).orderBy("turn").collect()] == ["human", "gpt", ""]
 
 
 # ---------------------------------------------------------------- decontamination
