@@ -41,7 +41,7 @@ GROUPS = 400
 #: Lengths up to this share of the capacity are small.
 SMALL = 0.4
 #: Bytes of texts and ids that an encoder remembers, and of texts that are encoded at once.
-CACHE_BYTES, BATCH_BYTES = 24 << 20, 4 << 20
+CACHE_BYTES, BATCH_BYTES = 96 << 20, 4 << 20
 CHUNKS = 64
 
 # ---------------------------------------------------------------- tokens
@@ -90,9 +90,7 @@ class Encoder:
     def __call__(self, text: str) -> bytes:
         if not self.by_piece or self.whole.search(text):
             return self._of_text(text)
-        if self.known.bytes > CACHE_BYTES:
-            self.known.clear()
-            self.known.bytes = 0
+        self.known.bound()
         return b"".join(map(self.known.__getitem__, _PIECES.findall(text)))
 
 
@@ -101,15 +99,26 @@ _ENTRY = 180
 
 
 class _Cache(dict):
+    """Two generations: what was not asked for while one filled up is forgotten."""
+
     def __init__(self, make):
         super().__init__()
-        self.make, self.bytes = make, 0
+        self.make, self.bytes, self.older = make, 0, {}
 
     def __missing__(self, key: str) -> bytes:
-        value = self[key] = self.make(key)
+        value = self.older.get(key)
+        if value is None:
+            value = self.make(key)
+        self[key] = value
         self.bytes += _ENTRY + len(key) + len(value)
         return value
 
+    def bound(self) -> None:
+        if self.bytes > CACHE_BYTES // 2:
+            self.older = dict(self)
+            self.clear()
+            self.bytes = 0
+
 
 def tokenizer_path() -> str:
     import public_tokenizers
