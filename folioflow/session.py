@@ -102,8 +102,13 @@ def write_table(df: DataFrame, name: str) -> str:
     return path
 
 
-def materialize(df: DataFrame, name: str) -> DataFrame:
-    """Cuts the lineage: a lost executor costs a read of Parquet, not the whole job again."""
+def materialize(df: DataFrame, name: str, rows: int | None = None, file_rows: int = 100_000) -> DataFrame:
+    """Cuts the lineage: a lost executor costs a read of Parquet, not the whole job again.
+
+    rows: a bound of df's rows, where it is known and the last step of df is light; no more files are written than that asks for.
+    """
+    if rows is not None:
+        df = df.coalesce(max(1, -(-rows // file_rows)))
     return df.sparkSession.read.schema(df.schema).parquet(write_table(df, name))
 
 
