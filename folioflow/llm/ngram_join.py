@@ -63,6 +63,8 @@ BROADCAST_ROWS = 250_000
 LEADER_ROUNDS, LEADERS, LEADER_GAIN = 3, 128, 0.02
 #: Members of a block, rows in a task, candidates that a node gives out at first and the factor of each further time, and pairs of one node in a task.
 BLOCK, TASK_ROWS, FIRST, MORE, SALT_ROWS = 1024, 16_384, 4, 16, 512
+#: Verified pairs in a task.
+VERIFIED_ROWS = 10_000
 EDGES = 1_000_000
 FLUSH = 1 << 19
 _KEY_BITS = np.uint64(32)
@@ -482,7 +484,7 @@ def near_components(docs: DataFrame, k: int = SHINGLE, p: int = P, q: int = Q) -
 def _link(docs: DataFrame, members: DataFrame, nodes: DataFrame, k: int, p: int, q: int) -> DataFrame:
     """Labels of nodes by component."""
     labels = nodes.select("node", F.col("node").alias("label"))
-    count = nodes.count()
+    count, rows_of_all = nodes.count(), members.count()
     sketches = _small(nodes.select("node", "sketch"), SKETCH_COST * count)
     tested: list[DataFrame] = []
     # Near copies share many groups. One group of each node (the largest, then any) joins most of them, so that few pairs are open when all are compared.
@@ -495,7 +497,7 @@ def _link(docs: DataFrame, members: DataFrame, nodes: DataFrame, k: int, p: int,
         sizes = state.groupBy("gid", "label").agg(F.count(F.lit(1)).alias("size"), F.min(F.struct(F.xxhash64("node", F.lit(turn)).alias("h"), "node")).alias("first"))
         all_, double = F.sum("size"), F.col("size").cast("double")
         open_ = sizes.groupBy("gid").agg(all_.alias("members"), ((all_.cast("double") ** 2 - F.sum(double * double)) / 2).alias("pairs"), F.max(F.struct("size", "label")).alias("top"), F.min("first").alias("lead"))
-        open_ = materialize(open_.filter("pairs > 0").select("gid", "members", "pairs", F.col("top.label").alias("main"), F.col("top.size").alias("main_size"), F.col("lead.node").alias("lead")), "open")
+        open_ = materialize(open_.filter("pairs > 0").select("gid", "members", "pairs", F.col("top.label").alias("main"), F.col("top.size").alias("main_size"), F.col("lead.node").alias("lead")), "open", rows_of_all)
         cells = F.lit(1.0) if leaders else F.ceil((F.col("members") - F.col("main_size")) / float(BLOCK))
         total = open_.agg(F.count(F.lit(1)).alias("n"), F.sum(F.col("members") * cells).alias("rows")).first()
         if not total["n"]:
@@ -505,11 +507,14 @@ def _link(docs: DataFrame, members: DataFrame, nodes: DataFrame, k: int, p: int,
             continue
         rows = dealt(state, _small(open_, total["n"]), leaders, turn).withColumn("part", F.pmod(F.xxhash64("gid", "cell"), F.lit(max(64, int(2 * total["rows"]) // TASK_ROWS))))
         found = materialize(compared(rows.join(sketches, "node"), p, q, leaders, most), "found")
-        pairs = materialize(found.filter("a is not null").select("a", "b").distinct(), "pairs")
+        given = found.agg(F.count("a").alias("pairs"), F.count_if(F.col("a").isNull()).alias("cut")).first()
+        cut = given["cut"]
+        pairs = found.filter("a is not null").select("a", "b").distinct()
         if tested:
             pairs = pairs.join(reduce(DataFrame.union, tested), ["a", "b"], "left_anti")
-        cut = found.filter("a is null").count()
-        checked = materialize(_verified(docs, pairs, pairs.count(), nodes, k, p, q), "tested")
+        pairs = materialize(pairs, "pairs", given["pairs"])
+        number = pairs.count()
+        checked = materialize(_verified(docs, pairs, number, nodes, k, p, q), "tested", number, VERIFIED_ROWS)
         tested.append(checked.select("a", "b"))
         links = checked.filter("link")
         number = links.count()
@@ -518,7 +523,7 @@ def _link(docs: DataFrame, members: DataFrame, nodes: DataFrame, k: int, p: int,
             of_b = labels.select(F.col("node").alias("b"), F.col("label").alias("lb"))
             merged = components(links.join(_small(of_a, count), "a").join(_small(of_b, count), "b").select(F.col("la").alias("a"), F.col("lb").alias("b")), number)
             merged = merged.select(F.col("node").alias("label"), F.col("label").alias("to"))
-            labels = materialize(labels.join(_small(merged, number), "label", "left").select("node", F.coalesce("to", "label").alias("label")), "labels")
+            labels = materialize(labels.join(_small(merged, number), "label", "left").select("node", F.coalesce("to", "label").alias("label")), "labels", count)
         turn += 1
         if leaders:
             leaders = turn < LEADER_ROUNDS and number > LEADER_GAIN * count

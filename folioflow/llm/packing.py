@@ -41,7 +41,7 @@ GROUPS = 400
 #: Lengths up to this share of the capacity are small.
 SMALL = 0.4
 #: Bytes of texts and ids that an encoder remembers, and of texts that are encoded at once.
-CACHE_BYTES, BATCH_BYTES = 96 << 20, 4 << 20
+CACHE_BYTES, BATCH_BYTES = 128 << 20, 4 << 20
 CHUNKS = 64
 
 # ---------------------------------------------------------------- tokens
@@ -84,8 +84,10 @@ class Encoder:
         return array.array("I", self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
 
     def _of_piece(self, piece: str) -> bytes:
-        tokens = self.tokenizer.model.tokenize(piece.encode().decode("latin-1").translate(_BYTE_LEVEL))
-        return array.array("I", [t.id for t in tokens]).tobytes()
+        # Of printable ASCII only the blank is written otherwise.
+        plain = piece.isascii() and piece.isprintable()
+        written = piece.replace(" ", _BYTE_LEVEL[0x20]) if plain else piece.encode().decode("latin-1").translate(_BYTE_LEVEL)
+        return array.array("I", [t.id for t in self.tokenizer.model.tokenize(written)]).tobytes()
 
     def __call__(self, text: str) -> bytes:
         if not self.by_piece or self.whole.search(text):
