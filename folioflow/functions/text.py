@@ -19,7 +19,8 @@ SPACE = r"\x09-\x0D\x1C-\x20\x85\xA0\u1680\u2000-\u200A\u2028\u2029\u202F\u205F\
 GLYPHS = {105: "á", 112: "é", 116: "í", 120: "ñ", 121: "ó", 126: "ú"}
 GLYPH_PUNCTUATION = ",.:-"
 GLYPH_OFFSET = 29
-GLYPH = re.compile(r"\(cid:(\d+)\)")
+GLYPH_MARK = "(cid:"
+_CODE = re.compile(r"(\d+)\)")
 
 
 def strip(c: Column) -> Column:
@@ -62,8 +63,24 @@ def glyph(number: int) -> str | None:
     return c if c.isalpha() or c.isspace() or c in GLYPH_PUNCTUATION else None
 
 
+class _Decoded(dict):
+    """What stands behind a mark, with its code decoded. Texts have few of them, many times."""
+
+    def __missing__(self, part: str) -> str:
+        found = _CODE.match(part)
+        c = glyph(int(found[1])) if found else None
+        value = GLYPH_MARK + part if c is None else c + part[found.end() :]
+        if len(part) < 32 and len(self) < 100_000:
+            self[part] = value
+        return value
+
+
+_decoded = _Decoded()
+
+
 def decode(text: str) -> str:
-    return GLYPH.sub(lambda m: glyph(int(m[1])) or m[0], text) if "(cid:" in text else text
+    head, *parts = text.split(GLYPH_MARK)
+    return head + "".join(map(_decoded.__getitem__, parts)) if parts else text
 
 
 @F.pandas_udf(T.StringType())

@@ -38,25 +38,29 @@ def zone(bounds: tuple[int, int]) -> Column:
 
 def _page(seq: np.ndarray, text: list[str], x0: np.ndarray, top: np.ndarray, bold: np.ndarray, bucket: np.ndarray, zones: np.ndarray) -> tuple[str, int, int]:
     """Text of a page of visible words below its header, its words without the footer's, and those in the right column."""
-    order = np.lexsort((seq, bucket))
-    # The footer's mark has one blank: it lies in one word, or in two that follow each other in a bucket.
-    gone = {bucket[b] for a, b in zip(order[:-1], order[1:], strict=True) if bucket[a] == bucket[b] and R.FOOTER in f"{text[a]} {text[b]}"}
-    gone |= {bucket[i] for i in order if R.FOOTER in text[i]}
+    gone = set()
+    if R.FOOTER.split()[-1] in "\n".join(text):
+        # The footer's mark has one blank: it lies in one word, or in two that follow each other in a bucket.
+        order = np.lexsort((seq, bucket))
+        gone = {bucket[b] for a, b in zip(order[:-1], order[1:], strict=True) if bucket[a] == bucket[b] and R.FOOTER in f"{text[a]} {text[b]}"}
+        gone |= {bucket[i] for i in order if R.FOOTER in text[i]}
     kept = np.flatnonzero(~np.isin(bucket, list(gone))) if gone else np.arange(len(text))
     right = int(zones[1, kept].sum())
     parts = []
     for zone_ in (0, 1) if right >= R.RIGHT_WORDS else (2,):
         at = kept[zones[zone_, kept]]
         at = at[np.lexsort((seq[at], x0[at], top[at]))]
-        lines = []
-        while len(at):
+        line, anchor, number = [], 0.0, -1
+        for height in top[at].tolist():
             # A line is as far as the tolerance reaches from its first word, not from word to word.
-            end = int(np.searchsorted(top[at] - top[at[0]], R.LINE_TOLERANCE, "right"))
-            line = at[:end][np.lexsort((seq[at[:end]], x0[at[:end]]))]
-            joined = " ".join(text[i] for i in line)
-            lines.append(R.BOLD + joined if bold[line].all() and joined.strip() else joined)
-            at = at[end:]
-        parts.append("\n".join(lines).strip())
+            if number < 0 or height - anchor > R.LINE_TOLERANCE:
+                anchor, number = height, number + 1
+            line.append(number)
+        at = at[np.lexsort((seq[at], x0[at], line))]
+        words, edges = [text[i] for i in at.tolist()], np.searchsorted(line, np.arange(number + 2)).tolist()
+        lines = [" ".join(words[a:b]) for a, b in zip(edges[:-1], edges[1:], strict=True)]
+        all_bold = np.logical_and.reduceat(bold[at], edges[:-1]).tolist() if lines else []
+        parts.append("\n".join(R.BOLD + x if b and x.strip() else x for x, b in zip(lines, all_bold, strict=True)).strip())
     return decode("\n".join(parts).strip()), len(kept), right
 
 
