@@ -64,7 +64,7 @@ LEADER_ROUNDS, LEADERS, LEADER_GAIN = 3, 128, 0.02
 #: Members of a block, rows in a task, candidates that a node gives out at first and the factor of each further time, and pairs of one node in a task.
 BLOCK, TASK_ROWS, FIRST, MORE, SALT_ROWS = 1024, 16_384, 4, 16, 512
 #: Verified pairs in a task.
-VERIFIED_ROWS = 10_000
+VERIFIED_ROWS = 1_000
 EDGES = 1_000_000
 FLUSH = 1 << 19
 _KEY_BITS = np.uint64(32)
