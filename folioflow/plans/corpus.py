@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from folioflow.functions import rules as R
 from folioflow.operators import header, ids, layout, preamble, qa, segment
 from folioflow.operators import schemas as S
-from folioflow.session import materialize, scoped
+from folioflow.session import materialize, passing
 from folioflow.sources import sinks
 
 
@@ -81,7 +81,7 @@ def calibrate(pages: DataFrame, root: str, answers: DataFrame | None = None) ->
     """A fresh run: outputs are reset, and speeches and sessions get ids by year."""
     spark = pages.sparkSession
     sinks.reset(spark, root)
-    with scoped() as scope:
+    with passing():
         made = build(pages, answers)
         dated = ids.year_ids(made.sessions, ["file_id"])
         speeches = ids.with_year_ids(made.speeches, dated)
@@ -91,7 +91,6 @@ def calibrate(pages: DataFrame, root: str, answers: DataFrame | None = None) ->
         sinks.upsert_flags(made.flags, f"{root}/flagged")
         sinks.log(made.log, f"{root}/log")
         sinks.rewrite(layout.scanned_pages(pages), f"{root}/scanned_pages", S.SCANNED)
-    scope.release()
 
 
 def manifest(spark: SparkSession, root: str) -> DataFrame:

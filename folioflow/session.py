@@ -33,6 +33,7 @@ class Scope:
     def release(self) -> None:
         tables, sent = self.tables, self.sent
         self.tables, self.sent = [], []
+        _OPEN.discard(self)
         for x in sent:
             x.unpersist()
         for spark, path in tables:
@@ -41,6 +42,8 @@ class Scope:
 
 
 _ALL = Scope()
+#: What goes when the driver ends.
+_OPEN: set[Scope] = set()
 _SCOPE: contextvars.ContextVar[Scope] = contextvars.ContextVar("scope", default=_ALL)
 
 
@@ -48,15 +51,31 @@ _SCOPE: contextvars.ContextVar[Scope] = contextvars.ContextVar("scope", default=
 def scoped(scope: Scope | None = None) -> Iterator[Scope]:
     """Tables and broadcasts made inside belong to the scope that is given out. The caller releases it."""
     scope = scope or Scope()
+    _OPEN.add(scope)
     token = _SCOPE.set(scope)
     try:
         yield scope
     finally:
         _SCOPE.reset(token)
-        _OPEN.append(scope)
 
 
-_OPEN: list[Scope] = [_ALL]
+@contextlib.contextmanager
+def passing() -> Iterator[Scope]:
+    """A scope that is released at its end, also after an error: for work whose results are written elsewhere."""
+    with scoped() as scope:
+        try:
+            yield scope
+        finally:
+            scope.release()
+
+
+def adopt(scope: Scope) -> None:
+    """What belongs to scope belongs to the current one from now on."""
+    mine = _SCOPE.get()
+    mine.tables += scope.tables
+    mine.sent += scope.sent
+    scope.tables, scope.sent = [], []
+    _OPEN.discard(scope)
 
 
 def broadcast(spark: SparkSession, value: Any) -> Broadcast:
@@ -122,7 +141,7 @@ def release(spark: SparkSession, path: str) -> None:
 
 @atexit.register
 def _release_all() -> None:
-    for scope in _OPEN:
+    for scope in [*_OPEN, _ALL]:
         try:
             scope.release()
         except Exception:  # noqa: BLE001 - the gateway may be gone already

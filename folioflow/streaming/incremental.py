@@ -13,7 +13,7 @@ from pyspark.sql.streaming import StreamingQuery
 from folioflow.operators import layout, qa
 from folioflow.operators import schemas as S
 from folioflow.plans import corpus
-from folioflow.session import scoped
+from folioflow.session import passing
 from folioflow.sources import readers, sinks
 
 FILES = 50
@@ -30,7 +30,7 @@ def pages_stream(spark: SparkSession, folder: str, files: int = FILES, kind: str
 
 def write_batch(batch: DataFrame, number: int, root: str, session_ids: DataFrame | None = None) -> None:
     """Writes a batch's tables as its own partitions. Flags that another batch has are not written again. Without session_ids, files are numbered as they come."""
-    with scoped() as scope:
+    with passing():
         names = session_ids if session_ids is not None else sinks.session_numbers(batch, f"{root}/session_ids")
         made = corpus.build(batch, strict_skip=False, session_ids=names)
         known = sinks.existing(batch.sparkSession, f"{root}/flagged", S.FLAGS + ", batch_id int").filter(F.col("batch_id") != number)
@@ -38,7 +38,6 @@ def write_batch(batch: DataFrame, number: int, root: str, session_ids: DataFrame
         tables = {"speeches": made.speeches, "sessions": made.sessions, "flagged": qa.new_flags(made.flags, known), "log": made.log, "scanned_pages": scanned}
         for name, df in tables.items():
             df.withColumn("batch_id", F.lit(number)).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("batch_id").parquet(f"{root}/{name}")
-    scope.release()
 
 
 def run(spark: SparkSession, folder: str, root: str, checkpoint: str, files: int = FILES, session_ids: DataFrame | None = None, kind: str = "parquet") -> StreamingQuery:
