@@ -13,23 +13,31 @@ from pyspark.sql import DataFrame, SparkSession
 
 from folioflow.llm import decontaminate, ngram_join, packing, quality, secrets
 from folioflow.llm.scratch import materialize, table
-from folioflow.session import Scope, scoped
+from folioflow.session import Scope, adopt, passing, scoped
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
-#: What the stage before wrote and sent. Its result is a table of its own by the time the next stage is called.
-_before: list[Scope] = []
+#: By (session, folder, place in STAGES): scopes of stages that were called by hand. Their results are written before the next stage is called.
+_by_hand: dict[tuple, list[Scope]] = {}
 
 
 def _stage(f: Stage) -> Stage:
+    """A stage that is called by hand gives back what the one before wrote and sent, if that was called once since; the last one's tables go with the driver.
+
+    In `run`, stages use `plain`, and the run gives their tables back.
+    """
+
     @functools.wraps(f)
     def staged(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-        while _before:
-            _before.pop().release()
+        place = [s for _, s in STAGES].index(staged)
+        before = _by_hand.pop((id(spark), sf_dir, place - 1), [])
+        for scope in before if len(before) == 1 else ():
+            scope.release()
         with scoped() as scope:
             out = f(spark, docs, sf_dir)
-        _before.append(scope)
+        _by_hand.setdefault((id(spark), sf_dir, place), []).append(scope)
         return out
 
+    staged.plain = f
     return staged
 
 
@@ -76,7 +84,19 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents")
-    for name, stage in STAGES[:-1]:
-        docs = materialize(stage(spark, docs, sf_dir), name)
-    return STAGES[-1][1](spark, docs, sf_dir)
+    """The rows of the last stage. Each stage's tables go as soon as the next one's docs are written, also after an error; those of the result belong to the caller's scope."""
+    docs, held = table(spark, sf_dir, "documents"), Scope()
+    try:
+        for name, stage in STAGES[:-1]:
+            with passing():
+                found = stage.plain(spark, docs, sf_dir)
+                with scoped() as written:
+                    docs = materialize(found, name)
+            held.release()
+            held = written
+        out = STAGES[-1][1].plain(spark, docs, sf_dir)
+    except BaseException:
+        held.release()
+        raise
+    adopt(held)
+    return out

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
 import corpus_pipeline
+from folioflow import session
 from folioflow.llm import registry
 from folioflow.llm.scratch import materialize
 
@@ -85,12 +86,44 @@ def test_stages_keep_columns_of_any_name(spark, tmp_path, rows):
     assert {r["doc_id"] for r in packed.collect()} == {r["doc_id"] for r in kept.collect()}
 
 
-def test_a_stage_gives_back_what_the_one_before_wrote(spark):
+def _there(spark, path):
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(target)
+
+
+def test_a_stage_by_hand_gives_back_what_the_one_before_wrote(spark):
     docs = spark.read.parquet(f"{SF}/documents.parquet")
+    corpus_pipeline._by_hand.clear()
     kept = materialize(corpus_pipeline.STAGES[0][1](spark, docs, SF), "kept")
-    tables = [path for _, path in corpus_pipeline._before[-1].tables]
-    assert tables
-    corpus_pipeline.STAGES[2][1](spark, kept, SF)
-    for path in tables:
-        target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-        assert not target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(target)
+    key = (id(spark), SF, 0)
+    tables = [path for _, path in corpus_pipeline._by_hand[key][0].tables]
+    assert tables and all(_there(spark, p) for p in tables)
+    corpus_pipeline.STAGES[1][1](spark, kept, SF)
+    assert not any(_there(spark, p) for p in tables)
+    two = [corpus_pipeline.STAGES[0][1](spark, docs, SF) for _ in range(2)]
+    corpus_pipeline.STAGES[1][1](spark, kept, SF)
+    assert two[0].count() == two[1].count() == kept.count()  # of two results none is taken away
+
+
+def test_two_results_of_run_live_side_by_side(spark):
+    open_ = len(session._OPEN)
+    with session.scoped() as scope:
+        one, two = corpus_pipeline.run(spark, SF), corpus_pipeline.run(spark, SF)
+        assert sorted(map(tuple, one.drop("sequence_id", "offset").collect())) == sorted(map(tuple, two.drop("sequence_id", "offset").collect()))
+    paths = [path for _, path in scope.tables]
+    scope.release()
+    assert paths and not any(_there(spark, p) for p in paths) and len(session._OPEN) == open_
+
+
+def test_a_stage_that_fails_leaves_no_tables(spark, monkeypatch):
+    made = []
+
+    def fails(spark_, docs, sf_dir):
+        made.append(session.write_table(docs, "half"))
+        raise RuntimeError("lost")
+
+    monkeypatch.setattr(corpus_pipeline.STAGES[2][1], "plain", fails)
+    with session.passing() as scope:
+        with pytest.raises(RuntimeError, match="lost"):
+            corpus_pipeline.run(spark, SF)
+        assert made and not _there(spark, made[0]) and not scope.tables
