@@ -4,8 +4,8 @@ Method
 ------
 * `paths` lists the nested field paths of a record or a Spark schema ("messages[].role"); `fingerprint` is the SHA-256 of
   the sorted list. `MAPPINGS` declares, for each known layout, where turns, roles and texts are;
-  a record's fingerprint selects its mapping. More mappings are registered as data, not as code. Unknown
-  layouts yield no turns and are returned by `unmapped`.
+  a record's fingerprint selects its mapping, without the fields of IGNORED where there are any. More mappings are registered as data, not as code. Unknown
+  layouts, records that are no JSON objects or nested too deeply, and records of which any other field is unused yield no turns and are returned by `unmapped`.
 * `canonical` converts JSON records, `canonical_rows` tables of turns, to (conv_id, turn, role, text).
 * `formatted` writes each turn as `<|im_start|>role\\ntext<|im_end|>\\n`. Inside roles and texts a backslash is doubled and
   `<|` becomes `<\\|`, so no control string is left in them; `unescape` is the exact inverse. Each
@@ -60,8 +60,15 @@ MAPPINGS = (
     Mapping(("question", "answer"), pairs=(("user", "question"), ("assistant", "answer"))),
     Mapping(("instruction", "output"), pairs=(("user", "instruction"), ("assistant", "output"))),
     Mapping(("instruction", "input", "output"), pairs=(("user", "instruction"), ("user", "input"), ("assistant", "output"))),
+    Mapping(("system", "instruction", "input", "output"), pairs=(("system", "system"), ("user", "instruction"), ("user", "input"), ("assistant", "output"))),
+    Mapping(("system", "messages[].role", "messages[].content"), "messages", "role", "content", (("system", "system"),)),
+    Mapping(("system", "prompt", "completion"), pairs=(("system", "system"), ("user", "prompt"), ("assistant", "completion"))),
+    Mapping(("system", "prompt", "response"), pairs=(("system", "system"), ("user", "prompt"), ("assistant", "response"))),
+    Mapping(("system", "question", "answer"), pairs=(("system", "system"), ("user", "question"), ("assistant", "answer"))),
     Mapping(("system", "instruction", "output"), pairs=(("system", "system"), ("user", "instruction"), ("assistant", "output"))),
 )
+#: Names of fields that hold no text of a turn: at the top of a record with all that is below, or at the end of a path.
+IGNORED = frozenset("id conv_id conversation_id turn index source dataset split lang language meta metadata tags category license url model weight score rating timestamp created".split())
 ROLES = {"human": "user", "prompter": "user", "gpt": "assistant", "bot": "assistant", "model": "assistant"}
 
 
@@ -84,7 +91,7 @@ def _under(name: str, value: Any) -> set[str]:
 
 
 def fingerprint(fields: set[str] | tuple[str, ...]) -> str:
-    return hashlib.sha256("\n".join(sorted(fields)).encode()).hexdigest()
+    return hashlib.sha256("\n".join(sorted(fields)).encode(errors="surrogatepass")).hexdigest()
 
 
 def registry(mappings: tuple[Mapping, ...] = MAPPINGS) -> dict[str, Mapping]:
@@ -92,10 +99,14 @@ def registry(mappings: tuple[Mapping, ...] = MAPPINGS) -> dict[str, Mapping]:
 
 
 def mapping_of(fields: set[str], mappings: tuple[Mapping, ...] = MAPPINGS) -> Mapping | None:
-    """The mapping of the fields' fingerprint; where fields of no meaning are added, the one that uses most of the fields."""
-    exact = registry(mappings).get(fingerprint(fields))
-    fitting = [m for m in mappings if set(m.fields) <= fields]
-    return exact or max(fitting, key=lambda m: len(m.fields), default=None)
+    """The mapping of the fields' fingerprint; where ignored fields are added, the one of the others'. A field that neither uses leaves the record unmapped: no text is lost unseen."""
+    known = registry(mappings)
+    return known.get(fingerprint(fields)) or known.get(fingerprint({f for f in fields if not _ignored(f)}))
+
+
+def _ignored(field: str) -> bool:
+    steps = field.replace("[]", "").split(".")
+    return steps[0] in IGNORED or steps[-1] in IGNORED
 
 
 def turns_of(record: dict, mapping: Mapping) -> Iterator[tuple[str, str]]:
@@ -108,7 +119,17 @@ def turns_of(record: dict, mapping: Mapping) -> Iterator[tuple[str, str]]:
 
 
 def _text(value: Any) -> str:
-    return value if isinstance(value, str) else "" if value is None else json.dumps(value, ensure_ascii=False)
+    """A text as it is, but for halves of surrogate pairs, which are no characters and become question marks; other values as JSON."""
+    text = value if isinstance(value, str) else "" if value is None else json.dumps(value, ensure_ascii=False)
+    return text.encode(errors="replace").decode()
+
+
+def layout(value: dict) -> set[str]:
+    """Field paths of a record; of one that is nested too deeply to be walked through, a path that nothing uses."""
+    try:
+        return paths(value)
+    except RecursionError:
+        return {"[]"}
 
 
 def canonical(records: DataFrame, mappings: tuple[Mapping, ...] = MAPPINGS) -> DataFrame:
@@ -120,7 +141,7 @@ def canonical(records: DataFrame, mappings: tuple[Mapping, ...] = MAPPINGS) -> D
             rows: list[list] = [[], [], [], []]
             for conv, record in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
                 value = _parsed(record)
-                mapping = mapping_of(paths(value), mappings)
+                mapping = mapping_of(layout(value), mappings)
                 for i, (role, text) in enumerate(turns_of(value, mapping) if mapping else ()):
                     for column, x in zip(rows, (conv, i, role, text), strict=True):
                         column.append(x)
@@ -132,7 +153,7 @@ def canonical(records: DataFrame, mappings: tuple[Mapping, ...] = MAPPINGS) -> D
 def _parsed(record: str | None) -> dict:
     try:
         value = json.loads(record or "{}")
-    except ValueError:
+    except (ValueError, RecursionError):
         return {}
     return value if isinstance(value, dict) else {}
 
@@ -143,7 +164,7 @@ def unmapped(records: DataFrame, mappings: tuple[Mapping, ...] = MAPPINGS) -> Da
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            every = [paths(_parsed(x)) for x in batch.column(0).to_pylist()]
+            every = [layout(_parsed(x)) for x in batch.column(0).to_pylist()]
             yield pa.record_batch([pa.array([fingerprint(x) for x in every if mapping_of(x, mappings) is None], pa.string())], ["layout"])
 
     layouts = records.select("record").mapInArrow(run, "layout string")

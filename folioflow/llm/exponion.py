@@ -173,15 +173,17 @@ def compress(vectors: DataFrame, rounds: int = ROUNDS, vec_id: str = "vec_id", v
     rows = rows.filter(F.size("vec") == length)
     books = first_books(rows, length)
     coded, held = rows.withColumn("code", F.lit(None).cast("binary")), Scope()
-    for _ in range(rounds):
-        with scoped() as scope:
-            coded = materialize(coded.mapInArrow(_coded(broadcast(spark, books), length, False), f"{kinds}, vec {rows.schema['vec'].dataType.simpleString()}, code binary"), "round")
+    try:
+        for _ in range(rounds):
+            with scoped() as scope:
+                coded = materialize(coded.mapInArrow(_coded(broadcast(spark, books), length, False), f"{kinds}, vec {rows.schema['vec'].dataType.simpleString()}, code binary"), "round")
+            held.release()
+            held = scope
+            sums = coded.select("vec", "code").mapInArrow(_sums(length), SUMS).groupBy("part", "entry").applyInArrow(_added, SUMS)
+            books = moved(books, sums.collect())  # a row for each entry
+        last = materialize(coded.mapInArrow(_coded(broadcast(spark, books), length, True), f"{kinds}, code binary, error long"), "codes")
+    finally:
         held.release()
-        held = scope
-        sums = coded.select("vec", "code").mapInArrow(_sums(length), SUMS).groupBy("part", "entry").applyInArrow(_added, SUMS)
-        books = moved(books, sums.collect())  # a row for each entry
-    last = materialize(coded.mapInArrow(_coded(broadcast(spark, books), length, True), f"{kinds}, code binary, error long"), "codes")
-    held.release()
     return last, books
 
 

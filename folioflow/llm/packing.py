@@ -37,7 +37,8 @@ from folioflow.llm.scratch import broadcast, materialize, ship, table, with_rank
 
 CAPACITY = 1024
 END = 2
-GROUPS = 400
+#: Numbers of groups that are planned with; the plan of fewest sequences stays. From the capacity on, each length is a group.
+GROUPS = (400, CAPACITY)
 #: Lengths up to this share of the capacity are small.
 SMALL = 0.4
 #: Bytes of texts and ids that an encoder remembers, and of texts that are encoded at once.
@@ -228,7 +229,7 @@ def configurations(sizes: np.ndarray, demand: np.ndarray, capacity: int, rounds:
     return columns.astype(np.int64), np.maximum(x, 0)
 
 
-def plan(histogram: np.ndarray, capacity: int = CAPACITY, groups: int = GROUPS, small: float = SMALL) -> Plan:
+def plan(histogram: np.ndarray, capacity: int = CAPACITY, groups: int = GROUPS[0], small: float = SMALL) -> Plan:
     """histogram[n]: pieces of length n, for n from 0 to capacity."""
     out = Plan()
     left = histogram.astype(np.int64).copy()
@@ -251,7 +252,7 @@ def plan(histogram: np.ndarray, capacity: int = CAPACITY, groups: int = GROUPS,
     if total:
         # Groups of equal cardinality, longest first; each size is its group's largest.
         upto = np.cumsum(left[lengths])
-        number = np.minimum((upto - 1) * groups // total, groups - 1)
+        number = np.minimum((upto - 1) * groups // total, groups - 1) if groups < capacity else np.arange(len(lengths))
         there = left[lengths] > 0
         ids = np.unique(number[there])
         members = [lengths[there & (number == g)] for g in ids]
@@ -305,13 +306,18 @@ def plan(histogram: np.ndarray, capacity: int = CAPACITY, groups: int = GROUPS,
 # ---------------------------------------------------------------- packing
 
 
-def pack(found: DataFrame, capacity: int = CAPACITY, groups: int = GROUPS, chunks: int = CHUNKS) -> DataFrame:
+def best_plan(histogram: np.ndarray, capacity: int = CAPACITY, groups: tuple[int, ...] = GROUPS) -> Plan:
+    """The plan of fewest sequences. Coarse groups round more, fine ones leave more fractions of configurations."""
+    return min((plan(histogram, capacity, g) for g in groups), key=lambda p: p.sequences)
+
+
+def pack(found: DataFrame, capacity: int = CAPACITY, groups: tuple[int, ...] = GROUPS, chunks: int = CHUNKS) -> DataFrame:
     """found (of `pieces`, materialised) with sequence_id and offset."""
     spark = found.sparkSession
     histogram = np.zeros(capacity + 1, np.int64)
     for row in found.groupBy("length").agg(F.count(F.lit(1)).alias("n")).collect():
         histogram[row["length"]] = row["n"]
-    made = plan(histogram, capacity, groups)
+    made = best_plan(histogram, capacity, groups)
     shared = broadcast(spark, made.arrays())
     ranked = with_rank(found, ["length"], ["doc_id", "piece", "ids_crc32"], "rank", chunks)
     carried = found.columns
