@@ -56,6 +56,7 @@ LONGEST_ATTRIBUTION = 450
 
 # Markers inside a turn.
 BOLD = "§"
+DIVIDED = r"-\n(?=[a-z])"
 PAGE_MARK = r"\[PAGE \d+\]"
 GLYPH_LINE = r"(?m)^[^\n]*(?:\(cid:\d+\)){10,}[^\n]*$"
 GLYPH_BOLD_LINE = r"(?m)^§[^\n]*(?:\(cid:\d+\)){3,}[^\n]*$"
@@ -64,10 +65,15 @@ SESSION_CLOSE = r"(?:Se levanta|Se da por terminada?|Se termina|Con esto se da|S
 DASH_LINE = r"(?m)^-\s+[A-Z][^\n]{0,200}$"
 PROCEDURAL = r"^\s*\(?\s*(RECESO|Receso|Sesi[oó]n Informal|Sesi[oó]n Formal)\s*\)?\s*$"
 CHAIR_CHANGE = r"(?:Preside la sesi[oó]n (?:el|la) honorable|Asume la Presidencia)[^\n]*([A-ZÁÉÍÓÚÑÜ][a-záéíóúñü]+(?:\s+[A-ZÁÉÍÓÚÑÜ][a-záéíóúñü]+){1,4})"
+CHAIR_MARK = r"Preside la sesi[oó]n (?:el|la) honorable|Asume la Presidencia"
 CONTINUATION = r"Contin[uú]a (?:con|en|haciendo uso de) el uso de la palabra"
 VOTE = r"[Vv]ota\s+(?:s[íi]|no)\b"
 VOTES = 3
 
+# Names and what stands before them, as changes of the chair and session headers have them.
+NAME = r"[A-ZÁÉÍÓÚÑÜ][a-záéíóúñü]+(?: +(?:(?:de|del) +(?:la +|los +)?)?[A-ZÁÉÍÓÚÑÜ][a-záéíóúñü]+){1,4}"
+TITLES = r"\A[\s,]*(?:(?:el|la)\s+)?(?:honorable\s+)?(?:(?:Representante|Senador[a]?|Congresista|doctor[a]?)\s+)*"
+
 # How a transcript begins.
 FLOOR_GRANTS = (
     r"La Presidencia concede el uso de la palabra",

@@ -3,13 +3,13 @@
 from __future__ import annotations
 
 import re
-import unicodedata
 
 import pandas as pd
 from pyspark.sql import Column, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from folioflow.functions import rules as R
 from folioflow.session import ship
 
 #: What str.strip() and str.split() take for white space, as a Java character class.
@@ -20,7 +20,8 @@ GLYPHS = {105: "á", 112: "é", 116: "í", 120: "ñ", 121: "ó", 126: "ú"}
 GLYPH_PUNCTUATION = ",.:-"
 GLYPH_OFFSET = 29
 GLYPH_MARK = "(cid:"
-_CODE = re.compile(r"(\d+)\)")
+#: Codes of more digits are beyond every character.
+_CODE = re.compile(r"0*(\d{1,7})\)")
 
 
 def strip(c: Column) -> Column:
@@ -38,7 +39,7 @@ def word_count(c: Column) -> Column:
 
 def hyphen_join(c: Column) -> Column:
     """Joins words that were divided at a line's end before an ASCII lower-case letter."""
-    return F.regexp_replace(c, r"-\n(?=[a-z])", "")
+    return F.regexp_replace(c, R.DIVIDED, "")
 
 
 def drop(c: Column, *patterns: str) -> Column:
@@ -88,17 +89,8 @@ def _decode_udf(s: pd.Series) -> pd.Series:
     return s.map(decode, na_action="ignore")
 
 
-@F.pandas_udf(T.StringType())
-def _nfc_udf(s: pd.Series) -> pd.Series:
-    return s.map(lambda x: unicodedata.normalize("NFC", x), na_action="ignore")
-
-
 def decode_glyphs(c: Column) -> Column:
     """Residual `(cid:n)` codes as characters."""
     ship(SparkSession.active())
     return _decode_udf(c)
 
-
-def nfc(c: Column) -> Column:
-    ship(SparkSession.active())
-    return _nfc_udf(c)

@@ -117,9 +117,14 @@ def pages(words: DataFrame, known: DataFrame | None = None) -> DataFrame:
     )
 
 
+def logged_share() -> Column:
+    """The share of coded words as the log has it; null for pages that are not scanned."""
+    return F.when(F.col("status") == "scanned", F.round("cid_word_pct", 4))
+
+
 def scanned_pages(pages: DataFrame) -> DataFrame:
     """The log of scanned pages is a view of the pages."""
-    return pages.filter("status = 'scanned'").select(*PAGE, F.round("cid_word_pct", 4).alias("cid_word_pct"))
+    return pages.filter("status = 'scanned'").select(*PAGE, logged_share().alias("cid_word_pct"))
 
 
 def page_counts(pages: DataFrame) -> DataFrame:

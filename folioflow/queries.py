@@ -13,8 +13,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from folioflow.functions import rules as R
-from folioflow.functions.text import decode_glyphs, drop, hyphen_join, nfc, ordered_join, strip, word_count
-from folioflow.operators import checks, header, ids, layout, preamble, qa, segment
+from folioflow.functions.text import decode_glyphs, drop, hyphen_join, ordered_join, strip, word_count
+from folioflow.operators import chairs, checks, header, ids, layout, preamble, qa, running, segment, versions
 from folioflow.plans import corpus
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -42,12 +42,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def rendered(spark: SparkSession, sf_dir: str, before: str = "", after: str = "") -> DataFrame:
-    """Pages of conversations: a bold line with the speaker, then the text; a page for each two turns. before and after are SQL that wraps texts."""
+def rendered(spark: SparkSession, sf_dir: str, before: str = "", after: str = "", text: str = "text") -> DataFrame:
+    """Pages of conversations: a bold line with the speaker, then the text; a page for each two turns. text is SQL for the text, before and after are SQL that wraps it."""
     rows = table(spark, sf_dir, "conversations")
     who = F.coalesce(F.try_element_at(F.create_map(*(F.lit(x) for kv in SPEAKERS.items() for x in kv)), F.col("role")), F.lit(SPEAKERS["system"]))
-    text = F.concat(F.expr(before or "''"), F.col("text"), F.expr(after or "''"))
-    turn = F.concat(F.lit(R.BOLD), who, F.lit(":\n"), text)
+    said = F.concat(F.expr(before or "''"), F.expr(text), F.expr(after or "''"))
+    turn = F.concat(F.lit(R.BOLD), who, F.lit(":\n"), said)
     lines = rows.select(F.format_string("conv_%d", "conv_id").alias("file_id"), (F.floor(F.col("turn") / 2) + 1).cast("int").alias("page_num"), "turn", turn.alias("line"))
     pages = lines.groupBy("file_id", "page_num").agg(ordered_join("turn", "line", "\n").alias("text"))
     return pages.select("file_id", "page_num", "text", F.lit("ok").alias("status"), F.lit("single_column").alias("column_layout"), F.lit(None).cast("string").alias("error_detail"), F.lit(None).cast("double").alias("cid_word_pct"))
@@ -264,9 +264,7 @@ SELECT 'doc_' || doc_id AS file_id, 1 AS page_num, 10 * n_coded > 3 * n_words AS
 def scan_ratio(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Which pages are scanned, and the log of these."""
     found = layout.pages(_words(spark, sf_dir))
-    logged = layout.scanned_pages(found).withColumnsRenamed({"file_id": "_f", "page_num": "_p"})
-    both = found.drop("cid_word_pct").join(logged, (F.col("file_id") == F.col("_f")) & (F.col("page_num") == F.col("_p")), "left")
-    return both.select("file_id", "page_num", (F.col("status") == "scanned").alias("scanned"), "cid_word_pct")
+    return found.select("file_id", "page_num", (F.col("status") == "scanned").alias("scanned"), layout.logged_share().alias("cid_word_pct"))
 
 
 @query(_WORDS_SQL + """
@@ -428,12 +426,11 @@ def attribution_oddities(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _spoken(segment.turns(_staged(spark, sf_dir, tuple(x for x, _, _ in ODDITIES))))
 
 
-@query("""
-SELECT conv_id, turn, regexp_replace(text, 'ó', 'o', 'g') || ' sesión' AS text FROM conversations""")
+@query(TURN_SQL.replace("{TEXT}", "text || ' sesión'").replace("{VALUE}", "conv_id").replace("{KEEP}", ""))
 def normal_form(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A letter and its mark become one character."""
-    text = F.concat(F.replace("text", F.lit("ó"), F.lit("o")), F.lit(" sesión"))
-    return table(spark, sf_dir, "conversations").select("conv_id", "turn", nfc(text).alias("text"))
+    """Letters that are written as a letter and a mark become one character, in every turn."""
+    found = segment.turns(rendered(spark, sf_dir, after="' sesio\u0301n'", text="replace(text, '\u00e9', 'e\u0301')"))
+    return _turns(found.withColumn("conv_id", F.substring("file_id", 6, 20).cast("long")), "conv_id")
 
 
 # ---------------------------------------------------------------- furniture of pages, flags, checks and headers
@@ -554,3 +551,86 @@ def preamble_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
     head = F.when(F.coalesce(page == begins, F.lit(False)), "Registro\nSecretario:\n").when(page == 1, "§Registro manual\nSecretario:\n").otherwise("")
     pages = rows.select(F.format_string("conv_%d", "conv_id").alias("file_id"), page.alias("page_num"), F.concat(head, F.coalesce("text", F.lit(""))).alias("text"), F.lit("ok").alias("status"))
     return preamble.with_starts(preamble.gathered(pages)).select("file_id", preamble.preamble_text().alias("preamble_text"))
+
+
+# ---------------------------------------------------------------- chairs, versions of rules, running lines
+
+
+def _one_page(spark: SparkSession, sf_dir: str, head: Column) -> DataFrame:
+    """(file_id, text): a conversation's turns on one page, each a line `head` and then its text."""
+    line = F.concat(head, F.lit("\nUno. "), F.coalesce("text", F.lit("")))
+    rows = table(spark, sf_dir, "conversations").select(F.format_string("conv_%d", "conv_id").alias("file_id"), "turn", line.alias("line"))
+    return rows.groupBy("file_id").agg(F.concat(F.lit("\n[PAGE 1]\n"), ordered_join("turn", "line", "\n")).alias("text"))
+
+
+#: Lines of `_one_page` with their places in the prepared text.
+_PLACED_SQL = r"""
+line AS (SELECT *, head || chr(10) || 'Uno. ' || regexp_replace(coalesce(text, ''), '-\n([a-z])', '\1', 'g') AS line FROM heads),
+placed AS (SELECT *, CAST(10 + coalesce(sum(length(line) + 1) OVER (PARTITION BY conv_id ORDER BY turn ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS BIGINT) AS pos FROM line),
+whole AS (SELECT conv_id, chr(10) || '[PAGE 1]' || chr(10) || string_agg(line, chr(10) ORDER BY turn) AS file FROM line GROUP BY 1)"""
+
+_CHAIRS = ("Luis Paz", "María del Mar Ruiz", "Eva Sanz Gil")
+
+
+@query("WITH heads AS (SELECT *, CASE turn % 4 WHEN 1 THEN '§Presidente:' WHEN 2 THEN CASE WHEN (conv_id + turn) % 5 = 0 THEN '§Asume la Presidencia un miembro:' ELSE '§Preside la sesión el honorable Representante ' || " + _case("(conv_id + turn) % 3", _CHAIRS) + """ || ':' END WHEN 3 THEN '§Presidenta:' ELSE '§Secretaria:' END AS head,
+  CASE WHEN turn % 4 = 2 THEN CASE WHEN (conv_id + turn) % 5 = 0 THEN '' ELSE """ + _case("(conv_id + turn) % 3", _CHAIRS) + """ END END AS chair FROM conversations),
+{PLACED},
+spoken AS (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn) AS n FROM placed WHERE chair IS NULL),
+marks AS (SELECT conv_id AS c, turn AS t, chair AS by FROM placed WHERE chair IS NOT NULL),
+named AS (SELECT s.*, nullif(coalesce(m.by, CASE WHEN conv_id % 3 = 0 THEN 'Ana Ruiz Gil' END), '') AS president FROM spoken s ASOF LEFT JOIN marks m ON s.conv_id = m.c AND s.turn > m.t)
+SELECT 'conv_' || conv_id AS file_id, n AS position_in_session, regexp_extract(head, '§(.*):', 1) AS attribution_raw,
+  CASE WHEN turn % 4 = 0 THEN 'role' WHEN president IS NULL THEN 'uncertain' ELSE 'legislator' END AS speaker_type,
+  CASE WHEN turn % 4 = 0 THEN CASE WHEN conv_id % 2 = 0 THEN 'Pedro Gil' END ELSE president END AS speaker_name,
+  CASE WHEN turn % 4 <> 0 AND president IS NULL THEN substring(file, greatest(pos - 200, 0) + 1, pos + length(head) + 200 - greatest(pos - 200, 0)) END AS uncertain_context
+FROM named JOIN whole USING (conv_id)""".replace("{PLACED}", _PLACED_SQL))
+def chair_as_of(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Who presides at each turn: the header's chair, then that of the last mark before it; some marks name nobody, some headers name no chair."""
+    who = F.element_at(F.array(*(F.lit(x) for x in _CHAIRS)), ((F.col("conv_id") + F.col("turn")) % 3 + 1).cast("int"))
+    mark = F.when((F.col("conv_id") + F.col("turn")) % 5 == 0, "§Asume la Presidencia un miembro:").otherwise(F.concat(F.lit("§Preside la sesión el honorable Representante "), who, F.lit(":")))
+    k = F.col("turn") % 4
+    texts = _one_page(spark, sf_dir, F.when(k == 1, "§Presidente:").when(k == 2, mark).when(k == 3, "§Presidenta:").otherwise("§Secretaria:"))
+    number = F.substring("file_id", 6, 20).cast("long")
+    named = F.concat(F.lit("ACTA\n"), F.when(number % 3 == 0, "Presidente: honorable Representante Ana Ruiz Gil\n").otherwise(""), F.when(number % 2 == 0, "Secretario General, doctor Pedro Gil\n").otherwise(""))
+    found = chairs.resolved(segment.with_cuts(texts, context=segment.CONTEXT), header.officers(texts.select("file_id", named.alias("preamble_text"))))
+    return found.select("file_id", F.col("position_in_session").cast("long").alias("position_in_session"), "attribution_raw", "speaker_type", "speaker_name", "uncertain_context")
+
+
+_OLD_RULES, _NEW_RULES = frozenset(("bold_boundary", "honorable")), frozenset(("honorable", "role_label"))
+_HEADS = ("§Secretario General:", "Honorable Senadora Eva Sanz:", "Presidente:", "§Honorable Representante Ana Ruiz:")
+
+
+@query("WITH heads AS (SELECT *, (conv_id + turn) % 4 AS k, " + _case("(conv_id + turn) % 4", _HEADS) + """ AS head FROM conversations),
+{PLACED},
+starts AS (SELECT conv_id, 'old' AS side, pos FROM placed WHERE k <> 2 UNION ALL SELECT conv_id, 'new', pos FROM placed WHERE k IN (1, 2)),
+spans AS (SELECT conv_id, side, row_number() OVER w AS number, pos AS "start", coalesce(lead(pos) OVER w, length(file)) AS "end" FROM starts JOIN whole USING (conv_id) WINDOW w AS (PARTITION BY conv_id, side ORDER BY pos)),
+pairs AS (SELECT a.conv_id, a.number AS a, b.number AS b, a.start = b.start AND a.end = b.end AS equal FROM spans a JOIN spans b ON a.conv_id = b.conv_id AND a.side = 'old' AND b.side = 'new' AND a.start < b.end AND b.start < a.end),
+counted AS (SELECT *, count(*) OVER (PARTITION BY conv_id, a) AS of_a, count(*) OVER (PARTITION BY conv_id, b) AS of_b FROM pairs),
+facts AS (SELECT conv_id, 'old' AS side, a AS number, of_a AS n, max(of_b) AS m, bool_and(equal) AS equal FROM counted GROUP BY 1, 2, 3, 4 UNION ALL SELECT conv_id, 'new', b, of_b, max(of_a), bool_and(equal) FROM counted GROUP BY 1, 2, 3, 4)
+SELECT 'conv_' || conv_id AS file_id, side, number, "start", "end", coalesce(n, 0) AS n_others,
+  CASE WHEN n IS NULL THEN CASE side WHEN 'old' THEN 'lost' ELSE 'new' END WHEN n = 1 AND m = 1 AND equal THEN 'same' WHEN n > 1 AND m = 1 THEN 'split' WHEN n = 1 AND m > 1 THEN 'merged' ELSE 'moved' END AS outcome
+FROM spans LEFT JOIN facts USING (conv_id, side, number)""".replace("{PLACED}", _PLACED_SQL))
+def rule_versions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Transcripts cut by two sets of rules: which turns of either stay, shift, split, merge or go."""
+    texts = _one_page(spark, sf_dir, F.element_at(F.array(*(F.lit(x) for x in _HEADS)), ((F.col("conv_id") + F.col("turn")) % 4 + 1).cast("int")))
+    spans = [segment.all_turns(segment.with_cuts(texts, rules=r)).select("file_id", "number", "start", "end") for r in (_OLD_RULES, _NEW_RULES)]
+    found = versions.compared(*spans)
+    return found.select("file_id", "side", *(F.col(c).cast("long").alias(c) for c in ("number", "start", "end", "n_others")), "outcome")
+
+
+@query("""
+WITH p AS (SELECT doc_id, source, CASE WHEN doc_id % 4 = 0 THEN coalesce(text, '') ELSE 'GACETA  DEL CONGRESO ' || doc_id || chr(10) || chr(10) || coalesce(text, '') || chr(10) || 'Página ' || doc_id || ' ' END AS text FROM documents),
+l AS (SELECT doc_id, source, unnest(string_split(text, chr(10))) AS raw, generate_subscripts(string_split(text, chr(10)), 1) AS i FROM p),
+k AS (SELECT *, regexp_replace(regexp_replace(regexp_replace(regexp_replace(raw, '{WS}+', ' ', 'g'), '^ ', ''), ' $', ''), '[0-9]+', '#', 'g') AS line FROM l),
+r AS (SELECT doc_id, source, i, line, row_number() OVER (PARTITION BY doc_id ORDER BY i) AS up, row_number() OVER (PARTITION BY doc_id ORDER BY i DESC) AS down FROM k WHERE line <> ''),
+e AS (SELECT doc_id, source, i, line, up AS place FROM r WHERE up <= 2 UNION ALL SELECT doc_id, source, i, line, -down FROM r WHERE down <= 2),
+n AS (SELECT source, count(*) AS pages FROM documents GROUP BY 1),
+f AS (SELECT source, place, line FROM e JOIN n USING (source) GROUP BY source, place, line, pages HAVING count(*) >= 3 AND count(*) >= 0.5 * pages),
+gone AS (SELECT DISTINCT doc_id, i FROM e JOIN f USING (source, place, line))
+SELECT doc_id, count(g.i) AS n_suppressed, coalesce(string_agg(raw, chr(10) ORDER BY k.i) FILTER (WHERE g.i IS NULL), '') AS text FROM k LEFT JOIN gone g USING (doc_id, i) GROUP BY 1""")
+def running_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents as pages of their source, three of four with a head and a numbered foot: both go, and whatever else comes back at a page's edges."""
+    docs = table(spark, sf_dir, "documents")
+    number, text = F.col("doc_id").cast("string"), F.coalesce("text", F.lit(""))
+    framed = F.when(F.col("doc_id") % 4 == 0, text).otherwise(F.concat(F.lit("GACETA  DEL CONGRESO "), number, F.lit("\n\n"), text, F.lit("\nPágina "), number, F.lit(" ")))
+    pages = docs.select(F.col("source").alias("file_id"), F.col("doc_id").alias("page_num"), framed.alias("text"), F.lit("ok").alias("status"))
+    return running.without(pages).select(F.col("page_num").alias("doc_id"), F.col("n_suppressed").cast("long").alias("n_suppressed"), "text")
