@@ -12,7 +12,7 @@ from folioflow.operators import layout
 from folioflow.operators import schemas as S
 from folioflow.plans import corpus
 from folioflow.sources import readers, sinks
-from folioflow.streaming import incremental
+from folioflow.streaming import incremental, progress
 
 
 def _converted(spark: SparkSession, kind: str, source: str) -> DataFrame:
@@ -34,6 +34,7 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> No
     p.add_argument("--out", required=True, help="folder of the tables, or of page JSON; - prints pages")
     p.add_argument("--summary", action="store_true", help="print a line of page counts for each file")
     p.add_argument("--batch-size", type=int, default=incremental.FILES, help="files in a batch of the full run")
+    p.add_argument("--year-ids", action="store_true", help="keep numbers by year as the full run goes")
     a = p.parse_args(argv)
     spark = spark or SparkSession.builder.appName("folioflow").getOrCreate()
     if a.mode == "convert":
@@ -49,12 +50,15 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> No
     if a.summary:
         _summary(readers.page_json(spark, a.pages))
     if a.mode == "calibration":
-        corpus.calibrate(readers.page_json(spark, a.pages), a.out)
-    else:
-        numbers = sinks.session_numbers(readers.files(spark, a.pages, "*.json"), f"{a.out}/session_ids")
-        incremental.run(spark, a.pages, a.out, f"{a.out}/_state", a.batch_size, numbers, kind="json").awaitTermination()
-    state = corpus.manifest(spark, a.out)
-    print(corpus.totals(state, state.select("file_id")).first().asDict())
+        pages = readers.page_json(spark, a.pages)
+        corpus.calibrate(pages, a.out)
+        print(corpus.totals(corpus.manifest(spark, a.out), pages.select("file_id").distinct()).first().asDict())
+        return
+    numbers = sinks.session_numbers(readers.files(spark, a.pages, "*.json"), f"{a.out}/session_ids")
+    listener = progress.Progress(spark, a.out, numbers.count(), print)
+    with progress.listening(spark, listener):
+        incremental.run(spark, a.pages, a.out, f"{a.out}/_state", a.batch_size, numbers, kind="json", by_year=a.year_ids, listener=listener).awaitTermination()
+    print(progress.totals(spark, a.out, numbers))
 
 
 if __name__ == "__main__":

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
@@ -27,22 +27,30 @@ def batches(files: DataFrame, number: str = "session_id", size: int = 50) -> Dat
     return files.withColumn("batch_id", F.floor((F.col(number) - 1) / size))
 
 
-def year_ids(sessions: DataFrame, ties: list[str]) -> DataFrame:
-    """Adds year_id: year and number by (date, gazette number) in the year; what has no date comes last, in year 0000.
-
-    All sessions are numbered, and a year's numbers begin after those of the years before: no year is one task.
-    """
+def by_year(sessions: DataFrame) -> DataFrame:
+    """Adds what sessions are numbered by in a year: _y, the year (0000 without a date), _d, the date (last of all without one), and _g, the gazette's number (99999 without one)."""
     date = F.coalesce(F.nullif("session_date", F.lit("")), F.lit("9999-12-31"))
     digits = F.regexp_replace(F.coalesce(F.nullif("gaceta_number", F.lit("")), F.lit("99999")), r"[^\d]", "")
     number = F.coalesce(digits.try_cast("decimal(38,0)"), F.lit(99999).cast("decimal(38,0)"))
     given = F.coalesce("session_date", F.lit(""))
     year = F.when(F.length(given) >= 4, F.left(given, F.lit(4))).otherwise("0000")
-    ranked = sessions.withColumn("_y", year).withColumn("_d", date).withColumn("_g", number)
+    return sessions.withColumn("_y", year).withColumn("_d", date).withColumn("_g", number)
+
+
+def year_id(year: str, number: Column) -> Column:
+    return F.format_string("%s_%04d", year, number)
+
+
+def year_ids(sessions: DataFrame, ties: list[str]) -> DataFrame:
+    """Adds year_id: year and number by (date, gazette number) in the year; what has no date comes last, in year 0000.
+
+    All sessions are numbered, and a year's numbers begin after those of the years before: no year is one task.
+    """
     parts = int(sessions.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    placed = numbered(ranked, ["_y", "_d", "_g", *ties], "_n", parts)
+    placed = numbered(by_year(sessions), ["_y", "_d", "_g", *ties], "_n", parts)
     firsts = placed.groupBy(F.col("_y").alias("_year")).agg(F.min("_n").alias("_first"))  # a row for each year
     joined = placed.join(F.broadcast(firsts), F.col("_y") == F.col("_year"))
-    return joined.withColumn("year_id", F.format_string("%s_%04d", "_y", F.col("_n") - F.col("_first") + 1)).drop("_y", "_d", "_g", "_n", "_year", "_first")
+    return joined.withColumn("year_id", year_id("_y", F.col("_n") - F.col("_first") + 1)).drop("_y", "_d", "_g", "_n", "_year", "_first")
 
 
 def with_year_ids(speeches: DataFrame, sessions: DataFrame) -> DataFrame:

@@ -14,8 +14,10 @@ from pyspark.sql.window import Window
 
 from folioflow.functions import rules as R
 from folioflow.functions.text import decode_glyphs, drop, hyphen_join, ordered_join, strip, word_count
-from folioflow.operators import chairs, checks, header, ids, layout, preamble, qa, running, segment, versions
+from folioflow.operators import chairs, checks, header, ids, layout, preamble, qa, running, segment, versions, years
 from folioflow.plans import corpus
+from folioflow.session import folder
+from folioflow.sources import flag_store
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -296,8 +298,8 @@ def leak_checks(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = table(spark, sf_dir, "conversations")
     text = F.when(F.col("turn") % 2 == 1, F.concat(F.coalesce("text", F.lit("")), F.lit(" 12 de Marzo de 2021 GACETA"))).otherwise(F.coalesce("text", F.lit("")))
     speeches = rows.select(F.format_string("conv_%d", "conv_id").alias("file_id"), F.format_string("%03d", "turn").alias("speech_id"), text.alias("speech_text"))
-    found = checks.leaks(speeches, "speech_text", "(?iu)" + R.RUNNING_HEADER)
-    return found.select("file_id", "n", F.element_at("speech_ids", 1).cast("long").alias("first_turn"))
+    found = checks.leaks_by_file(speeches, checks.standing()[:1])
+    return found.select("file_id", "n", F.col("first_id").cast("long").alias("first_turn"))
 
 
 @query("""
@@ -491,26 +493,44 @@ def file_flags(spark: SparkSession, sf_dir: str) -> DataFrame:
     return qa.file_flags(files).select("file_id", "failure_type", "severity", "diagnosis")
 
 
-@query("""
-WITH t AS (SELECT 'conv_' || conv_id AS file_id, turn, conv_id FROM conversations), n AS (SELECT count(*) AS n FROM t),
-c AS (SELECT count(*) FILTER (WHERE turn % 5 = 0) AS a, count(*) FILTER (WHERE turn % 5 = 1) AS b, count(*) FILTER (WHERE turn % 5 = 2) AS c, count(*) FILTER (WHERE turn % 5 = 3) AS d, count(*) FILTER (WHERE turn % 5 = 4) AS e FROM t),
+#: Leaks by turn, and speakers.
+_LEAKS = ("\n12 de Marzo de 2021 GACETA", " Se levanta la sesión", "\n- Acta", "", "")
+_LEAK_SQL = "coalesce(text, '') || CASE turn % 5 WHEN 0 THEN chr(10) || '12 de Marzo de 2021 GACETA' WHEN 1 THEN ' Se levanta la sesión' WHEN 2 THEN chr(10) || '- Acta' ELSE '' END"
+_LEAKED_SQL = {
+    "running header in text": ("FAIL", "said", "(?i)" + R.RUNNING_HEADER),
+    "session close in text": ("WARN", "said", "(?i)" + R.SESSION_CLOSE),
+    "dash line in text": ("WARN", "said", R.DASH_START),
+    "trailing verb in speaker": ("FAIL", "who", "(?i)" + R.TRAILING_VERB),
+    "unclean speaker name": ("WARN", "who", r"[\p{Nd}§]|\(cid:"),
+}
+
+
+def _leaking(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The conversations' texts as speeches, three of five with a leak behind them and two with one in the speaker's name."""
+    leak = F.element_at(F.array(*(F.lit(x) for x in _LEAKS)), (F.col("turn") % 5 + 1).cast("int"))
+    who = F.when(F.col("turn") % 5 == 3, "Ana Ruiz, quien manifiesta").when(F.col("turn") % 5 == 4, "Ana codes §Ruiz").otherwise("Ana Ruiz")
+    return table(spark, sf_dir, "conversations").select(F.format_string("conv_%d", "conv_id").alias("file_id"), F.format_string("%d_%03d", "conv_id", "turn").alias("speech_id"), "turn", F.concat(F.coalesce("text", F.lit("")), leak).alias("speech_text"), who.alias("speaker_raw"))
+
+
+_HITS_SQL = " UNION ALL ".join(f"SELECT '{name}' AS name, '{verdict}' AS verdict, file_id, turn, {column} AS x, regexp_extract({column}, '{pattern}') AS m FROM t WHERE regexp_matches({column}, '{pattern}')" for name, (verdict, column, pattern) in _LEAKED_SQL.items())
+_NAMES_SQL = ", ".join(f"('{name}', '{verdict}')" for name, (verdict, _, _) in _LEAKED_SQL.items())
+_SAID_SQL = f"""
+WITH t AS (SELECT 'conv_' || conv_id AS file_id, turn, conv_id, {_LEAK_SQL} AS said, CASE turn % 5 WHEN 3 THEN 'Ana Ruiz, quien manifiesta' WHEN 4 THEN 'Ana codes §Ruiz' ELSE 'Ana Ruiz' END AS who FROM conversations),
+hits AS ({_HITS_SQL}),
+names AS (SELECT * FROM (VALUES {_NAMES_SQL}) n(name, verdict))"""
+
+
+@query(_SAID_SQL + """,
 f AS (SELECT DISTINCT file_id, conv_id FROM t)
 SELECT x || ' absent from ' || y AS "check", 'PASS' AS verdict, '' AS detail FROM (VALUES ('act_number'), ('presiding_officer'), ('legislature')) a(x), (VALUES ('speeches'), ('sessions')) b(y)
 UNION ALL SELECT 'year_id populated', CASE WHEN count(*) FILTER (WHERE conv_id % 4 <> 0) = count(*) THEN 'PASS' ELSE 'FAIL' END, count(*) FILTER (WHERE conv_id % 4 <> 0) || '/' || count(*) FROM f
-UNION ALL SELECT 'running header in text', CASE WHEN a > 0 THEN 'FAIL' ELSE 'PASS' END, a || ' rows' FROM c
-UNION ALL SELECT 'session close in text', CASE WHEN b > 0 THEN 'WARN' ELSE 'PASS' END, b || ' rows' FROM c
-UNION ALL SELECT 'dash line in text', CASE WHEN c > 0 THEN 'WARN' ELSE 'PASS' END, c || ' rows' FROM c
-UNION ALL SELECT 'trailing verb in speaker', CASE WHEN d > 0 THEN 'FAIL' ELSE 'PASS' END, d || ' rows' FROM c
-UNION ALL SELECT 'unclean speaker name', CASE WHEN e > 0 THEN 'WARN' ELSE 'PASS' END, e || ' rows' FROM c
+UNION ALL SELECT name, CASE WHEN count(h.x) > 0 THEN n.verdict ELSE 'PASS' END, count(h.x) || ' rows' FROM names n LEFT JOIN hits h USING (name) GROUP BY name, n.verdict
 UNION ALL SELECT 'speaker_raw without codes', CASE WHEN count(*) FILTER (WHERE turn % 5 = 4) > 0 THEN 'FAIL' ELSE 'PASS' END, CAST(count(*) FILTER (WHERE turn % 5 = 4) AS VARCHAR) FROM t WHERE file_id = 'conv_1'
 UNION ALL SELECT 'count ' || file_id, CASE WHEN count(*) = 0 THEN 'PASS' ELSE 'FAIL' END, CAST(count(*) AS VARCHAR) FROM t WHERE file_id = 'conv_2' GROUP BY file_id
 UNION ALL SELECT 'session_date of ' || file_id, CASE WHEN conv_id % 4 = 0 THEN 'FAIL' ELSE 'PASS' END, CASE WHEN conv_id % 3 = 0 THEN 'null' ELSE '2020-10-2' || conv_id % 3 END FROM f""")
 def check_suite(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The standing checks over turns with every fifth kind of leak, per-file checks, and golden dates of which every fourth is wrong."""
-    rows = table(spark, sf_dir, "conversations")
-    leak = F.element_at(F.array(F.lit("12 de Marzo de 2021 GACETA"), F.lit("Se levanta la sesión"), F.lit("\n- Acta"), F.lit(""), F.lit("")), (F.col("turn") % 5 + 1).cast("int"))
-    who = F.when(F.col("turn") % 5 == 3, "Ana Ruiz, quien manifiesta").when(F.col("turn") % 5 == 4, "Ana codes §Ruiz").otherwise("Ana Ruiz")
-    speeches = rows.select(F.format_string("conv_%d", "conv_id").alias("file_id"), F.format_string("%d_%d", "conv_id", "turn").alias("speech_id"), leak.alias("speech_text"), who.alias("speaker_raw"))
+    rows, speeches = table(spark, sf_dir, "conversations"), _leaking(spark, sf_dir)
     files = rows.select("conv_id", F.format_string("conv_%d", "conv_id").alias("file_id")).distinct()
     day = F.when(F.col("conv_id") % 3 != 0, F.concat(F.lit("2020-10-2"), (F.col("conv_id") % 3).cast("string")))
     sessions = files.select("file_id", day.alias("session_date"), F.when(F.col("conv_id") % 4 != 0, F.concat(F.lit("2020_"), F.col("conv_id").cast("string"))).alias("year_id"))
@@ -634,3 +654,43 @@ def running_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     framed = F.when(F.col("doc_id") % 4 == 0, text).otherwise(F.concat(F.lit("GACETA  DEL CONGRESO "), number, F.lit("\n\n"), text, F.lit("\nPágina "), number, F.lit(" ")))
     pages = docs.select(F.col("source").alias("file_id"), F.col("doc_id").alias("page_num"), framed.alias("text"), F.lit("ok").alias("status"))
     return running.without(pages).select(F.col("page_num").alias("doc_id"), F.col("n_suppressed").cast("long").alias("n_suppressed"), "text")
+
+
+# ---------------------------------------------------------------- reports, totals, stores and late files
+
+
+@query(_SAID_SQL + """,
+files AS (SELECT name, file_id, count(*) AS n, min(turn) AS first_turn FROM hits GROUP BY 1, 2),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY name ORDER BY file_id) AS place, sum(n) OVER (PARTITION BY name) AS n_rows, count(*) OVER (PARTITION BY name) AS n_files FROM files)
+SELECT name AS "check", verdict, CAST(n_rows AS BIGINT) AS n_rows, n_files, place, r.file_id, n, first_turn,
+  CASE WHEN place <= 3 THEN substring(x, greatest(instr(x, m) - 40, 1), least(instr(x, m) - 1, 40) + length(m) + 40) END AS excerpt
+FROM ranked r JOIN hits h USING (name, file_id) WHERE r.first_turn = h.turn AND place <= 5""")
+def leak_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per check the first five files that leak, the first leak of each, and excerpts from three."""
+    found = checks.leak_report(_leaking(spark, sf_dir), checks.standing("speaker_raw"))
+    flat = found.select("check", "verdict", F.col("n").alias("n_rows"), "n_files", F.inline("slices"))
+    return flat.select("check", "verdict", "n_rows", "n_files", F.col("place").cast("long").alias("place"), "file_id", "n", F.element_at(F.split("first_id", "_"), 2).cast("long").alias("first_turn"), "excerpt")
+
+
+@query(SQL["year_ids"])
+def year_ids_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Year ids of orders that come in three batches, out of order and one of them twice: each renumbers its months only, and the ids are those of one run."""
+    orders = table(spark, sf_dir, "orders")
+    store, number = folder(spark, "years"), F.col("o_custkey") * 100_000_000 + F.col("o_orderkey")
+    sessions = orders.select("o_orderkey", F.col("o_orderkey").cast("string").alias("file_id"), F.date_format("o_orderdate", "yyyy-MM-dd").alias("session_date"), F.concat(F.lit("No "), number.cast("string")).alias("gaceta_number"))
+    for part in (2, 0, 1, 0):
+        years.add(sessions.filter(F.col("o_orderkey") % 3 == part), store)
+    return years.numbers(spark, store)
+
+
+@query("""
+WITH f AS (SELECT DISTINCT source AS file_id, CAST(doc_id AS VARCHAR) AS speech_id, CASE WHEN n_chars < 500 THEN 'short' ELSE 'long' END AS failure_type, doc_id % 3 AS batch_id FROM documents)
+SELECT file_id, speech_id, failure_type, CAST(min(b) AS INTEGER) AS batch_id FROM (SELECT *, batch_id AS b FROM f UNION ALL SELECT file_id, speech_id, failure_type, batch_id, batch_id + 1 FROM f WHERE batch_id < 2) GROUP BY 1, 2, 3""")
+def flag_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Flags of documents in three batches, each with those of the batch before once more, the last batch twice: every key once, from the batch that had it first."""
+    docs = table(spark, sf_dir, "documents")
+    found = docs.select(F.col("source").alias("file_id"), F.col("doc_id").cast("string").alias("speech_id"), F.when(F.col("n_chars") < 500, "short").otherwise("long").alias("failure_type"), "doc_id", F.left("text", F.lit(500)).alias("original_excerpt"))
+    store = folder(spark, "flags")
+    for number in (0, 1, 2, 2):
+        flag_store.upsert(found.filter((F.col("doc_id") % 3).isin(number, number - 1)), store, number, buckets=8)
+    return flag_store.flags(spark, store).select("file_id", "speech_id", "failure_type", "batch_id")

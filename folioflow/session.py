@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame, SparkSession
 _SHIPPED: set[str] = set()
 #: On a folder of plain files (file://), each file that Hadoop writes costs a process that changes its mode, and a second one for a file of checksums. Nobody reads
 #: these, nor the mark of success. Other stores do not know the first two settings.
-_PLAIN_FILES = {"fs.file.impl": "org.apache.hadoop.fs.RawLocalFileSystem", "fs.file.impl.disable.cache": "true", "mapreduce.fileoutputcommitter.marksuccessfuljobs": "false"}
+PLAIN_FILES = {"fs.file.impl": "org.apache.hadoop.fs.RawLocalFileSystem", "fs.file.impl.disable.cache": "true", "mapreduce.fileoutputcommitter.marksuccessfuljobs": "false"}
 
 
 class Scope:
@@ -116,11 +116,17 @@ def shared_root(spark: SparkSession) -> str:
     return sc.getCheckpointDir()
 
 
+def folder(spark: SparkSession, name: str) -> str:
+    """A new folder below the shared one, for a store of several tables. It goes with its scope, or when the driver ends."""
+    path = f"{shared_root(spark)}/folioflow/{name}-{uuid.uuid4().hex}"
+    _SCOPE.get().tables.append((spark, path))
+    return path
+
+
 def write_table(df: DataFrame, name: str) -> str:
     """Writes df as Parquet under the shared folder and returns its path. It goes with its scope, or when the driver ends."""
-    path = f"{shared_root(df.sparkSession)}/folioflow/{name}-{uuid.uuid4().hex}"
-    df.write.options(**_PLAIN_FILES).parquet(path)
-    _SCOPE.get().tables.append((df.sparkSession, path))
+    path = folder(df.sparkSession, name)
+    df.write.options(**PLAIN_FILES).parquet(path)
     return path
 
 

@@ -10,11 +10,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from folioflow.operators import layout, qa
+from folioflow.operators import layout, years
 from folioflow.operators import schemas as S
 from folioflow.plans import corpus
 from folioflow.session import passing
-from folioflow.sources import readers, sinks
+from folioflow.sources import flag_store, readers, sinks
+from folioflow.streaming import progress
 
 FILES = 50
 
@@ -28,25 +29,37 @@ def pages_stream(spark: SparkSession, folder: str, files: int = FILES, kind: str
     return pages.select(readers.stem("_metadata.file_name").alias("file_id"), *S.columns(readers.PAGE_JSON))
 
 
-def write_batch(batch: DataFrame, number: int, root: str, session_ids: DataFrame | None = None) -> None:
-    """Writes a batch's tables as its own partitions. Flags that another batch has are not written again. Without session_ids, files are numbered as they come."""
+def write_batch(batch: DataFrame, number: int, root: str, session_ids: DataFrame | None = None, by_year: bool = False) -> dict[str, int]:
+    """Writes a batch's tables as its own partitions; its counts, which are taken as its log is written, and kept.
+
+    Flags that another batch has are not written again: `flag_store` reads what may hold one of their keys. Without session_ids, files are numbered as they come. by_year also
+    takes the sessions into the index of year ids.
+    """
+    spark = batch.sparkSession
     with passing():
         names = session_ids if session_ids is not None else sinks.session_numbers(batch, f"{root}/session_ids")
         made = corpus.build(batch, strict_skip=False, session_ids=names)
-        known = sinks.existing(batch.sparkSession, f"{root}/flagged", S.FLAGS + ", batch_id int").filter(F.col("batch_id") != number)
         scanned = sinks.shaped(layout.scanned_pages(batch), S.SCANNED)
-        tables = {"speeches": made.speeches, "sessions": made.sessions, "flagged": qa.new_flags(made.flags, known), "log": made.log, "scanned_pages": scanned}
+        log, seen = progress.observed(made.log)
+        tables = {"speeches": made.speeches, "sessions": made.sessions, "log": log, "scanned_pages": scanned}
         for name, df in tables.items():
             df.withColumn("batch_id", F.lit(number)).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("batch_id").parquet(f"{root}/{name}")
+        flag_store.upsert(made.flags, f"{root}/flagged", number)
+        if by_year:
+            years.add(made.sessions, f"{root}/years")
+        progress.keep(spark, seen.get, number, root)
+    return seen.get
 
 
-def run(spark: SparkSession, folder: str, root: str, checkpoint: str, files: int = FILES, session_ids: DataFrame | None = None, kind: str = "parquet") -> StreamingQuery:
+def run(spark: SparkSession, folder: str, root: str, checkpoint: str, files: int = FILES, session_ids: DataFrame | None = None, kind: str = "parquet", by_year: bool = False, listener: progress.Progress | None = None) -> StreamingQuery:
     """Processes all page files that are there and not yet done, then ends."""
 
     def batch(df: DataFrame, number: int) -> None:
         df.persist()
         try:
-            write_batch(df, number, root, session_ids)
+            seen = write_batch(df, number, root, session_ids, by_year)
+            if listener is not None:
+                listener.count(number, seen)
         finally:
             df.unpersist()
 
