@@ -1,6 +1,8 @@
 """Files whose pages come in several batches: pages wait in keyed state until their file is whole.
 
-Needs `spark.sql.streaming.stateStore.providerClass` set to Spark's RocksDB provider (`PROVIDER`).
+Needs the session settings of `SETTINGS` before the stream starts: a state store that keeps several kinds of state, and, for a run that ends when its files are done
+(availableNow), no batches without data: with timers Spark would go on with these for ever. Timers are then looked at when pages come; a stream that
+stays up can leave the second setting as it is.
 """
 
 from __future__ import annotations
@@ -14,7 +16,10 @@ from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 from folioflow.operators import schemas as S
 
-PROVIDER = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+SETTINGS = {
+    "spark.sql.streaming.stateStore.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    "spark.sql.streaming.noDataMicroBatches.enabled": "false",
+}
 #: A file that lacks pages is given out after this time without a new one.
 WAIT_MS = 3_600_000
 #: So long pages of a file that was given out are known, and passed over.
