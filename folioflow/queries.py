@@ -17,7 +17,7 @@ from folioflow.functions.text import decode_glyphs, drop, hyphen_join, ordered_j
 from folioflow.operators import chairs, checks, header, ids, layout, preamble, qa, running, segment, versions, years
 from folioflow.plans import corpus
 from folioflow.session import folder
-from folioflow.sources import flag_store
+from folioflow.sources import enrich, flag_store
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -694,3 +694,21 @@ def flag_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
     for number in (0, 1, 2, 2):
         flag_store.upsert(found.filter((F.col("doc_id") % 3).isin(number, number - 1)), store, number, buckets=8)
     return flag_store.flags(spark, store).select("file_id", "speech_id", "failure_type", "batch_id")
+
+
+def _measures(prompt: str) -> str:
+    """A stand-in for the header service: it answers with the prompt's length."""
+    return f'{{"gaceta_number": "{len(prompt)}"}}'
+
+
+@query("""
+SELECT conv_id, turn, CAST(length(left(coalesce(text, ''), 4000)) AS VARCHAR) AS gaceta_number, 'llm' AS extraction_status FROM conversations""")
+def header_answers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every text asked for through the answer store, user turns first and then all: equal texts share an answer, and the second time only the others are asked for."""
+    rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", F.format_string("%d_%d", "conv_id", "turn").alias("file_id"), F.col("text").alias("preamble_text"))
+    store = folder(spark, "answers")
+    enrich.ask_once(rows.filter("role = 'user'"), _measures, store)
+    answers = enrich.ask_once(rows, _measures, store)
+    found = header.with_service(rows, answers)
+    part = lambda i: F.element_at(F.split("file_id", "_"), i).cast("long")
+    return found.select(part(1).alias("conv_id"), part(2).alias("turn"), "gaceta_number", "extraction_status")
