@@ -15,7 +15,8 @@ Method
   decides speed only; any order gives the same links. Passages that thousands of texts share thus leave
   the index without being lost. Signatures of empty parts are left out; a set with no more than e others emits them too.
 * Texts with equal sets are one node, named by a 64-bit hash of the set.
-* Signatures travel packed in binary blocks, in as many buckets as their number asks for; those that very many texts of the sample
+* Signatures travel packed in binary blocks, in as many buckets as their number asks for (by rounds of at most `FAN` buckets from each, so that
+  blocks stay large and what a flush costs does not grow with the corpus); those that very many texts of the sample
   have travel as rows, so that none fills a bucket. Nodes that share a signature form a group.
 * A sketch has a bit for each of 2048 or more parts of the domain: the parity of its shingles there. The bits in which two sketches differ
   are never more than the shingles in which the sets differ, so what it rules out is no link.
@@ -35,11 +36,13 @@ empty result. Hash equality (64 bits) stands for equality of words and shingles.
 from __future__ import annotations
 
 import functools
+import math
 from collections.abc import Iterator
 from functools import reduce
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -53,6 +56,8 @@ HOT_LIMIT = 1 << 19
 #: Texts of the sample from which a signature travels as rows; signatures in a bucket.
 HEAVY = 256
 BUCKET_SIGS = 1 << 20
+#: Blocks into which the signatures of one flush are cut; more buckets are reached in further rounds. Signatures in a task of such a round.
+FAN, SPLIT_SIGS = 4096, 1 << 23
 #: Second-level parts of a partition, shingles of a full set in one, and the least number of partitions.
 SECOND, FILL, LEAST_PARTS = 3, 5.5, 6
 SKETCH_BITS = 2048
@@ -66,6 +71,7 @@ BLOCK, TASK_ROWS, FIRST, MORE, SALT_ROWS = 1024, 16_384, 4, 16, 512
 #: Verified pairs in a task.
 VERIFIED_ROWS = 1_000
 EDGES = 1_000_000
+MOST_TASKS = 100_000
 FLUSH = 1 << 19
 _KEY_BITS = np.uint64(32)
 
@@ -211,38 +217,96 @@ def hot_signatures(sets: DataFrame, limit: int = HOT_LIMIT) -> tuple[np.ndarray,
     return keys[by], n[by]
 
 
-def pack(nodes: np.ndarray, sizes: np.ndarray, owner: np.ndarray, sigs: np.ndarray, buckets: int) -> tuple[list[int], list[bytes]]:
-    """Blocks by bucket: the nodes with a signature there, their sizes and numbers of signatures, and 32 bits of each signature. The bucket stands for further ones."""
-    bucket = ((sigs >> _KEY_BITS) % np.uint64(buckets)).astype(np.int64)
+def fans(buckets: int) -> list[int]:
+    """Fan-outs of the rounds that reach so many buckets (or some more): equal ones, none above FAN."""
+    most = FAN
+    rounds = 1
+    while most**rounds < buckets:
+        rounds += 1
+    if rounds == 1:
+        return [buckets]
+    fan = next(f for f in range(2, most + 1) if f**rounds >= buckets)
+    return [fan] * rounds
+
+
+def pack(nodes: np.ndarray, sizes: np.ndarray, owner: np.ndarray, sigs: np.ndarray, buckets: int, fine: int = 1) -> tuple[list[int], list[bytes]]:
+    """Blocks by bucket: the nodes with a signature there, their sizes and numbers of signatures, and 32 bits of each signature. The bucket stands for further ones.
+
+    With fine, that many neighbouring buckets are one here, and signatures stay whole for the rounds that follow.
+    """
+    if not len(sigs):
+        return [], []
+    bucket = ((sigs >> _KEY_BITS) % np.uint64(buckets) // np.uint64(fine)).astype(np.int64)
     by = np.argsort(bucket, kind="stable")
-    bucket, owner, key = bucket[by], owner[by], sigs[by].astype(np.uint32)
-    edges = np.searchsorted(bucket, np.arange(buckets + 1))
-    out_b, out = [], []
-    for b in range(buckets):
-        lo, hi = edges[b], edges[b + 1]
-        if hi > lo:
-            new = np.flatnonzero(np.concatenate([[True], owner[lo + 1 : hi] != owner[lo : hi - 1]]))
-            mine = owner[lo:hi][new]
-            counts = np.diff(np.append(new, hi - lo)).astype(np.uint32)
-            part = key[lo:hi]
-            head = np.array([len(mine), hi - lo], np.uint32)
-            out_b.append(b)
-            out.append(b"".join((head.tobytes(), nodes[mine].tobytes(), sizes[mine].astype(np.uint32).tobytes(), counts.tobytes(), part.tobytes())))
-    return out_b, out
+    bucket, owner, key = bucket[by], owner[by], sigs[by] if fine > 1 else sigs[by].astype(np.uint32)
+    edges = np.flatnonzero(np.concatenate([[True], bucket[1:] != bucket[:-1], [True]]))
+    out = []
+    for lo, hi in zip(edges[:-1], edges[1:], strict=True):
+        new = np.flatnonzero(np.concatenate([[True], owner[lo + 1 : hi] != owner[lo : hi - 1]]))
+        mine = owner[lo:hi][new]
+        counts = np.diff(np.append(new, hi - lo)).astype(np.uint32)
+        head = np.array([len(mine), hi - lo], np.uint32)
+        out.append(b"".join((head.tobytes(), nodes[mine].tobytes(), sizes[mine].astype(np.uint32).tobytes(), counts.tobytes(), key[lo:hi].tobytes())))
+    return bucket[edges[:-1]].tolist(), out
 
 
-def unpack(block: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Node, its size and signature key, by signature."""
+def _parts(block: bytes, whole: bool) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Nodes, their sizes and numbers of signatures, and the signatures (or 32 bits of them) of a block."""
     n, s = np.frombuffer(block, np.uint32, 2)
     at = 8
     nodes = np.frombuffer(block, np.int64, n, at)
     sizes = np.frombuffer(block, np.uint32, n, at := at + 8 * int(n))
     counts = np.frombuffer(block, np.uint32, n, at := at + 4 * int(n))
-    return np.repeat(nodes, counts), np.repeat(sizes, counts), np.frombuffer(block, np.uint32, s, at + 4 * int(n))
+    return nodes, sizes, counts, np.frombuffer(block, np.uint64 if whole else np.uint32, s, at + 4 * int(n))
+
+
+def unpack(block: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Node, its size and signature key, by signature."""
+    nodes, sizes, counts, keys = _parts(block, False)
+    return np.repeat(nodes, counts), np.repeat(sizes, counts), keys
+
+
+def finer(blocks: DataFrame, buckets: int, before: int, fine: int) -> DataFrame:
+    """Blocks of whole signatures, each of `before` neighbouring buckets, as blocks of `fine` ones.
+
+    A block of a round is a row of one bucket, which goes to as many tasks as its signatures ask for; a task cuts what it has read of them, a bounded number at a time.
+    """
+    names = blocks.columns
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]] = []
+        waiting = 0
+
+        def flush() -> Iterator[pa.RecordBatch]:
+            nodes, sizes, counts, sigs = (np.concatenate(x) for x in zip(*held, strict=True))
+            b, made = pack(nodes, sizes, np.repeat(np.arange(len(nodes)), counts), sigs, buckets, fine)
+            none = pa.nulls(len(b), pa.int64())
+            yield pa.record_batch([pa.array(b, pa.int32()), pa.array(made, pa.binary()), none, none, none], names)
+
+        for batch in batches:
+            heavy = batch.filter(pc.is_null(batch.column("block")))
+            if heavy.num_rows:
+                yield heavy
+            for block in batch.column("block").drop_null().to_pylist():
+                held.append(_parts(block, True))
+                waiting += len(held[-1][3])
+                if waiting > FLUSH:
+                    yield from flush()
+                    held, waiting = [], 0
+        if held:
+            yield from flush()
+
+    salts = max(1, before * BUCKET_SIGS // SPLIT_SIGS)
+    tasks = min(-(-buckets // before) * salts, MOST_TASKS)
+    salt = F.pmod(F.xxhash64("block", "node"), F.lit(salts))
+    return blocks.repartition(tasks, "bucket", salt).mapInArrow(K.tidy(run), blocks.schema)
 
 
 def signed(docs: DataFrame, k: int, p: int, q: int, hot: tuple[np.ndarray, np.ndarray], buckets: int) -> DataFrame:
     """Signatures of all nodes, each node once for each task that meets it: packed (bucket, block), heavy ones as rows (gid, node, n) of negative buckets."""
+    rounds = fans(buckets)
+    buckets = math.prod(rounds)
+    fine = buckets // rounds[0]
     shared = broadcast(docs.sparkSession, hot)
     names = ["bucket", "block", "gid", "node", "n"]
 
@@ -261,7 +325,7 @@ def signed(docs: DataFrame, k: int, p: int, q: int, hot: tuple[np.ndarray, np.nd
             at = owner[rows]
             if len(at):
                 yield pa.record_batch([pa.array((-1 - of[at] % buckets).astype(np.int32)), pa.nulls(len(at), pa.binary()), pa.array(every[rows].view(np.int64)), pa.array(of[at]), pa.array(n[at])], names)
-            b, blocks = pack(of, n, owner[~rows], every[~rows], buckets)
+            b, blocks = pack(of, n, owner[~rows], every[~rows], buckets, fine)
             none = pa.nulls(len(b), pa.int64())
             yield pa.record_batch([pa.array(b, pa.int32()), pa.array(blocks, pa.binary()), none, none, none], names)
 
@@ -281,7 +345,10 @@ def signed(docs: DataFrame, k: int, p: int, q: int, hot: tuple[np.ndarray, np.nd
         if sigs:
             yield from flush()
 
-    return docs.select("text").mapInArrow(K.tidy(run), "bucket int, block binary, gid long, node long, n long")
+    out = docs.select("text").mapInArrow(K.tidy(run), "bucket int, block binary, gid long, node long, n long")
+    for fan in rounds[1:]:
+        out, fine = finer(out, buckets, fine, fine // fan), fine // fan
+    return out
 
 
 def groups(blocks: DataFrame) -> DataFrame:
