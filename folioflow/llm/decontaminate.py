@@ -42,15 +42,16 @@ SEPARATORS = K.byte_set((0x00, 0x2F), (0x3A, 0x60), (0x7B, 0x7F))
 
 
 class Automaton:
-    """Generalised suffix automaton over word numbers."""
+    """Generalised suffix automaton over word numbers. An id has one word sequence, or a list of them."""
 
-    def __init__(self, items: dict[str, np.ndarray], window: int = WINDOW):
+    def __init__(self, items: dict[str, np.ndarray | list[np.ndarray]], window: int = WINDOW):
         self.window = window
-        self.ids = sorted(items)
-        self.vocabulary = np.unique(np.concatenate([*items.values(), np.zeros(0, np.uint64)]))
+        rows = [(i, words) for i in sorted(items) for words in (items[i] if isinstance(items[i], list) else [items[i]])]
+        self.ids = [i for i, _ in rows]
+        self.vocabulary = np.unique(np.concatenate([*(words for _, words in rows), np.zeros(0, np.uint64)]))
         self.next: list[dict[int, int]] = [{}]
         self.link, self.length = [-1], [0]
-        sequences = [np.searchsorted(self.vocabulary, items[x]).tolist() for x in self.ids]
+        sequences = [np.searchsorted(self.vocabulary, words).tolist() for _, words in rows]
         for words in sequences:
             last = 0
             for w in words:
@@ -161,7 +162,8 @@ class Automaton:
 def item_blocks(benchmark: DataFrame, window: int = WINDOW, block_words: int = BLOCK_WORDS) -> Iterator[Automaton]:
     """Automata of the items, each of bounded size (or of one single item)."""
     rows = benchmark.filter("item_id is not null and text is not null").select(F.col("item_id").cast("string").alias("i"), "text")
-    block: dict[str, np.ndarray] = {}
+    block: dict[str, list[np.ndarray]] = {}
+    known: set[tuple[str, int]] = set()
     size = 0
     for row in rows.toLocalIterator():
         for chunk in K.chunks(pa.array([row["text"]])):
@@ -170,14 +172,12 @@ def item_blocks(benchmark: DataFrame, window: int = WINDOW, block_words: int = B
             continue
         if size + len(hashes) > block_words and block:
             yield Automaton(block, window)
-            block, size = {}, 0
-        while (key := row["i"]) in block:  # items that share an id
-            if np.array_equal(block[key], hashes):
-                break
-            yield Automaton(block, window)
-            block, size = {}, 0
-        block[key] = hashes
-        size += len(hashes)
+            block, known, size = {}, set(), 0
+        same = (row["i"], int(K.whole_hash(hashes)))
+        if same not in known:
+            known.add(same)
+            block.setdefault(row["i"], []).append(hashes)
+            size += len(hashes)
     if block:
         yield Automaton(block, window)
 

@@ -397,6 +397,18 @@ def test_automaton_on_random_words():
         assert hit == plain and {a.ids[i] for i in found} == want
 
 
+def test_items_that_share_an_id_share_an_automaton(spark):
+    rng = random.Random(53)
+    items = [(1 + i % 2, " ".join(f"w{rng.randrange(30)}" for _ in range(rng.randrange(1, 25)))) for i in range(80)]
+    items += items[:10]
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    assert len(list(decontaminate.item_blocks(bench))) == 1
+    df = spark.createDataFrame([(i, " ".join(f"w{rng.randrange(30)}" for _ in range(40)) + " " + (items[i % 80][1] if i % 3 else "")) for i in range(60)], "doc_id long, text string")
+    for block in (10**6, 60):
+        for r in decontaminate.scan(df, bench, block_words=block).collect():
+            assert (r["n_words"], r["n_hit"], r["items"]) == brute.contamination(r["text"], items)
+
+
 def test_clean_cuts_and_drops(spark, empty):
     item = "alpha beta gamma delta epsilon zeta eta theta iota kappa lambda"
     rows = [(1, "Before. " + item + " and much more text follows here to keep it, word by word by word by word.", "en", "s", 1), (2, item, "en", "s", 1), (3, "clean", None, None, 7), (4, None, None, None, None)]
@@ -538,6 +550,43 @@ def test_near_components_at_the_threshold(spark):
     assert sorted(map(tuple, got)) == sorted(brute.components(rows))
 
 
+def test_what_a_flush_costs_does_not_grow_with_the_buckets():
+    """Some 33 million buckets (about 100 TB of text) still make at most FAN blocks of a flush, and the rounds place every signature in its bucket."""
+    rng = np.random.default_rng(47)
+    nodes, sizes = rng.integers(-(2**63), 2**63 - 1, 500), rng.integers(3, 99, 500)
+    owner = np.repeat(np.arange(500), 100)
+    sigs = rng.integers(0, 2**63 - 1, 50_000).astype(np.uint64) * np.uint64(2)
+    for buckets in (1, 64, 4096, 4097, 300_000, 1 << 25):
+        rounds = ngram_join.fans(buckets)
+        every = int(np.prod(rounds))
+        assert max(rounds) <= ngram_join.FAN and buckets <= every and (buckets > 4096 or every == buckets)
+        b, blocks = ngram_join.pack(nodes, sizes, owner, sigs, every, every // rounds[0])
+        assert len(blocks) <= rounds[0] and len(set(b)) == len(b)
+        whole = every > rounds[0]
+        got = set()
+        for bucket, block in zip(b, blocks, strict=True):
+            of, n, counts, keys = ngram_join._parts(block, whole)
+            got |= set(zip(np.repeat(of, counts).tolist(), np.repeat(n, counts).tolist(), keys.tolist(), strict=True))
+            if whole:
+                assert ((keys >> np.uint64(32)) % np.uint64(every) // np.uint64(every // rounds[0]) == bucket).all()
+        low = sigs if whole else sigs.astype(np.uint32)
+        assert got == set(zip(nodes[owner].tolist(), sizes[owner].tolist(), low.tolist(), strict=True))
+    assert ngram_join.pack(nodes, sizes, owner[:0], sigs[:0], 64) == ([], [])
+
+
+def test_near_components_by_several_rounds_of_buckets(spark, monkeypatch):
+    """Buckets of 512 signatures, reached by rounds of at most 12: the links of one round."""
+    df = spark.createDataFrame(spark.read.parquet(f"{SF}/documents.parquet").orderBy("doc_id").limit(300).select("doc_id", "text").collect())
+    want = sorted(map(tuple, ngram_join.near_components(df).select("doc_id", "n_shingles", "component_id").collect()), key=key)
+    for name, value in {"BUCKET_SIGS": 1 << 9, "FAN": 12, "FLUSH": 2000, "SPLIT_SIGS": 1 << 10, "HEAVY": 3, "MOST_TASKS": 16}.items():
+        monkeypatch.setattr(ngram_join, name, value)
+    seen = []
+    finer = ngram_join.finer
+    monkeypatch.setattr(ngram_join, "finer", lambda *args: seen.append(args[1:]) or finer(*args))
+    got = ngram_join.near_components(df).select("doc_id", "n_shingles", "component_id").collect()
+    assert sorted(map(tuple, got), key=key) == want == sorted(brute.components(pairs(df)), key=key) and len(seen) >= 1
+
+
 def test_a_large_group_of_near_copies_gives_out_few_rows(spark, monkeypatch):
     """5,000 near copies of one text, many of their pairs at the threshold: links as by whole sets, and no more than a constant of rows for each row read."""
     rng = np.random.default_rng(41)
