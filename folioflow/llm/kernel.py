@@ -135,8 +135,16 @@ def prefix_hash(data: np.ndarray) -> np.ndarray:
 
 def span_hash(prefix: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
     """64-bit hashes of byte spans, equal for equal bytes wherever they stand."""
-    down = _power_table("down", BASE_INVERSE, len(prefix))
-    return mix((prefix[ends] - prefix[starts]) * down[starts])
+    return mix(span_sum(prefix, starts, ends))
+
+
+def span_sum(prefix: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """What `span_hash` mixes. Of two spans written as one it is the first one's, and the second one's times `powers` of the first one's length."""
+    return (prefix[ends] - prefix[starts]) * _power_table("down", BASE_INVERSE, len(prefix))[starts]
+
+
+def powers(lengths: np.ndarray) -> np.ndarray:
+    return _power_table("up", BASE, int(lengths.max(initial=0)) + 1)[lengths]
 
 
 def words(chunk: Chunk, separators: np.ndarray = WHITE, lower: bool = True) -> tuple[np.ndarray, np.ndarray]:

@@ -3,10 +3,13 @@
 Method
 ------
 1. A character trigram model is counted over all training texts (28 symbols: a-z, other, edge).
-2. Words of any length that look disguised (ASCII signs or digits between letters, a letter three times or several doubled letters) and rows of
+2. Words of any length that look disguised (letters with signs or digits, at most two for each letter unless all of them resemble letters;
+   resembling signs alone, with no more digits than signs; a letter three times or several doubled letters) and rows of
    letters that stand alone become lattices: each character stands for itself, for letters that it resembles, for
    nothing (signs and digits), or repeats the last letter; a fourth and further equal character in a row says no more than three. A Viterbi search under
-   channel costs and the character model restores the word. In a restored row, every stretch of `WITHIN` letters may be a word.
+   channel costs and the character model restores the word (scores also take its best reading in which no resembling sign is left out). A restored row is cut into words of any length by a second search, for the most
+   probable places of blanks under the same model; besides, every stretch of `WITHIN` letters of it may be a word.
+   Two or three neighbours that together are a weighed word (`st upid`) count as that word; this is for scores only, no weight is learned from it.
 3. Words and word beginnings (4 to 7 bytes) of the restored texts are weighed by the log odds of the documents that have them, from the labelled training
    texts of three of the four training folds; the fourth calibrates a logistic score on the strongest, the sum and the number of weights in
    a text. Candidates are those that `LEAST` toxic texts have; up to `CANDIDATES` of them are sent to the clean texts, more are joined, with the same counts. Only those
@@ -20,6 +23,7 @@ all scores are 0. Other columns are ignored.
 
 from __future__ import annotations
 
+import itertools
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass, field
@@ -49,6 +53,8 @@ COST_RESEMBLES, COST_NOTHING, COST_LOST, COST_REPEAT, COST_SIGN = 1.0, 1.0, 6.0,
 
 _RUN = re.compile(r"(.)\1{3,}", re.S)
 _LETTERS = K.byte_set((0x61, 0x7A))
+_DIGITS = K.byte_set((0x30, 0x39))
+_RESEMBLING = np.isin(np.arange(256), [ord(c) for c in RESEMBLES if ord(c) < 128])
 _CORE = K.byte_set((0x30, 0x39), (0x40, 0x40), (0x61, 0x7A), (0x80, 0xFF))
 _SYMBOL = np.full(256, 26)
 _SYMBOL[0x61:0x7B] = np.arange(26)
@@ -86,6 +92,7 @@ class Decoder:
         p3 = (counts + 5 * p2) / (counts.sum(axis=2, keepdims=True) + 5)
         self.log = np.log(p3).tolist()
         self.known: dict[str, str] = {}
+        self.full: dict[str, str] = {}
 
     @staticmethod
     def symbol(c: str) -> int:
@@ -102,7 +109,22 @@ class Decoder:
                 self.known[word] = found
         return found
 
-    def _search(self, word: str) -> str:
+    def readings(self, word: str) -> list[str]:
+        """The most probable word, and where a sign may repeat the letter before it or be one more (`a$$`) also the most probable in which every such sign is a letter."""
+        best = self(word)
+        if all(b not in RESEMBLES or a != b and a not in RESEMBLES[b] for a, b in itertools.pairwise(word)):
+            return [best]
+        word = _RUN.sub(r"\1\1\1", word)
+        found = self.full.get(word)
+        if found is None:
+            found = self._search(word, True)
+            if len(self.full) > 100_000:
+                self.full.clear()
+            if len(word) <= REMEMBERED:
+                self.full[word] = found
+        return [best] if found == best else [best, found]
+
+    def _search(self, word: str, full: bool = False) -> str:
         # By the last two symbols: log probability, last letter, and the word so far as a linked list.
         states: dict[tuple[int, int], tuple[float, str, tuple | None]] = {(27, 27): (0.0, "", None)}
         for c in word:
@@ -115,6 +137,8 @@ class Decoder:
                     q = p - cost + self.log[a][b][s]
                     if (b, s) not in after or after[b, s][0] < q:
                         after[b, s] = (q, x, (x, path))
+                if full and c in RESEMBLES:
+                    continue
                 skip = COST_REPEAT if c == last or last in RESEMBLES.get(c, "") and last else None if letter else COST_LOST if c in RESEMBLES else COST_NOTHING
                 if skip is not None:
                     q = p - skip
@@ -129,6 +153,29 @@ class Decoder:
         return "".join(reversed(out))
 
 
+    def parted(self, row: str) -> list[str]:
+        """A row of letters without blanks as words: the most probable places of blanks under the character model. Two states a letter: before it stands a blank, or the letter before it."""
+        # State: log probability, the symbol before the last one, and the starts of words as a linked list.
+        blank = 27
+        last, states = blank, [(0.0, blank, None)]
+        for i, c in enumerate(row):
+            s = self.symbol(c)
+            on = max(((p + self.log[a][last][s], last, starts) for p, a, starts in states), key=lambda x: x[0])
+            if i:
+                p, a, starts = max(((p + self.log[a][last][blank], a, starts) for p, a, starts in states), key=lambda x: x[0])
+                states = [on, (p + self.log[last][blank][s], blank, (i, starts))]
+            else:
+                states = [on]
+            last = s
+        _, _, starts = max(states, key=lambda x: x[0] + self.log[x[1]][last][blank])
+        edges = [len(row)]
+        while starts:
+            edges.append(starts[0])
+            starts = starts[1]
+        edges.append(0)
+        return [row[a:b] for a, b in zip(reversed(edges[1:]), reversed(edges[:-1]), strict=True) if b > a]
+
+
 @dataclass
 class Words:
     """Types of a chunk's words without their edges, which of them look disguised, and joined rows of lone letters."""
@@ -177,7 +224,11 @@ def read_words(chunk: K.Chunk) -> tuple[Words, np.ndarray, np.ndarray, np.ndarra
     n_letters = letters[te] - letters[ts]
     signs = size - n_letters
     inside = lambda total, less: total[np.maximum(te - less, ts)] - total[ts]
-    odd = (size >= 3) & (n_letters >= 2) & ((signs > 0) & (signs <= n_letters * 2) | (inside(tripled, 2) > 0) | (inside(doubled, 1) > 2))
+    alike, digits = upto(_RESEMBLING[data]), upto(_DIGITS[data])
+    alike, digits = alike[te] - alike[ts], digits[te] - digits[ts]
+    signed = (n_letters >= 1) & (signs > 0) & ((signs <= n_letters * 2) | (alike == signs))
+    only_signs = (n_letters == 0) & (alike == size) & (digits * 2 <= size)
+    odd = (size >= 3) & (signed | only_signs | (n_letters >= 2) & ((inside(tripled, 2) > 0) | (inside(doubled, 1) > 2)))
 
     found = Words(first=first, back=back, features=_features(data, prefix, ts, te), odd=np.flatnonzero(odd))
     raw = data.tobytes()
@@ -200,24 +251,49 @@ def _of_strings(words: list[str]) -> np.ndarray:
     return _features(data, K.prefix_hash(data), ends - np.array([len(w) for w in raw], np.int64), ends)
 
 
+def _joined(first: np.ndarray, s: np.ndarray, e: np.ndarray, data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(document, hash) of any two and three neighbouring words of a document written as one, but for lone letters only, which are rows."""
+    size = e - s
+    owner, hashes, alone = K.of_doc(first), K.span_sum(K.prefix_hash(data), s, e), size == 1
+    docs, out = [np.zeros(0, np.int64)], [np.zeros(0, np.uint64)]
+    last, length, only = hashes, size, alone
+    for n in (2, 3):
+        # What ends at a word and begins n - 1 words before it: the word before, then the n - 1 words.
+        last, only = hashes[: len(last) - 1] + last[1:] * K.powers(size[: len(last) - 1]), alone[: len(only) - 1] & only[1:]
+        length = np.minimum(size[: len(length) - 1], length[1:])
+        good = np.flatnonzero((owner[: len(last)] == owner[n - 1 :]) & (length > 0) & ~only) if len(last) else np.zeros(0, np.int64)
+        docs.append(owner[good])
+        out.append(K.mix(last[good]))
+    return np.concatenate(docs), np.concatenate(out)
+
+
 def doc_features(chunk: K.Chunk, decode: Decoder) -> tuple[np.ndarray, np.ndarray]:
     """(document, rows of feature hashes) of all words, restored ones besides as they stand."""
-    found, *_ = read_words(chunk)
+    return _word_features(read_words(chunk)[0], decode)
+
+
+def _word_features(found: Words, decode: Decoder) -> tuple[np.ndarray, np.ndarray]:
     docs = [K.of_doc(found.first)]
     rows = [found.features[found.back]] if len(found.back) else [np.zeros((0, 1 + len(PREFIXES)), np.uint64)]
     if len(found.odd):
-        restored = _of_strings([decode(w) for w in found.text])
+        readings = [decode.readings(w) for w in found.text]
+        restored, number = _of_strings([x for words in readings for x in words]), np.array([len(words) for words in readings])
         at = np.full(len(found.features), -1)
-        at[found.odd] = np.arange(len(found.odd))
+        at[found.odd] = np.cumsum(number) - number
         mine = at[found.back]
-        docs.append(docs[0][mine >= 0])
-        rows.append(restored[mine[mine >= 0]])
+        where = np.flatnonzero(mine >= 0)
+        times = np.zeros(len(found.features), np.int64)
+        times[found.odd] = number
+        times = times[found.back[where]]
+        docs.append(np.repeat(docs[0][where], times))
+        rows.append(restored[np.repeat(mine[where] - np.cumsum(times) + times, times) + np.arange(times.sum())])
     for d, w, _, _ in found.spelled:
         row = decode(w)
         inside = _of_strings(sorted({row[i : i + n] for n in WITHIN for i in range(len(row) - n + 1)}))
         inside[:, 1:] = 0
-        docs.append(np.full(len(inside) + 1, d))
-        rows += [inside, _of_strings([row])]
+        words = [row, *(w for w in decode.parted(row) if w != row and len(w) not in WITHIN)]
+        docs.append(np.full(len(inside) + len(words), d))
+        rows += [inside, _of_strings(words)]
     return np.concatenate(docs), np.concatenate(rows)
 
 
@@ -255,14 +331,17 @@ class Model:
 
     def summary(self, chunk: K.Chunk) -> np.ndarray:
         """Strongest weight, damped sum and number of weighed words, by document."""
-        doc, rows = doc_features(chunk, self.decode)
+        found, s, e, data = read_words(chunk)
+        doc, rows = _word_features(found, self.decode)
         out = np.zeros((chunk.docs, 3))
         if not len(self.features) or not len(doc):
             return out
         at, hit = K.find(self.features, rows.ravel())
         weight = np.where(hit, self.weights[at], 0.0).reshape(rows.shape).max(axis=1)
         strong = np.flatnonzero(weight > 0)
-        d, w = doc[strong], weight[strong]
+        joined, hashes = _joined(found.first, s, e, data)
+        at, hit = K.find(self.features, hashes)
+        d, w = np.concatenate([doc[strong], joined[hit]]), np.concatenate([weight[strong], self.weights[at[hit]]])
         np.maximum.at(out[:, 0], d, w)
         out[:, 1] = np.log1p(np.bincount(d, w, chunk.docs))
         out[:, 2] = np.log1p(np.bincount(d, minlength=chunk.docs))

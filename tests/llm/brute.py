@@ -164,11 +164,11 @@ def kept_texts(rows, order=5, z=4.0, least=1.0, odd=2.8, switch=2.0):
 
 
 def toxic_rows(text, decode):
-    """Feature rows of a text, word by word: the word without its edges and its beginnings; of disguised words and spelled rows also what `decode` restores."""
+    """Feature rows of a text, word by word: the word without its edges and its beginnings; of disguised words and spelled rows also what `decode` restores. And two or three neighbours as one word."""
     letter = lambda c: 0x61 <= c <= 0x7A or c >= 0x80
     core = lambda c: letter(c) or 0x30 <= c <= 0x39 or c == 0x40
     row = lambda w: {w} | {(w[:n], n) for n in (4, 5, 6, 7) if len(w) > n} if w else set()
-    out, lone = [], b""
+    out, lone, cores = [], b"", []
 
     def close():
         if len(lone) >= 3:
@@ -176,6 +176,7 @@ def toxic_rows(text, decode):
             out.append(row(whole))
             text_ = whole.decode()
             out.extend({x.encode()} for x in {text_[i : i + n] for n in range(3, 17) for i in range(len(text_) - n + 1)})
+            out.extend(row(x.encode()) for x in decode.parted(text_) if x != text_ and len(x) not in range(3, 17))
 
     for w in re.findall(rb"[^\x20\x09-\x0D]+", (text or "").translate(LOWER).encode()):
         inside = [i for i, c in enumerate(w) if core(c)]
@@ -185,14 +186,19 @@ def toxic_rows(text, decode):
             s, e = 0 if left else s, len(w) if right else e
         w = w[s:e]
         out.append(row(w))
+        cores.append(w)
         same = [a == b_ and 0x61 <= a <= 0x7A for a, b_ in zip(w, w[1:])]  # noqa: B905
         signs = sum(not letter(c) for c in w)
-        if len(w) >= 3 and len(w) - signs >= 2 and (0 < signs <= 2 * (len(w) - signs) or any(a and b_ for a, b_ in zip(same, same[1:])) or sum(same) > 2):  # noqa: B905
-            out.append(row(decode(w.decode("utf-8", "replace")).encode()))
+        alike = sum(c in b"013456789@$!|+(<*" for c in w)
+        letters, digits = len(w) - signs, sum(0x30 <= c <= 0x39 for c in w)
+        disguised = letters >= 1 and (0 < signs <= 2 * letters or signs == alike > 0) or not letters and alike == len(w) and 2 * digits <= len(w)
+        if len(w) >= 3 and (disguised or letters >= 2 and (any(a and b_ for a, b_ in zip(same, same[1:])) or sum(same) > 2)):  # noqa: B905
+            out.extend(row(x.encode()) for x in decode.readings(w.decode("utf-8", "replace")))
         if len(w) == 1:
             lone += w
         else:
             close()
             lone = b""
     close()
-    return [r for r in out if r]
+    together = [cores[i : i + n] for n in (2, 3) for i in range(len(cores) - n + 1)]
+    return [r for r in out if r], [{b"".join(x)} for x in together if all(x) and any(len(w) > 1 for w in x)]

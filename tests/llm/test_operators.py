@@ -1,10 +1,11 @@
 """The operators against plain versions, on odd tables and on the smallest driver tables."""
 
 import hashlib
+import itertools
 import json
 import random
-import time
 import re
+import time
 import zlib
 
 import numpy as np
@@ -432,6 +433,78 @@ def test_decoder_restores():
         assert decode(odd_form) == plain
 
 
+def _decoder(text):
+    s = toxicity._SYMBOL[np.frombuffer(text.encode(), np.uint8)]
+    counts = np.zeros((28, 28, 28), np.int64)
+    np.add.at(counts, (s[:-2], s[1:-1], s[2:]), 1)
+    return toxicity.Decoder(counts)
+
+
+def _probability(decode, word, before=(27, 27)):
+    (a, b), p = before, 0.0
+    for c in [*word, " "]:
+        s = 27 if c == " " else decode.symbol(c)
+        p, a, b = p + decode.log[a][b][s], b, s
+    return p
+
+
+def test_decoder_finds_the_best_of_all_paths():
+    """Every way through the lattice of short words, one by one. Of paths that end in the same last two letters only the last letter enters what may be left out."""
+    decode = _decoder("the rain fell on an ass and the moron said trash as the town slept in a cold boat " * 30)
+    rng = random.Random(59)
+    for word in ["a$$", "a55", "@$$", "m0r0n", "tr@sh", *("".join(rng.choice("aost0$@.") for _ in range(rng.randrange(1, 7))) for _ in range(60))]:
+        word = toxicity._RUN.sub(r"\1\1\1", word)
+        paths = [("", 0.0)]
+        for c in word:
+            letter, more = c.isalpha(), []
+            for made, cost in paths:
+                more.append((made + c, cost + (0.0 if letter else toxicity.COST_SIGN)))
+                more += [(made + x, cost + toxicity.COST_RESEMBLES) for x in toxicity.RESEMBLES.get(c, "")]
+                last = made[-1:]
+                if last and (c == last or last in toxicity.RESEMBLES.get(c, "")):
+                    more.append((made, cost + toxicity.COST_REPEAT))
+                elif not letter:
+                    more.append((made, cost + (toxicity.COST_LOST if c in toxicity.RESEMBLES else toxicity.COST_NOTHING)))
+            paths = more
+        of = lambda made, cost: _probability(decode, made) - cost
+        best = max(of(*x) for x in paths)
+        got = decode(word)
+        assert max(of(m, c) for m, c in paths if m == got) == pytest.approx(best)
+        if len(decode.readings(word)) > 1 and not any(c in ".m" or c.isalpha() for c in word):
+            assert len(decode.readings(word)[1]) == len(word)
+
+
+def test_rows_are_parted_at_the_best_of_all_places():
+    decode = _decoder("you are an incomprehensibilities moron and the rain fell on the town of trash " * 40)
+    assert decode.parted("youareanincomprehensibilitiesmoron") == ["you", "are", "an", "incomprehensibilities", "moron"]
+    assert decode.parted("") == [] and decode.parted("m") == ["m"]
+    for row in ("amoron", "rainontown", "oftrash", "xq", "theande"):
+        ways = [[row[a:b] for a, b in zip([0, *cut], [*cut, len(row)])] for n in range(len(row)) for cut in itertools.combinations(range(1, len(row)), n)]  # noqa: B905
+        got = decode.parted(row)
+        assert "".join(got) == row and _probability(decode, " ".join(got)) == pytest.approx(max(_probability(decode, " ".join(w)) for w in ways))
+
+
+def test_disguises_of_few_letters_and_within_words(spark):
+    """Signs for nearly all letters, a blank within a word, and a long word in a spelled row."""
+    clean = "the rain fell on the town as the boat came in and the moon rose over hills"
+    vile = "incomprehensibilities"
+    rng = random.Random(61)
+    rows = []
+    for i in range(400):
+        words = [rng.choice(clean.split()) for _ in range(12)]
+        if i % 2:
+            words[3:3] = [rng.choice(["ass", "stupid", vile])]
+        rows.append((i, " ".join(words), i % 2))
+    docs = spark.createDataFrame(rows, "doc_id long, text string, toxic int")
+    model = toxicity.fit(docs.select("doc_id", "text"), docs.select("doc_id", "toxic"))
+    odd = {1: "you a$$", 2: "you a55 there", 3: "an @$$ of a man", 4: "how st upid it is", 5: "how st up id it is", 6: "you " + " ".join("areincomprehensibilities"), 7: "pay $100 in 2015", 8: "the as s"}
+    got = {r["doc_id"]: r["score"] for r in toxicity.score(spark.createDataFrame([*odd.items(), (9, clean)], "doc_id long, text string"), model, ["doc_id"]).collect()}
+    assert all(got[i] > 0.5 for i in (1, 2, 3, 4, 5, 6, 8)) and got[7] == got[9] < 0.5
+    restored = {r["doc_id"]: r["restored"] for r in toxicity.restore(spark.createDataFrame(list(odd.items()), "doc_id long, text string"), model.decode, ["doc_id"]).collect()}
+    assert restored[7] == odd[7] and restored[1] != odd[1]
+    assert model.decode.readings("a$$") == ["as", "ass"] and model.decode.readings("st*pid") == [model.decode("st*pid")]
+
+
 def test_toxicity(spark, odd, empty):
     real, labels = spark.read.parquet("/root/testdata/sf0.1/documents.parquet"), spark.read.parquet("/root/testdata/sf0.1/labels.parquet")
     model = toxicity.fit(real, labels)
@@ -461,14 +534,15 @@ def test_toxicity_as_by_plain_sets(spark):
     real, labels = spark.read.parquet("/root/testdata/sf0.01/documents.parquet"), spark.read.parquet("/root/testdata/sf0.01/labels.parquet")
     rng = random.Random(3)
     vile = "grumpf blarg snorkel".split()
-    made = [(10**6 + i, " ".join(rng.choice([*"abcdefgh", "town", "rain", "hills", "moon", *(vile if i % 3 == 0 else ["sun"]), "gr*mpf" if i % 3 == 0 else "sun", "b l a r g" if i % 6 == 0 else "sky"]) for _ in range(30)), int(i % 3 == 0)) for i in range(120)]
+    made = [(10**6 + i, " ".join(rng.choice([*"abcdefgh", "town", "rain", "hills", "moon", *(vile if i % 3 == 0 else ["sun"]), "gr*mpf" if i % 3 == 0 else "sun", "b l a r g" if i % 6 == 0 else "sky", "snor kel" if i % 9 == 0 else "sea", "a$$ m 0 o n s n o r k e l i n g b a t t a l i o n s" if i % 12 == 0 else "sand"]) for _ in range(30)), int(i % 3 == 0)) for i in range(120)]
     extra = spark.createDataFrame(made, "doc_id long, text string, toxic int")
     docs = real.filter("n_chars < 3000").select("doc_id", "text").unionByName(extra.select("doc_id", "text"))
     docs = spark.createDataFrame(docs.collect(), docs.schema)
     marks = labels.select("doc_id", "toxic").unionByName(extra.select("doc_id", "toxic"))
     model = toxicity.fit(docs, marks)
     toxic_of = {r["doc_id"]: r["toxic"] for r in marks.collect()}
-    rows = {r["doc_id"]: brute.toxic_rows(r["text"], model.decode) for r in docs.collect()}
+    both = {r["doc_id"]: brute.toxic_rows(r["text"], model.decode) for r in docs.collect()}
+    rows, joined = ({d: x[i] for d, x in both.items()} for i in range(2))
     learn = [d for d in rows if d in toxic_of and brute.remainder(d) not in (0, 4)]
     counts = {True: brute.Counter(), False: brute.Counter()}
     for d in learn:
@@ -479,6 +553,7 @@ def test_toxicity_as_by_plain_sets(spark):
     assert len(weight) == len(model.features) > 3 and sorted(weight.values()) == pytest.approx(sorted(model.weights.tolist()))
     got = {r["doc_id"]: r["score"] for r in toxicity.score(docs, model, ["doc_id"]).collect()}
     for d, found in rows.items():
+        found = found + joined[d]
         hits = [w for w in (max(weight.get(f, 0.0) for f in r) for r in found) if w > 0]
         x = [max(hits, default=0.0), np.log1p(sum(hits)), np.log1p(len(hits))]
         assert got[d] == pytest.approx(1 / (1 + np.exp(-(model.logistic[0] + np.dot(x, model.logistic[1:])))), abs=1e-9)
