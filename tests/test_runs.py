@@ -4,8 +4,10 @@ import json
 import time
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import functions as F
 
+from folioflow import queries
 from folioflow.__main__ import main
 from folioflow.operators import layout, preamble, segment
 from folioflow.operators import schemas as S
@@ -176,3 +178,39 @@ def test_stream_resumes_where_it_ended(spark, tmp_path):
     assert sorted((r["file_id"], r["position_in_session"]) for r in got.collect()) == [(f, i) for f in "abc" for i in (1, 2)]
     incremental.write_batch(pages(spark, "b", "c"), 1, root)
     assert spark.read.parquet(f"{root}/speeches").count() == 6
+
+
+def _batch(words):
+    """Packed input of layout: (file_id, page_num, top, x0, seq, text, flags) by word."""
+    columns = zip(*words, strict=True)
+    return pa.record_batch([pa.array(c, t) for c, t in zip(columns, (pa.string(), pa.int32(), pa.float64(), pa.float64(), pa.float64(), pa.string(), pa.int8()), strict=True)], ["file_id", "page_num", "top", "x0", "seq", "text", "flags"])
+
+
+def test_words_are_packed_before_the_shuffle(spark, tmp_path):
+    """column_layout, scan_ratio: what a page's words cost in the shuffle is about their text, not a row with all their places for each."""
+    docs = [(d, " ".join(f"palabra{(i * 7919 + d) % 1000}" for i in range(400)), "es", "s", 1) for d in range(40)]
+    spark.createDataFrame(docs, "doc_id long, text string, lang string, source string, n_chars long").write.parquet(f"file://{tmp_path}/documents.parquet")
+    store = spark.sparkContext._jsc.sc().statusStore()
+
+    def shuffled():
+        stages = store.stageList(None, False, False, spark.sparkContext._gateway.new_array(spark.sparkContext._jvm.double, 0), spark.sparkContext._jvm.java.util.ArrayList())
+        return sum(stages.apply(i).shuffleWriteBytes() for i in range(stages.size()))
+
+    for name in ("column_layout", "scan_ratio"):
+        before = shuffled()
+        assert queries.QUERIES[name](spark, f"file://{tmp_path}").count() == 40
+        assert 0 < shuffled() - before < sum(len(d[1]) for d in docs)
+
+
+def test_blocks_of_a_page_from_several_batches(monkeypatch):
+    """Words of two pages and of a page without a name, mixed, with texts of all kinds: every word comes back with its numbers, whatever the task holds at a time."""
+    visible = layout.SEEN | layout.BODY | layout.FULL
+    words = [(f, p, 200.5 + i, -1.25 * i, float(i), t * (i % 5), visible if i % 3 else layout.SEEN | layout.CODED) for i in range(60) for f, p, t in (("a", 1, "ñandú€𝄞"), ("a", 2, "x"), (None, None, "é"))]
+    for held in (1, 50, 1000):
+        monkeypatch.setattr(layout, "HELD_WORDS", held)
+        rows = [r for b in layout._packed(_batch(words[i : i + 25]) for i in range(0, len(words), 25)) for r in b.to_pylist()]
+        for page in {w[:2] for w in words}:
+            mine = [r for r in rows if (r["file_id"], r["page_num"]) == page]
+            got = [(*n, t) for r in mine if r["block"] for n, t in zip(layout._unpack(r["block"])[0].tolist(), layout._unpack(r["block"])[2], strict=True)]
+            assert got == [w[2:6] for w in words if w[:2] == page and w[6] == visible]
+            assert (sum(r["n_seen"] for r in mine), sum(r["n_coded"] for r in mine)) == (60, 20)
