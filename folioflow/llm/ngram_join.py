@@ -45,6 +45,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from folioflow.llm import kernel as K
 from folioflow.llm.scratch import broadcast, carried, materialize, ship, table
@@ -68,12 +69,15 @@ BROADCAST_ROWS = 250_000
 LEADER_ROUNDS, LEADERS, LEADER_GAIN = 3, 128, 0.02
 #: Members of a block, rows in a task, candidates that a node gives out at first and the factor of each further time, and pairs of one node in a task.
 BLOCK, TASK_ROWS, FIRST, MORE, SALT_ROWS = 1024, 16_384, 4, 16, 512
+#: Members of a group that is small: those of one lead, which has a few hundred groups at most, are compared by one task.
+NEIGHBOURS = 64
 #: Verified pairs in a task.
 VERIFIED_ROWS = 1_000
 EDGES = 1_000_000
 MOST_TASKS = 100_000
 FLUSH = 1 << 19
 _KEY_BITS = np.uint64(32)
+_CODEC = pa.Codec("zstd", compression_level=1)
 
 
 # ---------------------------------------------------------------- signatures
@@ -160,6 +164,15 @@ def sketch_of(shingles: np.ndarray) -> bytes:
     return np.packbits(np.bincount(at, minlength=bits).astype(np.uint8) & 1, bitorder="little").tobytes()
 
 
+def closed(sketch: bytes) -> bytes:
+    """A sketch as it travels: few of its bits are set. Its first byte is the number of bits of its length."""
+    return bytes([len(sketch).bit_length()]) + _CODEC.compress(sketch, asbytes=True)
+
+
+def opened(sketch: bytes) -> bytes:
+    return _CODEC.decompress(sketch[1:], 1 << (sketch[0] - 1), asbytes=True)
+
+
 def folded(sketches: list[bytes]) -> np.ndarray:
     """Sketches as rows of equal length, that of the shortest: parts that fall together add their parities."""
     size = min(map(len, sketches), default=8)
@@ -189,7 +202,7 @@ def node_sets(docs: DataFrame, k: int, p: int, q: int, sample: int = SAMPLE) ->
                 for i, s in enumerate(K.shingle_sets(*K.words(chunk), k)):
                     sizes.append(len(s))
                     nodes.append(node_of(s) if len(s) else None)
-                    sketches.append(sketch_of(s) if len(s) > 2 else None)
+                    sketches.append(closed(sketch_of(s)) if len(s) > 2 else None)
                     if picked[chunk.lo + i] and len(s) > 2:
                         for u, m, _ in bands(len(s), p, q):
                             sigs, filled = signatures(s, u, m)
@@ -232,12 +245,17 @@ def fans(buckets: int) -> list[int]:
 def pack(nodes: np.ndarray, sizes: np.ndarray, owner: np.ndarray, sigs: np.ndarray, buckets: int, fine: int = 1) -> tuple[list[int], list[bytes]]:
     """Blocks by bucket: the nodes with a signature there, their sizes and numbers of signatures, and 32 bits of each signature. The bucket stands for further ones.
 
+    Nodes and signatures are hashes, which no codec makes smaller; nodes stand in the order of their sizes, so that sizes and numbers take next to no room.
     With fine, that many neighbouring buckets are one here, and signatures stay whole for the rounds that follow.
     """
     if not len(sigs):
         return [], []
     bucket = ((sigs >> _KEY_BITS) % np.uint64(buckets) // np.uint64(fine)).astype(np.int64)
-    by = np.argsort(bucket, kind="stable")
+    order = np.argsort(sizes, kind="stable")
+    nodes, sizes, place = nodes[order], sizes[order], np.empty(len(order), np.int64)
+    place[order] = np.arange(len(order))
+    owner = place[owner]
+    by = np.argsort(bucket * len(nodes) + owner, kind="stable")
     bucket, owner, key = bucket[by], owner[by], sigs[by] if fine > 1 else sigs[by].astype(np.uint32)
     edges = np.flatnonzero(np.concatenate([[True], bucket[1:] != bucket[:-1], [True]]))
     out = []
@@ -245,19 +263,20 @@ def pack(nodes: np.ndarray, sizes: np.ndarray, owner: np.ndarray, sigs: np.ndarr
         new = np.flatnonzero(np.concatenate([[True], owner[lo + 1 : hi] != owner[lo : hi - 1]]))
         mine = owner[lo:hi][new]
         counts = np.diff(np.append(new, hi - lo)).astype(np.uint32)
-        head = np.array([len(mine), hi - lo], np.uint32)
-        out.append(b"".join((head.tobytes(), nodes[mine].tobytes(), sizes[mine].astype(np.uint32).tobytes(), counts.tobytes(), key[lo:hi].tobytes())))
+        steps = np.stack([np.diff(sizes[mine], prepend=0).astype(np.uint32), counts]).view(np.uint8).reshape(2, -1, 4)
+        small = _CODEC.compress(steps.transpose(0, 2, 1).tobytes(), asbytes=True)
+        head = np.array([len(mine), hi - lo, len(small)], np.uint32)
+        out.append(b"".join((head.tobytes(), small, nodes[mine].tobytes(), key[lo:hi].tobytes())))
     return bucket[edges[:-1]].tolist(), out
 
 
 def _parts(block: bytes, whole: bool) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """Nodes, their sizes and numbers of signatures, and the signatures (or 32 bits of them) of a block."""
-    n, s = np.frombuffer(block, np.uint32, 2)
-    at = 8
-    nodes = np.frombuffer(block, np.int64, n, at)
-    sizes = np.frombuffer(block, np.uint32, n, at := at + 8 * int(n))
-    counts = np.frombuffer(block, np.uint32, n, at := at + 4 * int(n))
-    return nodes, sizes, counts, np.frombuffer(block, np.uint64 if whole else np.uint32, s, at + 4 * int(n))
+    n, s, small = np.frombuffer(block, np.uint32, 3).tolist()
+    raw = np.frombuffer(_CODEC.decompress(block[12 : 12 + small], 8 * n, asbytes=True), np.uint8).reshape(2, 4, n)
+    steps, counts = np.ascontiguousarray(raw.transpose(0, 2, 1)).view(np.uint32).reshape(2, n)
+    at = 12 + small
+    return np.frombuffer(block, np.int64, n, at), np.cumsum(steps, dtype=np.uint32), counts, np.frombuffer(block, np.uint64 if whole else np.uint32, s, at + 8 * n)
 
 
 def unpack(block: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -441,10 +460,11 @@ def _small(df: DataFrame, rows: int) -> DataFrame:
 
 
 def dealt(state: DataFrame, open_: DataFrame, leaders: bool, turn: int) -> DataFrame:
-    """Members (gid, node, n, label) of open groups, dealt to cells of a block of probes and a block of members: gid, cell, probe, both, node, n, label.
+    """Members (gid, node, n, label) of open groups, dealt to cells of a block of probes and a block of members: gid, cell, probe, twice, both, node, n, label, home.
 
     Probes are some leaders, or all nodes outside the largest component. A member is in a cell for each block of probes, a probe in one for each
-    block of members. both: a member that is a probe as well.
+    block of members. both: a member that is a probe as well; in the cell where it is dealt as either, one row stands for both of them (twice).
+    Cells of one home meet in one task: small groups of one lead have most of their members in common.
     """
     rows = state.join(open_.select("gid", "members", "main", "main_size", "lead"), "gid")
     if leaders:
@@ -456,23 +476,33 @@ def dealt(state: DataFrame, open_: DataFrame, leaders: bool, turn: int) -> DataF
     rows = rows.withColumns({"both": probe, "_p": blocks(probes), "_m": blocks(F.col("members"))})
     h = F.xxhash64("gid", "node")
     rows = rows.withColumns({"_i": F.pmod(h, F.col("_p")).cast("int"), "_j": F.pmod(h, F.col("_m")).cast("int")})
-    as_member = F.transform(F.sequence(F.lit(0), F.col("_p") - 1), lambda i: F.struct((i * F.col("_m") + F.col("_j")).alias("cell"), F.lit(False).alias("probe")))
-    as_probe = F.transform(F.sequence(F.lit(0), F.col("_m") - 1), lambda j: F.struct((F.col("_i") * F.col("_m") + j).alias("cell"), F.lit(True).alias("probe")))
+    as_member = F.transform(F.sequence(F.lit(0), F.col("_p") - 1), lambda i: F.struct((i * F.col("_m") + F.col("_j")).alias("cell"), F.lit(False).alias("probe"), (F.col("both") & (i == F.col("_i"))).alias("twice")))
+    others = F.filter(F.sequence(F.lit(0), F.col("_m") - 1), lambda j: j != F.col("_j"))
+    as_probe = F.transform(others, lambda j: F.struct((F.col("_i") * F.col("_m") + j).alias("cell"), F.lit(True).alias("probe"), F.lit(False).alias("twice")))
     cells = F.when(F.col("both"), F.concat(as_member, as_probe)).otherwise(as_member)
-    return rows.select("gid", "node", "n", "label", "both", F.inline(cells))
+    rows = rows.select("gid", "node", "n", "label", "both", "members", "lead", F.inline(cells))
+    home = F.when(F.col("members") <= NEIGHBOURS, F.xxhash64("lead")).otherwise(F.xxhash64("gid", "cell"))
+    return rows.withColumn("home", home).drop("members", "lead")
 
 
 def compared(rows: DataFrame, p: int, q: int, leaders: bool, most: int) -> DataFrame:
-    """Pairs (gid, a, b) of rows (part, gid, cell, probe, both, node, n, label, sketch) in different components that their sizes and sketches let link.
+    """Pairs (gid, a, b) of rows (part, gid, cell, probe, twice, both, node, n, label, sketch) in different components that their sizes and sketches let link.
 
-    With leaders, the nearest probe of each member; else the `most` nearest members of each probe, and a row without a pair where there are more.
+    A node has its sketch in one of its rows of a part. With leaders, the nearest probe of each member; else the `most` nearest members of each probe, and a row without a pair where there are more.
     """
 
     def run(table: pa.Table) -> pa.Table:
         gid, cell, probe, both, node, n, label = (table.column(c).to_numpy() for c in ("gid", "cell", "probe", "both", "node", "n", "label"))
-        by = np.lexsort((n, probe, cell, gid))
-        gid, cell, probe, both, node, n, label = (x[by] for x in (gid, cell, probe, both, node, n, label))
-        sketches = table.column("sketch").take(pa.array(by))
+        again = np.flatnonzero(table.column("twice").to_numpy())
+        probe = np.concatenate([probe, np.ones(len(again), bool)])
+        rows = np.concatenate([np.arange(len(gid)), again])
+        by = rows[at := np.lexsort((n[rows], probe, cell[rows], gid[rows]))]
+        probe = probe[at]
+        gid, cell, both, node, n, label = (x[by] for x in (gid, cell, both, node, n, label))
+        held = np.flatnonzero(table.column("sketch").is_valid().to_numpy())
+        of = table.column("node").to_numpy()[held]
+        held = held[np.argsort(of, kind="stable")]
+        sketches = table.column("sketch").take(pa.array(held[np.searchsorted(np.sort(of), node)]))
         edges = np.flatnonzero(np.concatenate([[True], (gid[1:] != gid[:-1]) | (cell[1:] != cell[:-1]), [True]])).tolist()
         out: list[tuple] = []
         cut = set()
@@ -480,7 +510,7 @@ def compared(rows: DataFrame, p: int, q: int, leaders: bool, most: int) -> DataF
             first = lo + int(np.count_nonzero(~probe[lo:hi]))  # members, then probes
             if first == hi or first == lo:
                 continue
-            sketch = folded(sketches.slice(lo, hi - lo).to_pylist())
+            sketch = folded([opened(x) for x in sketches.slice(lo, hi - lo).to_pylist()])
             size, found = n[lo:first], []
             for i in range(first, hi):
                 start, last = np.searchsorted(size, -(-n[i] * p // q)), np.searchsorted(size, n[i] * q // p, "right")
@@ -572,8 +602,11 @@ def _link(docs: DataFrame, members: DataFrame, nodes: DataFrame, k: int, p: int,
                 break
             leaders = False
             continue
-        rows = dealt(state, _small(open_, total["n"]), leaders, turn).withColumn("part", F.pmod(F.xxhash64("gid", "cell"), F.lit(max(64, int(2 * total["rows"]) // TASK_ROWS))))
-        found = materialize(compared(rows.join(sketches, "node"), p, q, leaders, most), "found")
+        rows = dealt(state, _small(open_, total["n"]), leaders, turn).withColumn("part", F.pmod("home", F.lit(max(64, int(2 * total["rows"]) // TASK_ROWS))))
+        # Sketches are most of what is sent: a part gets each node's once.
+        before = F.lag("part").over(Window.partitionBy("node").orderBy("part"))
+        rows = rows.withColumn("_once", ~before.eqNullSafe(F.col("part"))).join(sketches, "node").withColumn("sketch", F.when(F.col("_once"), F.col("sketch"))).drop("_once", "home")
+        found = materialize(compared(rows, p, q, leaders, most), "found")
         given = found.agg(F.count("a").alias("pairs"), F.count_if(F.col("a").isNull()).alias("cut")).first()
         cut = given["cut"]
         pairs = found.filter("a is not null").select("a", "b").distinct()

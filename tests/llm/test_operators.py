@@ -662,6 +662,37 @@ def test_near_components_by_several_rounds_of_buckets(spark, monkeypatch):
     assert sorted(map(tuple, got), key=key) == want == sorted(brute.components(pairs(df)), key=key) and len(seen) >= 1
 
 
+def test_a_part_gets_the_sketch_of_a_node_once(spark, monkeypatch):
+    """Texts that nearly link share many groups: their sketches are not sent with every one of them, and blocks hold little but hashes."""
+    rng = np.random.default_rng(53)
+    rows = []
+    for c in range(40):
+        base = [f"w{c}x{i}" for i in range(150)]
+        for _ in range(6):
+            words = list(base)
+            for at in rng.choice(150, 6, replace=False):
+                words[at] = f"y{len(rows)}z{at}"
+            rows.append((len(rows), " ".join(words)))
+    counted = []
+    compared = ngram_join.compared
+
+    def counting(given, *args):
+        given = given.cache()
+        sent = given.filter("sketch is not null")
+        counted.append((given.count(), sent.count()))
+        assert given.select("part", "node").distinct().count() == sent.count() == sent.select("part", "node").distinct().count()
+        return compared(given, *args)
+
+    monkeypatch.setattr(ngram_join, "compared", counting)
+    got = ngram_join.near_components(spark.createDataFrame(rows, "doc_id long, text string")).select("doc_id", "n_shingles", "component_id").collect()
+    assert sorted(map(tuple, got)) == sorted(brute.components(rows))
+    assert counted[-1][1] < counted[-1][0] / 2
+    sizes = rng.integers(20, 900, 5000)
+    owner, sigs = np.repeat(np.arange(5000), 100), rng.integers(0, 2**63 - 1, 500_000).astype(np.uint64)
+    _, blocks = ngram_join.pack(rng.integers(-(2**63), 2**63 - 1, 5000), sizes, owner, sigs, 4096)
+    assert sum(map(len, blocks)) < 13.5 * len(sigs)  # of 8 and 4 bytes; with plain sizes and numbers it were 20
+
+
 def test_a_large_group_of_near_copies_gives_out_few_rows(spark, monkeypatch):
     """5,000 near copies of one text, many of their pairs at the threshold: links as by whole sets, and no more than a constant of rows for each row read."""
     rng = np.random.default_rng(41)
