@@ -16,7 +16,9 @@ from folioflow.session import ship
 
 PAGE = ("file_id", "page_num")
 #: Words, and bytes of them, that a task holds before it packs them.
-HELD_WORDS, HELD_BYTES = 1 << 17, 16 << 20
+HELD_WORDS, HELD_BYTES = 1 << 17, 8 << 20
+#: Characters of finished pages that it holds before it gives them out.
+OUT_CHARS = 1 << 21
 #: Bits of a word's flags. A word that is no BODY word counts for the share of coded words only.
 LEFT, RIGHT, FULL, BOLD, SEEN, CODED, BODY = (1 << i for i in range(7))
 #: Bytes of a packed word beside its text: top, x0 and seq, the length of its text, flags.
@@ -137,14 +139,18 @@ def _pages(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """The kernel of `pages`: blocks of words to texts, page by page."""
     names = ["file_id", "page_num", "cid_word_pct", "text", "n_body", "n_right", "error_detail"]
     for batch in batches:
-        made = []
-        for blocks in batch.column("blocks"):
+        made, size, start = [], 0, 0
+        for end, blocks in enumerate(batch.column("blocks"), 1):
             try:
                 made.append((*_read(blocks.as_py()), None))
             except Exception as e:  # noqa: BLE001 - one bad page is a row, and does not lose the others
                 made.append(("", 0, 0, f"{type(e).__name__}: {e}"[:500]))
-        texts, n_body, n_right, error = zip(*made, strict=True) if made else ((), (), (), ())
-        yield pa.record_batch([*(batch.column(c) for c in names[:3]), pa.array(texts, pa.string()), pa.array(n_body, pa.int32()), pa.array(n_right, pa.int32()), pa.array(error, pa.string())], names)
+            size += len(made[-1][0])
+            if size >= OUT_CHARS or end == batch.num_rows:
+                # A batch of Spark's is so many rows, whatever their size.
+                texts, n_body, n_right, error = zip(*made, strict=True)
+                yield pa.record_batch([*(batch.column(c).slice(start, end - start) for c in names[:3]), pa.array(texts, pa.string()), pa.array(n_body, pa.int32()), pa.array(n_right, pa.int32()), pa.array(error, pa.string())], names)
+                made, size, start = [], 0, end
 
 
 def pages(words: DataFrame, known: DataFrame | None = None) -> DataFrame:

@@ -214,3 +214,15 @@ def test_blocks_of_a_page_from_several_batches(monkeypatch):
             got = [(*n, t) for r in mine if r["block"] for n, t in zip(layout._unpack(r["block"])[0].tolist(), layout._unpack(r["block"])[2], strict=True)]
             assert got == [w[2:6] for w in words if w[:2] == page and w[6] == visible]
             assert (sum(r["n_seen"] for r in mine), sum(r["n_coded"] for r in mine)) == (60, 20)
+
+
+def test_large_pages_are_given_out_a_few_at_a_time():
+    """page_furniture: a batch of 400 pages, each one word of 50,000 characters, is never held as texts all at once, and none is lost or moved."""
+    visible = layout.SEEN | layout.BODY | layout.FULL
+    packed = [b for b in layout._packed(_batch([("a", i, 400.0, 60.0, 0.0, f"{i} " + "largo " * 8333, visible)]) for i in range(400))]
+    assert len(packed) > 1  # a task does not hold all words either
+    rows = [r for b in packed for r in b.to_pylist()]
+    batch = pa.record_batch([pa.array([r["file_id"] for r in rows]), pa.array([r["page_num"] for r in rows], pa.int32()), pa.array([0.0] * 400), pa.array([[r["block"]] for r in rows], pa.list_(pa.binary()))], ["file_id", "page_num", "cid_word_pct", "blocks"])
+    made = list(layout._pages([batch, batch.slice(0, 0)]))
+    assert max(b.nbytes for b in made) < 3 << 20 and sum(b.num_rows for b in made) == 400
+    assert all(r["text"].startswith(f"{r['page_num']} largo") and r["error_detail"] is None for b in made for r in b.to_pylist())
